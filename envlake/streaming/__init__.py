@@ -1,0 +1,6 @@
+"""Intentionally empty: every job here is a batch job.
+
+Refreshing a source replaces its whole staged copy (``envlake.sources.bronze``).
+A file stream with a checkpoint reads each file once and never again after a
+rewrite, so it would give other results.
+"""
