@@ -40,8 +40,8 @@ def day_count(start: Column | date | str, end: Column | date | str) -> Column:
 
 def half_year_start(day: Column | date | str) -> Column:
     """1 January or 1 July on or before ``day``."""
-    quarter_start = F.trunc(_day(day), "quarter")
-    return F.add_months(quarter_start, -F.pmod(F.month(quarter_start) - 1, F.lit(6)))
+    d = _day(day)
+    return F.make_date(F.year(d), F.when(F.month(d) <= 6, 1).otherwise(7), F.lit(1))
 
 
 def half_year_windows(start: Column | date | str, end: Column | date | str) -> Column:

@@ -5,25 +5,34 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 
-def _double_or_null(text: Column) -> Column:
-    """Parse a decimal number; anything else is NULL.
+# Last characters after which a closer look is needed: a float suffix, or white
+# space that may hide one. Testing one character first keeps the regular
+# expression away from nearly all values.
+_CHECK = ("d", "D", "f", "F", "\t", "\n", "\r")
+
+
+def _decimal_point(value: Column) -> Column:
+    return F.replace(value.cast("string"), F.lit(","), F.lit("."))
 
-    Spark's own cast also takes Java's float suffixes (``1.0d``, ``2f``), which
-    are not numbers in a data file, and refuses digit separators (``1_000``).
-    """
-    suffixed = text.rlike(r"[0-9.][dDfF]\s*$")
-    plain = F.when(
-        F.contains(text, F.lit("_")), F.regexp_replace(text, r"(?<=[0-9])_(?=[0-9])", "")
-    ).otherwise(text)
-    return F.when(~suffixed, plain.try_cast("double"))
+
+def _has_float_suffix(text: Column) -> Column:
+    """Java's ``1.0d`` and ``2f``: Spark's cast takes them, data files do not mean them."""
+    last = F.substring(F.rtrim(text), -1, 1)
+    return last.isin(*_CHECK) & text.rlike(r"[0-9.][dDfF]\s*$")
 
 
 def locale_decimal(value: Column, tokens: dict[str, str] | None = None) -> Column:
-    """``"12,5"`` -> 12.5; ``tokens`` are replaced first, unreadable text is NULL."""
-    text = F.replace(value.cast("string"), F.lit(","), F.lit("."))
+    """``"12,5"`` -> 12.5; ``tokens`` are replaced first, unreadable text is NULL.
+
+    Digits may be separated as in ``1_000``, which Spark's cast refuses.
+    """
+    text = _decimal_point(value)
     for token, number in (tokens or {}).items():
         text = F.replace(text, F.lit(token), F.lit(number))
-    return _double_or_null(text)
+    plain = F.when(
+        F.contains(text, F.lit("_")), F.regexp_replace(text, r"(?<=[0-9])_(?=[0-9])", "")
+    ).otherwise(text)
+    return F.when(~_has_float_suffix(text), plain.try_cast("double"))
 
 
 def collector_number(value: Column) -> Column:
@@ -32,11 +41,10 @@ def collector_number(value: Column) -> Column:
     Differs from :func:`locale_decimal` in that tokens are never read as numbers,
     digit separators are refused, and neither NaN nor an overflow survives.
     """
-    text = F.replace(value.cast("string"), F.lit(","), F.lit("."))
-    refused = text.rlike(r"[0-9.][dDfF]\s*$")
-    number = F.when(~refused, text.try_cast("double"))
+    text = _decimal_point(value)
+    number = text.try_cast("double")
     overflow = (F.abs(number) == float("inf")) & text.rlike("[0-9]")
-    return F.when(~F.isnan(number) & ~overflow, number)
+    return F.when(~F.isnan(number) & ~overflow & ~_has_float_suffix(text), number)
 
 
 def int_from_double(value: Column) -> Column:

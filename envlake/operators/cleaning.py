@@ -5,30 +5,38 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StringType
 
-from envlake.functions import collector_number, date_or_null, int_from_double, int_from_text
-from envlake.functions import locale_decimal
+from envlake.functions import (
+    collector_number,
+    date_or_null,
+    int_from_double,
+    int_from_text,
+    locale_decimal,
+)
+from envlake.operators.reshape import unpivot_measures
 from envlake.schemas import MEASURES, TRACE_MEASURE, TRACE_TOKEN, TRACE_VALUE
 
 
 def clean_weather(raw: DataFrame) -> DataFrame:
-    """Typed daily rows: the station columns and the 13 measures as doubles.
+    """Long daily rows: the station columns, ``variable_meteo`` and ``valor`` as double.
 
-    The trace token of the rain column counts as 0.0 here.
+    The 13 measures are melted as text and then parsed in one expression; text
+    that is no number gives no row. The trace token of the rain column is 0.0.
     """
-    to_int = int_from_text if isinstance(raw.schema["altitud"].dataType, StringType) else int_from_double
-    measures = [
-        locale_decimal(
-            F.col(source), {TRACE_TOKEN: TRACE_VALUE} if variable == TRACE_MEASURE else None
-        ).alias(variable)
-        for variable, source in MEASURES.items()
-    ]
-    return raw.select(
-        "indicativo",
-        "nombre",
-        "provincia",
-        to_int(F.col("altitud")).alias("altitud"),
-        F.col("fecha").cast("date").alias("fecha"),
-        *measures,
+    as_int = (
+        int_from_text
+        if isinstance(raw.schema["altitud"].dataType, StringType)
+        else int_from_double
+    )
+    texts = {variable: F.col(source).cast("string") for variable, source in MEASURES.items()}
+    texts[TRACE_MEASURE] = F.replace(texts[TRACE_MEASURE], F.lit(TRACE_TOKEN), F.lit(TRACE_VALUE))
+    ids = ["indicativo", "nombre", "provincia", "altitud", "fecha"]
+    typed = raw.withColumns(
+        {"altitud": as_int(F.col("altitud")), "fecha": F.col("fecha").cast("date")}
+    )
+    return (
+        unpivot_measures(typed, ids, texts)
+        .withColumn("valor", locale_decimal(F.col("valor")))
+        .where(F.col("valor").isNotNull())
     )
 
 

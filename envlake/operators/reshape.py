@@ -1,42 +1,62 @@
 """Wide -> long. NULL cells do not become rows.
 
-Both operators are one pass over the wide rows: a single scan feeding an
-``Expand``, with no shuffle, however many columns are melted.
+The cells of a row are exploded as one array: a single scan and no shuffle,
+however many columns are melted, and code that stays small enough to be compiled
+(an ``Expand`` repeats every id column in each of its 24 or 13 projections).
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from envlake.schemas import HOURS, MEASURES
 
 
-def _melt(
-    wide: DataFrame, ids: Sequence[str], values: Sequence[str], name: str, value: str
-) -> DataFrame:
-    long = wide.unpivot(
-        [F.col(f"`{c}`") for c in ids], [F.col(f"`{c}`") for c in values], name, value
-    )
-    return long.where(F.col(value).isNotNull())
+def _cells(wide: DataFrame, ids: Sequence[str], cells: Sequence[Column], value: str) -> DataFrame:
+    """Id columns, ``__pos`` (which cell, from 0) and ``value``, without NULL values."""
+    return wide.select(
+        *[F.col(f"`{c}`") for c in ids], F.posexplode(F.array(*cells)).alias("__pos", value)
+    ).where(F.col(value).isNotNull())
+
+
+def _name(names: Sequence[str]) -> Column:
+    return F.element_at(F.array(*[F.lit(n) for n in names]), F.col("__pos") + 1)
 
 
 def unpivot_hours(
-    wide: DataFrame, ids: Sequence[str] | None = None, hours: Sequence[str] = HOURS
+    wide: DataFrame,
+    ids: Sequence[str] | None = None,
+    hours: Sequence[str] = HOURS,
+    label: bool = True,
 ) -> DataFrame:
-    """One row per non-NULL hour cell: the id columns, ``hora`` (label) and ``valor``.
+    """One row per non-NULL hour cell: the id columns, ``hora`` and ``valor``.
 
-    Without ``ids`` every column that is not an hour is kept.
+    ``hora`` is the label (``h01`` ..) or, without ``label``, the hour itself
+    (0 ..), which saves parsing the label on every row. Without ``ids`` every
+    column that is not an hour is kept.
     """
     if ids is None:
         labels = {h.lower() for h in hours}
         ids = [c for c in wide.columns if c.lower() not in labels]
-    return _melt(wide, ids, hours, "hora", "valor")
+    long = _cells(wide, ids, [F.col(f"`{h}`") for h in hours], "valor")
+    return long.select(
+        *[F.col(f"`{c}`") for c in ids],
+        (_name(hours) if label else F.col("__pos")).alias("hora"),
+        "valor",
+    )
 
 
 def unpivot_measures(
-    wide: DataFrame, ids: Sequence[str], measures: Sequence[str] = tuple(MEASURES)
+    wide: DataFrame, ids: Sequence[str], measures: Mapping[str, str | Column] = MEASURES
 ) -> DataFrame:
-    """One row per non-NULL measure: the id columns, ``variable_meteo`` and ``valor``."""
-    return _melt(wide, ids, measures, "variable_meteo", "valor")
+    """One row per non-NULL measure: the id columns, ``variable_meteo`` and ``valor``.
+
+    ``measures`` maps the variable's name to its column.
+    """
+    cells = [F.col(f"`{c}`") if isinstance(c, str) else c for c in measures.values()]
+    long = _cells(wide, ids, cells, "valor")
+    return long.select(
+        *[F.col(f"`{c}`") for c in ids], _name(list(measures)).alias("variable_meteo"), "valor"
+    )

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from envlake.functions import hour_of_label, locale_decimal, observation_hour
+from envlake.functions import locale_decimal, observation_hour
 from envlake.operators import left_lookup, stack_by_position, unpivot_hours
 from envlake.schemas import HOURS
 
@@ -21,12 +21,15 @@ def hourly_fact(
     built after it, so a row without any value cannot fail on its date.
     """
     ids = ["provincia", "municipio", "estacion", "magnitud", "punto muestreo", "anno", "mes", "dia"]
-    cell = (lambda c: locale_decimal(c)) if decimal_comma else (lambda c: c.cast("double"))
+    cell_type = "string" if decimal_comma else "double"
     slim = wide.select(
-        *[F.col(f"`{c}`").alias(c) for c in ids], *[cell(F.col(h)).alias(h) for h in HOURS]
+        *[F.col(f"`{c}`").alias(c) for c in ids],
+        *[F.col(h).cast(cell_type).alias(h) for h in HOURS],
     )
     with_unit = left_lookup(slim, units, "magnitud", "MAGNITUD", uom="UNIDAD")
-    long = unpivot_hours(with_unit, [*ids, "uom"])
+    long = unpivot_hours(with_unit, [*ids, "uom"], label=False)
+    if decimal_comma:
+        long = long.withColumn("valor", locale_decimal(F.col("valor"))).where("valor IS NOT NULL")
     return long.select(
         "provincia",
         "municipio",
@@ -34,7 +37,7 @@ def hourly_fact(
         "magnitud",
         F.col("`punto muestreo`").alias("punto_muestreo"),
         observation_hour(
-            F.col("anno"), F.col("mes"), F.col("dia"), hour_of_label(F.col("hora")), strict_dates
+            F.col("anno"), F.col("mes"), F.col("dia"), F.col("hora"), strict_dates
         ).alias("fecha"),
         "uom",
         F.col("valor").alias("uom_value"),

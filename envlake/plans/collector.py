@@ -17,11 +17,11 @@ from envlake.operators import (
     sorted_observations,
 )
 from envlake.schemas import FIRST_DAY, LAST_DAY, RAW_FIELDS, STATIONS
-from envlake.sources import read_raw_documents, write_delimited
+from envlake.sources import inline_table, parse_documents, write_delimited
 
 
 def station_list(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(STATIONS), "indicativo string, nombre string")
+    return inline_table(spark, STATIONS, "indicativo string, nombre string")
 
 
 def expected_documents(
@@ -35,23 +35,23 @@ def expected_documents(
 
 def collect_observations(
     spark: SparkSession,
-    raw: str,
+    documents: DataFrame,
     output: str,
     stations: DataFrame | None = None,
     start: date | str = FIRST_DAY,
     end: date | str = LAST_DAY,
     fields: Sequence[str] = RAW_FIELDS,
-    latin9: bool = False,
 ) -> dict[str, DataFrame]:
-    """Clean and sort all landed records into ``{output}/csv``, and report on them.
+    """Clean and sort the records of raw documents into ``{output}/csv``, and report on them.
 
-    The documents are parsed once, into ``{output}/clean``; the sort (which reads
+    ``documents`` comes from ``read_documents``; those of other stations or windows
+    are left out. The documents are parsed once, into ``{output}/clean``; the sort (which reads
     its input twice) and the reports work on that table. A document counts for its
     window as soon as it holds one record; ``coverage`` shows what is short.
     """
     stations = station_list(spark) if stations is None else stations
     clean_path = f"{output}/clean"
-    parsed = read_raw_documents(spark, raw, fields, latin9)
+    parsed = parse_documents(documents, fields)
     expected = expected_documents(stations, start, end)
     requested = parsed.join(expected.select("documento"), "documento", "left_semi")
     clean_collected(requested).write.mode("overwrite").parquet(clean_path)

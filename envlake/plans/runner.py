@@ -12,8 +12,15 @@ from pyspark.sql import DataFrame, SparkSession
 from envlake.operators import seed_copy
 from envlake.plans.air import air_fact
 from envlake.plans.weather import weather_fact
-from envlake.sources import CATALOG, DatasetSpec, read_dataset, refresh, register_views, write_fact
-from envlake.sources.bronze import dataset_status
+from envlake.sources import (
+    CATALOG,
+    DatasetSpec,
+    inline_table,
+    read_dataset,
+    register_views,
+    write_fact,
+)
+from envlake.sources.bronze import dataset_status, stage_all
 
 _STATUS = "pipeline string, status string, detail string"
 
@@ -101,13 +108,13 @@ def _run_one(
     undeclared = [k for k in keys if k not in catalog]
     if undeclared:
         return "undeclared dataset", ", ".join(undeclared)
-    state = dataset_status(spark, root, catalog, keys)
-    absent = sorted(r.dataset for r in state.where("state = 'absent'").collect())
+    states = {r.dataset: r.state for r in dataset_status(spark, root, catalog, keys).collect()}
+    absent = [k for k in keys if states[k] == "absent"]
     if absent:
         return "missing input", ", ".join(absent)
     output = posixpath.join(root, job.output)
     try:
-        refresh(spark, root, catalog, keys)
+        stage_all(spark, root, [catalog[k] for k in keys if states[k] != "fresh"])
         sources = {a: read_dataset(spark, root, catalog[k]) for a, k in job.sources.items()}
         write_fact(_result(spark, job, sources), output)
     except (PySparkException, ValueError) as e:
@@ -130,7 +137,6 @@ def run(
     """
     chosen = [j for j in jobs if name is None or j.name.lower() == name.lower()]
     if not chosen:
-        return spark.createDataFrame([(name, "unknown pipeline", None)], _STATUS)
-    return spark.createDataFrame(
-        [(j.name, *_run_one(spark, root, j, catalog)) for j in chosen], _STATUS
-    )
+        return inline_table(spark, [(name, "unknown pipeline", "")], _STATUS)
+    rows = [(j.name, *_run_one(spark, root, j, catalog)) for j in chosen]
+    return inline_table(spark, rows, _STATUS)

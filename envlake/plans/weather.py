@@ -4,20 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from envlake.operators import clean_weather, left_lookup, unpivot_measures
+from envlake.operators import clean_weather, left_lookup
 from envlake.schemas import MEASURES
 
 
 def weather_fact(raw: DataFrame, units: DataFrame) -> DataFrame:
-    """Clean the 13 measures, melt them and attach their units.
+    """Melt and clean the 13 measures and attach their units.
 
     Only the units of the 13 measures can match, so the rest of the dimension is
     filtered out before the join.
     """
-    ids = ["indicativo", "nombre", "provincia", "altitud", "fecha"]
-    long = unpivot_measures(clean_weather(raw), ids)
     known_units = units.where(F.col("variable_meteo").isin(*MEASURES))
-    with_unit = left_lookup(long, known_units, "variable_meteo", "variable_meteo", uom="uom")
+    with_unit = left_lookup(
+        clean_weather(raw), known_units, "variable_meteo", "variable_meteo", uom="uom"
+    )
     return with_unit.select(
         F.col("indicativo").alias("estacion_id"),
         F.col("nombre").alias("estacion_nombre"),

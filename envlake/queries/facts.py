@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from envlake.functions import int_from_double, int_from_text, locale_decimal
+from envlake.functions import hour_of_label, int_from_double, int_from_text, locale_decimal
 from envlake.operators import (
     clean_collected,
     stack_by_name,
     stack_by_position,
+    unpivot_hours,
     unpivot_measures,
 )
 from envlake.plans.air import hourly_fact
+from envlake.schemas import HOURS
 from envlake.queries.inputs import (
     HOURLY_EVENTS_SQL,
     hourly_events,
@@ -25,6 +27,13 @@ def wide_hours_to_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hourly_fact(hourly_events(spark, sf_dir), unit_dimension(spark, sf_dir))
 
 
+def unpivot_hour_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The melt alone, every other column kept, with the parsed label beside it."""
+    return unpivot_hours(hourly_events(spark, sf_dir)).withColumn(
+        "hora_num", hour_of_label(F.col("hora"))
+    )
+
+
 def weather_melt(spark: SparkSession, sf_dir: str) -> DataFrame:
     wide = table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("indicativo"),
@@ -38,7 +47,7 @@ def weather_melt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unpivot_measures(
         wide,
         ["indicativo", "linea", "fecha"],
-        ["quantity", "extendedprice", "discount", "tax"],
+        {m: m for m in ("quantity", "extendedprice", "discount", "tax")},
     )
 
 
@@ -131,6 +140,7 @@ def collector_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "wide_hours_to_fact": wide_hours_to_fact,
+    "unpivot_hour_labels": unpivot_hour_labels,
     "weather_melt": weather_melt,
     "locale_decimal": locale_decimal_query,
     "cast_int_rounding": cast_int_rounding,
@@ -142,6 +152,11 @@ QUERIES = {
 
 SQL = {
     "wide_hours_to_fact": hourly_fact_sql(HOURLY_EVENTS_SQL),
+    "unpivot_hour_labels": f"""
+WITH wide AS ({HOURLY_EVENTS_SQL}),
+     long AS (UNPIVOT wide ON {", ".join(HOURS)} INTO NAME hora VALUE valor)
+SELECT *, CAST(replace(hora, 'h', '') AS INT) - 1 AS hora_num FROM long
+""",
     "weather_melt": f"""
 WITH base AS (
   SELECT l_orderkey AS indicativo, l_linenumber AS linea,

@@ -6,11 +6,12 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from envlake.functions import from_latin9, half_year_start, to_latin9
+from envlake.functions import from_latin9, to_latin9
 from envlake.queries.inputs import table
 from envlake.sources import (
     DatasetSpec,
     land_records,
+    parse_documents,
     read_dataset,
     read_delimited,
     read_landed,
@@ -62,62 +63,75 @@ def json_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_landed(spark, path, ["fecha", "indicativo", "nombre", "prec"])
 
 
-def landed_documents(spark: SparkSession, sf_dir: str) -> str:
-    """Two documents per supplier, one file each; those of some nations are unusable.
+RECORD_FIELDS = ["fecha", "indicativo", "nombre", "prec", "tmed"]
 
-    Returns the folder. Records lack keys where a value is NULL.
+
+def raw_documents(frame: DataFrame, key: str, name: str, amount: str, nation: str) -> DataFrame:
+    """Two documents per row of a table; those of nations 0 to 3 are unusable.
+
+    Each holds three records, which lack the keys whose value is NULL.
     """
-    path = scratch_dir(spark, "documents")
-    suppliers = table(spark, sf_dir, "supplier")
-    windows = F.explode(F.array(F.lit("2022-01"), F.lit("2022-07")))
 
     def record(day: str) -> F.Column:
-        # keys in the order of the record layout; NULL keys are left out of the text
+        number = F.replace(F.col(amount).cast("string"), F.lit("."), F.lit(","))
         return F.struct(
             F.concat("mes", F.lit(f"-{day}")).alias("fecha"),
-            F.col("s_suppkey").cast("string").alias("indicativo"),
-            F.col("s_name").alias("nombre"),
-            F.when(F.lit(day) != "02", F.replace(F.col("s_acctbal").cast("string"), F.lit("."), F.lit(",")))
-            .alias("prec"),
-            F.lit("Ip" if day == "03" else None).cast("string").alias("tmed"),
+            F.col(key).cast("string").alias("indicativo"),
+            F.col(name).alias("nombre"),
+            F.when(F.lit(day) != "02", number).alias("prec"),
+            F.when(F.lit(day) == "03", "Ip").alias("tmed"),
         )
 
     good = F.to_json(F.array(record("01"), record("02"), record("03")))
-    body = (
-        F.when(F.col("s_nationkey") == 0, F.expr("left(doc, length(doc) - 5)"))
-        .when(F.col("s_nationkey") == 1, "[]")
-        .when(F.col("s_nationkey") == 2, '{"estado": 404, "fecha": "2022-01-01"}')
-        .when(F.col("s_nationkey") == 3, "<html>error</html>")
-        .otherwise(F.col("doc"))
+    text = (
+        F.when(F.col(nation) == 0, F.expr("left(good, length(good) - 5)"))
+        .when(F.col(nation) == 1, "[]")
+        .when(F.col(nation) == 2, '{"estado": 404, "fecha": "2022-01-01"}')
+        .when(F.col(nation) == 3, "<html>error</html>")
+        .otherwise(F.col("good"))
     )
-    documents = (
-        suppliers.withColumn("mes", windows)
-        .withColumn("doc", good)
+    return (
+        frame.withColumn("mes", F.explode(F.array(F.lit("2022-01"), F.lit("2022-07"))))
+        .withColumn("good", good)
         .select(
-            F.concat_ws("_", "s_suppkey", F.replace("mes", F.lit("-"), F.lit("_"))).alias("documento"),
-            body.alias("value"),
+            F.concat_ws("_", key, F.replace("mes", F.lit("-"), F.lit("_"))).alias("documento"),
+            text.alias("texto"),
         )
     )
-    documents.write.option("maxRecordsPerFile", 1).partitionBy("documento").text(path)
-    return path
 
 
-RECORDS_SQL = """
-SELECT concat_ws('_', CAST(s_suppkey AS VARCHAR), replace(mes, '-', '_')) AS documento,
-       CAST(s_suppkey AS VARCHAR) AS documento_estacion,
+def records_sql(table_name: str, key: str, name: str, amount: str, nation: str) -> str:
+    """The records of all usable documents."""
+    return f"""
+SELECT concat_ws('_', CAST({key} AS VARCHAR), replace(mes, '-', '_')) AS documento,
+       CAST({key} AS VARCHAR) AS documento_estacion,
        CAST(mes || '-01' AS DATE) AS documento_mes, mes || '-' || dd AS fecha,
-       CAST(s_suppkey AS VARCHAR) AS indicativo, s_name AS nombre,
-       CASE WHEN dd <> '02' THEN replace(CAST(s_acctbal AS VARCHAR), '.', ',') END AS prec,
+       CAST({key} AS VARCHAR) AS indicativo, {name} AS nombre,
+       CASE WHEN dd <> '02' THEN replace(CAST({amount} AS VARCHAR), '.', ',') END AS prec,
        CASE WHEN dd = '03' THEN 'Ip' END AS tmed,
-       CASE WHEN dd <> '02' THEN s_acctbal END AS prec_num
-FROM supplier, (VALUES ('2022-01'), ('2022-07')) m(mes), (VALUES ('01'), ('02'), ('03')) d(dd)
-WHERE s_nationkey NOT IN (0, 1, 2, 3)
+       CASE WHEN dd <> '02' THEN {amount} END AS prec_num
+FROM {table_name}, (VALUES ('2022-01'), ('2022-07')) m(mes), (VALUES ('01'), ('02'), ('03')) d(dd)
+WHERE {nation} NOT IN (0, 1, 2, 3)
 """
 
 
+SUPPLIER_COLUMNS = ("s_suppkey", "s_name", "s_acctbal", "s_nationkey")
+CUSTOMER_COLUMNS = ("c_custkey", "c_name", "c_acctbal", "c_nationkey")
+
+
 def json_raw_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fields = ["fecha", "indicativo", "nombre", "prec", "tmed"]
-    return read_raw_documents(spark, landed_documents(spark, sf_dir), fields)
+    """One file per document, as documents are landed."""
+    path = scratch_dir(spark, "documents")
+    documents = raw_documents(table(spark, sf_dir, "supplier"), *SUPPLIER_COLUMNS)
+    documents.write.option("maxRecordsPerFile", 1).partitionBy("documento").text(path)
+    return read_raw_documents(spark, path, RECORD_FIELDS)
+
+
+def json_documents_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as rows of a table."""
+    return parse_documents(
+        raw_documents(table(spark, sf_dir, "customer"), *CUSTOMER_COLUMNS), RECORD_FIELDS
+    )
 
 
 def latin9_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -191,6 +205,7 @@ QUERIES = {
     "parquet_sink_roundtrip": parquet_sink_roundtrip,
     "json_landing": json_landing,
     "json_raw_scan": json_raw_scan,
+    "json_documents_parse": json_documents_parse,
     "latin9_decode": latin9_decode,
     "bronze_stale_files": bronze_stale_files,
     "bronze_refresh": bronze_refresh,
@@ -212,7 +227,12 @@ SELECT strftime(o_orderdate, '%Y-%m-%d') AS fecha, o_orderpriority AS indicativo
            AS ventana
 FROM orders
 """,
-    "json_raw_scan": f"SELECT * EXCLUDE (prec_num) FROM ({RECORDS_SQL})",
+    "json_raw_scan": f"""
+SELECT * EXCLUDE (prec_num) FROM ({records_sql('supplier', *SUPPLIER_COLUMNS)})
+""",
+    "json_documents_parse": f"""
+SELECT * EXCLUDE (prec_num) FROM ({records_sql('customer', *CUSTOMER_COLUMNS)})
+""",
     "latin9_decode": f"""
 SELECT doc_id, translate(regexp_replace(text,
          '[^\\x{{0000}}-\\x{{00a3}}\\x{{00a5}}\\x{{00a7}}\\x{{00a9}}-\\x{{00b3}}\\x{{00b5}}-\\x{{00b7}}\\x{{00b9}}-\\x{{00bb}}\\x{{00bf}}-\\x{{00ff}}]',

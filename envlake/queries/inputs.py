@@ -16,11 +16,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def hourly_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per user, event type and day with the highest value of each hour."""
-    events = table(spark, sf_dir, "events")
-    hour = F.hour("ts")
+    events = table(spark, sf_dir, "events").select(
+        "user_id", "event_type", "value", F.to_date("ts").alias("d"), F.hour("ts").alias("hour")
+    )
     return (
-        events.groupBy("user_id", "event_type", F.to_date("ts").alias("d"))
-        .agg(*[F.max(F.when(hour == n, F.col("value"))).alias(h) for n, h in enumerate(HOURS)])
+        events.groupBy("user_id", "event_type", "d")
+        .agg(
+            *[
+                F.max(F.when(F.col("hour") == n, F.col("value"))).alias(h)
+                for n, h in enumerate(HOURS)
+            ]
+        )
         .select(
             (F.col("user_id") % 5).cast("int").alias("provincia"),
             (F.col("user_id") % 11).cast("int").alias("municipio"),

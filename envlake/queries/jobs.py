@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from envlake.plans import JOBS, collect_observations, run
-from envlake.queries.files import RECORDS_SQL, landed_documents
+from envlake.queries.files import CUSTOMER_COLUMNS, RECORD_FIELDS, raw_documents, records_sql
 from envlake.queries.inputs import (
     HOURLY_ORDERS_SQL,
     WEATHER_UNITS_SQL,
@@ -92,17 +92,18 @@ def job_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _collect(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    stations = table(spark, sf_dir, "supplier").select(
-        F.col("s_suppkey").cast("string").alias("indicativo"), F.col("s_name").alias("nombre")
+    customers = table(spark, sf_dir, "customer")
+    stations = customers.select(
+        F.col("c_custkey").cast("string").alias("indicativo"), F.col("c_name").alias("nombre")
     )
     return collect_observations(
         spark,
-        landed_documents(spark, sf_dir),
+        raw_documents(customers, *CUSTOMER_COLUMNS),
         scratch_dir(spark, "collected"),
         stations,
         "2022-01-01",
         "2022-12-31",
-        ["fecha", "indicativo", "nombre", "prec", "tmed"],
+        RECORD_FIELDS,
     )
 
 
@@ -156,19 +157,19 @@ UNION ALL SELECT 'seed_variable_meteo', 'ok', count(*) FROM nation
 """,
     "collected_observations": f"""
 SELECT CAST(fecha AS DATE) AS fecha, indicativo, nombre, prec_num AS prec, NULL::DOUBLE AS tmed
-FROM ({RECORDS_SQL})
+FROM ({records_sql('customer', *CUSTOMER_COLUMNS)})
 """,
     "collected_coverage": f"""
-WITH n AS (SELECT indicativo, count(*) AS n FROM ({RECORDS_SQL}) GROUP BY indicativo)
-SELECT CAST(s_suppkey AS VARCHAR) AS indicativo, coalesce(n, 0) AS n_dias, 365 AS dias_esperados,
+WITH n AS (SELECT indicativo, count(*) AS n FROM ({records_sql('customer', *CUSTOMER_COLUMNS)}) GROUP BY indicativo)
+SELECT CAST(c_custkey AS VARCHAR) AS indicativo, coalesce(n, 0) AS n_dias, 365 AS dias_esperados,
        100.0::DOUBLE * coalesce(n, 0) / 365 AS pct
-FROM supplier LEFT JOIN n ON CAST(s_suppkey AS VARCHAR) = indicativo
+FROM customer LEFT JOIN n ON CAST(c_custkey AS VARCHAR) = indicativo
 """,
     "collected_missing_windows": """
-SELECT CAST(s_suppkey AS VARCHAR) AS indicativo, s_name AS nombre, inicio, fin,
-       CAST(s_suppkey AS VARCHAR) || strftime(inicio, '_%Y_%m') AS documento
-FROM supplier, (VALUES (DATE '2022-01-01', DATE '2022-06-30'), (DATE '2022-07-01', DATE '2022-12-31'))
+SELECT CAST(c_custkey AS VARCHAR) AS indicativo, c_name AS nombre, inicio, fin,
+       CAST(c_custkey AS VARCHAR) || strftime(inicio, '_%Y_%m') AS documento
+FROM customer, (VALUES (DATE '2022-01-01', DATE '2022-06-30'), (DATE '2022-07-01', DATE '2022-12-31'))
      w(inicio, fin)
-WHERE s_nationkey IN (0, 1, 2, 3)
+WHERE c_nationkey IN (0, 1, 2, 3)
 """,
 }

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from envlake.operators import duplicate_keys, left_lookup, preview, seed_copy, sorted_observations
 from envlake.queries.inputs import table
+from envlake.sources import inline_table
 
 
 def unit_lookup_int(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,8 +18,10 @@ def unit_lookup_int(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def unit_lookup_str(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event names against the units of some of them, by name."""
-    units = spark.createDataFrame(
-        [("click", "veces"), ("view", "s"), ("purchase", "EUR")], "nombre string, uom string"
+    units = inline_table(
+        spark,
+        [("click", "veces"), ("view", "s"), ("purchase", "EUR")],
+        "nombre string, uom string",
     )
     events = table(spark, sf_dir, "events").select("event_id", "event_type", "value")
     return left_lookup(events, units, "event_type", "nombre", uom="uom")

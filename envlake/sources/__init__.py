@@ -9,16 +9,25 @@ from envlake.sources.bronze import (
 )
 from envlake.sources.catalog import CATALOG, DatasetSpec
 from envlake.sources.delimited import read_delimited, write_delimited
-from envlake.sources.raw_json import land_records, read_landed, read_raw_documents
+from envlake.sources.raw_json import (
+    land_records,
+    parse_documents,
+    read_documents,
+    read_landed,
+    read_raw_documents,
+)
 from envlake.sources.scratch import scratch_dir
-from envlake.sources.tables import register_views, write_fact
+from envlake.sources.tables import inline_table, register_views, write_fact
 
 __all__ = [
     "CATALOG",
     "DatasetSpec",
+    "inline_table",
     "land_records",
+    "parse_documents",
     "read_dataset",
     "read_delimited",
+    "read_documents",
     "read_landed",
     "read_raw_documents",
     "refresh",

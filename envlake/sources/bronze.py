@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from envlake.sources.catalog import CATALOG, DatasetSpec, as_spec
 from envlake.sources.delimited import read_delimited
+from envlake.sources.tables import inline_table
 
 _LISTING = "dataset string, path string, modificationTime timestamp"
 
@@ -67,7 +68,7 @@ def dataset_status(
     sources = {k: _located(root, catalog[k]) for k in keys}
     copies = {k: staged_path(p) for k, p in sources.items()}
     as_is = [k for k in keys if copies[k] == sources[k]]
-    wanted = spark.createDataFrame([(k, k in as_is) for k in keys], "dataset string, as_is boolean")
+    wanted = inline_table(spark, [(k, k in as_is) for k in keys], "dataset string, as_is boolean")
     return (
         wanted.join(_latest(spark, sources, "source_time"), "dataset", "left")
         .join(_latest(spark, copies, "staged_time"), "dataset", "left")
@@ -113,19 +114,22 @@ def refresh(
 ) -> list[str]:
     """Stage every stale dataset and return their keys.
 
-    Only the names of the stale datasets reach the driver. A few conversions run
-    side by side so that the last tasks of one leave no executors idle.
+    Only the names of the stale datasets reach the driver.
     """
     stale = sorted(r.dataset for r in stale_datasets(spark, root, catalog, keys).collect())
-    if stale:
-        with ThreadPool(min(concurrent, len(stale))) as pool:
-            pool.map(
-                inheritable_thread_target(spark)(lambda key: stage(spark, root, catalog[key])),
-                stale,
-            )
+    stage_all(spark, root, [catalog[k] for k in stale], concurrent)
     return stale
 
 
+def stage_all(
+    spark: SparkSession, root: str, entries: list[DatasetSpec | str], concurrent: int = 4
+) -> None:
+    """Stage some datasets, a few side by side so that no executors idle at the end of one."""
+    if entries:
+        with ThreadPool(min(concurrent, len(entries))) as pool:
+            pool.map(inheritable_thread_target(spark)(lambda e: stage(spark, root, e)), entries)
+
+
 def read_dataset(spark: SparkSession, root: str, entry: DatasetSpec | str) -> DataFrame:
     """The staged copy of a dataset (or the dataset itself if it is no CSV)."""
     return spark.read.parquet(staged_path(_located(root, entry)))

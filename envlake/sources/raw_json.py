@@ -15,30 +15,34 @@ def _text_fields(names: Sequence[str]) -> StructType:
     return StructType([StructField(n, StringType()) for n in names])
 
 
-def read_raw_documents(
-    spark: SparkSession, path: str, fields: Sequence[str] = RAW_FIELDS, latin9: bool = False
-) -> DataFrame:
-    """The records of all documents below ``path``, plus the key of their document.
+def read_documents(spark: SparkSession, path: str, latin9: bool = False) -> DataFrame:
+    """All document files below ``path``: their landing key and their whole text.
 
-    A document counts only as a whole: one that is not a complete JSON array, or
-    is empty, contributes nothing. Keys absent from a record are NULL.
+    Bytes that are no valid text in the charset make the text NULL.
     """
-    documents = (
+    if latin9:
+        text = from_latin9(F.decode("content", "ISO-8859-1"))
+    else:
+        text = F.try_validate_utf8(F.col("content").cast("string"))
+    return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .load(path)
-        .select(landing_key_of_path(F.col("path")).alias("documento"), "content")
+        .select(landing_key_of_path(F.col("path")).alias("documento"), text.alias("texto"))
     )
-    if latin9:
-        body = from_latin9(F.decode("content", "ISO-8859-1"))
-    else:
-        body = F.try_validate_utf8(F.col("content").cast("string"))
-    is_array = body.rlike(r"^\s*\[") & body.rlike(r"\]\s*$")
-    record = _text_fields(fields).simpleString()
-    records = F.from_json(body, f"array<{record}>")
+
+
+def parse_documents(documents: DataFrame, fields: Sequence[str] = RAW_FIELDS) -> DataFrame:
+    """The records of each document (``documento``, ``texto``), one row per record.
+
+    A document counts only as a whole: one that is not a complete JSON array, or
+    is empty, contributes nothing. Keys absent from a record are NULL.
+    """
+    trimmed = F.btrim("texto", F.lit(" \t\r\n"))
+    records = F.from_json("texto", f"array<{_text_fields(fields).simpleString()}>")
     station, month = landing_key_parts(F.col("documento"))
     return (
-        documents.where(is_array)
+        documents.where(F.startswith(trimmed, F.lit("[")) & F.endswith(trimmed, F.lit("]")))
         .select("documento", F.explode(records).alias("r"))
         .where(F.col("r").isNotNull())
         .select(
@@ -50,6 +54,13 @@ def read_raw_documents(
     )
 
 
+def read_raw_documents(
+    spark: SparkSession, path: str, fields: Sequence[str] = RAW_FIELDS, latin9: bool = False
+) -> DataFrame:
+    """The records of all document files below ``path``."""
+    return parse_documents(read_documents(spark, path, latin9), fields)
+
+
 def land_records(records: DataFrame, path: str) -> None:
     """Land records as JSON lines, one folder per station and half-year.
 

@@ -2,9 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
+
+
+def inline_table(spark: SparkSession, rows: Sequence[tuple], ddl: str) -> DataFrame:
+    """A few literal rows as a local relation: Spark knows its size and needs no task."""
+    schema = StructType.fromDDL(ddl)
+    columns = {name: [row[i] for row in rows] for i, name in enumerate(schema.names)}
+    return spark.createDataFrame(pa.table(columns), schema=schema)
 
 
 def register_views(sources: Mapping[str, DataFrame]) -> None:
