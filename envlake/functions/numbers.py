@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from types import MappingProxyType
+
 from pyspark.sql import Column, functions as F
 
+_NO_TOKENS: Mapping[str, str] = MappingProxyType({})
+
 
 # Last characters after which a closer look is needed: a float suffix, or white
 # space that may hide one. Testing one character first keeps the regular
@@ -11,27 +16,28 @@ from pyspark.sql import Column, functions as F
 _CHECK = ("d", "D", "f", "F", "\t", "\n", "\r")
 
 
-def _decimal_point(value: Column) -> Column:
-    return F.replace(value.cast("string"), F.lit(","), F.lit("."))
-
-
 def _has_float_suffix(text: Column) -> Column:
     """Java's ``1.0d`` and ``2f``: Spark's cast takes them, data files do not mean them."""
     last = F.substring(F.rtrim(text), -1, 1)
-    return last.isin(*_CHECK) & text.rlike(r"[0-9.][dDfF]\s*$")
+    return last.isin(*_CHECK) & text.rlike(r"[0-9.,][dDfF]\s*$")
+
+
+def _decimal_point(text: Column) -> Column:
+    return F.replace(text, F.lit(","), F.lit("."))
 
 
-def locale_decimal(value: Column, tokens: dict[str, str] | None = None) -> Column:
+def locale_decimal(value: Column, tokens: Mapping[str, str] = _NO_TOKENS) -> Column:
     """``"12,5"`` -> 12.5; ``tokens`` are replaced first, unreadable text is NULL.
 
     Digits may be separated as in ``1_000``, which Spark's cast refuses.
     """
-    text = _decimal_point(value)
-    for token, number in (tokens or {}).items():
+    text = value.cast("string")
+    for token, number in tokens.items():
         text = F.replace(text, F.lit(token), F.lit(number))
+    separated = F.contains(text, F.lit("_"))
     plain = F.when(
-        F.contains(text, F.lit("_")), F.regexp_replace(text, r"(?<=[0-9])_(?=[0-9])", "")
-    ).otherwise(text)
+        separated, F.regexp_replace(_decimal_point(text), r"(?<=[0-9])_(?=[0-9])", "")
+    ).otherwise(_decimal_point(text))
     return F.when(~_has_float_suffix(text), plain.try_cast("double"))
 
 
@@ -39,12 +45,13 @@ def collector_number(value: Column) -> Column:
     """Number or NULL as the collector stores it.
 
     Differs from :func:`locale_decimal` in that tokens are never read as numbers,
-    digit separators are refused, and neither NaN nor an overflow survives.
+    digit separators are refused, and neither NaN nor an overflow survives; an
+    infinity that is spelled out does.
     """
-    text = _decimal_point(value)
-    number = text.try_cast("double")
-    overflow = (F.abs(number) == float("inf")) & text.rlike("[0-9]")
-    return F.when(~F.isnan(number) & ~overflow & ~_has_float_suffix(text), number)
+    text = value.cast("string")
+    number = _decimal_point(text).try_cast("double")
+    finite = (F.abs(number) < float("inf")) & ~_has_float_suffix(text)
+    return F.when(finite, number).when(F.contains(F.lower(text), F.lit("inf")), number)
 
 
 def int_from_double(value: Column) -> Column:

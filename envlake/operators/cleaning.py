@@ -33,9 +33,13 @@ def clean_weather(raw: DataFrame) -> DataFrame:
     typed = raw.withColumns(
         {"altitud": as_int(F.col("altitud")), "fecha": F.col("fecha").cast("date")}
     )
+    # Exploding an array of one keeps the NULL filter above the parsed value; on a
+    # plain column it would be pushed down and every text parsed twice.
     return (
         unpivot_measures(typed, ids, texts)
-        .withColumn("valor", locale_decimal(F.col("valor")))
+        .select(
+            *ids, "variable_meteo", F.explode(F.array(locale_decimal(F.col("valor")))).alias("valor")
+        )
         .where(F.col("valor").isNotNull())
     )
 
@@ -46,8 +50,14 @@ def clean_collected(records: DataFrame) -> DataFrame:
     Only the columns that are present are touched. Unlike :func:`clean_weather`
     the trace token becomes NULL.
     """
-    present = set(records.columns)
-    cleaned = {c: collector_number(F.col(c)) for c in MEASURES.values() if c in present}
-    if "fecha" in present:
+    measures = [c for c in MEASURES.values() if c in records.columns]
+    cleaned = {}
+    if measures:
+        # One lambda over an array: written out per column, the generated method
+        # is too long for the JVM to compile, which halves the speed.
+        texts = F.array(*[F.col(c).cast("string") for c in measures])
+        records = records.withColumn("__numbers", F.transform(texts, collector_number))
+        cleaned = {c: F.col("__numbers")[i] for i, c in enumerate(measures)}
+    if "fecha" in records.columns:
         cleaned["fecha"] = date_or_null(F.col("fecha"))
-    return records.withColumns(cleaned)
+    return records.withColumns(cleaned).drop("__numbers")
