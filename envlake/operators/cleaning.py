@@ -16,9 +16,11 @@ from envlake.operators.reshape import unpivot_measures
 from envlake.schemas import MEASURES, TRACE_MEASURE, TRACE_TOKEN, TRACE_VALUE
 
 
-def clean_weather(raw: DataFrame) -> DataFrame:
+def clean_weather(raw: DataFrame, label: bool = True) -> DataFrame:
     """Long daily rows: the station columns, ``variable_meteo`` and ``valor`` as double.
 
+    Without ``label`` the variable is its position in ``MEASURES``.
+
     The 13 measures are melted as text and then parsed in one expression; text
     that is no number gives no row. The trace token of the rain column is 0.0.
     """
@@ -36,7 +38,7 @@ def clean_weather(raw: DataFrame) -> DataFrame:
     # Exploding an array of one keeps the NULL filter above the parsed value; on a
     # plain column it would be pushed down and every text parsed twice.
     return (
-        unpivot_measures(typed, ids, texts)
+        unpivot_measures(typed, ids, texts, label)
         .select(
             *ids, "variable_meteo", F.explode(F.array(locale_decimal(F.col("valor")))).alias("valor")
         )

@@ -21,8 +21,14 @@ def _cells(wide: DataFrame, ids: Sequence[str], cells: Sequence[Column], value:
     ).where(F.col(value).isNotNull())
 
 
-def _name(names: Sequence[str]) -> Column:
-    return F.element_at(F.array(*[F.lit(n) for n in names]), F.col("__pos") + 1)
+def name_at(names: Sequence[str], position: Column) -> Column:
+    """The name at a position counted from 0."""
+    return F.element_at(F.array(*[F.lit(n) for n in names]), position + 1)
+
+
+def position_of(names: Sequence[str], name: Column) -> Column:
+    """Inverse of :func:`name_at`; -1 for other names."""
+    return (F.array_position(F.array(*[F.lit(n) for n in names]), name) - 1).cast("int")
 
 
 def unpivot_hours(
@@ -43,20 +49,23 @@ def unpivot_hours(
     long = _cells(wide, ids, [F.col(f"`{h}`") for h in hours], "valor")
     return long.select(
         *[F.col(f"`{c}`") for c in ids],
-        (_name(hours) if label else F.col("__pos")).alias("hora"),
+        (name_at(hours, F.col("__pos")) if label else F.col("__pos")).alias("hora"),
         "valor",
     )
 
 
 def unpivot_measures(
-    wide: DataFrame, ids: Sequence[str], measures: Mapping[str, str | Column] = MEASURES
+    wide: DataFrame,
+    ids: Sequence[str],
+    measures: Mapping[str, str | Column] = MEASURES,
+    label: bool = True,
 ) -> DataFrame:
     """One row per non-NULL measure: the id columns, ``variable_meteo`` and ``valor``.
 
-    ``measures`` maps the variable's name to its column.
+    ``measures`` maps the variable's name to its column. ``variable_meteo`` is that
+    name or, without ``label``, its position in ``measures``.
     """
     cells = [F.col(f"`{c}`") if isinstance(c, str) else c for c in measures.values()]
     long = _cells(wide, ids, cells, "valor")
-    return long.select(
-        *[F.col(f"`{c}`") for c in ids], _name(list(measures)).alias("variable_meteo"), "valor"
-    )
+    variable = name_at(list(measures), F.col("__pos")) if label else F.col("__pos")
+    return long.select(*[F.col(f"`{c}`") for c in ids], variable.alias("variable_meteo"), "valor")

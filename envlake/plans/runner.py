@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from envlake.operators import seed_copy
 from envlake.plans.air import air_fact
 from envlake.plans.weather import weather_fact
+from envlake.schemas import AIR_YEARS, POLLUTANTS
 from envlake.sources import (
     CATALOG,
     DatasetSpec,
@@ -39,13 +40,12 @@ class JobSpec:
     output: str
 
 
-_YEARS = ("aire20", "aire21", "aire22", "aire23")
-_POLLUTANTS = ("C6H6", "CO", "NO_", "NO2", "NOx", "O3", "PM10", "PM25", "SO2")
+_YEARS = [f"aire{y}" for y in AIR_YEARS]
 
 
 def _air(s: Mapping[str, DataFrame]) -> DataFrame:
     return air_fact(
-        [s[a] for a in _YEARS], [s[a] for a in _POLLUTANTS], s["dimension_unidades_aire"]
+        [s[a] for a in _YEARS], [s[a] for a in POLLUTANTS], s["dimension_unidades_aire"]
     )
 
 
@@ -63,7 +63,7 @@ JOBS: tuple[JobSpec, ...] = (
         "aire_normalizado",
         {
             **{a: a for a in _YEARS},
-            **{a: f"aire24{a.rstrip('_')}" for a in _POLLUTANTS},
+            **{alias: f"aire24{p}" for alias, p in POLLUTANTS.items()},
             "dimension_unidades_aire": "dim_variable_aire_csv",
         },
         _air,

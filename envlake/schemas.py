@@ -24,6 +24,21 @@ AIR_TYPES = {
 
 AIR_UNIT_TYPES = {"magnitud": "int", "unidad": "string"}
 
+AIR_YEARS = (20, 21, 22, 23)
+
+# alias of the pollutant's file in the job -> pollutant
+POLLUTANTS = {
+    "C6H6": "C6H6",
+    "CO": "CO",
+    "NO_": "NO",
+    "NO2": "NO2",
+    "NOx": "NOx",
+    "O3": "O3",
+    "PM10": "PM10",
+    "PM25": "PM25",
+    "SO2": "SO2",
+}
+
 # --- daily weather: one row per station and day -------------------------------
 
 # fact variable -> column of the daily file

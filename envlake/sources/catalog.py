@@ -5,7 +5,14 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from envlake.schemas import AIR_TYPES, AIR_UNIT_TYPES, WEATHER_TYPES, WEATHER_UNIT_TYPES
+from envlake.schemas import (
+    AIR_TYPES,
+    AIR_UNIT_TYPES,
+    AIR_YEARS,
+    POLLUTANTS,
+    WEATHER_TYPES,
+    WEATHER_UNIT_TYPES,
+)
 
 
 @dataclass(frozen=True)
@@ -34,19 +41,8 @@ def _hourly(path: str) -> DatasetSpec:
 
 # Dataset keys and file locations.
 CATALOG: dict[str, DatasetSpec | str] = {
-    "aire20": _hourly("DatosAire2020.csv"),
-    "aire21": _hourly("DatosAire2021.csv"),
-    "aire22": _hourly("DatosAire2022.csv"),
-    "aire23": _hourly("DatosAire2023.csv"),
-    "aire24C6H6": _hourly("DatosAire2024/C6H6_HH_2024.csv"),
-    "aire24CO": _hourly("DatosAire2024/CO_HH_2024.csv"),
-    "aire24NO": _hourly("DatosAire2024/NO_HH_2024.csv"),
-    "aire24NO2": _hourly("DatosAire2024/NO2_HH_2024.csv"),
-    "aire24NOx": _hourly("DatosAire2024/NOx_HH_2024.csv"),
-    "aire24O3": _hourly("DatosAire2024/O3_HH_2024.csv"),
-    "aire24PM10": _hourly("DatosAire2024/PM10_HH_2024.csv"),
-    "aire24PM25": _hourly("DatosAire2024/PM25_HH_2024.csv"),
-    "aire24SO2": _hourly("DatosAire2024/SO2_HH_2024.csv"),
+    **{f"aire{y}": _hourly(f"DatosAire20{y}.csv") for y in AIR_YEARS},
+    **{f"aire24{p}": _hourly(f"DatosAire2024/{p}_HH_2024.csv") for p in POLLUTANTS.values()},
     "dim_variable_aire_csv": DatasetSpec(
         "data/raw/static_files/variable_aire.csv", ",", AIR_UNIT_TYPES, infer_rest=True
     ),

@@ -21,7 +21,8 @@ LOCALE = {
     "7d\t": None, "7D\n": None, "0x10": None, "1e3": 1000.0, ".5": 0.5, "5.": 5.0, "+1": 1.0,
     "1_000": 1000.0, "1_000,5": 1000.5, "_1": None, "1_": None, "1__0": None, "1_.5": None,
     "Ipd": None, "inf": math.inf, "-Infinity": -math.inf, "1 2": None, "\t1.5\n": 1.5,
-    "1e400": math.inf, None: None,
+    "1e400": math.inf, None: None, "0x1p3": None, "0X1P3": None, "n/d": None, ".": None, "1e": None,
+    "5,": 5.0, " 5. ": 5.0, "+": None, "x1": None,
 }
 
 
@@ -46,7 +47,7 @@ def test_locale_decimal_of_numbers_is_lossless(spark):
 def test_collector_number_is_what_pandas_makes_of_the_text(spark):
     texts = [
         "12,5", "Ip", "Acum", "", "nan", "NaN", " 1,5 ", "1_000", "1.0d", "2f", "inf", "-inf",
-        "Infinity", "1e400", "-1e400", "1e3", "0x10", "+1", "5.", ".5", "1.2.3", "1e-400", "info",
+        "Infinity", "1e400", "-1e400", "1e3", "0x10", "+1", "5.", ".5", "1.2.3", "1e-400", "info", "0x1p3", " 2. ", "n/d", " inf ",
     ]
     cleaned = pd.Series(texts, dtype=object).str.replace(",", ".", regex=False)
     want = pd.to_numeric(cleaned.replace({"nan": None, "": None}), errors="coerce")
