@@ -14,13 +14,17 @@ from pyspark.sql import Column, DataFrame, functions as F
 from envlake.schemas import HOURS, MEASURES
 
 
-def _cells(wide: DataFrame, ids: Sequence[str], cells: Sequence[Column], value: str) -> DataFrame:
+def _cells(wide: DataFrame, ids: Sequence[str], cells: Sequence[Column | str], value: str) -> DataFrame:
     """Id columns, ``__pos`` (which cell, from 0) and ``value``, without NULL values."""
     return wide.select(
-        *[F.col(f"`{c}`") for c in ids], F.posexplode(F.array(*cells)).alias("__pos", value)
+        *_quoted(ids), F.posexplode(F.array(*cells)).alias("__pos", value)
     ).where(F.col(value).isNotNull())
 
 
+def _quoted(names: Sequence[str]) -> list[str]:
+    return [f"`{n}`" for n in names]
+
+
 def name_at(names: Sequence[str], position: Column) -> Column:
     """The name at a position counted from 0."""
     return F.element_at(F.array(*[F.lit(n) for n in names]), position + 1)
@@ -46,9 +50,9 @@ def unpivot_hours(
     if ids is None:
         labels = {h.lower() for h in hours}
         ids = [c for c in wide.columns if c.lower() not in labels]
-    long = _cells(wide, ids, [F.col(f"`{h}`") for h in hours], "valor")
+    long = _cells(wide, ids, _quoted(hours), "valor")
     return long.select(
-        *[F.col(f"`{c}`") for c in ids],
+        *_quoted(ids),
         (name_at(hours, F.col("__pos")) if label else F.col("__pos")).alias("hora"),
         "valor",
     )
@@ -65,7 +69,7 @@ def unpivot_measures(
     ``measures`` maps the variable's name to its column. ``variable_meteo`` is that
     name or, without ``label``, its position in ``measures``.
     """
-    cells = [F.col(f"`{c}`") if isinstance(c, str) else c for c in measures.values()]
+    cells = [f"`{c}`" if isinstance(c, str) else c for c in measures.values()]
     long = _cells(wide, ids, cells, "valor")
     variable = name_at(list(measures), F.col("__pos")) if label else F.col("__pos")
-    return long.select(*[F.col(f"`{c}`") for c in ids], variable.alias("variable_meteo"), "valor")
+    return long.select(*_quoted(ids), variable.alias("variable_meteo"), "valor")

@@ -21,10 +21,8 @@ def hourly_fact(
     built after it, so a row without any value cannot fail on its date.
     """
     ids = ["provincia", "municipio", "estacion", "magnitud", "punto muestreo", "anno", "mes", "dia"]
-    cell_type = "string" if decimal_comma else "double"
-    slim = wide.select(
-        *[F.col(f"`{c}`").alias(c) for c in ids],
-        *[F.col(h).cast(cell_type).alias(h) for h in HOURS],
+    slim = _with_hours_as(
+        wide.select(*[f"`{c}`" for c in (*ids, *HOURS)]), "string" if decimal_comma else "double"
     )
     with_unit = left_lookup(slim, units, "magnitud", "MAGNITUD", uom="UNIDAD")
     long = unpivot_hours(with_unit, [*ids, "uom"], label=False)
@@ -44,6 +42,12 @@ def hourly_fact(
     )
 
 
+def _with_hours_as(wide: DataFrame, cell_type: str) -> DataFrame:
+    """All hour cells in one type, so that they can be melted into one column."""
+    others = [h for h in HOURS if wide.schema[h].dataType.simpleString() != cell_type]
+    return wide.withColumns({h: F.col(h).cast(cell_type) for h in others}) if others else wide
+
+
 def air_fact(
     years: Sequence[DataFrame],
     pollutants: Sequence[DataFrame],

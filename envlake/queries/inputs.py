@@ -22,10 +22,7 @@ def hourly_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         events.groupBy("user_id", "event_type", "d")
         .agg(
-            *[
-                F.max(F.when(F.col("hour") == n, F.col("value"))).alias(h)
-                for n, h in enumerate(HOURS)
-            ]
+            *[F.expr(f"max(CASE WHEN hour = {n} THEN value END) AS {h}") for n, h in enumerate(HOURS)]
         )
         .select(
             (F.col("user_id") % 5).cast("int").alias("provincia"),
@@ -69,17 +66,19 @@ UNIT_DIMENSION_SQL = "SELECT n_nationkey AS MAGNITUD, n_name AS UNIDAD FROM nati
 
 def hourly_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order: 24 hour cells, some of them empty."""
-    key, price = F.col("o_orderkey"), F.col("o_totalprice")
     return table(spark, sf_dir, "orders").select(
         (F.col("o_custkey") % 50).cast("int").alias("provincia"),
         (F.col("o_custkey") % 179).cast("int").alias("municipio"),
         F.col("o_custkey").cast("int").alias("estacion"),
-        (key % 30).cast("int").alias("magnitud"),
+        (F.col("o_orderkey") % 30).cast("int").alias("magnitud"),
         F.concat_ws("_", "o_custkey", "o_orderkey", "o_orderstatus").alias("punto muestreo"),
         F.year("o_orderdate").alias("anno"),
         F.month("o_orderdate").alias("mes"),
         F.dayofmonth("o_orderdate").alias("dia"),
-        *[F.when((key + n) % 3 != 0, price / (n + 1)).alias(h) for n, h in enumerate(HOURS)],
+        *[
+            F.expr(f"CASE WHEN (o_orderkey + {n}) % 3 <> 0 THEN o_totalprice / {n + 1} END AS {h}")
+            for n, h in enumerate(HOURS)
+        ],
     )
 
 

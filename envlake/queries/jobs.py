@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from envlake.plans import JOBS, collect_observations, run
+from envlake.plans import JOBS, JobSpec, collect_observations, run
 from envlake.queries.files import CUSTOMER_COLUMNS, RECORD_FIELDS, raw_documents, records_sql
 from envlake.queries.inputs import (
     HOURLY_ORDERS_SQL,
@@ -91,6 +91,27 @@ def job_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return status.join(reduce(DataFrame.union, written), "pipeline", "left")
 
 
+def sql_defined_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A job of one's own, given as SQL over the aliases of two staged files."""
+    root = scratch_dir(spark, "sql")
+    catalog = {
+        "clientes": DatasetSpec("crudo/customer.csv", ";", {"c_custkey": "bigint", "c_nationkey": "int"}),
+        "naciones": "crudo/nation.csv",
+    }
+    write_delimited(table(spark, sf_dir, "customer"), f"{root}/crudo/customer.csv", ";")
+    write_delimited(table(spark, sf_dir, "nation"), f"{root}/crudo/nation.csv", ";")
+    job = JobSpec(
+        "clientes_por_nacion",
+        {"c": "clientes", "n": "naciones"},
+        "SELECT c.c_custkey, c.c_name, n.n_name FROM c LEFT JOIN n ON c.c_nationkey = n.n_nationkey;",
+        "salida/clientes.parquet",
+    )
+    status = run(spark, root, jobs=(job,), catalog=catalog).first()
+    if status.status != "ok":
+        raise RuntimeError(f"{status.status}: {status.detail}")
+    return spark.read.parquet(status.detail)
+
+
 def _collect(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     customers = table(spark, sf_dir, "customer")
     stations = customers.select(
@@ -123,6 +144,7 @@ QUERIES = {
     "air_history_job": air_history_job,
     "weather_daily_job": weather_daily_job,
     "job_status": job_status,
+    "sql_defined_job": sql_defined_job,
     "collected_observations": collected_observations,
     "collected_coverage": collected_coverage,
     "collected_missing_windows": collected_missing_windows,
@@ -154,6 +176,9 @@ SELECT 'aire_normalizado' AS pipeline, 'missing input' AS status, NULL::BIGINT A
 UNION ALL SELECT 'seed_variables_aire', 'ok', count(*) FROM nation
 UNION ALL SELECT 'meteo_aemet_normalizado', 'ok', count(*) FROM ({_WEATHER})
 UNION ALL SELECT 'seed_variable_meteo', 'ok', count(*) FROM nation
+""",
+    "sql_defined_job": """
+SELECT c_custkey, c_name, n_name FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey
 """,
     "collected_observations": f"""
 SELECT CAST(fecha AS DATE) AS fecha, indicativo, nombre, prec_num AS prec, NULL::DOUBLE AS tmed

@@ -8,7 +8,7 @@ changed separator alone does not make a copy stale.
 from __future__ import annotations
 
 import posixpath
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from functools import reduce
 from multiprocessing.pool import ThreadPool
 
@@ -37,6 +37,13 @@ def _located(root: str, entry: DatasetSpec | str) -> str:
     return path if path.startswith("/") or "://" in path else posixpath.join(root, path)
 
 
+def _side_by_side(spark: SparkSession, work: Callable, items: list, concurrent: int) -> list:
+    if not items:
+        return []
+    with ThreadPool(min(concurrent, len(items))) as pool:
+        return pool.map(inheritable_thread_target(spark)(work), items)
+
+
 def _files(spark: SparkSession, dataset: str, path: str) -> DataFrame | None:
     """Paths and times of a dataset's files, without opening them; None if absent."""
     try:
@@ -49,7 +56,8 @@ def _files(spark: SparkSession, dataset: str, path: str) -> DataFrame | None:
 
 
 def _latest(spark: SparkSession, paths: Mapping[str, str], column: str) -> DataFrame:
-    listings = [f for f in (_files(spark, d, p) for d, p in paths.items()) if f is not None]
+    listings = _side_by_side(spark, lambda item: _files(spark, *item), list(paths.items()), 8)
+    listings = [f for f in listings if f is not None]
     files = reduce(DataFrame.union, listings) if listings else spark.createDataFrame([], _LISTING)
     return files.groupBy("dataset").agg(F.max("modificationTime").alias(column))
 
@@ -110,7 +118,7 @@ def refresh(
     root: str,
     catalog: Mapping[str, DatasetSpec | str] = CATALOG,
     keys: Iterable[str] | None = None,
-    concurrent: int = 4,
+    concurrent: int = 8,
 ) -> list[str]:
     """Stage every stale dataset and return their keys.
 
@@ -122,12 +130,10 @@ def refresh(
 
 
 def stage_all(
-    spark: SparkSession, root: str, entries: list[DatasetSpec | str], concurrent: int = 4
+    spark: SparkSession, root: str, entries: list[DatasetSpec | str], concurrent: int = 8
 ) -> None:
     """Stage some datasets, a few side by side so that no executors idle at the end of one."""
-    if entries:
-        with ThreadPool(min(concurrent, len(entries))) as pool:
-            pool.map(inheritable_thread_target(spark)(lambda e: stage(spark, root, e)), entries)
+    _side_by_side(spark, lambda entry: stage(spark, root, entry), entries, concurrent)
 
 
 def read_dataset(spark: SparkSession, root: str, entry: DatasetSpec | str) -> DataFrame:

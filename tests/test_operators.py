@@ -102,6 +102,17 @@ def test_air_fact_ignores_further_columns(spark, units):
     assert rows(air_fact([flagged], [], units)) == rows(air_fact([wide], [], units))
 
 
+def test_headers_and_dimension_in_other_case(spark, units):
+    wide = spark.createDataFrame([air_row(1, (2024, 1, 1), {"h01": 1.0})], AIR_DDL)
+    shouted = wide.toDF(*[c.upper() for c in wide.columns])
+    quiet_units = units.toDF("magnitud", "unidad")
+    want = rows(hourly_fact(wide, units))
+    assert rows(hourly_fact(shouted, quiet_units)) == want
+    assert hourly_fact(shouted, quiet_units).columns == hourly_fact(wide, units).columns
+    long = unpivot_hours(shouted)
+    assert long.first().hora == "h01" and "PUNTO MUESTREO" in long.columns
+
+
 def test_unpivot_hours_keeps_other_columns_and_drops_nulls(spark):
     wide = spark.createDataFrame([("a", 1.0, None), ("b", None, None)], "id string, h01 double, H02 double")
     assert rows(unpivot_hours(wide, hours=("h01", "h02"))) == {("a", "h01", 1.0): 1}
@@ -175,6 +186,24 @@ def test_sorted_observations(spark):
     assert [tuple(r) for r in sorted_observations(frame).collect()] == want
 
 
+def test_sort_is_repeatable_and_spreads_a_hot_station(spark):
+    frame = spark.range(20000, numPartitions=8).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 100).cast("string")).alias("indicativo"),
+        F.lit("2022-01-01").alias("fecha"),
+        "id",
+    )
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "false")
+    try:
+        once = sorted_observations(frame)
+        spread = once.where("indicativo = 'hot'").groupBy(F.spark_partition_id()).count().count()
+        again = sorted_observations(frame.repartition(3))
+        assert spread > 1 and [r.id for r in once.collect()] == [r.id for r in again.collect()]
+    finally:
+        spark.conf.set(setting, before)
+
+
 def test_preview(spark):
     assert [r.id for r in preview(spark.range(100, numPartitions=7), "id").collect()] == [0, 1, 2, 3, 4]
     assert preview(spark.range(3)).count() == 3
