@@ -10,7 +10,7 @@ from envlake.operators.quality import (
     missing_window_count,
     missing_windows,
 )
-from envlake.operators.reshape import unpivot_hours, unpivot_measures
+from envlake.operators.reshape import parse_cells, unpivot_hours, unpivot_measures
 from envlake.operators.stacking import stack_by_name, stack_by_position
 
 __all__ = [
@@ -23,6 +23,7 @@ __all__ = [
     "left_lookup",
     "missing_window_count",
     "missing_windows",
+    "parse_cells",
     "preview",
     "seed_copy",
     "sorted_observations",

@@ -10,9 +10,8 @@ from envlake.functions import (
     date_or_null,
     int_from_double,
     int_from_text,
-    locale_decimal,
 )
-from envlake.operators.reshape import unpivot_measures
+from envlake.operators.reshape import parse_cells, unpivot_measures
 from envlake.schemas import MEASURES, TRACE_MEASURE, TRACE_TOKEN, TRACE_VALUE
 
 
@@ -26,7 +25,7 @@ def clean_weather(raw: DataFrame, label: bool = True) -> DataFrame:
     """
     as_int = (
         int_from_text
-        if isinstance(raw.schema["altitud"].dataType, StringType)
+        if isinstance(raw.select("altitud").schema[0].dataType, StringType)
         else int_from_double
     )
     texts = {variable: F.col(source).cast("string") for variable, source in MEASURES.items()}
@@ -35,15 +34,7 @@ def clean_weather(raw: DataFrame, label: bool = True) -> DataFrame:
     typed = raw.withColumns(
         {"altitud": as_int(F.col("altitud")), "fecha": F.col("fecha").cast("date")}
     )
-    # Exploding an array of one keeps the NULL filter above the parsed value; on a
-    # plain column it would be pushed down and every text parsed twice.
-    return (
-        unpivot_measures(typed, ids, texts, label)
-        .select(
-            *ids, "variable_meteo", F.explode(F.array(locale_decimal(F.col("valor")))).alias("valor")
-        )
-        .where(F.col("valor").isNotNull())
-    )
+    return parse_cells(unpivot_measures(typed, ids, texts, label))
 
 
 def clean_collected(records: DataFrame) -> DataFrame:

@@ -11,10 +11,13 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from envlake.functions import locale_decimal
 from envlake.schemas import HOURS, MEASURES
 
 
-def _cells(wide: DataFrame, ids: Sequence[str], cells: Sequence[Column | str], value: str) -> DataFrame:
+def _cells(
+    wide: DataFrame, ids: Sequence[str], cells: Sequence[Column | str], value: str
+) -> DataFrame:
     """Id columns, ``__pos`` (which cell, from 0) and ``value``, without NULL values."""
     return wide.select(
         *_quoted(ids), F.posexplode(F.array(*cells)).alias("__pos", value)
@@ -25,6 +28,19 @@ def _quoted(names: Sequence[str]) -> list[str]:
     return [f"`{n}`" for n in names]
 
 
+def parse_cells(long: DataFrame, value: str = "valor") -> DataFrame:
+    """Text cells as numbers; a cell that is no number gives no row.
+
+    Exploding an array of one keeps the NULL filter above the parsed value; on a
+    plain column it would be pushed down and every text parsed twice.
+    """
+    others = [c for c in long.columns if c != value]
+    number = locale_decimal(F.col(value))
+    return long.select(*_quoted(others), F.explode(F.array(number)).alias(value)).where(
+        F.col(value).isNotNull()
+    )
+
+
 def name_at(names: Sequence[str], position: Column) -> Column:
     """The name at a position counted from 0."""
     return F.element_at(F.array(*[F.lit(n) for n in names]), position + 1)

@@ -6,8 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from envlake.functions import locale_decimal, observation_hour
-from envlake.operators import left_lookup, stack_by_position, unpivot_hours
+from envlake.functions import observation_hour
+from envlake.operators import left_lookup, parse_cells, stack_by_position, unpivot_hours
 from envlake.schemas import HOURS
 
 
@@ -27,7 +27,7 @@ def hourly_fact(
     with_unit = left_lookup(slim, units, "magnitud", "MAGNITUD", uom="UNIDAD")
     long = unpivot_hours(with_unit, [*ids, "uom"], label=False)
     if decimal_comma:
-        long = long.withColumn("valor", locale_decimal(F.col("valor"))).where("valor IS NOT NULL")
+        long = parse_cells(long)
     return long.select(
         "provincia",
         "municipio",

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -16,8 +15,9 @@ from envlake.operators import (
     missing_windows,
     sorted_observations,
 )
-from envlake.schemas import FIRST_DAY, LAST_DAY, RAW_FIELDS, STATIONS
-from envlake.sources import inline_table, parse_documents, write_delimited
+from envlake.schemas import FIRST_DAY, LAST_DAY, STATIONS
+from envlake.sources import inline_table, scratch_dir, write_delimited
+from envlake.sources.raw_json import DOCUMENT_COLUMNS
 
 
 def station_list(spark: SparkSession) -> DataFrame:
@@ -35,30 +35,31 @@ def expected_documents(
 
 def collect_observations(
     spark: SparkSession,
-    documents: DataFrame,
-    output: str,
+    records: DataFrame,
+    csv: str,
     stations: DataFrame | None = None,
     start: date | str = FIRST_DAY,
     end: date | str = LAST_DAY,
-    fields: Sequence[str] = RAW_FIELDS,
+    work: str | None = None,
 ) -> dict[str, DataFrame]:
-    """Clean and sort the records of raw documents into ``{output}/csv``, and report on them.
+    """Clean and sort raw records into the CSV folder ``csv``, and report on them.
 
-    ``documents`` comes from ``read_documents``; those of other stations or windows
-    are left out. The documents are parsed once, into ``{output}/clean``; the sort (which reads
-    its input twice) and the reports work on that table. A document counts for its
-    window as soon as it holds one record; ``coverage`` shows what is short.
+    ``records`` come from ``read_raw_documents``, ``parse_documents`` or ``read_landed``;
+    those of other stations or windows are left out. They are parsed once, into a
+    table below ``work``; the sort (which reads its input twice) and the reports use
+    that table. A document counts for its window as soon as it holds one record;
+    ``coverage`` shows what is short.
     """
     stations = station_list(spark) if stations is None else stations
-    clean_path = f"{output}/clean"
-    parsed = parse_documents(documents, fields)
+    clean_path = f"{work or scratch_dir(spark, 'collected')}/clean"
     expected = expected_documents(stations, start, end)
-    requested = parsed.join(expected.select("documento"), "documento", "left_semi")
+    requested = records.join(expected.select("documento"), "documento", "left_semi")
     clean_collected(requested).write.mode("overwrite").parquet(clean_path)
     clean = spark.read.parquet(clean_path)
-    write_delimited(sorted_observations(clean.select(*fields)), f"{output}/csv", bom=True)
+    observations = clean.drop("documento", *DOCUMENT_COLUMNS)
+    write_delimited(sorted_observations(observations), csv, bom=True)
     return {
-        "observations": clean.select(*fields),
+        "observations": observations,
         "summary": dataset_summary(clean),
         "coverage": coverage(stations, clean, start, end),
         "missing_windows": missing_windows(expected, clean, ["documento"]),

@@ -6,7 +6,6 @@ import posixpath
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
 from envlake.operators import seed_copy
@@ -108,17 +107,19 @@ def _run_one(
     undeclared = [k for k in keys if k not in catalog]
     if undeclared:
         return "undeclared dataset", ", ".join(undeclared)
-    states = {r.dataset: r.state for r in dataset_status(spark, root, catalog, keys).collect()}
-    absent = [k for k in keys if states[k] == "absent"]
-    if absent:
-        return "missing input", ", ".join(absent)
     output = posixpath.join(root, job.output)
     try:
+        states = {
+            r.dataset: r.state for r in dataset_status(spark, root, catalog, keys).collect()
+        }
+        absent = [k for k in keys if states[k] == "absent"]
+        if absent:
+            return "missing input", ", ".join(absent)
         stage_all(spark, root, [catalog[k] for k in keys if states[k] != "fresh"])
         sources = {a: read_dataset(spark, root, catalog[k]) for a, k in job.sources.items()}
         write_fact(_result(spark, job, sources), output)
-    except (PySparkException, ValueError) as e:
-        return "failed", str(e).splitlines()[0]
+    except Exception as e:  # whatever it is, the other jobs still run
+        return "failed", " ".join(str(e).splitlines()[:3])
     return "ok", output
 
 

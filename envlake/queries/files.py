@@ -224,7 +224,9 @@ SELECT strftime(o_orderdate, '%Y-%m-%d') AS fecha, o_orderpriority AS indicativo
        CAST(o_orderkey AS VARCHAR) AS nombre,
        CASE WHEN o_orderstatus = 'F' THEN CAST(o_custkey AS VARCHAR) END AS prec,
        strftime(o_orderdate, '%Y') || CASE WHEN month(o_orderdate) <= 6 THEN '-01-01' ELSE '-07-01' END
-           AS ventana
+           AS ventana,
+       o_orderpriority || strftime(o_orderdate, '_%Y') ||
+           CASE WHEN month(o_orderdate) <= 6 THEN '_01' ELSE '_07' END AS documento
 FROM orders
 """,
     "json_raw_scan": f"""

@@ -19,8 +19,8 @@ from envlake.queries.inputs import (
     unit_dimension,
     weather_units,
 )
-from envlake.schemas import AIR_TYPES, MEASURES
-from envlake.sources import CATALOG, DatasetSpec, scratch_dir, write_delimited
+from envlake.schemas import AIR_TYPES, MEASURES, RAW_FIELDS
+from envlake.sources import CATALOG, DatasetSpec, parse_documents, scratch_dir, write_delimited
 
 _AIR_KEYS = [k for k in CATALOG if k.startswith("aire")]
 # The air files are folders of one partitioned write.
@@ -119,15 +119,32 @@ def _collect(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     )
     return collect_observations(
         spark,
-        raw_documents(customers, *CUSTOMER_COLUMNS),
-        scratch_dir(spark, "collected"),
+        parse_documents(raw_documents(customers, *CUSTOMER_COLUMNS), RECORD_FIELDS),
+        f"{scratch_dir(spark, 'collected')}/observations.csv",
         stations,
         "2022-01-01",
         "2022-12-31",
-        RECORD_FIELDS,
     )
 
 
+def collected_weather_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From landed documents over the sorted CSV to the weather fact."""
+    root = scratch_dir(spark, "chain")
+    customers = table(spark, sf_dir, "customer")
+    records = parse_documents(raw_documents(customers, *CUSTOMER_COLUMNS), RAW_FIELDS)
+    collect_observations(
+        spark,
+        records.withColumn("altitud", F.lit("664")),
+        f"{root}/{CATALOG['aemet_climatologia_diaria'].path}",
+        customers.select(F.col("c_custkey").cast("string").alias("indicativo")),
+        "2022-01-01",
+        "2022-12-31",
+    )
+    units = CATALOG["dim_variable_meteo_csv"].path
+    write_delimited(weather_units(spark, sf_dir), f"{root}/{units}")
+    return _run_and_read(spark, root, "meteo_aemet_normalizado", CATALOG)
+
+
 def collected_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _collect(spark, sf_dir)["observations"]
 
@@ -145,6 +162,7 @@ QUERIES = {
     "weather_daily_job": weather_daily_job,
     "job_status": job_status,
     "sql_defined_job": sql_defined_job,
+    "collected_weather_fact": collected_weather_fact,
     "collected_observations": collected_observations,
     "collected_coverage": collected_coverage,
     "collected_missing_windows": collected_missing_windows,
@@ -179,6 +197,12 @@ UNION ALL SELECT 'seed_variable_meteo', 'ok', count(*) FROM nation
 """,
     "sql_defined_job": """
 SELECT c_custkey, c_name, n_name FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey
+""",
+    "collected_weather_fact": f"""
+SELECT indicativo AS estacion_id, nombre AS estacion_nombre, NULL::VARCHAR AS provincia,
+       664 AS altitud, CAST(fecha AS DATE) AS fecha, 'precipitacion' AS variable_meteo,
+       'NATION_3' AS uom, prec_num AS valor
+FROM ({records_sql('customer', *CUSTOMER_COLUMNS)}) WHERE prec_num IS NOT NULL
 """,
     "collected_observations": f"""
 SELECT CAST(fecha AS DATE) AS fecha, indicativo, nombre, prec_num AS prec, NULL::DOUBLE AS tmed

@@ -3,14 +3,25 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from envlake.functions import from_latin9, half_year_start, landing_key_of_path, landing_key_parts
+from envlake.functions import (
+    from_latin9,
+    half_year_start,
+    landing_key,
+    landing_key_of_path,
+    landing_key_parts,
+)
 from envlake.schemas import RAW_FIELDS
 
 
+# What the readers add to the records besides their document's key.
+DOCUMENT_COLUMNS = ("documento_estacion", "documento_mes", "ventana")
+
+
 def _text_fields(names: Sequence[str]) -> StructType:
     return StructType([StructField(n, StringType()) for n in names])
 
@@ -61,17 +72,19 @@ def read_raw_documents(
     return parse_documents(read_documents(spark, path, latin9), fields)
 
 
-def land_records(records: DataFrame, path: str) -> None:
+def land_records(records: DataFrame, path: str, start: date | str | None = None) -> None:
     """Land records as JSON lines, one folder per station and half-year.
 
-    Landing a window again replaces that folder and leaves the others alone. The
-    rebalance keeps files few and splits a folder that holds most of the records.
+    ``start`` clips the first window, as in the download. Landing a window again
+    replaces that folder and leaves the others alone. The rebalance keeps files few
+    and splits a folder that holds most of the records.
     """
-    landed = records.withColumn(
-        "ventana", half_year_start(F.col("fecha").try_cast("date")).cast("string")
-    )
+    window = half_year_start(F.col("fecha").try_cast("date"))
+    if start is not None:
+        window = F.greatest(window, F.lit(start).cast("date"))
     (
-        landed.hint("rebalance", "indicativo", "ventana")
+        records.withColumn("ventana", window.cast("string"))
+        .hint("rebalance", "indicativo", "ventana")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("indicativo", "ventana")
@@ -82,7 +95,10 @@ def land_records(records: DataFrame, path: str) -> None:
 def read_landed(
     spark: SparkSession, path: str, fields: Sequence[str] = RAW_FIELDS
 ) -> DataFrame:
-    """Records landed by :func:`land_records`; ``ventana`` is the half-year's first day."""
+    """Records landed by :func:`land_records`, with the window's first day and key."""
     names = [n for n in fields if n != "indicativo"]
-    schema = _text_fields([*names, "indicativo", "ventana"])
-    return spark.read.schema(schema).json(path)
+    landed = spark.read.schema(_text_fields([*names, "indicativo", "ventana"])).json(path)
+    key = landing_key(F.col("indicativo"), F.col("ventana").try_cast("date"))
+    return landed.select(
+        F.when(F.col("ventana").isNotNull(), key).alias("documento"), "ventana", *fields
+    )

@@ -9,7 +9,7 @@ import pytest
 from envlake import run
 from envlake.plans import JOBS, JobSpec, collect_observations
 from envlake.schemas import HOURS, STATIONS
-from envlake.sources import CATALOG, DatasetSpec, read_documents
+from envlake.sources import CATALOG, DatasetSpec, read_landed, read_raw_documents, land_records
 from tests.test_sources import put
 
 AIR_HEADER = ";".join(["provincia", "municipio", "estacion", "magnitud", "punto muestreo", "anno", "mes", "dia", *HOURS])
@@ -76,6 +76,14 @@ def test_a_job_that_cannot_run_does_not_stop_the_others(spark, root):
     assert details["aire_normalizado"] == "aire22" and "LFS" in details["meteo_aemet_normalizado"]
 
 
+def test_a_cell_that_does_not_fit_fails_its_job_only(spark, root):
+    put(root, CATALOG["aire23"].path, f"{AIR_HEADER}\n{air_line(1, 2023, h01='12,5')}\n")
+    result = run(spark, str(root))
+    assert statuses(result)["aire_normalizado"] == "failed"
+    assert statuses(result)["meteo_aemet_normalizado"] == "ok"
+    assert len(result.where("status = 'failed'").first().detail) > 20
+
+
 def test_jobs_given_as_sql(spark, root):
     put(root, "own.csv", "k;v\n1;2\n")
     jobs = (
@@ -104,11 +112,25 @@ def test_collector(spark, tmp_path):
     put(tmp_path, "raw/3194U_2022_07.json", json.dumps(days))
     put(tmp_path, "raw/3195_2022_07.json", json.dumps([{"fecha": "2022-08-01", "indicativo": "3195", "prec": "Ip"}]))
     put(tmp_path, "raw/9999_2022_07.json", json.dumps([{"fecha": "2022-08-01", "indicativo": "9999"}]))
-    got = collect_observations(spark, read_documents(spark, str(tmp_path / "raw")), str(tmp_path / "out"))
+    records = read_raw_documents(spark, str(tmp_path / "raw"))
+    csv = f"{tmp_path}/{CATALOG['aemet_climatologia_diaria'].path}"
+    got = collect_observations(spark, records, csv, work=str(tmp_path / "work"))
     assert tuple(got["summary"].first()) == (3, dt.date(2022, 8, 1), dt.date(2022, 12, 22))
     assert {r.indicativo: r.n_dias for r in got["coverage"].collect()} == {s: {"3194U": 2, "3195": 1}.get(s, 0) for s, _ in STATIONS}
     gone = {r.documento for r in got["missing_windows"].collect()}
     assert len(gone) == 48 and "3194U_2022_07" not in gone and "3195_2022_01" in gone
-    parts = sorted(glob.glob(f"{tmp_path}/out/csv/part-*"))
+    parts = sorted(glob.glob(f"{csv}/part-*"))
     lines = [line for p in parts for line in open(p, encoding="utf-8-sig").read().splitlines()[1:]]
     assert [line.split(",")[:2] for line in lines] == [["2022-12-21", "3194U"], ["2022-12-22", "3194U"], ["2022-08-01", "3195"]]
+
+
+def test_collector_on_landed_records(spark, tmp_path):
+    ddl = "fecha string, indicativo string, prec string"
+    landed = str(tmp_path / "landed")
+    rows = [("2022-12-21", "3194U", "0,9"), ("2022-04-01", "3195", "Ip"), ("2022-02-01", "3195", "1")]
+    land_records(spark.createDataFrame(rows, ddl), landed, "2022-03-15")
+    records = read_landed(spark, landed, ["fecha", "indicativo", "prec"])
+    got = collect_observations(spark, records, str(tmp_path / "o.csv"), start="2022-03-15", end="2022-12-31", work=str(tmp_path))
+    gone = {r.documento for r in got["missing_windows"].collect()}
+    assert len(gone) == 8 and not gone & {"3194U_2022_07", "3195_2022_03"}
+    assert got["observations"].columns == ["fecha", "indicativo", "prec"]

@@ -202,10 +202,10 @@ def test_landing_again_replaces_only_its_windows(spark, tmp_path):
     land_records(spark.createDataFrame([("2022-02-02", "3194U", "6")], ddl), out)
     got = rows(read_landed(spark, out, ["fecha", "indicativo", "prec"]))
     assert got == {
-        ("2022-02-02", "6", "3194U", "2022-01-01"): 1,
-        ("2022-07-01", "3", "3194U", "2022-07-01"): 1,
-        ("2022-01-01", "4", "3195", "2022-01-01"): 1,
-        (None, "5", "3195", None): 1,
+        ("3194U_2022_01", "2022-01-01", "2022-02-02", "3194U", "6"): 1,
+        ("3194U_2022_07", "2022-07-01", "2022-07-01", "3194U", "3"): 1,
+        ("3195_2022_01", "2022-01-01", "2022-01-01", "3195", "4"): 1,
+        (None, None, None, "3195", "5"): 1,
     }
 
 
