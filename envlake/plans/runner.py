@@ -119,10 +119,17 @@ def _run_one(
         sources = {a: read_dataset(spark, root, catalog[k]) for a, k in job.sources.items()}
         write_fact(_result(spark, job, sources), output)
     except Exception as e:  # whatever it is, the other jobs still run
-        return "failed", " ".join(str(e).splitlines()[:3])
+        return "failed", _reason(e)
     return "ok", output
 
 
+def _reason(error: Exception) -> str:
+    """The innermost cause of a failed Spark job, else the message's first line."""
+    lines = str(error).splitlines() or [type(error).__name__]
+    causes = [line for line in lines if line.startswith("Caused by: ")]
+    return causes[-1].removeprefix("Caused by: ") if causes else lines[0]
+
+
 def run(
     spark: SparkSession,
     root: str,

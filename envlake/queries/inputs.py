@@ -45,9 +45,9 @@ SELECT CAST(user_id % 5 AS INT) AS provincia, CAST(user_id % 11 AS INT) AS munic
        CAST(user_id AS INT) AS estacion,
        CASE WHEN event_type <> 'error' THEN CAST(user_id % 30 AS INT) END AS magnitud,
        concat_ws('_', CAST(user_id AS VARCHAR), event_type) AS "punto muestreo",
-       year(CAST(ts AS DATE)) AS anno, month(CAST(ts AS DATE)) AS mes, day(CAST(ts AS DATE)) AS dia,
+       CAST(year(ts) AS INT) AS anno, CAST(month(ts) AS INT) AS mes, CAST(day(ts) AS INT) AS dia,
        {", ".join(f"max(CASE WHEN hour(ts) = {n} THEN value END) AS {h}" for n, h in enumerate(HOURS))}
-FROM events GROUP BY user_id, event_type, CAST(ts AS DATE)
+FROM events GROUP BY user_id, event_type, year(ts), month(ts), day(ts)
 """
 
 

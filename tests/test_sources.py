@@ -5,6 +5,7 @@ import glob
 import json
 import os
 from collections import Counter
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -215,3 +216,14 @@ def test_scratch_is_below_the_shared_folder(spark):
     assert a != b
     if before:
         assert a.startswith(before.rstrip("/"))
+
+
+@pytest.mark.parametrize("master, fails", [("local[4]", False), ("yarn", True)])
+def test_scratch_without_a_shared_folder(master, fails):
+    settings = {"spark.master": master}
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: settings.get(key, default)))
+    if fails:
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            scratch_dir(session, "x")
+    else:
+        assert os.path.isabs(scratch_dir(session, "x"))
