@@ -54,12 +54,17 @@ def parse_documents(documents: DataFrame, fields: Sequence[str] = RAW_FIELDS) ->
     station, month = landing_key_parts(F.col("documento"))
     return (
         documents.where(F.startswith(trimmed, F.lit("[")) & F.endswith(trimmed, F.lit("]")))
-        .select("documento", F.explode(records).alias("r"))
-        .where(F.col("r").isNotNull())
         .select(
             "documento",
             station.alias("documento_estacion"),
             month.alias("documento_mes"),
+            F.explode(records).alias("r"),
+        )
+        .where(F.col("r").isNotNull())
+        .select(
+            "documento",
+            "documento_estacion",
+            "documento_mes",
             *[F.col(f"r.{n}").alias(n) for n in fields],
         )
     )

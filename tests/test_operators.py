@@ -239,13 +239,20 @@ def wide_path(spark, tmp_path_factory):
 
 def test_melt_reads_once_and_does_not_shuffle(spark, wide_path, units):
     units.write.mode("overwrite").parquet(wide_path + "-units")
-    dimension = spark.read.parquet(wide_path + "-units")
-    text = plan(hourly_fact(spark.read.parquet(wide_path), dimension))
+    text = plan(hourly_fact(spark.read.parquet(wide_path), spark.read.parquet(wide_path + "-units")))
     assert text.count("FileScan") == 2  # the wide rows once, the dimension once
     assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
     assert "unused" not in text
 
 
+def test_stacked_files_are_read_narrow_and_joined_once(spark, wide_path, units):
+    files = [spark.read.parquet(wide_path) for _ in range(5)]
+    units.write.mode("overwrite").parquet(wide_path + "-units")
+    text = plan(air_fact(files[:2], files[2:], spark.read.parquet(wide_path + "-units")))
+    assert text.count("FileScan") == 6 and text.count("BroadcastHashJoin") == 1
+    assert "unused" not in text and "Exchange hashpartitioning" not in text
+
+
 def test_measure_melt_reads_once(spark, wide_path):
     text = plan(unpivot_measures(spark.read.parquet(wide_path), ["estacion"], {h: h for h in HOURS}))
     assert text.count("FileScan") == 1 and "Exchange" not in text
