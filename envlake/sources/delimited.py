@@ -5,7 +5,13 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import (
+    StringType,
+    StructField,
+    StructType,
+    TimestampNTZType,
+    TimestampType,
+)
 
 from envlake.functions import from_latin9
 
@@ -24,9 +30,13 @@ def _header_schema(
     fields = []
     for f in found:
         ddl = declared.get(f.name.lower())
-        fields.append(
-            StructField(f.name, StructType.fromDDL(f"c {ddl}")[0].dataType if ddl else f.dataType)
-        )
+        if ddl:
+            kind = StructType.fromDDL(f"c {ddl}")[0].dataType
+        elif isinstance(f.dataType, TimestampType):
+            kind = TimestampNTZType()  # files carry no zone
+        else:
+            kind = f.dataType
+        fields.append(StructField(f.name, kind))
     return StructType(fields)
 
 
@@ -54,19 +64,14 @@ def read_delimited(
         "encoding": "ISO-8859-1" if latin9 else "UTF-8",
         "multiLine": multi_line,
         "dateFormat": "yyyy-MM-dd",
-        "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]",
     }
     schema = _header_schema(spark, path, options, types or {}, infer_rest)
-    frame = spark.read.options(**options, mode="FAILFAST", enforceSchema=False).schema(schema).csv(path)
+    reader = spark.read.options(**options, mode="FAILFAST", enforceSchema=False)
+    frame = reader.schema(schema).csv(path)
     if not latin9:
         return frame
-    return frame.select(
-        *[
-            (from_latin9(F.col(f"`{f.name}`")) if isinstance(f.dataType, StringType) else F.col(f"`{f.name}`"))
-            .alias(f.name)
-            for f in schema
-        ]
-    )
+    texts = [f.name for f in schema if isinstance(f.dataType, StringType)]
+    return frame.withColumns({n: from_latin9(F.col(f"`{n}`")) for n in texts})
 
 
 def write_delimited(frame: DataFrame, path: str, sep: str = ",", bom: bool = False) -> None:

@@ -54,6 +54,21 @@ def test_inference_for_undeclared_columns(spark, tmp_path):
     assert [f.dataType.simpleString() for f in frame.schema] == ["bigint", "string", "int", "string"]
 
 
+def test_inferred_times_have_no_zone(spark, tmp_path):
+    path = put(tmp_path, "a.csv", "k,t,d\n1,2024-03-31 02:30:00,2024-03-31\n")
+    frame = read_delimited(spark, path, ",", infer_rest=True)
+    assert [f.dataType.simpleString() for f in frame.schema] == ["int", "timestamp_ntz", "date"]
+    assert tuple(frame.first()) == (1, dt.datetime(2024, 3, 31, 2, 30), dt.date(2024, 3, 31))
+
+
+def test_times_survive_a_csv_roundtrip(spark, tmp_path):
+    stamps = [dt.datetime(2024, 3, 31, 2, 30, 0, 123456), dt.datetime(2024, 1, 1), None]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(stamps)], "i int, t timestamp_ntz")
+    write_delimited(frame, str(tmp_path / "o"))
+    again = read_delimited(spark, str(tmp_path / "o"), ",", {"i": "int", "t": "timestamp_ntz"})
+    assert rows(again) == rows(frame)
+
+
 @pytest.mark.parametrize("cell", ["12,5", "x"])
 def test_a_cell_that_does_not_fit_fails(spark, tmp_path, cell):
     path = put(tmp_path, "a.csv", f"h01;b\n{cell};1\n")
