@@ -30,13 +30,15 @@ class JobSpec:
     """Sources by alias, what to compute from them, and where it goes.
 
     ``build`` is a function of the source frames, or SQL text over views that
-    carry the aliases.
+    carry the aliases. ``partition_by`` lays the output out in folders, so that
+    readers skip those they do not ask for.
     """
 
     name: str
     sources: Mapping[str, str]
     build: Callable[[Mapping[str, DataFrame]], DataFrame] | str
     output: str
+    partition_by: tuple[str, ...] = ()
 
 
 _YEARS = [f"aire{y}" for y in AIR_YEARS]
@@ -117,7 +119,7 @@ def _run_one(
             return "missing input", ", ".join(absent)
         stage_all(spark, root, [catalog[k] for k in keys if states[k] != "fresh"])
         sources = {a: read_dataset(spark, root, catalog[k]) for a, k in job.sources.items()}
-        write_fact(_result(spark, job, sources), output)
+        write_fact(_result(spark, job, sources), output, job.partition_by)
     except Exception as e:  # whatever it is, the other jobs still run
         return "failed", _reason(e)
     return "ok", output

@@ -78,7 +78,7 @@ def raw_documents(frame: DataFrame, key: str, name: str, amount: str, nation: st
             F.concat("mes", F.lit(f"-{day}")).alias("fecha"),
             F.col(key).cast("string").alias("indicativo"),
             F.col(name).alias("nombre"),
-            F.when(F.lit(day) != "02", number).alias("prec"),
+            (F.lit("Ip") if day == "02" else number).alias("prec"),
             F.when(F.lit(day) == "03", "Ip").alias("tmed"),
         )
 
@@ -107,7 +107,7 @@ SELECT concat_ws('_', CAST({key} AS VARCHAR), replace(mes, '-', '_')) AS documen
        CAST({key} AS VARCHAR) AS documento_estacion,
        CAST(mes || '-01' AS DATE) AS documento_mes, mes || '-' || dd AS fecha,
        CAST({key} AS VARCHAR) AS indicativo, {name} AS nombre,
-       CASE WHEN dd <> '02' THEN replace(CAST({amount} AS VARCHAR), '.', ',') END AS prec,
+       CASE WHEN dd = '02' THEN 'Ip' ELSE replace(CAST({amount} AS VARCHAR), '.', ',') END AS prec,
        CASE WHEN dd = '03' THEN 'Ip' END AS tmed,
        CASE WHEN dd <> '02' THEN {amount} END AS prec_num
 FROM {table_name}, (VALUES ('2022-01'), ('2022-07')) m(mes), (VALUES ('01'), ('02'), ('03')) d(dd)

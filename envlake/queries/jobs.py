@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from envlake.plans import JOBS, JobSpec, collect_observations, run
+from envlake.plans import JOBS, JobSpec, collect_observations, run, weather_fact
 from envlake.queries.files import CUSTOMER_COLUMNS, RECORD_FIELDS, raw_documents, records_sql
 from envlake.queries.inputs import (
     HOURLY_ORDERS_SQL,
@@ -145,6 +145,12 @@ def collected_weather_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run_and_read(spark, root, "meteo_aemet_normalizado", CATALOG)
 
 
+def raw_weather_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Straight from the documents: trace rain is 0.0 here and NULL after the collector."""
+    documents = raw_documents(table(spark, sf_dir, "customer"), *CUSTOMER_COLUMNS)
+    return weather_fact(parse_documents(documents), weather_units(spark, sf_dir))
+
+
 def collected_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _collect(spark, sf_dir)["observations"]
 
@@ -163,6 +169,7 @@ QUERIES = {
     "job_status": job_status,
     "sql_defined_job": sql_defined_job,
     "collected_weather_fact": collected_weather_fact,
+    "raw_weather_fact": raw_weather_fact,
     "collected_observations": collected_observations,
     "collected_coverage": collected_coverage,
     "collected_missing_windows": collected_missing_windows,
@@ -203,6 +210,12 @@ SELECT indicativo AS estacion_id, nombre AS estacion_nombre, NULL::VARCHAR AS pr
        664 AS altitud, CAST(fecha AS DATE) AS fecha, 'precipitacion' AS variable_meteo,
        'NATION_3' AS uom, prec_num AS valor
 FROM ({records_sql('customer', *CUSTOMER_COLUMNS)}) WHERE prec_num IS NOT NULL
+""",
+    "raw_weather_fact": f"""
+SELECT indicativo AS estacion_id, nombre AS estacion_nombre, NULL::VARCHAR AS provincia,
+       NULL::INT AS altitud, CAST(fecha AS DATE) AS fecha, 'precipitacion' AS variable_meteo,
+       'NATION_3' AS uom, CASE WHEN prec = 'Ip' THEN 0.0::DOUBLE ELSE prec_num END AS valor
+FROM ({records_sql('customer', *CUSTOMER_COLUMNS)})
 """,
     "collected_observations": f"""
 SELECT CAST(fecha AS DATE) AS fecha, indicativo, nombre, prec_num AS prec, NULL::DOUBLE AS tmed

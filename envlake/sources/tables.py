@@ -22,7 +22,7 @@ def register_views(sources: Mapping[str, DataFrame]) -> None:
         frame.createOrReplaceTempView(alias)
 
 
-def write_fact(frame: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
+def write_fact(frame: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Replace the Parquet table at ``path``.
 
     Rows are written where they are, without a shuffle. With ``partition_by`` they

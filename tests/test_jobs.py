@@ -3,6 +3,7 @@
 import datetime as dt
 import glob
 import json
+from dataclasses import replace
 
 import pytest
 
@@ -99,6 +100,16 @@ def test_jobs_given_as_sql(spark, root):
     assert not spark.catalog.tableExists("mine")
 
 
+def test_output_in_folders(spark, root):
+    run(spark, str(root), "aire_normalizado")
+    whole = spark.read.parquet(f"{root}/{JOBS[0].output}")
+    job = replace(JOBS[0], output="out/air.parquet", partition_by=("magnitud",))
+    assert statuses(run(spark, str(root), jobs=(job,))) == {job.name: "ok"}
+    split = spark.read.parquet(f"{root}/out/air.parquet")
+    assert {p.rsplit("/", 1)[1] for p in glob.glob(f"{root}/out/air.parquet/m*")} == {"magnitud=1", "magnitud=2"}
+    assert sorted(map(str, split.select(whole.columns).collect())) == sorted(map(str, whole.collect()))
+
+
 def test_a_rewritten_source_reaches_the_output(spark, root):
     name = "seed_variable_meteo"
     run(spark, str(root), name)

@@ -131,6 +131,21 @@ def test_fact_sink_partitioned_keeps_all_rows(spark, tmp_path):
     assert len(glob.glob(f"{out}/y=0/*.parquet")) == 1
 
 
+def test_a_hot_folder_is_written_by_several_tasks(spark, tmp_path):
+    out, setting = str(tmp_path / "t.parquet"), "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(setting)
+    frame = spark.range(60000, numPartitions=8).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50).alias("y"), F.md5(F.col("id").cast("string")).alias("v")
+    )
+    spark.conf.set(setting, "200000")
+    try:
+        write_fact(frame, out, ["y"])
+    finally:
+        spark.conf.set(setting, before)
+    assert len(glob.glob(f"{out}/y=0/*.parquet")) > 1
+    assert spark.read.parquet(out).count() == 60000
+
+
 # --- staging ---------------------------------------------------------------------
 
 CATALOG = {
