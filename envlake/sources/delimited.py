@@ -16,7 +16,7 @@ from pyspark.sql.types import (
 from envlake.functions import from_latin9
 
 _LFS_POINTER = "version https://git-lfs"
-_BOM = "﻿"
+_BOM = "\ufeff"
 
 
 def _header_schema(
