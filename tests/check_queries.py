@@ -14,7 +14,7 @@ import __spark_entry__ as entry  # noqa: E402
 def main() -> int:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     queries, sql = entry.queries(), entry.oracle_sql()
-    names = sys.argv[2:] or list(queries)
+    names = sys.argv[2:] or list(sql)
     spark, con, bad = local_session(), duck(sf_dir), 0
     for name in names:
         began = time.time()
