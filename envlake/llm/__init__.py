@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from envlake.llm import queries_filters
+from envlake.llm import queries_dedup, queries_files, queries_filters
 
-_MODULES = (queries_filters,)
+_MODULES = (queries_filters, queries_files, queries_dedup)
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
