@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from envlake.llm.common import documents
 from envlake.llm.exact_dedup import exact_dedup
+from envlake.llm.jaccard_join import jaccard_classes
 
 
 def exact_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -13,6 +14,11 @@ def exact_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(rows).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def jaccard_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = documents(spark, sf_dir).select("doc_id", "text")
+    return jaccard_classes(rows).select("doc_id", "class_id", "n_links")
+
+
 EXACT_SQL = r"""
 WITH n AS (
   SELECT doc_id, length(coalesce(text, '')) AS chars,
@@ -26,5 +32,5 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS te
 FROM k
 """
 
-QUERIES = {"op6_exact_dedup": exact_dedup_query}
+QUERIES = {"op1_jaccard_join": jaccard_query, "op6_exact_dedup": exact_dedup_query}
 SQL = {"op6_exact_dedup": EXACT_SQL}

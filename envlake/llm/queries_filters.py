@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from envlake.llm.common import documents
 from envlake.llm.quality_rules import EDGE, STOP_WORDS, quality_rules
+from envlake.llm.toxicity import labelled_texts, score_toxicity, train_toxicity
 
 
 def quality_rules_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,6 +16,15 @@ def quality_rules_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *[f"quality.{n}" for n in names])
 
 
+def toxicity_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    model = train_toxicity(labelled_texts(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+    remainder = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
+    return score_toxicity(docs, model).select(
+        "doc_id", (remainder == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
 _STOP = ", ".join(f"'{w}'" for w in STOP_WORDS)
 _EDGE = EDGE.replace("'", "''")
 _WORD = r"[^\x20\x09-\x0D]"
@@ -48,5 +59,5 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM b
 """
 
-QUERIES = {"op7_quality_rules": quality_rules_query}
+QUERIES = {"op7_quality_rules": quality_rules_query, "op9_toxicity": toxicity_query}
 SQL = {"op7_quality_rules": QUALITY_SQL}
