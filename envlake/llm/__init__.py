@@ -4,10 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
+import envlake
+
 from envlake.llm import queries_dedup, queries_files, queries_filters
 
+# functions travel to executors by value, so that the library need not be installed there
+cloudpickle.register_pickle_by_value(envlake)
+
 _MODULES = (queries_filters, queries_files, queries_dedup)
 
 
