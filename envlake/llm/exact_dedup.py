@@ -181,6 +181,7 @@ def exact_dedup(docs: DataFrame, text: str = "text", id_col: str = "doc_id", bit
     groups = groups.where(same.isNull()).select(
         sha, size, (-F.col("best.i")).alias(keep_id), (-F.col("best.r")).alias("first_row")
     )
+    groups = stored(groups, "groups")  # so that a hot digest can be split in the join
     judged = shared.join(groups, sha).select(
         *names, keep_id, size, (F.col(row) == F.col("first_row")).alias(kept), sha
     )
