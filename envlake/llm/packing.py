@@ -18,7 +18,8 @@ from envlake.llm.common import slices, stored
 from envlake.llm.tokens import default_tokenizer, encoder
 
 CAPACITY = 2048
-BINS = 256  # classes of lengths that patterns are made of
+BINS = 512  # classes of lengths that patterns are made of
+GAIN = 1e-3  # share of the squared error that a round must remove
 DEPTH = 3  # documents in a pattern
 
 
@@ -42,12 +43,12 @@ def patterns(bins: int = BINS, depth: int = DEPTH) -> np.ndarray:
     return np.array(rows, np.int64)
 
 
-def fitted_counts(histogram: np.ndarray, shapes: np.ndarray, rounds: int = 2000) -> np.ndarray:
+def fitted_counts(histogram: np.ndarray, shapes: np.ndarray, rounds: int = 400) -> np.ndarray:
     """Repeat counts x >= 0 of the patterns with least ``|A x - histogram|``, by active sets.
 
     ``histogram[i]`` counts documents of class i, from 1. A holds how often each pattern uses
     each class. Columns enter by steepest slope and leave at 0, so at most as many patterns
-    are used as there are classes.
+    are used as there are classes. Rounds end when they hardly lessen the error.
     """
     size = len(histogram)
     target = histogram.astype(float)
@@ -62,8 +63,12 @@ def fitted_counts(histogram: np.ndarray, shapes: np.ndarray, rounds: int = 2000)
         a[0] = 0
         return a
 
-    rest = target.copy()
+    rest, before = target.copy(), np.inf
     for _ in range(rounds):
+        now = float(rest @ rest)
+        if now > before * (1 - GAIN):
+            break
+        before = now
         padded = rest.copy()
         padded[0] = 0
         slope = padded[shapes].sum(axis=1)
@@ -80,7 +85,7 @@ def fitted_counts(histogram: np.ndarray, shapes: np.ndarray, rounds: int = 2000)
         while True:
             j = np.flatnonzero(active)
             a = column(j)
-            z = np.linalg.lstsq(a.T @ a + 1e-9 * np.eye(len(j)), a.T @ target, rcond=None)[0]
+            z = np.linalg.solve(a.T @ a + 1e-7 * np.eye(len(j)), a.T @ target)
             if z.min() > 1e-9:
                 x[:] = 0
                 x[j] = z
@@ -150,7 +155,6 @@ def layout(histogram: np.ndarray, capacity: int = CAPACITY, bins: int = BINS, de
         usable = (classed[shapes] > 0) | (shapes == 0)
         shapes = shapes[usable.all(axis=1)]
         wish = fitted_counts(classed, shapes) if len(shapes) else np.empty(0)
-        members = {c: list(range(min(c * width, capacity), (c - 1) * width, -1)) for c in range(1, bins + 1)}
         still = classed.copy()
         for j in np.argsort(-wish, kind="stable"):
             parts = shapes[j][shapes[j] > 0]
@@ -159,17 +163,20 @@ def layout(histogram: np.ndarray, capacity: int = CAPACITY, bins: int = BINS, de
             want = min([want, *(still[kinds] // times).tolist()])
             if want <= 0:
                 continue
-            still[kinds] -= want * times
-            # the class has enough documents; its exact lengths are taken longest first
+            # exact lengths: of each class the longest first; the last document is the longest
+            # one that fits, so that what the classes round up is not lost
             todo = [(out.sequences, want, 0)]
             out.sequences += want
-            for c in parts.tolist():
+            for c, last in zip(parts.tolist(), [False] * (len(parts) - 1) + [True], strict=True):
                 after = []
                 for sequence, count, offset in todo:
                     while count:
-                        length = next(m for m in members[c] if left[m])
+                        length = capacity - offset if last else min(c * width, capacity)
+                        while not left[length]:
+                            length -= 1
                         some = min(count, int(left[length]))
                         place(length, some, sequence, offset)
+                        still[classes[length]] -= some
                         after.append((sequence, some, offset + length))
                         sequence, count = sequence + some, count - some
                 todo = after
