@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from envlake.llm.common import documents
+from envlake.llm.language_id import identify_language, train_languages
 from envlake.llm.quality_rules import EDGE, STOP_WORDS, quality_rules
 from envlake.llm.toxicity import labelled_texts, score_toxicity, train_toxicity
 
@@ -16,6 +17,14 @@ def quality_rules_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *[f"quality.{n}" for n in names])
 
 
+def language_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    model = train_languages(docs.where(~held_out).select("text", "lang"))
+    found = identify_language(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def toxicity_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     model = train_toxicity(labelled_texts(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
@@ -59,5 +68,9 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM b
 """
 
-QUERIES = {"op7_quality_rules": quality_rules_query, "op9_toxicity": toxicity_query}
+QUERIES = {
+    "op7_quality_rules": quality_rules_query,
+    "op8_language_id": language_query,
+    "op9_toxicity": toxicity_query,
+}
 SQL = {"op7_quality_rules": QUALITY_SQL}
