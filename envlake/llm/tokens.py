@@ -50,37 +50,15 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-class Encoder:
-    """Ids of whole texts. Equal pieces of a batch are encoded once, and remembered."""
-
-    def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+class PieceMemo:
+    """Ids of byte pieces, each encoded once by :meth:`fresh` and remembered."""
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are text
+    def __init__(self) -> None:
         self.forget()
-        self.opens = np.zeros(self.tokenizer.get_vocab_size(), bool)  # tokens that begin with a blank
-        for token, number in self.tokenizer.get_vocab().items():
-            self.opens[number] = token.startswith("Ġ")
-
-    def _fresh(self, wanted: list[str]) -> dict[str, bytes]:
-        """Words after a blank are encoded in a row and told apart by their blanks."""
-        plain = [w for w in wanted if PLAIN.fullmatch(w)]
-        ids = np.array(self.tokenizer.encode_batch_fast(["".join(plain)], add_special_tokens=False)[0].ids, "<u4")
-        bounds = (np.append(np.flatnonzero(self.opens[ids]), len(ids)) * 4).tolist()
-        data = ids.tobytes()
-        out = {}
-        if len(bounds) == len(plain) + 1:
-            out = {w: data[a:b] for w, a, b in zip(plain, bounds, bounds[1:], strict=False)}
-        others = [w for w in wanted if w not in out]
-        found = self.tokenizer.encode_batch_fast(others, add_special_tokens=False)
-        out.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(others, found, strict=True))
-        return out
 
-    def _by_cuts(self, text: str) -> bytes:
-        found = self.tokenizer.encode_batch_fast(CUT.split(text), add_special_tokens=False)
-        return b"".join(np.array(e.ids, "<u4").tobytes() for e in found)
+    def fresh(self, wanted: list[str]) -> dict[str, bytes]:
+        """Ids of the pieces as little-endian unsigned 32-bit bytes."""
+        raise NotImplementedError
 
     def _numbers(self, pieces: list[bytes]) -> np.ndarray:
         """Place in ``self.start`` of each piece, after encoding those not met before."""
@@ -91,7 +69,7 @@ class Encoder:
         fresh = [w for w in pieces if w not in known]
         if fresh:
             names = [w.decode() for w in fresh]
-            found = self._fresh(names)
+            found = self.fresh(names)
             data = [found[n] for n in names]
             lengths = np.fromiter(map(len, data), np.int64, len(data)) // 4
             flat = np.frombuffer(b"".join(data), "<u4")
@@ -117,6 +95,62 @@ class Encoder:
         self.length[self.pieces : self.pieces + n] = lengths
         self.used, self.pieces = self.used + len(flat), self.pieces + n
 
+    def ids(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids of the pieces in a row, and the number of ids of each.
+
+        Pieces of one hash are compared byte by byte; None if any differ.
+        """
+        values = word_hashes(raw, starts, ends)
+        _, first, inverse = np.unique(values, return_index=True, return_inverse=True)
+        sizes = ends - starts
+        if not (sizes == sizes[first][inverse]).all():
+            return None
+        if len(starts):
+            steps = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            here = np.repeat(starts, sizes) + steps
+            there = np.repeat(starts[first][inverse], sizes) + steps
+            if not (raw[here] == raw[there]).all():
+                return None
+        view = memoryview(raw)
+        low, high = starts[first].tolist(), ends[first].tolist()
+        number = self._numbers([bytes(view[a:b]) for a, b in zip(low, high, strict=True)])
+        at, length = self.start[number][inverse], self.length[number][inverse]
+        before = np.cumsum(length) - length
+        return self.arena[np.repeat(at - before, length) + np.arange(int(length.sum()))], length
+
+
+class Encoder(PieceMemo):
+    """Ids of whole texts. Equal pieces of a batch are encoded once, and remembered."""
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True  # their strings in a text are text
+        super().__init__()
+        self.opens = np.zeros(self.tokenizer.get_vocab_size(), bool)  # tokens that begin with a blank
+        for token, number in self.tokenizer.get_vocab().items():
+            self.opens[number] = token.startswith("Ġ")
+
+    def fresh(self, wanted: list[str]) -> dict[str, bytes]:
+        """Words after a blank are encoded in a row and told apart by their blanks."""
+        plain = [w for w in wanted if PLAIN.fullmatch(w)]
+        ids = np.array(self.tokenizer.encode_batch_fast(["".join(plain)], add_special_tokens=False)[0].ids, "<u4")
+        bounds = (np.append(np.flatnonzero(self.opens[ids]), len(ids)) * 4).tolist()
+        data = ids.tobytes()
+        out = {}
+        if len(bounds) == len(plain) + 1:
+            out = {w: data[a:b] for w, a, b in zip(plain, bounds, bounds[1:], strict=False)}
+        others = [w for w in wanted if w not in out]
+        found = self.tokenizer.encode_batch_fast(others, add_special_tokens=False)
+        out.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(others, found, strict=True))
+        return out
+
+    def _by_cuts(self, text: str) -> bytes:
+        found = self.tokenizer.encode_batch_fast(CUT.split(text), add_special_tokens=False)
+        return b"".join(np.array(e.ids, "<u4").tobytes() for e in found)
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, each closed by ``END``, and the n + 1 offsets; null is empty."""
         raw, offsets = text_bytes(texts)
@@ -130,26 +164,11 @@ class Encoder:
         starts, ends, owner = self._pre_tokens(raw, offsets, kind)
         good = ~odd[owner]
         starts, ends, owner = starts[good], ends[good], owner[good]
-        values = word_hashes(raw, starts, ends)
-        _, first, inverse = np.unique(values, return_index=True, return_inverse=True)
-        sizes = ends - starts
-        # equal hashes must be equal bytes, else texts are encoded one by one
-        same = (sizes == sizes[first][inverse]).all()
-        if same and len(starts):
-            steps = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            here = np.repeat(starts, sizes) + steps
-            there = np.repeat(starts[first][inverse], sizes) + steps
-            same = bool((raw[here] == raw[there]).all())
-        if not same:
+        found = self.ids(raw, starts, ends)
+        if found is None:  # two pieces with one hash: these texts are encoded one by one
             odd[:] = True
-            starts, owner, inverse, first = starts[:0], owner[:0], inverse[:0], first[:0]
-
-        view = memoryview(raw)
-        low, high = starts[first].tolist(), ends[first].tolist()
-        number = self._numbers([bytes(view[a:b]) for a, b in zip(low, high, strict=True)])
-        at, length = self.start[number][inverse], self.length[number][inverse]
-        before = np.cumsum(length) - length
-        ids = self.arena[np.repeat(at - before, length) + np.arange(int(length.sum()))]
+            owner, found = owner[:0], (np.empty(0, np.uint32), np.empty(0, np.int64))
+        ids, length = found
         per_text = np.bincount(owner, weights=length, minlength=n_texts).astype(np.int64)
         if odd.any():
             edges = np.r_[0, np.cumsum(per_text)]
@@ -183,9 +202,14 @@ class Encoder:
         return starts, ends, np.searchsorted(offsets, starts, side="right") - 1
 
 
+def kept(kind: type, path: str):
+    """``kind(path)`` of this Python worker, kept from task to task, one at a time."""
+    store = sys.modules.setdefault("_envlake_kept", types.ModuleType("_envlake_kept"))
+    key = (kind.__name__, path)
+    if getattr(store, "key", None) != key:
+        store.key, store.value = key, kind(path)
+    return store.value
+
+
 def encoder(path: str) -> Encoder:
-    """The encoder of this Python worker, kept from task to task."""
-    kept = sys.modules.setdefault("_envlake_kept", types.ModuleType("_envlake_kept"))
-    if getattr(kept, "path", None) != path:
-        kept.path, kept.encoder = path, Encoder(path)
-    return kept.encoder
+    return kept(Encoder, path)
