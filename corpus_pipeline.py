@@ -1,6 +1,7 @@
-"""Documents to packed training sequences: the corpus operators in a row, written after each.
+"""Documents to packed training sequences: the corpus operators in a row.
 
-Every stage works on all rows that the one before kept, and every rejection takes effect.
+Each stage is written and read again before the next one. Every stage works on all rows that
+the one before kept, and every rejection takes effect.
 """
 
 from __future__ import annotations
@@ -10,7 +11,10 @@ from pyspark.sql import functions as F
 
 from envlake.llm.common import free_name, stored
 from envlake.llm.exact_dedup import exact_dedup
+from envlake.llm.jaccard_join import drop_near_duplicates
+from envlake.llm.packing import pack_documents
 from envlake.llm.quality_rules import quality_rules
+from envlake.llm.toxicity import labelled_texts, score_toxicity, train_toxicity
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -19,19 +23,44 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return judged.where(F.col(f"{free_name(docs.columns, 'quality')}.kept")).select(*docs.columns)
 
 
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that a classifier trained on the labelled ones among them does not find toxic."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = train_toxicity(labelled_texts(docs, labels))
+    score = free_name(docs.columns, "score")
+    return score_toxicity(docs, model).where(F.col(score) < 0.5).select(*docs.columns)
+
+
 def copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The longest, then first, of equal texts."""
     judged = exact_dedup(docs)
     return judged.where(free_name(docs.columns, "kept")).select(*docs.columns)
 
 
-STAGES = [("quality rules", quality), ("exact dedup", copies)]
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first document of each class of similar texts."""
+    return drop_near_duplicates(docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents and their places in token sequences."""
+    return pack_documents(docs, with_ids=False)
+
+
+STAGES = [
+    ("quality rules", quality),
+    ("toxicity", toxicity),
+    ("exact dedup", copies),
+    ("n-gram Jaccard join", near_duplicates),
+    ("best-fit packing", packing),
+]
 
+#: SQL expresses neither the classifier nor the similarity join nor the tokenizer.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written and read again."""
+    """All stages over ``documents``: those before the last are written and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))

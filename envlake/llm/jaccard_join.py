@@ -204,7 +204,7 @@ def jaccard_classes(
     id_col: str = "doc_id",
     threshold: float = THRESHOLD,
     tolerance: float = TOLERANCE,
-    keep_columns: bool = False,
+    row: str | None = None,
 ) -> DataFrame:
     """One row per row of ``docs``: ``id_col``, ``class_id``, ``n_links``, ``first_of_class``.
 
@@ -222,26 +222,18 @@ def jaccard_classes(
     returns a spanning forest and counts, never its pairs.
 
     Repeated and null ids are allowed, an empty table gives an empty one, and other columns
-    may have any name. ``keep_columns`` returns them too, beside the three new ones.
+    may have any name; they are not returned. ``row`` names a column of different whole
+    numbers, if there is one; it is returned too.
     """
-    names = docs.columns
-    row = free_name(names, "row")
     body = F.coalesce(F.col(text), F.lit(""))
     keyed = docs.select(
         F.col(id_col).alias("id"), body.alias("text"),
         F.xxhash64(F.col(id_col), body).alias("key1"), F.hash(body, F.col(id_col)).alias("key2"),
+        (F.col(row) if row else F.monotonically_increasing_id()).alias("row"),
     )
-    if keep_columns:
-        docs = stored(docs.withColumn(row, F.monotonically_increasing_id()), "jaccard-rows")
-        numbered = docs.select(
-            F.col(id_col).alias("id"), body.alias("text"), F.col(row).alias("row"),
-            F.xxhash64(F.col(id_col), body).alias("key1"), F.hash(body, F.col(id_col)).alias("key2"),
-        )
-    else:
-        numbered = keyed.withColumn("row", F.monotonically_increasing_id())
     id_type = docs.schema[id_col].dataType.simpleString()
     sketch = stored(
-        numbered.mapInArrow(
+        keyed.mapInArrow(
             _sketch,
             f"id {id_type}, row long, key1 long, key2 int, d1 long, d2 long, shingles long, bands array<long>",
         ),
@@ -309,8 +301,20 @@ def jaccard_classes(
         F.col("row"), F.col("id"), F.col("first.id").alias("class_id"), "n_links",
         (F.col("first.row") == F.col("row")).alias("first_of_class"),
     )
-    if not keep_columns:
-        return done.select(F.col("id").alias(id_col), "class_id", "n_links", "first_of_class")
-    fresh = {c: free_name(names, c) for c in ("class_id", "n_links", "first_of_class")}
-    done = done.select(F.col("row").alias(row), *[F.col(c).alias(n) for c, n in fresh.items()])
-    return docs.join(done, row).select(*names, *fresh.values())
+    kept = [F.col("row").alias(row)] if row else []
+    return done.select(F.col("id").alias(id_col), "class_id", "n_links", "first_of_class", *kept)
+
+
+def drop_near_duplicates(docs: DataFrame, text: str = "text", id_col: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` that are first of their class in :func:`jaccard_classes`.
+
+    Rows are numbered and written once. Of those that go, only keys are shuffled; the others
+    pass without a shuffle, bar the few that share a bit of the prefilter with one that goes.
+    """
+    row = free_name([*docs.columns, "class_id", "n_links", "first_of_class"], "row")
+    numbered = stored(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    classes = jaccard_classes(numbered, text, id_col, threshold, row=row)
+    gone = stored(classes.where(~F.col("first_of_class")).select(row), "gone")
+    marked, maybe = maybe_in(numbered, row, gone)
+    kept = marked.where(~F.col(maybe)).union(marked.where(maybe).join(gone, row, "left_anti").select(*marked.columns))
+    return kept.select(*docs.columns)

@@ -43,6 +43,12 @@ RULES = (
 )
 
 
+COUNTS = (
+    "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words",
+    "n_stop_words", "n_symbol_words",
+)
+
+
 def repeated_words(words: Column) -> Column:
     """Number of words inside five-word windows that occur twice or more, the first included.
 
@@ -98,52 +104,55 @@ def quality_rules(
     words = F.filter(F.split(body, BLANK + "+"), lambda w: w != "")
     lines = F.filter(F.split(body, "\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]"))
     symbols = "#*$%&|<>"
-    w, ln = free_name(docs.columns, "words_"), free_name(docs.columns, "lines_")
-    q = free_name(docs.columns, "quality")
-    measured = docs.withColumns({w: words, ln: lines})
-    n_words = F.size(w).cast("long")
-    counts = {
-        "n_words": n_words,
-        "word_chars": F.char_length(F.regexp_replace(body, BLANK + "+", "")).cast("long"),
-        "n_symbols": (F.char_length(body) - F.char_length(F.regexp_replace(body, f"[{symbols}]+", ""))).cast("long"),
-        "n_lines": F.size(ln).cast("long"),
-        "n_dup_lines": (F.size(ln) - F.size(F.array_distinct(ln))).cast("long"),
-        "n_repeat_words": repeated_words(F.col(w)),
-        "n_stop_words": F.size(
-            F.filter(w, lambda x: F.btrim(F.lower(x), F.lit(EDGE)).isin(*stop_words))
-        ).cast("long"),
-        "n_symbol_words": F.size(F.filter(w, lambda x: ~x.rlike("[\\p{L}\\p{N}]"))).cast("long"),
-    }
-    measured = measured.withColumn(q, F.struct(*[c.alias(k) for k, c in counts.items()])).drop(w, ln)
-
-    def ratio(a: str, b: str) -> Column:
-        return F.when(F.col(f"{q}.{b}") > 0, F.col(f"{q}.{a}") / F.col(f"{q}.{b}"))
-
-    n = F.col(f"{q}.n_words")
-    # one function word is added, so that chance does not decide on texts of a few words
-    measures = {
-        "n_words": n,
-        "mean_word_length": ratio("word_chars", "n_words"),
-        "symbol_ratio": ratio("n_symbols", "n_words"),
-        "stop_word_ratio": F.when(n > 0, (F.col(f"{q}.n_stop_words") + 1) / n),
-        "symbol_word_ratio": ratio("n_symbol_words", "n_words"),
-        "duplicate_line_ratio": ratio("n_dup_lines", "n_lines"),
-        "repeat_word_ratio": ratio("n_repeat_words", "n_words"),
-    }
-
-    def holds(table: Sequence[Rule]) -> Column:
-        ok = F.lit(True)
-        for rule in table:
-            value = measures[rule.measure]
-            for bound in (() if rule.low is None else (value >= rule.low,)) + (
-                () if rule.high is None else (value <= rule.high,)
-            ):
-                ok = ok & F.coalesce(bound, F.lit(True))
-        return ok
-
-    base_failed = ~holds(base_rules)
-    fields = [F.col(f"{q}.{k}").alias(k) for k in counts]
-    return measured.withColumn(
-        q,
-        F.struct(*fields, base_failed.alias("base_failed"), (~base_failed & holds(rules)).alias("kept")),
-    )
+
+    def counted(w: Column, ln: Column) -> Column:
+        counts = {
+            "n_words": F.size(w),
+            "word_chars": F.char_length(F.regexp_replace(body, BLANK + "+", "")),
+            "n_symbols": F.char_length(body) - F.char_length(F.regexp_replace(body, f"[{symbols}]+", "")),
+            "n_lines": F.size(ln),
+            "n_dup_lines": F.size(ln) - F.size(F.array_distinct(ln)),
+            "n_repeat_words": repeated_words(w),
+            "n_stop_words": F.size(
+                F.filter(w, lambda x: F.btrim(F.lower(x), F.lit(EDGE)).isin(*stop_words))
+            ),
+            "n_symbol_words": F.size(F.filter(w, lambda x: ~x.rlike("[\\p{L}\\p{N}]"))),
+        }
+        return F.struct(*[c.cast("long").alias(k) for k, c in counts.items()])
+
+    def judged(q: Column) -> Column:
+        def ratio(a: str, b: str) -> Column:
+            return F.when(q[b] > 0, q[a] / q[b])
+
+        # one function word is added, so that chance does not decide on texts of a few words
+        measures = {
+            "n_words": q["n_words"],
+            "mean_word_length": ratio("word_chars", "n_words"),
+            "symbol_ratio": ratio("n_symbols", "n_words"),
+            "stop_word_ratio": F.when(q["n_words"] > 0, (q["n_stop_words"] + 1) / q["n_words"]),
+            "symbol_word_ratio": ratio("n_symbol_words", "n_words"),
+            "duplicate_line_ratio": ratio("n_dup_lines", "n_lines"),
+            "repeat_word_ratio": ratio("n_repeat_words", "n_words"),
+        }
+
+        def holds(table: Sequence[Rule]) -> Column:
+            ok = F.lit(True)
+            for rule in table:
+                value = measures[rule.measure]
+                for bound in (() if rule.low is None else (value >= rule.low,)) + (
+                    () if rule.high is None else (value <= rule.high,)
+                ):
+                    ok = ok & F.coalesce(bound, F.lit(True))
+            return ok
+
+        base_failed = ~holds(base_rules)
+        return F.struct(
+            *[q[k].alias(k) for k in COUNTS],
+            base_failed.alias("base_failed"),
+            (~base_failed & holds(rules)).alias("kept"),
+        )
+
+    # words and counts are bound inside the expression: a filter on the verdict may be pushed
+    # down and then carries the whole expression with it
+    quality = let(let(words, lambda w: let(lines, lambda ln: counted(w, ln))), judged)
+    return docs.withColumn(free_name(docs.columns, "quality"), quality)
