@@ -172,11 +172,7 @@ class Lattice(PieceMemo):
         open_[np.searchsorted(heads, offsets[:-1][offsets[:-1] < len(raw)])] = True
         starts = heads[open_]
         ends = np.append(starts[1:], len(raw))
-        found = self.ids(raw, starts, ends)
-        if found is None:
-            parts = [np.array(self.numbers(self.path(t, (0, CUT))), np.uint32) for t in texts.to_pylist()]
-            return np.concatenate(parts), np.fromiter(map(len, parts), np.int64, len(parts))
-        ids, length = found
+        ids, length = self.ids(raw, starts, ends)
         owner = np.searchsorted(offsets, starts, side="right") - 1
         return ids, np.bincount(owner, weights=length, minlength=len(offsets) - 1).astype(np.int64)
 

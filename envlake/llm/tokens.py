@@ -12,10 +12,15 @@ import numpy as np
 import pyarrow as pa
 
 from envlake.llm.common import text_bytes
-from envlake.llm.shingles import word_hashes
+from envlake.llm.shingles import mix
 
 END = 0  # the id that closes a document
 MOST_REMEMBERED = 800_000  # pieces; all are forgotten when there are more
+SOME = 1 << 17  # pieces looked up at once
+SLOT_BITS = 20
+SLOTS = 1 << SLOT_BITS
+#: The first n bytes of a little-endian whole number.
+MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
 # Byte-level BPE first cuts a text into pre-tokens and encodes each alone. Over the letters
 # below, ASCII without apostrophes, blanks and line breaks, pre-tokens are runs of letters, of
@@ -54,6 +59,7 @@ class PieceMemo:
     """Ids of byte pieces, each encoded once by :meth:`fresh` and remembered."""
 
     def __init__(self) -> None:
+        self.generation = 0
         self.forget()
 
     def fresh(self, wanted: list[str]) -> dict[str, bytes]:
@@ -63,10 +69,11 @@ class PieceMemo:
     def _numbers(self, pieces: list[bytes]) -> np.ndarray:
         """Place in ``self.start`` of each piece, after encoding those not met before."""
         known = self.known
-        if len(known) + len(pieces) > MOST_REMEMBERED:
+        fresh = [w for w in dict.fromkeys(pieces) if w not in known]
+        if len(known) + len(fresh) > MOST_REMEMBERED and known:
             self.forget()
-            known = self.known
-        fresh = [w for w in pieces if w not in known]
+            self.generation += 1
+            return self._numbers(pieces)
         if fresh:
             names = [w.decode() for w in fresh]
             found = self.fresh(names)
@@ -82,6 +89,9 @@ class PieceMemo:
         self.used = self.pieces = 0
         self.arena = np.empty(1 << 16, np.uint32)
         self.start, self.length = np.empty(1 << 14, np.int64), np.empty(1 << 14, np.int64)
+        # the last piece met of each slot: its bytes as whole numbers, its length, its number
+        self.slot_bytes = np.zeros((SLOTS, 4), np.uint64)
+        self.slot_number = np.full(SLOTS, -1, np.int64)
 
     def _append(self, flat: np.ndarray, lengths: np.ndarray) -> None:
         def grown(array: np.ndarray, need: int) -> np.ndarray:
@@ -95,28 +105,47 @@ class PieceMemo:
         self.length[self.pieces : self.pieces + n] = lengths
         self.used, self.pieces = self.used + len(flat), self.pieces + n
 
-    def ids(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+    def ids(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the pieces in a row, and the number of ids of each.
 
-        Pieces of one hash are compared byte by byte; None if any differ.
+        Most pieces are found in a table of slots, where all of their bytes are compared;
+        the others, and those of more than 24 bytes, in the dictionary.
         """
-        values = word_hashes(raw, starts, ends)
-        _, first, inverse = np.unique(values, return_index=True, return_inverse=True)
+        parts = [self._some_ids(raw, starts[i : i + SOME], ends[i : i + SOME]) for i in range(0, len(starts), SOME)]
+        if not parts:
+            return np.empty(0, np.uint32), np.empty(0, np.int64)
+        return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+
+    def _some_ids(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        low_, high_ = int(starts[0]), int(ends[-1])
+        raw, starts, ends = raw[low_:high_], starts - low_, ends - low_
         sizes = ends - starts
-        if not (sizes == sizes[first][inverse]).all():
-            return None
-        if len(starts):
-            steps = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            here = np.repeat(starts, sizes) + steps
-            there = np.repeat(starts[first][inverse], sizes) + steps
-            if not (raw[here] == raw[there]).all():
-                return None
-        view = memoryview(raw)
-        low, high = starts[first].tolist(), ends[first].tolist()
-        number = self._numbers([bytes(view[a:b]) for a, b in zip(low, high, strict=True)])
-        at, length = self.start[number][inverse], self.length[number][inverse]
-        before = np.cumsum(length) - length
-        return self.arena[np.repeat(at - before, length) + np.arange(int(length.sum()))], length
+        padded = np.concatenate([raw, np.zeros(24, np.uint8)])
+        words = np.ndarray((len(raw) + 17,), "<u8", padded, 0, (1,))  # eight bytes from each place on
+        key = np.empty((len(starts), 4), np.uint64)
+        key[:, 3] = sizes
+        for k in range(3):
+            left = np.clip(sizes - 8 * k, 0, 8)
+            key[:, k] = words[np.minimum(starts + 8 * k, len(raw))] & MASKS[left]
+        slot = (mix(key[:, 0] ^ (key[:, 1] * np.uint64(0x9E3779B97F4A7C15)) ^ (key[:, 2] * np.uint64(0xC2B2AE3D27D4EB4F))) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+        number = self.slot_number[slot]
+        hit = (self.slot_bytes[slot] == key).all(axis=1) & (number >= 0) & (sizes <= 24)
+        missed = np.flatnonzero(~hit)
+        if len(missed):
+            view = memoryview(raw)
+            low, high = starts[missed].tolist(), ends[missed].tolist()
+            pieces = [bytes(view[a:b]) for a, b in zip(low, high, strict=True)]
+            before = self.generation
+            found = self._numbers(pieces)
+            if before != self.generation:  # all was forgotten: numbers from the slots are void
+                return self._some_ids(raw, starts, ends)
+            number[missed] = found
+            short = sizes[missed] <= 24
+            self.slot_bytes[slot[missed[short]]] = key[missed[short]]
+            self.slot_number[slot[missed[short]]] = found[short]
+        at, length = self.start[number], self.length[number]
+        first = np.cumsum(length) - length
+        return self.arena[np.repeat(at - first, length) + np.arange(int(length.sum()))], length
 
 
 class Encoder(PieceMemo):
@@ -164,11 +193,7 @@ class Encoder(PieceMemo):
         starts, ends, owner = self._pre_tokens(raw, offsets, kind)
         good = ~odd[owner]
         starts, ends, owner = starts[good], ends[good], owner[good]
-        found = self.ids(raw, starts, ends)
-        if found is None:  # two pieces with one hash: these texts are encoded one by one
-            odd[:] = True
-            owner, found = owner[:0], (np.empty(0, np.uint32), np.empty(0, np.int64))
-        ids, length = found
+        ids, length = self.ids(raw, starts, ends)
         per_text = np.bincount(owner, weights=length, minlength=n_texts).astype(np.int64)
         if odd.any():
             edges = np.r_[0, np.cumsum(per_text)]
