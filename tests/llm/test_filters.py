@@ -1,6 +1,7 @@
 """Quality rules, language identification and toxicity."""
 
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +22,8 @@ def crc(doc_id):
 def base_counts(text):
     w, t = words(text), text or ""
     windows = [tuple(w[i : i + 5]) for i in range(len(w) - 4)]
-    repeated = {i + k for i, x in enumerate(windows) if windows.count(x) > 1 for k in range(5)}
+    times = Counter(windows)
+    repeated = {i + k for i, x in enumerate(windows) if times[x] > 1 for k in range(5)}
     lines = [x for x in t.split("\n") if words(x)]
     return (
         len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in t),
