@@ -75,4 +75,5 @@ def percent(part: Column, whole: Column) -> Column:
 
 
 def percent_text(pct: Column) -> Column:
-    return F.format_string("%.1f", pct)
+    """One decimal; what lies halfway by its exact binary value goes to the even digit."""
+    return F.call_function("format_number", pct, F.lit("0.0"))

@@ -6,7 +6,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from envlake.functions import landing_key
+from envlake.functions import half_year_start, landing_key
 from envlake.operators import (
     clean_collected,
     coverage,
@@ -17,7 +17,7 @@ from envlake.operators import (
 )
 from envlake.schemas import FIRST_DAY, LAST_DAY, STATIONS
 from envlake.sources import inline_table, scratch_dir, write_delimited
-from envlake.sources.raw_json import DOCUMENT_COLUMNS
+from envlake.sources.raw_json import DOCUMENT_COLUMNS, REST
 
 
 def station_list(spark: SparkSession) -> DataFrame:
@@ -33,6 +33,34 @@ def expected_documents(
     )
 
 
+def requested_documents(
+    documents: DataFrame,
+    stations: DataFrame,
+    start: date | str = FIRST_DAY,
+    end: date | str = LAST_DAY,
+) -> DataFrame:
+    """The documents of the stations and period, chosen by key before any is parsed."""
+    expected = expected_documents(stations, start, end)
+    return documents.join(expected.select("documento"), "documento", "left_semi")
+
+
+def _of_period(records: DataFrame, start: date | str, end: date | str) -> DataFrame:
+    """Landed records of the period's windows: a plain range, so that other folders are not read."""
+    first = half_year_start(F.lit(start).cast("date")).cast("string")
+    last = F.lit(end).cast("date").cast("string")
+    return records.where((F.col("ventana") >= first) & (F.col("ventana") <= last))
+
+
+def _with_rest(clean: DataFrame) -> DataFrame:
+    """The keys outside the list as columns of their own; their names are few."""
+    if REST not in clean.columns:
+        return clean
+    keys = clean.select(F.explode(F.map_keys(REST)).alias("k")).distinct().orderBy("k").collect()
+    taken = {c.lower() for c in clean.columns}
+    extra = {r.k: F.col(REST).getItem(r.k) for r in keys if r.k.lower() not in taken}
+    return clean.withColumns(extra).drop(REST)
+
+
 def collect_observations(
     spark: SparkSession,
     records: DataFrame,
@@ -47,20 +75,25 @@ def collect_observations(
     ``records`` come from ``read_raw_documents``, ``parse_documents`` or ``read_landed``;
     those of other stations or windows are left out. They are parsed once, into a
     table below ``work``; the sort (which reads its input twice) and the reports use
-    that table. A document counts for its window as soon as it holds one record;
+    that table, whose path is the one row of ``work``. Keys that the records keep in a map
+    become columns. Without any record an earlier CSV is left alone. A document counts for its window as soon as it holds one record;
     ``coverage`` shows what is short.
     """
     stations = station_list(spark) if stations is None else stations
     clean_path = f"{work or scratch_dir(spark, 'collected')}/clean"
     expected = expected_documents(stations, start, end)
+    if "ventana" in records.columns:
+        records = _of_period(records, start, end)
     requested = records.join(expected.select("documento"), "documento", "left_semi")
     clean_collected(requested).write.mode("overwrite").parquet(clean_path)
-    clean = spark.read.parquet(clean_path)
+    clean = _with_rest(spark.read.parquet(clean_path))
     observations = clean.drop("documento", *DOCUMENT_COLUMNS)
-    write_delimited(sorted_observations(observations), csv, bom=True)
+    if not clean.isEmpty():
+        write_delimited(sorted_observations(observations), csv, bom=True)
     return {
         "observations": observations,
         "summary": dataset_summary(clean),
         "coverage": coverage(stations, clean, start, end),
         "missing_windows": missing_windows(expected, clean, ["documento"]),
+        "work": inline_table(spark, [(clean_path,)], "path string"),
     }

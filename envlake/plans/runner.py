@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from envlake.operators import seed_copy
+from envlake.operators import preview, seed_copy
 from envlake.plans.air import air_fact
 from envlake.plans.weather import weather_fact
 from envlake.schemas import AIR_YEARS, POLLUTANTS
@@ -94,12 +94,16 @@ JOBS: tuple[JobSpec, ...] = (
 def _result(spark: SparkSession, job: JobSpec, sources: Mapping[str, DataFrame]) -> DataFrame:
     if callable(job.build):
         return job.build(sources)
+    # the caller's own views of these names come back afterwards
+    theirs = {t.name: spark.table(t.name) for t in spark.catalog.listTables() if t.isTemporary}
+    theirs = {n: v for n, v in theirs.items() if n.lower() in {a.lower() for a in sources}}
     register_views(sources)
     try:
         return spark.sql(job.build.strip().rstrip(";"))
     finally:
         for alias in sources:
             spark.catalog.dropTempView(alias)
+        register_views(theirs)
 
 
 def _run_one(
@@ -141,7 +145,8 @@ def run(
 ) -> DataFrame:
     """Run all jobs, or the one called ``name`` in any case, below the folder ``root``.
 
-    Each job stages its stale sources, computes its table and replaces its output.
+    Each job stages its stale sources, computes its table and replaces its output, which
+    stays as it was if the job fails.
     A job that cannot run is reported and does not stop the others. One row per
     job: ``pipeline``, ``status`` and ``detail`` (the output, or what went wrong).
     """
@@ -150,3 +155,11 @@ def run(
         return inline_table(spark, [(name, "unknown pipeline", "")], _STATUS)
     rows = [(j.name, *_run_one(spark, root, j, catalog)) for j in chosen]
     return inline_table(spark, rows, _STATUS)
+
+
+def written_previews(
+    spark: SparkSession, status: DataFrame, rows: int = 5
+) -> dict[str, DataFrame]:
+    """The first rows of each table that :func:`run` reports as written, by job."""
+    done = status.where("status = 'ok'").select("pipeline", "detail").collect()
+    return {r.pipeline: preview(spark.read.parquet(r.detail), rows=rows) for r in done}

@@ -13,11 +13,10 @@ from envlake.operators import (
     unpivot_measures,
 )
 from envlake.plans.air import hourly_fact
-from envlake.schemas import HOURS
 from envlake.queries.inputs import (
-    HOURLY_EVENTS_SQL,
+    HOURLY_EVENTS_FACT_SQL,
+    HOURLY_EVENTS_LABEL_SQL,
     hourly_events,
-    hourly_fact_sql,
     table,
     unit_dimension,
 )
@@ -151,12 +150,8 @@ QUERIES = {
 }
 
 SQL = {
-    "wide_hours_to_fact": hourly_fact_sql(HOURLY_EVENTS_SQL),
-    "unpivot_hour_labels": f"""
-WITH wide AS ({HOURLY_EVENTS_SQL}),
-     long AS (UNPIVOT wide ON {", ".join(HOURS)} INTO NAME hora VALUE valor)
-SELECT *, CAST(replace(hora, 'h', '') AS INT) - 1 AS hora_num FROM long
-""",
+    "wide_hours_to_fact": HOURLY_EVENTS_FACT_SQL,
+    "unpivot_hour_labels": HOURLY_EVENTS_LABEL_SQL,
     "weather_melt": f"""
 WITH base AS (
   SELECT l_orderkey AS indicativo, l_linenumber AS linea,
@@ -168,14 +163,10 @@ melted AS ({_MELT_BRANCHES})
 SELECT * FROM melted WHERE valor IS NOT NULL
 """,
     "locale_decimal": """
-WITH t AS (
-  SELECT event_id, CASE event_type WHEN 'error' THEN 'Ip' WHEN 'signup' THEN 'Acum'
-         ELSE replace(CAST(value AS VARCHAR), '.', ',') END AS txt
-  FROM events)
 SELECT event_id,
-       TRY_CAST(replace(replace(txt, ',', '.'), 'Ip', '0.0') AS DOUBLE) AS con_traza,
-       TRY_CAST(replace(txt, ',', '.') AS DOUBLE) AS sin_traza
-FROM t
+       CASE event_type WHEN 'error' THEN 0.0 WHEN 'signup' THEN NULL ELSE value END AS con_traza,
+       CASE WHEN event_type NOT IN ('error', 'signup') THEN value END AS sin_traza
+FROM events
 """,
     "cast_int_rounding": """
 SELECT o_orderkey, CAST(o_totalprice AS INT) AS from_double,

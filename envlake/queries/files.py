@@ -13,12 +13,12 @@ from envlake.sources import (
     land_records,
     parse_documents,
     read_dataset,
-    read_delimited,
     read_landed,
     read_raw_documents,
     refresh,
     register_views,
     scratch_dir,
+    staged_path,
     write_delimited,
     write_fact,
 )
@@ -31,15 +31,23 @@ _CUSTOMER_TYPES = {
 
 
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Some segments carry quotes and separators, one is empty (and so NULL)."""
-    path = f"{scratch_dir(spark, 'csv')}/customer.csv"
+    """Segments with quotes, separators, blanks around, only blanks, line breaks and none.
+
+    They come back through a staged dataset that allows line breaks.
+    """
+    root = scratch_dir(spark, "csv")
     segment = F.col("c_mktsegment")
     customers = table(spark, sf_dir, "customer").withColumn(
         "c_mktsegment",
-        F.when(segment == "HOUSEHOLD", 'HOUSE;"HOLD"').when(segment != "MACHINERY", segment),
+        F.when(segment == "HOUSEHOLD", 'HOUSE;"HOLD"')
+        .when(segment == "BUILDING", "  BUILDING ")
+        .when(segment == "FURNITURE", F.when(F.col("c_nationkey") < 12, "   ").otherwise("FURNI\nTURE"))
+        .when(segment != "MACHINERY", segment),
     )
-    write_delimited(customers, path, sep=";", bom=True)
-    return read_delimited(spark, path, ";", _CUSTOMER_TYPES)
+    spec = DatasetSpec("crudo/customer.csv", ";", _CUSTOMER_TYPES, multi_line=True)
+    write_delimited(customers, f"{root}/{spec.path}", sep=";", bom=True, multi_line=True)
+    refresh(spark, root, {"clientes": spec})
+    return read_dataset(spark, root, spec)
 
 
 def parquet_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,15 +59,22 @@ def parquet_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return written
 
 
+LANDING_START = "1996-03-01"
+
+
 def json_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some dates are absent, unreadable or before the start; one line is cut short."""
     path = scratch_dir(spark, "landing")
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
     records = table(spark, sf_dir, "orders").select(
-        F.date_format("o_orderdate", "yyyy-MM-dd").alias("fecha"),
+        F.when(F.col("o_orderkey") % 13 == 0, "sin fecha").when(F.col("o_orderkey") % 17 != 0, day).alias("fecha"),
         F.col("o_orderpriority").alias("indicativo"),
         F.col("o_orderkey").cast("string").alias("nombre"),
         F.when(F.col("o_orderstatus") == "F", F.col("o_custkey").cast("string")).alias("prec"),
     )
-    land_records(records, path)
+    land_records(records, path, LANDING_START)
+    broken = spark.createDataFrame([('{"fecha": "2000-01-0',)], "value string")
+    broken.write.mode("append").text(f"{path}/indicativo=1-URGENT/ventana=2000-01-01")
     return read_landed(spark, path, ["fecha", "indicativo", "nombre", "prec"])
 
 
@@ -67,9 +82,10 @@ RECORD_FIELDS = ["fecha", "indicativo", "nombre", "prec", "tmed"]
 
 
 def raw_documents(frame: DataFrame, key: str, name: str, amount: str, nation: str) -> DataFrame:
-    """Two documents per row of a table; those of nations 0 to 3 are unusable.
+    """Two documents per row of a table; those of nations 0 to 7 are unusable.
 
-    Each holds three records, which lack the keys whose value is NULL.
+    Each holds three records, which lack the keys whose value is NULL. The third has a
+    key, ``nota``, that no list of fields names.
     """
 
     def record(day: str) -> F.Column:
@@ -80,6 +96,7 @@ def raw_documents(frame: DataFrame, key: str, name: str, amount: str, nation: st
             F.col(name).alias("nombre"),
             (F.lit("Ip") if day == "02" else number).alias("prec"),
             F.when(F.lit(day) == "03", "Ip").alias("tmed"),
+            F.when(F.lit(day) == "03", F.col(name)).alias("nota"),
         )
 
     good = F.to_json(F.array(record("01"), record("02"), record("03")))
@@ -88,6 +105,10 @@ def raw_documents(frame: DataFrame, key: str, name: str, amount: str, nation: st
         .when(F.col(nation) == 1, "[]")
         .when(F.col(nation) == 2, '{"estado": 404, "fecha": "2022-01-01"}')
         .when(F.col(nation) == 3, "<html>error</html>")
+        .when(F.col(nation) == 4, F.concat("good", F.lit(" "), "good"))
+        .when(F.col(nation) == 5, F.concat("good", F.lit(', {"x": 1}]')))
+        .when(F.col(nation) == 6, F.translate("good", '"', "'"))
+        .when(F.col(nation) == 7, F.concat("good", F.lit(", "), "good"))
         .otherwise(F.col("good"))
     )
     return (
@@ -108,10 +129,10 @@ SELECT concat_ws('_', CAST({key} AS VARCHAR), replace(mes, '-', '_')) AS documen
        CAST(mes || '-01' AS DATE) AS documento_mes, mes || '-' || dd AS fecha,
        CAST({key} AS VARCHAR) AS indicativo, {name} AS nombre,
        CASE WHEN dd = '02' THEN 'Ip' ELSE replace(CAST({amount} AS VARCHAR), '.', ',') END AS prec,
-       CASE WHEN dd = '03' THEN 'Ip' END AS tmed,
+       CASE WHEN dd = '03' THEN 'Ip' END AS tmed, CASE WHEN dd = '03' THEN {name} END AS nota,
        CASE WHEN dd <> '02' THEN {amount} END AS prec_num
 FROM {table_name}, (VALUES ('2022-01'), ('2022-07')) m(mes), (VALUES ('01'), ('02'), ('03')) d(dd)
-WHERE {nation} NOT IN (0, 1, 2, 3)
+WHERE {nation} > 7
 """
 
 
@@ -185,6 +206,20 @@ def bronze_stale_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dataset_status(spark, _bronze_root(spark, sf_dir), _BRONZE_CATALOG)
 
 
+def partial_copy_is_restaged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A copy of a part of the rows, whose write did not end, is not read as the dataset."""
+    root = scratch_dir(spark, "partial")
+    customers = table(spark, sf_dir, "customer")
+    spec = _BRONZE_CATALOG["clientes"]
+    write_delimited(customers, f"{root}/{spec.path}", ";")
+    cut = customers.where("c_custkey < 10").write
+    cut.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(
+        staged_path(f"{root}/{spec.path}")
+    )
+    refresh(spark, root, {"clientes": spec})
+    return read_dataset(spark, root, spec)
+
+
 def bronze_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per dataset once the stale ones are staged again."""
     root = _bronze_root(spark, sf_dir)
@@ -209,31 +244,37 @@ QUERIES = {
     "latin9_decode": latin9_decode,
     "bronze_stale_files": bronze_stale_files,
     "bronze_refresh": bronze_refresh,
+    "partial_copy_is_restaged": partial_copy_is_restaged,
 }
 
 SQL = {
     "csv_roundtrip": """
 SELECT c_custkey, c_name, c_nationkey, c_acctbal,
        CASE c_mktsegment WHEN 'HOUSEHOLD' THEN 'HOUSE;"HOLD"' WHEN 'MACHINERY' THEN NULL
+            WHEN 'BUILDING' THEN '  BUILDING '
+            WHEN 'FURNITURE' THEN CASE WHEN c_nationkey < 12 THEN '   ' ELSE 'FURNI' || chr(10) || 'TURE' END
             ELSE c_mktsegment END AS c_mktsegment
 FROM customer
 """,
     "parquet_sink_roundtrip": "SELECT * FROM orders",
-    "json_landing": """
-SELECT strftime(o_orderdate, '%Y-%m-%d') AS fecha, o_orderpriority AS indicativo,
-       CAST(o_orderkey AS VARCHAR) AS nombre,
+    "json_landing": f"""
+WITH d AS (
+  SELECT *, CASE WHEN o_orderkey % 13 <> 0 AND o_orderkey % 17 <> 0 AND o_orderdate >= DATE '{LANDING_START}'
+                 THEN greatest(make_date(year(o_orderdate), CASE WHEN month(o_orderdate) <= 6 THEN 1 ELSE 7 END, 1),
+                               DATE '{LANDING_START}') END AS w
+  FROM orders)
+SELECT CASE WHEN o_orderkey % 13 = 0 THEN 'sin fecha'
+            WHEN o_orderkey % 17 <> 0 THEN strftime(o_orderdate, '%Y-%m-%d') END AS fecha,
+       o_orderpriority AS indicativo, CAST(o_orderkey AS VARCHAR) AS nombre,
        CASE WHEN o_orderstatus = 'F' THEN CAST(o_custkey AS VARCHAR) END AS prec,
-       strftime(o_orderdate, '%Y') || CASE WHEN month(o_orderdate) <= 6 THEN '-01-01' ELSE '-07-01' END
-           AS ventana,
-       o_orderpriority || strftime(o_orderdate, '_%Y') ||
-           CASE WHEN month(o_orderdate) <= 6 THEN '_01' ELSE '_07' END AS documento
-FROM orders
+       strftime(w, '%Y-%m-%d') AS ventana, o_orderpriority || strftime(w, '_%Y_%m') AS documento
+FROM d
 """,
     "json_raw_scan": f"""
-SELECT * EXCLUDE (prec_num) FROM ({records_sql('supplier', *SUPPLIER_COLUMNS)})
+SELECT * EXCLUDE (prec_num, nota) FROM ({records_sql('supplier', *SUPPLIER_COLUMNS)})
 """,
     "json_documents_parse": f"""
-SELECT * EXCLUDE (prec_num) FROM ({records_sql('customer', *CUSTOMER_COLUMNS)})
+SELECT * EXCLUDE (prec_num, nota) FROM ({records_sql('customer', *CUSTOMER_COLUMNS)})
 """,
     "latin9_decode": f"""
 SELECT doc_id, translate(regexp_replace(text,
@@ -245,6 +286,7 @@ FROM documents
 SELECT * FROM (VALUES ('clientes', 'fresh'), ('proveedores', 'stale'), ('pedidos', 'unstaged'),
                       ('piezas', 'fresh'), ('ausente', 'absent')) t(dataset, state)
 """,
+    "partial_copy_is_restaged": "SELECT * FROM customer",
     "bronze_refresh": """
 SELECT 'clientes' AS dataset, false AS convertido, count(*) AS n FROM customer
 UNION ALL SELECT 'proveedores', true, count(*) FROM supplier

@@ -40,14 +40,29 @@ def hourly_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-HOURLY_EVENTS_SQL = f"""
-SELECT CAST(user_id % 5 AS INT) AS provincia, CAST(user_id % 11 AS INT) AS municipio,
-       CAST(user_id AS INT) AS estacion,
-       CASE WHEN event_type <> 'error' THEN CAST(user_id % 30 AS INT) END AS magnitud,
-       concat_ws('_', CAST(user_id AS VARCHAR), event_type) AS "punto muestreo",
-       CAST(year(ts) AS INT) AS anno, CAST(month(ts) AS INT) AS mes, CAST(day(ts) AS INT) AS dia,
-       {", ".join(f"max(CASE WHEN hour(ts) = {n} THEN value END) AS {h}" for n, h in enumerate(HOURS))}
-FROM events GROUP BY user_id, event_type, year(ts), month(ts), day(ts)
+# The highest value of each hour is one group: no wide table, no melt.
+_EVENT_COLUMNS = """
+CAST(user_id % 5 AS INT) AS provincia, CAST(user_id % 11 AS INT) AS municipio,
+CAST(user_id AS INT) AS estacion, CASE WHEN event_type <> 'error' THEN CAST(user_id % 30 AS INT) END AS magnitud"""
+
+HOURLY_EVENTS_FACT_SQL = f"""
+WITH top AS (
+  SELECT user_id, event_type, date_trunc('hour', ts) AS fecha, max(value) AS uom_value
+  FROM events GROUP BY ALL)
+SELECT {_EVENT_COLUMNS}, concat_ws('_', CAST(user_id AS VARCHAR), event_type) AS punto_muestreo,
+       CAST(fecha AS TIMESTAMP) AS fecha,
+       (SELECT n_name FROM nation WHERE n_nationkey = user_id % 30 AND event_type <> 'error') AS uom, uom_value
+FROM top WHERE uom_value IS NOT NULL
+"""
+
+HOURLY_EVENTS_LABEL_SQL = f"""
+WITH top AS (
+  SELECT user_id, event_type, CAST(ts AS DATE) AS d, CAST(hour(ts) AS INT) AS hora_num, max(value) AS valor
+  FROM events GROUP BY ALL)
+SELECT {_EVENT_COLUMNS}, concat_ws('_', CAST(user_id AS VARCHAR), event_type) AS "punto muestreo",
+       CAST(year(d) AS INT) AS anno, CAST(month(d) AS INT) AS mes, CAST(day(d) AS INT) AS dia,
+       format('h{{:02d}}', hora_num + 1) AS hora, valor, hora_num
+FROM top WHERE valor IS NOT NULL
 """
 
 
@@ -58,9 +73,6 @@ def unit_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-UNIT_DIMENSION_SQL = "SELECT n_nationkey AS MAGNITUD, n_name AS UNIDAD FROM nation"
-
-
 # --- orders -> wide hourly rows, for the file-based jobs -----------------------
 
 
@@ -82,30 +94,15 @@ def hourly_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-HOURLY_ORDERS_SQL = f"""
+HOURLY_ORDERS_FACT_SQL = """
 SELECT CAST(o_custkey % 50 AS INT) AS provincia, CAST(o_custkey % 179 AS INT) AS municipio,
        CAST(o_custkey AS INT) AS estacion, CAST(o_orderkey % 30 AS INT) AS magnitud,
-       concat_ws('_', CAST(o_custkey AS VARCHAR), CAST(o_orderkey AS VARCHAR), o_orderstatus)
-           AS "punto muestreo",
-       year(o_orderdate) AS anno, month(o_orderdate) AS mes, day(o_orderdate) AS dia,
-       {", ".join(
-           f"CASE WHEN (o_orderkey + {n}) % 3 <> 0 THEN o_totalprice / {n + 1} END AS {h}"
-           for n, h in enumerate(HOURS)
-       )}
-FROM orders
-"""
-
-
-def hourly_fact_sql(wide_sql: str) -> str:
-    """The long hourly fact over a wide table."""
-    return f"""
-WITH wide AS ({wide_sql}),
-     units AS ({UNIT_DIMENSION_SQL}),
-     long AS (UNPIVOT wide ON {", ".join(HOURS)} INTO NAME hora VALUE valor)
-SELECT l.provincia, l.municipio, l.estacion, l.magnitud, l."punto muestreo" AS punto_muestreo,
-       make_timestamp(l.anno, l.mes, l.dia, CAST(replace(l.hora, 'h', '') AS INT) - 1, 0, 0) AS fecha,
-       u.UNIDAD AS uom, l.valor AS uom_value
-FROM long l LEFT JOIN units u ON l.magnitud = u.MAGNITUD
+       o_custkey || '_' || o_orderkey || '_' || o_orderstatus AS punto_muestreo,
+       date_trunc('day', o_orderdate)::TIMESTAMP + to_hours(h) AS fecha,
+       (SELECT n_name FROM nation WHERE n_nationkey = o_orderkey % 30) AS uom,
+       o_totalprice / (h + 1) AS uom_value
+FROM orders, range(24) AS hours(h)
+WHERE (o_orderkey + h) % 3 <> 0
 """
 
 

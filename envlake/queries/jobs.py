@@ -6,14 +6,21 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from envlake.plans import JOBS, JobSpec, collect_observations, run, weather_fact
+from envlake.plans import (
+    JOBS,
+    JobSpec,
+    collect_observations,
+    requested_documents,
+    run,
+    weather_fact,
+    written_previews,
+)
 from envlake.queries.files import CUSTOMER_COLUMNS, RECORD_FIELDS, raw_documents, records_sql
 from envlake.queries.inputs import (
-    HOURLY_ORDERS_SQL,
+    HOURLY_ORDERS_FACT_SQL,
     WEATHER_UNITS_SQL,
     daily_orders,
     daily_value_sql,
-    hourly_fact_sql,
     hourly_orders,
     table,
     unit_dimension,
@@ -24,13 +31,13 @@ from envlake.sources import CATALOG, DatasetSpec, parse_documents, scratch_dir,
 
 _AIR_KEYS = [k for k in CATALOG if k.startswith("aire")]
 # The air files are folders of one partitioned write.
-_AIR_CATALOG = {
+AIR_CATALOG = {
     **CATALOG,
     **{k: DatasetSpec(f"crudo/fichero={k}.csv", ";", AIR_TYPES) for k in _AIR_KEYS},
 }
 
 
-def _write_air_files(spark: SparkSession, sf_dir: str, root: str) -> None:
+def write_air_files(spark: SparkSession, sf_dir: str, root: str) -> None:
     """All 13 files in one pass; the orders spread over them by their month and status."""
     names = F.array(*[F.lit(f"{k}.csv") for k in _AIR_KEYS])
     which = F.col("mes") + F.when(F.col("`punto muestreo`").endswith("_F"), 1).otherwise(0)
@@ -38,7 +45,7 @@ def _write_air_files(spark: SparkSession, sf_dir: str, root: str) -> None:
         hourly_orders(spark, sf_dir)
         .withColumn("fichero", F.element_at(names, which.cast("int")))
         .write.partitionBy("fichero")
-        .options(header=True, sep=";")
+        .options(header=True, sep=";", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
         .csv(f"{root}/crudo")
     )
     write_delimited(
@@ -46,7 +53,7 @@ def _write_air_files(spark: SparkSession, sf_dir: str, root: str) -> None:
     )
 
 
-def _write_weather_files(spark: SparkSession, sf_dir: str, root: str) -> None:
+def write_weather_files(spark: SparkSession, sf_dir: str, root: str) -> None:
     daily = CATALOG["aemet_climatologia_diaria"].path
     write_delimited(daily_orders(spark, sf_dir), f"{root}/{daily}", bom=True)
     units = CATALOG["dim_variable_meteo_csv"].path
@@ -66,20 +73,20 @@ def _run_and_read(spark: SparkSession, root: str, name: str, catalog: dict) -> D
 
 def air_history_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "air")
-    _write_air_files(spark, sf_dir, root)
-    return _run_and_read(spark, root, "aire_normalizado", _AIR_CATALOG)
+    write_air_files(spark, sf_dir, root)
+    return _run_and_read(spark, root, "aire_normalizado", AIR_CATALOG)
 
 
 def weather_daily_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "weather")
-    _write_weather_files(spark, sf_dir, root)
+    write_weather_files(spark, sf_dir, root)
     return _run_and_read(spark, root, "meteo_aemet_normalizado", CATALOG)
 
 
 def job_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All four jobs where the hourly files are absent, with the rows each wrote."""
     root = scratch_dir(spark, "status")
-    _write_weather_files(spark, sf_dir, root)
+    write_weather_files(spark, sf_dir, root)
     write_delimited(
         unit_dimension(spark, sf_dir), f"{root}/{CATALOG['dim_variable_aire_csv'].path}"
     )
@@ -112,14 +119,47 @@ def sql_defined_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(status.detail)
 
 
+def _own_job(spark: SparkSession, root: str) -> tuple[JobSpec, dict]:
+    catalog = {"pedidos": DatasetSpec("crudo/orders.csv", ";", {"o_orderkey": "bigint", "o_totalprice": "double"})}
+    job = JobSpec("pedidos", {"p": "pedidos"}, "SELECT o_orderkey, o_totalprice FROM p", "salida/pedidos.parquet")
+    return job, catalog
+
+
+def failed_rerun_keeps_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A job that ran, whose source then breaks: its output is that of the first run."""
+    root = scratch_dir(spark, "rerun")
+    job, catalog = _own_job(spark, root)
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_totalprice").cast("string"))
+    write_delimited(orders, f"{root}/crudo/orders.csv", ";")
+    states = [run(spark, root, jobs=(job,), catalog=catalog).first().status]
+    broken = orders.withColumn("o_totalprice", F.lit("no number"))
+    write_delimited(broken, f"{root}/crudo/orders.csv", ";")
+    states.append(run(spark, root, jobs=(job,), catalog=catalog).first().status)
+    if states != ["ok", "failed"]:
+        raise RuntimeError(f"unexpected states {states}")
+    return spark.read.parquet(f"{root}/{job.output}")
+
+
+def job_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first rows of what a job wrote; here it wrote only five."""
+    root = scratch_dir(spark, "preview")
+    job, catalog = _own_job(spark, root)
+    first = table(spark, sf_dir, "orders").orderBy("o_orderkey").limit(5)
+    write_delimited(first.select("o_orderkey", "o_totalprice"), f"{root}/crudo/orders.csv", ";")
+    return written_previews(spark, run(spark, root, jobs=(job,), catalog=catalog))["pedidos"]
+
+
 def _collect(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     customers = table(spark, sf_dir, "customer")
     stations = customers.select(
         F.col("c_custkey").cast("string").alias("indicativo"), F.col("c_name").alias("nombre")
     )
+    documents = requested_documents(
+        raw_documents(customers, *CUSTOMER_COLUMNS), stations, "2022-01-01", "2022-12-31"
+    )
     return collect_observations(
         spark,
-        parse_documents(raw_documents(customers, *CUSTOMER_COLUMNS), RECORD_FIELDS),
+        parse_documents(documents, RECORD_FIELDS, rest=True),
         f"{scratch_dir(spark, 'collected')}/observations.csv",
         stations,
         "2022-01-01",
@@ -168,6 +208,8 @@ QUERIES = {
     "weather_daily_job": weather_daily_job,
     "job_status": job_status,
     "sql_defined_job": sql_defined_job,
+    "failed_rerun_keeps_output": failed_rerun_keeps_output,
+    "job_preview": job_preview,
     "collected_weather_fact": collected_weather_fact,
     "raw_weather_fact": raw_weather_fact,
     "collected_observations": collected_observations,
@@ -194,7 +236,7 @@ WHERE l.valor IS NOT NULL
 """
 
 SQL = {
-    "air_history_job": hourly_fact_sql(HOURLY_ORDERS_SQL),
+    "air_history_job": HOURLY_ORDERS_FACT_SQL,
     "weather_daily_job": _WEATHER,
     "job_status": f"""
 SELECT 'aire_normalizado' AS pipeline, 'missing input' AS status, NULL::BIGINT AS n
@@ -205,6 +247,8 @@ UNION ALL SELECT 'seed_variable_meteo', 'ok', count(*) FROM nation
     "sql_defined_job": """
 SELECT c_custkey, c_name, n_name FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey
 """,
+    "failed_rerun_keeps_output": "SELECT o_orderkey, o_totalprice FROM orders",
+    "job_preview": "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 5",
     "collected_weather_fact": f"""
 SELECT indicativo AS estacion_id, nombre AS estacion_nombre, NULL::VARCHAR AS provincia,
        664 AS altitud, CAST(fecha AS DATE) AS fecha, 'precipitacion' AS variable_meteo,
@@ -218,7 +262,7 @@ SELECT indicativo AS estacion_id, nombre AS estacion_nombre, NULL::VARCHAR AS pr
 FROM ({records_sql('customer', *CUSTOMER_COLUMNS)})
 """,
     "collected_observations": f"""
-SELECT CAST(fecha AS DATE) AS fecha, indicativo, nombre, prec_num AS prec, NULL::DOUBLE AS tmed
+SELECT CAST(fecha AS DATE) AS fecha, indicativo, nombre, prec_num AS prec, NULL::DOUBLE AS tmed, nota
 FROM ({records_sql('customer', *CUSTOMER_COLUMNS)})
 """,
     "collected_coverage": f"""
@@ -232,6 +276,6 @@ SELECT CAST(c_custkey AS VARCHAR) AS indicativo, c_name AS nombre, inicio, fin,
        CAST(c_custkey AS VARCHAR) || strftime(inicio, '_%Y_%m') AS documento
 FROM customer, (VALUES (DATE '2022-01-01', DATE '2022-06-30'), (DATE '2022-07-01', DATE '2022-12-31'))
      w(inicio, fin)
-WHERE c_nationkey IN (0, 1, 2, 3)
+WHERE c_nationkey <= 7
 """,
 }

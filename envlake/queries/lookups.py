@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.window import Window
 
 from envlake.operators import duplicate_keys, left_lookup, preview, seed_copy, sorted_observations
 from envlake.queries.inputs import table
-from envlake.sources import inline_table
+from envlake.sources import inline_table, scratch_dir
 
 
 def unit_lookup_int(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,6 +46,35 @@ def sorted_observations_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sorted_observations(orders)
 
 
+def sort_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places of the written order where a row should stand before the one ahead of it.
+
+    Neighbours are compared inside each file, and the last row of a file with the first of
+    the next, so no task sees more than one file or one row per file.
+    """
+    path = f"{scratch_dir(spark, 'sorted')}/observations"
+    sorted_observations_query(spark, sf_dir).write.parquet(path)
+    key = F.struct("indicativo", "fecha").alias("key")
+    rows = spark.read.parquet(path).select(
+        key, F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row")
+    )
+    ahead = F.lag("key").over(Window.partitionBy("file").orderBy("row"))
+    files = (
+        rows.withColumn("broken", (ahead > F.col("key")).cast("long"))
+        .groupBy("file")
+        .agg(
+            F.count("*").alias("n"),
+            F.coalesce(F.sum("broken"), F.lit(0)).alias("inside"),
+            F.min_by("key", "row").alias("first"),
+            F.max_by("key", "row").alias("last"),
+        )
+    )
+    between = F.coalesce((F.lag("last").over(Window.orderBy("file")) > F.col("first")).cast("long"), F.lit(0))
+    return files.withColumn("between", between).agg(
+        F.sum("n").alias("n_filas"), F.sum(F.col("inside") + F.col("between")).alias("n_rupturas")
+    )
+
+
 def preview_top5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preview(table(spark, sf_dir, "orders"), "o_orderkey")
 
@@ -55,6 +85,7 @@ QUERIES = {
     "seed_copy": seed_copy_query,
     "dimension_duplicates": dimension_duplicates,
     "sorted_observations": sorted_observations_query,
+    "sort_breaks": sort_breaks,
     "preview_top5": preview_top5,
 }
 
@@ -77,5 +108,6 @@ SELECT CAST(o_custkey AS VARCHAR) AS indicativo, CAST(o_orderdate AS DATE) AS fe
        o_totalprice AS prec
 FROM orders ORDER BY indicativo NULLS LAST, fecha NULLS LAST
 """,
+    "sort_breaks": "SELECT count(*) AS n_filas, 0::BIGINT AS n_rupturas FROM orders",
     "preview_top5": "SELECT * FROM orders ORDER BY o_orderkey LIMIT 5",
 }

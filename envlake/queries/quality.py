@@ -76,6 +76,13 @@ def coverage_empty_period(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def coverage_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A period of 400 days, where many shares lie halfway between two decimals."""
+    return coverage(
+        _stations(spark, sf_dir), _observations(spark, sf_dir), "2000-01-01", "2001-02-03"
+    )
+
+
 def dataset_summary_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dataset_summary(_observations(spark, sf_dir))
 
@@ -86,6 +93,7 @@ QUERIES = {
     "missing_window_count": missing_window_count_query,
     "coverage": coverage_query,
     "coverage_empty_period": coverage_empty_period,
+    "coverage_ties": coverage_ties,
     "dataset_summary": dataset_summary_query,
 }
 
@@ -144,6 +152,7 @@ FROM windows
     "coverage_empty_period": _coverage_sql(
         "(date_diff('day', DATE '2000-01-01', DATE '1999-12-31') + 1)"
     ),
+    "coverage_ties": _coverage_sql("(date_diff('day', DATE '2000-01-01', DATE '2001-02-03') + 1)"),
     "dataset_summary": """
 SELECT count(*) AS n_registros, CAST(min(o_orderdate) AS DATE) AS fecha_min,
        CAST(max(o_orderdate) AS DATE) AS fecha_max

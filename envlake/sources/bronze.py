@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from envlake.sources.catalog import CATALOG, DatasetSpec, as_spec
 from envlake.sources.delimited import read_delimited
-from envlake.sources.tables import inline_table
+from envlake.sources.tables import committed, inline_table, write_fact
 
 _LISTING = "dataset string, path string, modificationTime timestamp"
 
@@ -70,16 +70,17 @@ def dataset_status(
 ) -> DataFrame:
     """One row per dataset: ``state`` is absent, unstaged, stale or fresh.
 
-    Sources that need no staging are always fresh.
+    A copy whose write did not end counts as none. Sources that need no staging are always fresh.
     """
     keys = list(catalog if keys is None else keys)
     sources = {k: _located(root, catalog[k]) for k in keys}
     copies = {k: staged_path(p) for k, p in sources.items()}
     as_is = [k for k in keys if copies[k] == sources[k]]
+    whole = {k: p for k, p in copies.items() if k not in as_is and committed(spark, p)}
     wanted = inline_table(spark, [(k, k in as_is) for k in keys], "dataset string, as_is boolean")
     return (
         wanted.join(_latest(spark, sources, "source_time"), "dataset", "left")
-        .join(_latest(spark, copies, "staged_time"), "dataset", "left")
+        .join(_latest(spark, whole, "staged_time"), "dataset", "left")
         .select(
             "dataset",
             F.when(F.col("source_time").isNull(), "absent")
@@ -108,8 +109,10 @@ def stage(spark: SparkSession, root: str, entry: DatasetSpec | str) -> str:
     """(Re)write the staged copy of one dataset and return its path."""
     spec, source = as_spec(entry), _located(root, entry)
     target = staged_path(source)
-    frame = read_delimited(spark, source, spec.sep, spec.types, spec.infer_rest)
-    frame.write.mode("overwrite").option("compression", "snappy").parquet(target)
+    frame = read_delimited(
+        spark, source, spec.sep, spec.types, spec.infer_rest, spec.latin9, spec.multi_line
+    )
+    write_fact(frame, target)
     return target
 
 

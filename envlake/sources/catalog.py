@@ -19,7 +19,8 @@ from envlake.schemas import (
 class DatasetSpec:
     """A file (or folder of files) below the data root.
 
-    ``types`` declares the columns that jobs rely on. Other columns are read as
+    ``latin9`` is the charset of older files, ``multi_line`` allows line breaks
+    inside quotes. ``types`` declares the columns that jobs rely on. Other columns are read as
     text, or have their type inferred with ``infer_rest``, which costs one more
     pass and is meant for small dimensions.
     """
@@ -28,6 +29,8 @@ class DatasetSpec:
     sep: str = ";"
     types: Mapping[str, str] = field(default_factory=dict)
     infer_rest: bool = False
+    latin9: bool = False
+    multi_line: bool = False
 
 
 def as_spec(entry: DatasetSpec | str) -> DatasetSpec:

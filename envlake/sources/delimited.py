@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import (
     StringType,
     StructField,
@@ -14,6 +14,7 @@ from pyspark.sql.types import (
 )
 
 from envlake.functions import from_latin9
+from envlake.sources.tables import replace_folder
 
 _LFS_POINTER = "version https://git-lfs"
 _BOM = "\ufeff"
@@ -74,15 +75,34 @@ def read_delimited(
     return frame.withColumns({n: from_latin9(F.col(f"`{n}`")) for n in texts})
 
 
-def write_delimited(frame: DataFrame, path: str, sep: str = ",", bom: bool = False) -> None:
-    """Write header CSV, UTF-8, replacing ``path``; ``bom`` marks each file as UTF-8."""
+def write_delimited(
+    frame: DataFrame, path: str, sep: str = ",", bom: bool = False, multi_line: bool = False
+) -> None:
+    """Write header CSV, UTF-8, replacing ``path``; ``bom`` marks each file as UTF-8.
+
+    Blanks around texts are kept. A text with a line break fails the write unless
+    ``multi_line`` says that readers will be told of them.
+    """
+    if not multi_line:
+        frame = frame.select(*[_one_line(f) for f in frame.schema])
     if bom:
         frame = frame.toDF(_BOM + frame.columns[0], *frame.columns[1:])
-    frame.write.mode("overwrite").options(
+    writer = frame.write.options(
         header=True,
         sep=sep,
         quote='"',
         escape='"',
+        ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False,
         dateFormat="yyyy-MM-dd",
         timestampNTZFormat="yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]",
-    ).csv(path)
+    )
+    replace_folder(frame.sparkSession, path, writer.csv)
+
+
+def _one_line(field: StructField) -> Column:
+    name = f"`{field.name.replace('`', '``')}`"
+    if not isinstance(field.dataType, StringType):
+        return F.col(name)
+    broken = F.raise_error(F.lit(f"line break in column {field.name}: write it with multi_line"))
+    return F.when(F.col(name).rlike("[\\r\\n]"), broken).otherwise(F.col(name)).alias(field.name)

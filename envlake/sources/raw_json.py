@@ -20,6 +20,7 @@ from envlake.schemas import RAW_FIELDS
 
 # What the readers add to the records besides their document's key.
 DOCUMENT_COLUMNS = ("documento_estacion", "documento_mes", "ventana")
+REST = "otros"  # the keys that are not asked for by name
 
 
 def _text_fields(names: Sequence[str]) -> StructType:
@@ -43,15 +44,25 @@ def read_documents(spark: SparkSession, path: str, latin9: bool = False) -> Data
     )
 
 
-def parse_documents(documents: DataFrame, fields: Sequence[str] = RAW_FIELDS) -> DataFrame:
+def parse_documents(
+    documents: DataFrame, fields: Sequence[str] = RAW_FIELDS, rest: bool = False
+) -> DataFrame:
     """The records of each document (``documento``, ``texto``), one row per record.
 
-    A document counts only as a whole: one that is not a complete JSON array, or
-    is empty, contributes nothing. Keys absent from a record are NULL.
+    A document counts only as a whole: one that is not one complete JSON array and
+    nothing else, or is empty, contributes nothing. Keys absent from a record are NULL.
+    ``rest`` keeps the keys outside ``fields`` in a map, ``otros``.
     """
     trimmed = F.btrim("texto", F.lit(" \t\r\n"))
-    records = F.from_json("texto", f"array<{_text_fields(fields).simpleString()}>")
+    # inside one more pair of brackets a second array or text after the first shows up
+    kind = "map<string,string>" if rest else _text_fields(fields).simpleString()
+    wrapped = F.concat(F.lit("["), "texto", F.lit("]"))
+    arrays = F.from_json(wrapped, f"array<array<{kind}>>", {"allowSingleQuotes": "false"})
+    records = F.when(F.size(arrays) == 1, F.get(arrays, F.lit(0)))
     station, month = landing_key_parts(F.col("documento"))
+    values = [F.col("r").getItem(n).alias(n) for n in fields]
+    if rest:
+        values.append(F.map_filter("r", lambda k, _: ~k.isin(*fields)).alias(REST))
     return (
         documents.where(F.startswith(trimmed, F.lit("[")) & F.endswith(trimmed, F.lit("]")))
         .select(
@@ -65,28 +76,34 @@ def parse_documents(documents: DataFrame, fields: Sequence[str] = RAW_FIELDS) ->
             "documento",
             "documento_estacion",
             "documento_mes",
-            *[F.col(f"r.{n}").alias(n) for n in fields],
+            *values,
         )
     )
 
 
 def read_raw_documents(
-    spark: SparkSession, path: str, fields: Sequence[str] = RAW_FIELDS, latin9: bool = False
+    spark: SparkSession,
+    path: str,
+    fields: Sequence[str] = RAW_FIELDS,
+    latin9: bool = False,
+    rest: bool = False,
 ) -> DataFrame:
     """The records of all document files below ``path``."""
-    return parse_documents(read_documents(spark, path, latin9), fields)
+    return parse_documents(read_documents(spark, path, latin9), fields, rest)
 
 
 def land_records(records: DataFrame, path: str, start: date | str | None = None) -> None:
     """Land records as JSON lines, one folder per station and half-year.
 
-    ``start`` clips the first window, as in the download. Landing a window again
+    ``start`` clips the first window, as in the download. Records without a date, or
+    from before ``start``, belong to no window and land in the folder of NULL. Landing a window again
     replaces that folder and leaves the others alone. The rebalance keeps files few
     and splits a folder that holds most of the records.
     """
     window = half_year_start(F.col("fecha").try_cast("date"))
     if start is not None:
-        window = F.greatest(window, F.lit(start).cast("date"))
+        first = F.lit(start).cast("date")
+        window = F.when(F.col("fecha").try_cast("date") >= first, F.greatest(window, first))
     (
         records.withColumn("ventana", window.cast("string"))
         .hint("rebalance", "indicativo", "ventana")
@@ -98,12 +115,22 @@ def land_records(records: DataFrame, path: str, start: date | str | None = None)
 
 
 def read_landed(
-    spark: SparkSession, path: str, fields: Sequence[str] = RAW_FIELDS
+    spark: SparkSession, path: str, fields: Sequence[str] = RAW_FIELDS, rest: bool = False
 ) -> DataFrame:
-    """Records landed by :func:`land_records`, with the window's first day and key."""
+    """Records landed by :func:`land_records`, with the window's first day and key.
+
+    A line that is no record is left out.
+    """
     names = [n for n in fields if n != "indicativo"]
-    landed = spark.read.schema(_text_fields([*names, "indicativo", "ventana"])).json(path)
+    schema = _text_fields([*names, "indicativo", "ventana"])
+    if rest:
+        schema = schema.add(REST, "map<string,string>")
+    landed = spark.read.schema(schema)
+    landed = landed.option("mode", "DROPMALFORMED").json(path)
     key = landing_key(F.col("indicativo"), F.col("ventana").try_cast("date"))
     return landed.select(
-        F.when(F.col("ventana").isNotNull(), key).alias("documento"), "ventana", *fields
+        F.when(F.col("ventana").isNotNull(), key).alias("documento"),
+        "ventana",
+        *fields,
+        *([REST] if rest else []),
     )

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import posixpath
+import uuid
+from collections.abc import Callable, Mapping, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -22,8 +24,48 @@ def register_views(sources: Mapping[str, DataFrame]) -> None:
         frame.createOrReplaceTempView(alias)
 
 
+def _file_system(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def committed(spark: SparkSession, path: str) -> bool:
+    """Whether a table folder is there and its job ended."""
+    files, at = _file_system(spark, posixpath.join(path, "_SUCCESS"))
+    return files.exists(at)
+
+
+def replace_folder(spark: SparkSession, path: str, write: Callable[[str], None]) -> None:
+    """Let ``write`` fill a new folder beside ``path`` and put it in the place of ``path``.
+
+    What is at ``path`` stays until the new folder is complete: a failed job changes
+    nothing. The exchange is two renames, cheap on a file system; between them the
+    old folder lies beside ``path`` under a name that Spark passes over. Stores that
+    rename by copying want a pointer to versioned folders instead.
+    """
+    folder, name = posixpath.split(path.rstrip("/"))
+    mark = uuid.uuid4().hex
+    fresh, old = (posixpath.join(folder, f"_{name}.{mark}.{kind}") for kind in ("new", "old"))
+    files, fresh_at = _file_system(spark, fresh)
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path
+    try:
+        write(fresh)
+        replaced = files.exists(hadoop_path(path))
+        if replaced and not files.rename(hadoop_path(path), hadoop_path(old)):
+            raise OSError(f"cannot move {path}")
+        if not files.rename(fresh_at, hadoop_path(path)):
+            if replaced:
+                files.rename(hadoop_path(old), hadoop_path(path))
+            raise OSError(f"cannot replace {path}")
+    except BaseException:
+        files.delete(fresh_at, True)
+        raise
+    if replaced:
+        files.delete(hadoop_path(old), True)
+
+
 def write_fact(frame: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Replace the Parquet table at ``path``.
+    """Replace the Parquet table at ``path`` once the new one is complete.
 
     Rows are written where they are, without a shuffle. With ``partition_by`` they
     are first rebalanced on those columns, which keeps the number of files per
@@ -31,7 +73,7 @@ def write_fact(frame: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     """
     if partition_by:
         frame = frame.hint("rebalance", *partition_by)
-    writer = frame.write.mode("overwrite").option("compression", "snappy")
+    writer = frame.write.option("compression", "snappy")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    replace_folder(frame.sparkSession, path, writer.parquet)

@@ -9,8 +9,9 @@ import pytest
 
 from envlake import run
 from envlake.plans import JOBS, JobSpec, collect_observations
+from envlake.plans.collector import _of_period
 from envlake.schemas import HOURS, STATIONS
-from envlake.sources import CATALOG, DatasetSpec, read_landed, read_raw_documents, land_records
+from envlake.sources import CATALOG, DatasetSpec, land_records, read_landed, read_raw_documents, staged_path
 from tests.test_sources import put
 
 AIR_HEADER = ";".join(["provincia", "municipio", "estacion", "magnitud", "punto muestreo", "anno", "mes", "dia", *HOURS])
@@ -31,8 +32,8 @@ def root(tmp_path):
         tmp_path,
         CATALOG["aemet_climatologia_diaria"].path,
         "﻿fecha,indicativo,nombre,provincia,altitud,tmed,prec,tmin,tmax,dir,velmedia,racha,presMax,presMin,hrMedia,hrMax,hrMin,sol,horaracha\n"
-        '2022-12-21,3194U,"MADRID, C",MADRID,664,"12,5",Ip,,,99,,,,,,,,,11:30\n'
-        "2022-12-22,3194U,X,MADRID,664,,Acum,,,,,,,,,,,,\n",
+        '2022-10-15,3129,"MADRID, C",MADRID,664,"12,5",Ip,,,99,,,,,,,,,09:45\n'
+        "2022-10-16,3129,X,MADRID,664,,Acum,,,,,,,,,,,,\n",
     )
     put(tmp_path, CATALOG["dim_variable_meteo_csv"].path, "variable_meteo,uom\ntemp_media,C\n")
     return tmp_path
@@ -119,29 +120,67 @@ def test_a_rewritten_source_reaches_the_output(spark, root):
 
 
 def test_collector(spark, tmp_path):
-    days = [{"fecha": f"2022-12-{d}", "indicativo": "3194U", "nombre": "C", "prec": "0,9"} for d in (22, 21)]
-    put(tmp_path, "raw/3194U_2022_07.json", json.dumps(days))
+    days = [{"fecha": f"2022-10-{d}", "indicativo": "3129", "nombre": "C", "prec": "1,7"} for d in (16, 15)]
+    put(tmp_path, "raw/3129_2022_07.json", json.dumps(days))
     put(tmp_path, "raw/3195_2022_07.json", json.dumps([{"fecha": "2022-08-01", "indicativo": "3195", "prec": "Ip"}]))
     put(tmp_path, "raw/9999_2022_07.json", json.dumps([{"fecha": "2022-08-01", "indicativo": "9999"}]))
     records = read_raw_documents(spark, str(tmp_path / "raw"))
     csv = f"{tmp_path}/{CATALOG['aemet_climatologia_diaria'].path}"
     got = collect_observations(spark, records, csv, work=str(tmp_path / "work"))
-    assert tuple(got["summary"].first()) == (3, dt.date(2022, 8, 1), dt.date(2022, 12, 22))
-    assert {r.indicativo: r.n_dias for r in got["coverage"].collect()} == {s: {"3194U": 2, "3195": 1}.get(s, 0) for s, _ in STATIONS}
+    assert tuple(got["summary"].first()) == (3, dt.date(2022, 8, 1), dt.date(2022, 10, 16))
+    assert {r.indicativo: r.n_dias for r in got["coverage"].collect()} == {s: {"3129": 2, "3195": 1}.get(s, 0) for s, _ in STATIONS}
     gone = {r.documento for r in got["missing_windows"].collect()}
-    assert len(gone) == 48 and "3194U_2022_07" not in gone and "3195_2022_01" in gone
+    assert len(gone) == 48 and "3129_2022_07" not in gone and "3195_2022_01" in gone
     parts = sorted(glob.glob(f"{csv}/part-*"))
     lines = [line for p in parts for line in open(p, encoding="utf-8-sig").read().splitlines()[1:]]
-    assert [line.split(",")[:2] for line in lines] == [["2022-12-21", "3194U"], ["2022-12-22", "3194U"], ["2022-08-01", "3195"]]
+    assert [line.split(",")[:2] for line in lines] == [["2022-10-15", "3129"], ["2022-10-16", "3129"], ["2022-08-01", "3195"]]
 
 
 def test_collector_on_landed_records(spark, tmp_path):
     ddl = "fecha string, indicativo string, prec string"
     landed = str(tmp_path / "landed")
-    rows = [("2022-12-21", "3194U", "0,9"), ("2022-04-01", "3195", "Ip"), ("2022-02-01", "3195", "1")]
+    rows = [("2022-10-15", "3129", "1,7"), ("2022-04-01", "3195", "Ip"), ("2022-02-01", "3195", "1")]
     land_records(spark.createDataFrame(rows, ddl), landed, "2022-03-15")
     records = read_landed(spark, landed, ["fecha", "indicativo", "prec"])
     got = collect_observations(spark, records, str(tmp_path / "o.csv"), start="2022-03-15", end="2022-12-31", work=str(tmp_path))
     gone = {r.documento for r in got["missing_windows"].collect()}
-    assert len(gone) == 8 and not gone & {"3194U_2022_07", "3195_2022_03"}
+    assert len(gone) == 8 and not gone & {"3129_2022_07", "3195_2022_03"}
     assert got["observations"].columns == ["fecha", "indicativo", "prec"]
+
+
+def test_nothing_collected_leaves_the_csv(spark, tmp_path):
+    csv = f"{tmp_path}/o.csv"
+    put(tmp_path, "raw/3129_2022_07.json", json.dumps([{"fecha": "2022-08-01", "indicativo": "3129", "nuevo": "x"}]))
+    got = collect_observations(spark, read_raw_documents(spark, str(tmp_path / "raw"), rest=True), csv, work=str(tmp_path / "a"))
+    assert got["observations"].first()["nuevo"] == "x" and got["work"].first()["path"] == f"{tmp_path}/a/clean"
+    before = sorted(glob.glob(f"{csv}/*"))
+    none = read_raw_documents(spark, str(tmp_path / "raw"), rest=True).limit(0)
+    again = collect_observations(spark, none, csv, work=str(tmp_path / "b"))
+    assert again["observations"].count() == 0 and before and sorted(glob.glob(f"{csv}/*")) == before
+
+
+def test_period_prunes_landed_folders(spark, tmp_path):
+    rows = [("2021-02-01", "3129"), ("2022-02-01", "3129"), ("2022-08-01", "3129")]
+    land_records(spark.createDataFrame(rows, "fecha string, indicativo string"), str(tmp_path / "l"))
+    records = read_landed(spark, str(tmp_path / "l"), ["fecha", "indicativo"])
+    plan = _of_period(records, "2022-03-01", "2022-12-31")._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters: ")[1].split("]")[0]
+    assert ">= 2022-01-01" in filters and "<= 2022-12-31" in filters
+
+
+def test_a_job_gives_the_callers_views_back(spark, root):
+    spark.range(3).createOrReplaceTempView("m")
+    job = JobSpec("own", {"m": "dim_variable_aire_csv", "n": "dim_variable_meteo_csv"}, "SELECT m.magnitud FROM m", "out/own.parquet")
+    assert statuses(run(spark, str(root), jobs=(job,))) == {"own": "ok"}
+    assert spark.table("m").count() == 3 and not spark.catalog.tableExists("n")
+    spark.catalog.dropTempView("m")
+
+
+def test_a_failed_job_keeps_its_output_and_copy(spark, root):
+    name = "seed_variables_aire"
+    run(spark, str(root), name)
+    put(root, CATALOG["dim_variable_aire_csv"].path, "MAGNITUD,VARIABLE,UNIDAD\nx,SO2,ug\n", mtime=4_000_000_000)
+    assert statuses(run(spark, str(root), name)) == {name: "failed"}
+    assert spark.read.parquet(f"{root}/{JOBS[1].output}").count() == 1
+    assert spark.read.parquet(staged_path(f"{root}/{CATALOG['dim_variable_aire_csv'].path}")).count() == 1
+    assert not glob.glob(f"{root}/**/_*.new", recursive=True) and not glob.glob(f"{root}/**/_*.old", recursive=True)

@@ -198,25 +198,25 @@ FIELDS = ["fecha", "indicativo", "prec", "horaPIntMax"]
 
 
 def record(day, **more):
-    return {"fecha": day, "indicativo": "3194U", **more}
+    return {"fecha": day, "indicativo": "5210X", **more}
 
 
 def test_only_whole_arrays_count(spark, tmp_path):
-    good = json.dumps([record("2022-07-01", prec="0,1"), record("2022-07-02", horaPIntMax="05:05", other="x")], indent=2)
-    put(tmp_path, "3194U_2022_07.json", good)
-    put(tmp_path, "3194U_2022_01.json", good[:-20])
-    put(tmp_path, "3194U_2021_07.json", "[]")
-    put(tmp_path, "3194U_2021_01.json", json.dumps(record("2021-01-01")))
-    put(tmp_path, "3194U_2020_07.json", "<html>[x]</html>")
-    put(tmp_path, "3194U_2020_01.json", good + "\nmore")
+    good = json.dumps([record("2022-07-01", prec="0,1"), record("2022-07-02", horaPIntMax="04:40", other="x")], indent=2)
+    put(tmp_path, "5210X_2022_07.json", good)
+    put(tmp_path, "5210X_2022_01.json", good[:-20])
+    put(tmp_path, "5210X_2021_07.json", "[]")
+    put(tmp_path, "5210X_2021_01.json", json.dumps(record("2021-01-01")))
+    put(tmp_path, "5210X_2020_07.json", "<html>[x]</html>")
+    put(tmp_path, "5210X_2020_01.json", good + "\nmore")
     put(tmp_path, "3195_2020_01.json", "")
     put(tmp_path, "3196_2020_01.json", "[null, " + json.dumps(record("2020-01-01")) + "]")
     (tmp_path / "3129_2020_01.json").write_bytes(b'[{"fecha": "\xff"}]')
     frame = read_raw_documents(spark, str(tmp_path), FIELDS).drop("documento_estacion")
     assert rows(frame) == {
-        ("3194U_2022_07", dt.date(2022, 7, 1), "2022-07-01", "3194U", "0,1", None): 1,
-        ("3194U_2022_07", dt.date(2022, 7, 1), "2022-07-02", "3194U", None, "05:05"): 1,
-        ("3196_2020_01", dt.date(2020, 1, 1), "2020-01-01", "3194U", None, None): 1,
+        ("5210X_2022_07", dt.date(2022, 7, 1), "2022-07-01", "5210X", "0,1", None): 1,
+        ("5210X_2022_07", dt.date(2022, 7, 1), "2022-07-02", "5210X", None, "04:40"): 1,
+        ("3196_2020_01", dt.date(2020, 1, 1), "2020-01-01", "5210X", None, None): 1,
     }
 
 
@@ -228,13 +228,13 @@ def test_latin9_documents(spark, tmp_path):
 def test_landing_again_replaces_only_its_windows(spark, tmp_path):
     out = str(tmp_path / "landed")
     ddl = "fecha string, indicativo string, prec string"
-    first = [("2022-01-05", "3194U", "1"), ("2022-06-30", "3194U", "2"), ("2022-07-01", "3194U", "3"), ("2022-01-01", "3195", "4"), (None, "3195", "5")]
+    first = [("2022-01-05", "5210X", "1"), ("2022-06-30", "5210X", "2"), ("2022-07-01", "5210X", "3"), ("2022-01-01", "3195", "4"), (None, "3195", "5")]
     land_records(spark.createDataFrame(first, ddl), out)
-    land_records(spark.createDataFrame([("2022-02-02", "3194U", "6")], ddl), out)
+    land_records(spark.createDataFrame([("2022-02-02", "5210X", "6")], ddl), out)
     got = rows(read_landed(spark, out, ["fecha", "indicativo", "prec"]))
     assert got == {
-        ("3194U_2022_01", "2022-01-01", "2022-02-02", "3194U", "6"): 1,
-        ("3194U_2022_07", "2022-07-01", "2022-07-01", "3194U", "3"): 1,
+        ("5210X_2022_01", "2022-01-01", "2022-02-02", "5210X", "6"): 1,
+        ("5210X_2022_07", "2022-07-01", "2022-07-01", "5210X", "3"): 1,
         ("3195_2022_01", "2022-01-01", "2022-01-01", "3195", "4"): 1,
         (None, None, None, "3195", "5"): 1,
     }
@@ -257,3 +257,22 @@ def test_scratch_without_a_shared_folder(master, fails):
             scratch_dir(session, "x")
     else:
         assert os.path.isabs(scratch_dir(session, "x"))
+
+
+def test_line_breaks_need_to_be_allowed(spark, tmp_path):
+    frame = spark.createDataFrame([(" x ", 1), ("a\nb", 2)], "t string, n int")
+    with pytest.raises(Exception, match="line break in column t"):
+        write_delimited(frame, str(tmp_path / "a.csv"))
+    assert not (tmp_path / "a.csv").exists()
+    write_delimited(frame, str(tmp_path / "b.csv"), multi_line=True)
+    back = read_delimited(spark, str(tmp_path / "b.csv"), ",", {"n": "int"}, multi_line=True)
+    assert sorted(map(tuple, back.collect())) == [(" x ", 1), ("a\nb", 2)]
+
+
+def test_landing_with_start_and_corrupt_lines(spark, tmp_path):
+    rows = [(None, "A"), ("xx", "A"), ("1999-05-05", "A"), ("2022-03-14", "A"), ("2022-03-15", "A"), ("2022-08-01", "A")]
+    path = str(tmp_path / "l")
+    land_records(spark.createDataFrame(rows, "fecha string, indicativo string"), path, "2022-03-15")
+    put(tmp_path, "l/indicativo=A/ventana=2022-07-01/part-x.json", '{"fecha": "2022-0\n')
+    got = sorted((r.fecha or "", r.ventana or "") for r in read_landed(spark, path, ["fecha", "indicativo"]).collect())
+    assert got == [("", ""), ("1999-05-05", ""), ("2022-03-14", ""), ("2022-03-15", "2022-03-15"), ("2022-08-01", "2022-07-01"), ("xx", "")]
