@@ -23,6 +23,7 @@ from envlake.sources import (
     write_fact,
 )
 from envlake.sources.bronze import dataset_status
+from envlake.sources.tables import remove_partition
 
 _CUSTOMER_TYPES = {
     "c_custkey": "bigint", "c_name": "string", "c_nationkey": "int",
@@ -186,17 +187,25 @@ _BRONZE_CATALOG = {
     "proveedores": DatasetSpec("crudo/supplier.csv", ",", {"s_suppkey": "bigint"}),
     "pedidos": DatasetSpec("crudo/orders.csv", ";", {"o_orderkey": "bigint"}),
     "piezas": "crudo/part.parquet",
+    "lineas": DatasetSpec("crudo/lineitem.csv", ";", {"l_orderkey": "bigint"}),
     "ausente": "crudo/absent.csv",
 }
 
 
 def _bronze_root(spark: SparkSession, sf_dir: str) -> str:
-    """One staged dataset, one rewritten since, one never staged, one as Parquet."""
+    """One staged dataset, one rewritten since, one never staged, one as Parquet, and one
+    with a part that changed and another that went."""
     root = scratch_dir(spark, "bronze")
     write_delimited(table(spark, sf_dir, "customer"), f"{root}/crudo/customer.csv", ";")
     write_delimited(table(spark, sf_dir, "supplier"), f"{root}/crudo/supplier.csv", ",")
     write_fact(table(spark, sf_dir, "part"), f"{root}/crudo/part.parquet")
-    refresh(spark, root, _BRONZE_CATALOG, ["clientes", "proveedores"])
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_quantity", "l_linenumber")
+    folder = f"{root}/crudo/lineitem.csv"
+    lines.write.partitionBy("l_linenumber").csv(folder, sep=";", header=True)
+    refresh(spark, root, _BRONZE_CATALOG, ["clientes", "proveedores", "lineas"])
+    changed = lines.where("l_linenumber = 1").select("l_orderkey", F.lit(0.5).alias("l_quantity"))
+    write_delimited(changed, f"{folder}/l_linenumber=1", ";")
+    remove_partition(spark, folder, "l_linenumber", "2")
     write_delimited(table(spark, sf_dir, "supplier"), f"{root}/crudo/supplier.csv", ",")
     write_delimited(table(spark, sf_dir, "orders"), f"{root}/crudo/orders.csv", ";")
     return root
@@ -230,11 +239,19 @@ def bronze_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit(key in again).alias("convertido"),
             F.count("*").alias("n"),
         )
-        for key in ("clientes", "proveedores", "pedidos", "piezas")
+        for key in ("clientes", "proveedores", "pedidos", "piezas", "lineas")
     ]
     return reduce(DataFrame.union, counts)
 
 
+def parts_are_restaged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of a dataset of many files, one of which changed and one went."""
+    root = _bronze_root(spark, sf_dir)
+    refresh(spark, root, _BRONZE_CATALOG, ["lineas"])
+    rows = read_dataset(spark, root, _BRONZE_CATALOG["lineas"])
+    return rows.withColumn("l_quantity", F.col("l_quantity").cast("double"))
+
+
 QUERIES = {
     "csv_roundtrip": csv_roundtrip,
     "parquet_sink_roundtrip": parquet_sink_roundtrip,
@@ -245,6 +262,7 @@ QUERIES = {
     "bronze_stale_files": bronze_stale_files,
     "bronze_refresh": bronze_refresh,
     "partial_copy_is_restaged": partial_copy_is_restaged,
+    "parts_are_restaged": parts_are_restaged,
 }
 
 SQL = {
@@ -284,13 +302,18 @@ FROM documents
 """,
     "bronze_stale_files": """
 SELECT * FROM (VALUES ('clientes', 'fresh'), ('proveedores', 'stale'), ('pedidos', 'unstaged'),
-                      ('piezas', 'fresh'), ('ausente', 'absent')) t(dataset, state)
+                      ('piezas', 'fresh'), ('lineas', 'stale'), ('ausente', 'absent')) t(dataset, state)
 """,
     "partial_copy_is_restaged": "SELECT * FROM customer",
+    "parts_are_restaged": """
+SELECT l_orderkey, CASE l_linenumber WHEN 1 THEN 0.5 ELSE l_quantity END AS l_quantity, l_linenumber
+FROM lineitem WHERE l_linenumber <> 2
+""",
     "bronze_refresh": """
 SELECT 'clientes' AS dataset, false AS convertido, count(*) AS n FROM customer
 UNION ALL SELECT 'proveedores', true, count(*) FROM supplier
 UNION ALL SELECT 'pedidos', true, count(*) FROM orders
 UNION ALL SELECT 'piezas', false, count(*) FROM part
+UNION ALL SELECT 'lineas', true, count(*) FROM lineitem WHERE l_linenumber <> 2
 """,
 }

@@ -1,8 +1,9 @@
 """Staged Parquet copies of the delimited sources, kept up to date.
 
 A source is staged beside itself, ``dir/name.csv`` -> ``dir/parquet_files/name.parquet``,
-and staged again when it is newer than its copy. Files count, not settings: a
-changed separator alone does not make a copy stale.
+one folder for each of its files, with a list of the files, their times and sizes. Files
+that were added, changed or removed since are staged again, the others stay. Files count,
+not settings: a changed separator alone does not make a copy stale.
 """
 
 from __future__ import annotations
@@ -14,13 +15,17 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from envlake.sources.catalog import CATALOG, DatasetSpec, as_spec
 from envlake.sources.delimited import read_delimited
-from envlake.sources.tables import committed, inline_table, write_fact
+from envlake.sources.tables import committed, inline_table, remove_partition, replace_folder
 
-_LISTING = "dataset string, path string, modificationTime timestamp"
+ORIGIN = "__origen"  # the file that a staged row comes from
+_NOTE = "_origen"  # the list of files, in the copy's folder; Spark passes over its name
+_NOTE_FIELDS = "file string, modificationTime timestamp, length bigint"
+_LISTING = f"dataset string, {_NOTE_FIELDS}"
 
 
 def staged_path(path: str) -> str:
@@ -45,21 +50,51 @@ def _side_by_side(spark: SparkSession, work: Callable, items: list, concurrent:
 
 
 def _files(spark: SparkSession, dataset: str, path: str) -> DataFrame | None:
-    """Paths and times of a dataset's files, without opening them; None if absent."""
+    """A dataset's files, their times and sizes, without opening them; None if absent."""
     try:
         listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
-    return listed.select(F.lit(dataset).alias("dataset"), "path", "modificationTime")
+    return listed.select(
+        F.lit(dataset).alias("dataset"), _relative(F.col("path"), path).alias("file"),
+        "modificationTime", "length",
+    )
+
+
+def _relative(file: Column, path: str) -> Column:
+    """A file's path below the dataset; its name if the dataset is that file."""
+    name = posixpath.basename(path.rstrip("/"))
+    below = F.substring_index(file, f"/{name}/", -1)
+    return F.when(F.contains(file, F.lit(f"/{name}/")), below).otherwise(F.lit(name))
+
 
+def _noted(spark: SparkSession, dataset: str, copy: str) -> DataFrame | None:
+    """The files that a copy was made from; None if there is no whole copy."""
+    if not committed(spark, f"{copy}/{_NOTE}"):
+        return None
+    note = spark.read.schema(_NOTE_FIELDS).parquet(f"{copy}/{_NOTE}")
+    return note.select(F.lit(dataset).alias("dataset"), "*")
 
-def _latest(spark: SparkSession, paths: Mapping[str, str], column: str) -> DataFrame:
-    listings = _side_by_side(spark, lambda item: _files(spark, *item), list(paths.items()), 8)
-    listings = [f for f in listings if f is not None]
-    files = reduce(DataFrame.union, listings) if listings else spark.createDataFrame([], _LISTING)
-    return files.groupBy("dataset").agg(F.max("modificationTime").alias(column))
+
+def _all(spark: SparkSession, find: Callable, paths: Mapping[str, str]) -> DataFrame:
+    found = _side_by_side(spark, lambda item: find(spark, *item), list(paths.items()), 8)
+    found = [f for f in found if f is not None]
+    return reduce(DataFrame.union, found) if found else spark.createDataFrame([], _LISTING)
+
+
+def _changes(files: DataFrame, noted: DataFrame) -> DataFrame:
+    """Per dataset and file, whether it is there, and whether it is as noted."""
+    key = ["dataset", "file"]
+    now = files.select(*key, F.struct("modificationTime", "length").alias("now"))
+    then = noted.select(*key, F.struct("modificationTime", "length").alias("then"))
+    return now.join(then, key, "full_outer").select(
+        *key,
+        F.col("now").isNotNull().alias("there"),
+        F.col("then").isNotNull().alias("noted"),
+        F.col("now").eqNullSafe(F.col("then")).alias("same"),
+    )
 
 
 def dataset_status(
@@ -76,20 +111,21 @@ def dataset_status(
     sources = {k: _located(root, catalog[k]) for k in keys}
     copies = {k: staged_path(p) for k, p in sources.items()}
     as_is = [k for k in keys if copies[k] == sources[k]]
-    whole = {k: p for k, p in copies.items() if k not in as_is and committed(spark, p)}
     wanted = inline_table(spark, [(k, k in as_is) for k in keys], "dataset string, as_is boolean")
-    return (
-        wanted.join(_latest(spark, sources, "source_time"), "dataset", "left")
-        .join(_latest(spark, whole, "staged_time"), "dataset", "left")
-        .select(
-            "dataset",
-            F.when(F.col("source_time").isNull(), "absent")
-            .when(F.col("as_is"), "fresh")
-            .when(F.col("staged_time").isNull(), "unstaged")
-            .when(F.col("source_time") > F.col("staged_time"), "stale")
-            .otherwise("fresh")
-            .alias("state"),
-        )
+    copied = {k: p for k, p in copies.items() if k not in as_is}
+    found = (
+        _changes(_all(spark, _files, sources), _all(spark, _noted, copied))
+        .groupBy("dataset")
+        .agg(F.bool_or("there").alias("there"), F.bool_or("noted").alias("noted"), F.bool_and("same").alias("same"))
+    )
+    return wanted.join(found, "dataset", "left").select(
+        "dataset",
+        F.when(~F.coalesce("there", F.lit(False)), "absent")
+        .when(F.col("as_is"), "fresh")
+        .when(~F.col("noted"), "unstaged")
+        .when(F.col("same"), "fresh")
+        .otherwise("stale")
+        .alias("state"),
     )
 
 
@@ -106,16 +142,63 @@ def stale_datasets(
 
 
 def stage(spark: SparkSession, root: str, entry: DatasetSpec | str) -> str:
-    """(Re)write the staged copy of one dataset and return its path."""
+    """Bring the staged copy of one dataset up to date and return its path.
+
+    Only files that are new or changed are read, in one job, and only their folders are
+    written; those of removed files go. A failed job leaves the copy and its note as they
+    were. Without a whole copy, or with one of other columns, all files are staged.
+    """
     spec, source = as_spec(entry), _located(root, entry)
     target = staged_path(source)
-    frame = read_delimited(
-        spark, source, spec.sep, spec.types, spec.infer_rest, spec.latin9, spec.multi_line
-    )
-    write_fact(frame, target)
+    files = _files(spark, "", source)
+    if files is None:
+        raise FileNotFoundError(source)
+    listed = inline_table(
+        spark, [tuple(r) for r in files.drop("dataset").collect()], _NOTE_FIELDS
+    )  # Spark itself keeps the list of a read's files on the driver
+    noted = _noted(spark, "", target)
+
+    def read(some: list[str] | None) -> DataFrame:
+        paths = source if some is None else [posixpath.join(source, f) for f in some]
+        if some == [posixpath.basename(source)]:
+            paths = source
+        frame = read_delimited(
+            spark, paths, spec.sep, spec.types, spec.infer_rest, spec.latin9, spec.multi_line,
+            base=None if paths is source else source,
+        )
+        return frame.withColumn(ORIGIN, _relative(F.url_decode("_metadata.file_path"), source))
+
+    def note(path: str) -> None:
+        listed.write.parquet(path)
+
+    if noted is not None:
+        changes = _changes(listed.select(F.lit("").alias("dataset"), "*"), noted).where(~F.col("same")).collect()
+        changed = [r.file for r in changes if r.there]
+        frame = read(changed) if changed else None
+        staged = spark.read.parquet(target).drop(ORIGIN).schema
+        if frame is None or _kinds(frame.drop(ORIGIN).schema) == _kinds(staged):
+            if frame is not None:
+                frame.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+                    ORIGIN
+                ).parquet(target)
+            for r in changes:
+                if not r.there:
+                    remove_partition(spark, target, ORIGIN, r.file)
+            replace_folder(spark, f"{target}/{_NOTE}", note)
+            return target
+
+    def whole(path: str) -> None:
+        read(None).write.option("compression", "snappy").partitionBy(ORIGIN).parquet(path)
+        note(f"{path}/{_NOTE}")
+
+    replace_folder(spark, target, whole)
     return target
 
 
+def _kinds(schema: StructType) -> list[tuple[str, str]]:
+    return [(f.name, f.dataType.simpleString()) for f in schema]
+
+
 def refresh(
     spark: SparkSession,
     root: str,
@@ -141,4 +224,4 @@ def stage_all(
 
 def read_dataset(spark: SparkSession, root: str, entry: DatasetSpec | str) -> DataFrame:
     """The staged copy of a dataset (or the dataset itself if it is no CSV)."""
-    return spark.read.parquet(staged_path(_located(root, entry)))
+    return spark.read.parquet(staged_path(_located(root, entry))).drop(ORIGIN)

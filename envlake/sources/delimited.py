@@ -21,7 +21,7 @@ _BOM = "\ufeff"
 
 
 def _header_schema(
-    spark: SparkSession, path: str, options: dict, types: Mapping[str, str], infer_rest: bool
+    spark: SparkSession, path: str | list[str], options: dict, types: Mapping[str, str], infer_rest: bool
 ) -> StructType:
     """The file's own columns: declared types by name, the rest text or inferred."""
     found = spark.read.options(**options, inferSchema=infer_rest).csv(path).schema
@@ -43,19 +43,21 @@ def _header_schema(
 
 def read_delimited(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     sep: str = ";",
     types: Mapping[str, str] | None = None,
     infer_rest: bool = False,
     latin9: bool = False,
     multi_line: bool = False,
+    base: str | None = None,
 ) -> DataFrame:
     """Read a header CSV with declared column types.
 
     Only the first line is read to learn the columns, unless ``infer_rest`` asks
     for the types of undeclared ones. A cell that does not fit its declared type
     fails the read instead of turning into NULL. ``multi_line`` allows line breaks
-    inside quotes but then a file is no longer split over tasks.
+    inside quotes but then a file is no longer split over tasks. With ``base``, ``path``
+    lists files below that folder.
     """
     options = {
         "header": True,
@@ -66,6 +68,8 @@ def read_delimited(
         "multiLine": multi_line,
         "dateFormat": "yyyy-MM-dd",
     }
+    if base:
+        options["basePath"] = base
     schema = _header_schema(spark, path, options, types or {}, infer_rest)
     reader = spark.read.options(**options, mode="FAILFAST", enforceSchema=False)
     frame = reader.schema(schema).csv(path)

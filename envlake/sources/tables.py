@@ -64,6 +64,13 @@ def replace_folder(spark: SparkSession, path: str, write: Callable[[str], None])
         files.delete(hadoop_path(old), True)
 
 
+def remove_partition(spark: SparkSession, path: str, column: str, value: str) -> None:
+    """Delete one partition folder of a table."""
+    escaped = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(value)
+    files, at = _file_system(spark, posixpath.join(path, f"{column}={escaped}"))
+    files.delete(at, True)
+
+
 def write_fact(frame: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Replace the Parquet table at ``path`` once the new one is complete.
 

@@ -276,3 +276,33 @@ def test_landing_with_start_and_corrupt_lines(spark, tmp_path):
     put(tmp_path, "l/indicativo=A/ventana=2022-07-01/part-x.json", '{"fecha": "2022-0\n')
     got = sorted((r.fecha or "", r.ventana or "") for r in read_landed(spark, path, ["fecha", "indicativo"]).collect())
     assert got == [("", ""), ("1999-05-05", ""), ("2022-03-14", ""), ("2022-03-15", "2022-03-15"), ("2022-08-01", "2022-07-01"), ("xx", "")]
+
+
+def test_only_changed_files_are_staged_again(spark, tmp_path):
+    spec = DatasetSpec("d.csv", ";", {"k": "int"})
+    for name, rows in {"a": "k;t\n1;x\n", "b": "k;t\n2;y\n", "c": "k;t\n", "e f": "k;t\n5;z\n"}.items():
+        put(tmp_path, f"d.csv/{name}.csv", rows, mtime=1_000_000_000)
+    catalog = {"d": spec}
+
+    def state():
+        return dataset_status(spark, str(tmp_path), catalog).first().state
+
+    def copies(name):
+        return {p: os.stat(p).st_mtime_ns for p in glob.glob(f"{tmp_path}/parquet_files/d.parquet/__origen={name}/*.parquet")}
+
+    assert state() == "unstaged" and refresh(spark, str(tmp_path), catalog) == ["d"]
+    assert state() == "fresh" and refresh(spark, str(tmp_path), catalog) == []
+    before = copies("a.csv")
+    put(tmp_path, "d.csv/b.csv", "k;t\n3;y\n4;y\n", mtime=900_000_000)  # older than it was
+    os.remove(tmp_path / "d.csv/e f.csv")
+    assert state() == "stale"
+    refresh(spark, str(tmp_path), catalog)
+    rows = read_dataset(spark, str(tmp_path), spec)
+    assert state() == "fresh" and rows.columns == ["k", "t"]
+    assert sorted(map(tuple, rows.collect())) == [(1, "x"), (3, "y"), (4, "y")]
+    assert before and copies("a.csv") == before and not copies("e f.csv")
+    put(tmp_path, "d.csv/b.csv", "k;t;u\n3;y;1\n", mtime=1_100_000_000)  # other columns: all over again
+    for name in "ac":
+        put(tmp_path, f"d.csv/{name}.csv", "k;t;u\n1;x;2\n", mtime=1_100_000_000)
+    refresh(spark, str(tmp_path), catalog)
+    assert read_dataset(spark, str(tmp_path), spec).columns == ["k", "t", "u"]
