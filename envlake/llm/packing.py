@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from envlake.llm.common import slices, stored
-from envlake.llm.tokens import default_tokenizer, encoder
+from envlake.llm.tokens import SLICE, default_tokenizer, encoder
 
 CAPACITY = 2048
 BINS = 512  # classes of lengths that patterns are made of
@@ -215,7 +215,7 @@ def _pieces(path: str, capacity: int, with_ids: bool):
         encode = encoder(path).encode
         part = TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE):
             ids, offsets = encode(batch.column("text"))
             total = np.diff(offsets)
             pieces = -(-total // capacity)

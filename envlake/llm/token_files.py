@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from envlake.llm.common import slices, stored
-from envlake.llm.tokens import default_tokenizer, encoder
+from envlake.llm.tokens import SLICE, default_tokenizer, encoder
 
 ROW_GROUP_BYTES = 16 << 20
 PAGE_BYTES = 128 << 10
@@ -34,7 +34,7 @@ FILE_OPTIONS = {
 def _encoded(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path).encode
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE):
             ids, offsets = encode(batch.column("text"))
             yield pa.record_batch({
                 "doc_id": batch.column("doc_id"),

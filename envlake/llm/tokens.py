@@ -15,9 +15,10 @@ from envlake.llm.common import text_bytes
 from envlake.llm.shingles import mix
 
 END = 0  # the id that closes a document
-MOST_REMEMBERED = 800_000  # pieces; all are forgotten when there are more
+MOST_REMEMBERED = 400_000  # pieces; the rare ones are forgotten when there are more
 SOME = 1 << 17  # pieces looked up at once
-SLOT_BITS = 20
+SLICE = 1 << 17  # bytes of text encoded at once
+SLOT_BITS = 19
 SLOTS = 1 << SLOT_BITS
 #: The first n bytes of a little-endian whole number.
 MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
@@ -58,6 +59,8 @@ def default_tokenizer() -> str:
 class PieceMemo:
     """Ids of byte pieces, each encoded once by :meth:`fresh` and remembered."""
 
+    most = MOST_REMEMBERED
+
     def __init__(self) -> None:
         self.generation = 0
         self.forget()
@@ -70,9 +73,8 @@ class PieceMemo:
         """Place in ``self.start`` of each piece, after encoding those not met before."""
         known = self.known
         fresh = [w for w in dict.fromkeys(pieces) if w not in known]
-        if len(known) + len(fresh) > MOST_REMEMBERED and known:
-            self.forget()
-            self.generation += 1
+        if len(known) + len(fresh) > self.most and known:
+            self.forget_rare()
             return self._numbers(pieces)
         if fresh:
             names = [w.decode() for w in fresh]
@@ -89,15 +91,33 @@ class PieceMemo:
         self.used = self.pieces = 0
         self.arena = np.empty(1 << 16, np.uint32)
         self.start, self.length = np.empty(1 << 14, np.int64), np.empty(1 << 14, np.int64)
+        self.uses = np.zeros(1 << 14, np.int32)
         # the last piece met of each slot: its bytes as whole numbers, its length, its number
-        self.slot_bytes = np.zeros((SLOTS, 4), np.uint64)
+        self.slot_bytes = np.zeros((4, SLOTS), np.uint64)
         self.slot_number = np.full(SLOTS, -1, np.int64)
 
+    def forget_rare(self) -> None:
+        """Forget pieces met once only since the last time, and all if that frees too little."""
+        names, uses = list(self.known), self.uses[: self.pieces]
+        keep = np.flatnonzero(uses > 1)
+        if len(keep) > self.most // 2:
+            keep = keep[:0]
+        length = self.length[keep]
+        before = np.cumsum(length) - length
+        flat = self.arena[np.repeat(self.start[keep] - before, length) + np.arange(int(length.sum()))]
+        names = [names[i] for i in keep.tolist()]
+        self.forget()
+        self._append(flat, length)
+        self.known = dict(zip(names, range(len(names)), strict=True))
+        self.generation += 1
+
     def _append(self, flat: np.ndarray, lengths: np.ndarray) -> None:
         def grown(array: np.ndarray, need: int) -> np.ndarray:
             return array if need <= len(array) else np.resize(array, max(need, 2 * len(array)))
 
         n = len(lengths)
+        self.uses = grown(self.uses, self.pieces + n)
+        self.uses[self.pieces : self.pieces + n] = 0
         self.arena = grown(self.arena, self.used + len(flat))
         self.start, self.length = grown(self.start, self.pieces + n), grown(self.length, self.pieces + n)
         self.arena[self.used : self.used + len(flat)] = flat
@@ -122,14 +142,16 @@ class PieceMemo:
         sizes = ends - starts
         padded = np.concatenate([raw, np.zeros(24, np.uint8)])
         words = np.ndarray((len(raw) + 17,), "<u8", padded, 0, (1,))  # eight bytes from each place on
-        key = np.empty((len(starts), 4), np.uint64)
-        key[:, 3] = sizes
+        key = np.empty((4, len(starts)), np.uint64)
+        key[3] = sizes
         for k in range(3):
             left = np.clip(sizes - 8 * k, 0, 8)
-            key[:, k] = words[np.minimum(starts + 8 * k, len(raw))] & MASKS[left]
-        slot = (mix(key[:, 0] ^ (key[:, 1] * np.uint64(0x9E3779B97F4A7C15)) ^ (key[:, 2] * np.uint64(0xC2B2AE3D27D4EB4F))) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+            key[k] = words[np.minimum(starts + 8 * k, len(raw))] & MASKS[left]
+        slot = (mix(key[0] ^ (key[1] * np.uint64(0x9E3779B97F4A7C15)) ^ (key[2] * np.uint64(0xC2B2AE3D27D4EB4F))) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
         number = self.slot_number[slot]
-        hit = (self.slot_bytes[slot] == key).all(axis=1) & (number >= 0) & (sizes <= 24)
+        hit = (number >= 0) & (sizes <= 24)
+        for held, wanted in zip(self.slot_bytes, key, strict=True):
+            hit &= held[slot] == wanted
         missed = np.flatnonzero(~hit)
         if len(missed):
             view = memoryview(raw)
@@ -140,9 +162,10 @@ class PieceMemo:
             if before != self.generation:  # all was forgotten: numbers from the slots are void
                 return self._some_ids(raw, starts, ends)
             number[missed] = found
-            short = sizes[missed] <= 24
-            self.slot_bytes[slot[missed[short]]] = key[missed[short]]
-            self.slot_number[slot[missed[short]]] = found[short]
+            short = missed[sizes[missed] <= 24]
+            self.slot_bytes[:, slot[short]] = key[:, short]
+            self.slot_number[slot[short]] = number[short]
+        self.uses[: self.pieces] += np.bincount(number, minlength=self.pieces)
         at, length = self.start[number], self.length[number]
         first = np.cumsum(length) - length
         return self.arena[np.repeat(at - first, length) + np.arange(int(length.sum()))], length
