@@ -35,8 +35,11 @@ def stored(frame: DataFrame, label: str) -> DataFrame:
     """The frame written as Parquet into the shared scratch folder and read again.
 
     This cuts the lineage: a lost executor costs a read of the table, not the work before it.
+    Columns without a type, which Parquet cannot hold, become text.
     """
     spark = frame.sparkSession
+    untyped = {f.name: F.col(f"`{f.name}`").cast("string") for f in frame.schema if f.dataType.simpleString() == "void"}
+    frame = frame.withColumns(untyped) if untyped else frame
     path = scratch_dir(spark, label)
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)

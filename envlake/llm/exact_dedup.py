@@ -153,7 +153,7 @@ def exact_dedup(docs: DataFrame, text: str = "text", id_col: str = "doc_id", bit
     """
     names = docs.columns
     keep_id, size, kept, sha = (free_name(names, x) for x in ("keep_id", "group_size", "kept", "text_sha256"))
-    norm, print_, chars, row = (free_name(names, x) for x in ("norm", "fingerprint", "chars", "row"))
+    norm, print_, chars, row, first = (free_name(names, x) for x in ("norm", "fingerprint", "chars", "row", "first_row"))
     fingerprint = F.xxhash64(norm).bitwiseAND(F.lit((1 << bits) - 1))
     prints = docs.select(normalised(F.col(text)).alias(norm)).select(fingerprint.alias(print_))
     repeated = stored(repeated_fingerprints(prints, print_, bits), "repeated")
@@ -179,10 +179,10 @@ def exact_dedup(docs: DataFrame, text: str = "text", id_col: str = "doc_id", bit
     )
     same = F.expr("assert_true(least = greatest, 'different texts with one SHA-256 digest')")
     groups = groups.where(same.isNull()).select(
-        sha, size, (-F.col("best.i")).alias(keep_id), (-F.col("best.r")).alias("first_row")
+        sha, size, (-F.col("best.i")).alias(keep_id), (-F.col("best.r")).alias(first)
     )
     groups = stored(groups, "groups")  # so that a hot digest can be split in the join
     judged = shared.join(groups, sha).select(
-        *names, keep_id, size, (F.col(row) == F.col("first_row")).alias(kept), sha
+        *names, keep_id, size, (F.col(row) == F.col(first)).alias(kept), sha
     )
     return alone.select(*judged.columns).unionByName(judged)

@@ -103,7 +103,8 @@ def token_index(spark: SparkSession, path: str) -> DataFrame:
     read = rows.select("doc_id", "ids", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"))
     index = stored(read.mapInArrow(_digest, f"doc_id {id_type}, file string, row long, n_ids long, ids_crc32 long"), "token-index")
     files = index.groupBy("file").agg(F.sum("n_ids").alias("n"))
-    earlier = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
+    number = F.regexp_extract("file", "^part-([0-9]+)", 1).cast("long")
+    earlier = Window.orderBy(number, "file").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
     shifts = files.select("file", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("shift"))
     inside = Window.partitionBy("file").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
     return (

@@ -87,7 +87,8 @@ def test_exact_dedup_of_odd_texts(spark, bits):
 
 
 def test_exact_dedup_of_repeated_rows_and_null_ids(spark):
-    frame = docs(spark, ["a b", "a b", "a b", "c", "c"], [7, 7, None, None, None]).selectExpr("*", "1 AS kept", "2 AS KEEP_ID")
+    frame = docs(spark, ["a b", "a b", "a b", "c", "c"], [7, 7, None, None, None])
+    frame = frame.selectExpr("*", "1 AS kept", "2 AS KEEP_ID", "3 AS first_row", "4 AS norm", "5 AS bucket", "null AS untyped")
     rows = exact_dedup(frame).collect()
     assert sorted((r["text"], r["_keep_id"], r["group_size"]) for r in rows if r["_kept"]) == [("a b", 7, 3), ("c", None, 2)]
     assert len(rows) == 5 and exact_dedup(docs(spark, [])).count() == 0
