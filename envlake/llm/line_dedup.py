@@ -148,18 +148,19 @@ def line_dedup(docs: DataFrame, text: str = "text", id_col: str = "doc_id", min_
     )
     owners = stored(owners, "owners")
     shared = (
-        lines.join(owners, ["h1", "h2"])
+        lines.join(owners.hint("merge"), ["h1", "h2"])  # either side grows with the input
         .where("row != owner")
         .groupBy("row")
         .agg(F.collect_list(F.struct("place", "words", "owner", "there")).alias("lines"))
     )
     gone = stored(shared.mapInArrow(_aligned(min_words), "row long, removed array<int>"), "removed")
 
+    gone = gone.select(F.col("row").alias(row), F.col("removed").alias(removed))
     marked, maybe = maybe_in(numbered, row, gone)
     same = marked.where(~F.col(maybe)).select(*names, F.array().cast("array<int>").alias(removed))
     changed = (
         marked.where(maybe)
-        .join(gone.select(F.col("row").alias(row), F.col("removed").alias(removed)), row, "left")
+        .join(gone.hint("merge"), row, "left")
         .select(*names, F.coalesce(removed, F.array().cast("array<int>")).alias(removed))
     )
     some = changed.where(F.size(removed) > 0)
