@@ -11,17 +11,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from envlake.llm.common import documents
-from envlake.llm.sentencepiece_scan import decode_pieces, encode_pieces
+from envlake.llm.sentencepiece_scan import decoded_batches, default_model, encode_pieces
 
 
 def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in decoded_batches(default_model())(batches):
         lists = batch.column("ids")
-        offsets = lists.offsets.to_numpy()
-        flat = np.ascontiguousarray(lists.values.to_numpy(zero_copy_only=False), "<u4")
+        offsets = lists.offsets.to_numpy()  # of a slice: they do not begin at 0
+        flat = np.ascontiguousarray(lists.values.to_numpy(zero_copy_only=False)[offsets[0] : offsets[-1]], "<u4")
+        offsets = offsets - offsets[0]
         crc = [zlib.crc32(flat[a:b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
         yield pa.record_batch({
-            "doc_id": batch.column("doc_id"),
+            "doc_id": batch.column("id"),
             "n_pieces": pa.array(np.diff(offsets).astype(np.int64)),
             "ids_crc32": pa.array(crc, pa.int64()),
             "decoded": batch.column("text"),
@@ -30,8 +31,8 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def sentencepiece_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text and the text that they decode to."""
-    encoded = encode_pieces(documents(spark, sf_dir).select("doc_id", "text"))
-    found = decode_pieces(encoded).mapInArrow(_digest, "doc_id long, n_pieces long, ids_crc32 long, decoded string")
+    finish = (_digest, "doc_id long, n_pieces long, ids_crc32 long, decoded string")
+    found = encode_pieces(documents(spark, sf_dir).select("doc_id", "text"), finish=finish)
     return found.select(
         "doc_id", "n_pieces", "ids_crc32",
         F.octet_length("decoded").cast("long").alias("decoded_bytes"),

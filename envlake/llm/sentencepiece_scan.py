@@ -14,7 +14,7 @@ at every border, and the path inside each chunk is then traced back on its own.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 
 import numpy as np
@@ -23,9 +23,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from envlake.llm.common import free_name, slices, stored, text_bytes
-from envlake.llm.tokens import PieceMemo, kept
+from envlake.llm.tokens import SLICE, PieceMemo, kept
 
-CHUNK = 16_384  # characters; longer texts are scanned in chunks
+CHUNK = 32_768  # characters; longer texts are scanned in chunks
+MOST_PAIRS = 500_000  # remembered; all are forgotten when there are more
+NEVER = -np.inf
 CUT = ""  # the state at a border that no piece of the model spans
 
 
@@ -35,12 +37,44 @@ def default_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+class PieceBytes:
+    """The bytes that each id of a model stands for; control ids stand for none."""
+
+    def __init__(self, path: str):
+        import sentencepiece
+
+        model = sentencepiece.SentencePieceProcessor(model_file=path)
+        data = []
+        for i in range(model.get_piece_size()):
+            piece = model.id_to_piece(i)
+            if model.is_byte(i):
+                data.append(bytes([int(piece[3:5], 16)]))
+            elif model.is_control(i) or model.is_unknown(i) or model.is_unused(i):
+                data.append(b"")
+            else:
+                data.append(piece.replace("▁", " ").encode())
+        self.length = np.fromiter(map(len, data), np.int64, len(data))
+        self.start = np.cumsum(self.length) - self.length
+        self.arena = np.frombuffer(b"".join(data), np.uint8)
+
+    def texts(self, ids: np.ndarray, offsets: np.ndarray) -> list[str]:
+        """The text of each stretch of ids, without the blank that encoding put in front."""
+        length = self.length[ids]
+        before = np.cumsum(length) - length
+        places = np.repeat(self.start[ids] - before, length) + np.arange(int(length.sum()))
+        data = self.arena[places].tobytes()
+        edges = np.r_[0, np.cumsum(length)][offsets].tolist()
+        return [data[a + 1 : b].decode("utf-8", "replace") if b > a else "" for a, b in zip(edges, edges[1:], strict=False)]
+
+
 class Lattice(PieceMemo):
     """Pieces of a model, which pairs may follow each other, and paths over them.
 
     A blank stands for the model's white-space mark in all texts here.
     """
 
+    most = 400_000
+
     def __init__(self, path: str):
         super().__init__()
         import sentencepiece
@@ -51,21 +85,15 @@ class Lattice(PieceMemo):
         self.number: dict[str, int] = {}
         self.score: dict[str, float] = {}
         self.byte = [0] * 256
-        self.data: list[bytes] = []
         for i in range(model.get_piece_size()):
             piece = model.id_to_piece(i)
             if model.is_byte(i):
-                value = int(piece[3:5], 16)
-                self.byte[value] = i
-                self.data.append(bytes([value]))
-            elif model.is_control(i) or model.is_unknown(i) or model.is_unused(i):
-                self.data.append(b"")
-            else:
+                self.byte[int(piece[3:5], 16)] = i
+            elif not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)):
                 text = piece.replace("▁", " ")
                 self.number[text], self.score[text] = i, model.get_score(i)
-                self.data.append(text.encode())
         self.longest = max(map(len, self.number))
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.pairs: dict[int, bool] = {}
         # characters that stand next to each other inside some piece
         chars = sorted({c for p in self.number for c in p})
         self.char = np.zeros(0x110000, np.uint16)
@@ -77,21 +105,33 @@ class Lattice(PieceMemo):
 
     def merged(self, text: str) -> list[str]:
         """BPE of a short text as the model defines it: the best-scored pair first, then the leftmost."""
-        parts = list(text)
-        while len(parts) > 1:
-            scores = [self.score.get(a + b, -np.inf) for a, b in zip(parts, parts[1:], strict=False)]
-            best = max(range(len(scores)), key=lambda i: (scores[i], -i))
-            if scores[best] == -np.inf:
+        parts, get = list(text), self.score.get
+        scores = [get(a + b, NEVER) for a, b in zip(parts, parts[1:], strict=False)]
+        while scores:
+            best = max(scores)
+            if best == NEVER:
                 break
-            parts[best : best + 2] = [parts[best] + parts[best + 1]]
+            i = scores.index(best)
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            del scores[i]
+            if i < len(scores):
+                scores[i] = get(parts[i] + parts[i + 1], NEVER)
+            if i:
+                scores[i - 1] = get(parts[i - 1] + parts[i], NEVER)
         return parts
 
     def weight(self, last: str, piece: str) -> float:
         """0 or minus infinity, for ``piece`` after ``last``; after CUT any piece BPE makes."""
-        known = self.pairs.get((last, piece))
+        left, right = self.number.get(last, 0), self.number.get(piece, 0)
+        if not right or (last and not left):
+            return 0.0  # a character without a piece merges with nothing
+        known = self.pairs.get(left << 20 | right)
         if known is None:
-            known = self.pairs[last, piece] = self.merged(last + piece) == ([last, piece] if last else [piece])
-        return 0.0 if known else -np.inf
+            if len(self.pairs) >= MOST_PAIRS:
+                self.pairs.clear()
+            known = self.merged(last + piece) == ([last, piece] if last else [piece])
+            self.pairs[left << 20 | right] = known
+        return 0.0 if known else NEVER
 
     def steps(self, text: str, at: int) -> Iterator[str]:
         yield text[at]  # also a character without a piece
@@ -150,8 +190,42 @@ class Lattice(PieceMemo):
                 out.append(i)
         return out
 
+    def unit(self, text: str) -> list[str]:
+        """The best path over a text between two cuts.
+
+        Every prefix has one path of weight 0, so one state per place is kept: the first piece
+        found whose step weighs 0 is the maximum.
+        """
+        get, pairs, longest = self.number.get, self.pairs, self.longest
+        last: list[str] = [""] * (len(text) + 1)
+        code = [0] * (len(text) + 1)  # number of the last piece, -1 for a character without one
+        for end in range(1, len(text) + 1):
+            for start in range(max(0, end - longest), end):
+                piece = text[start:end]
+                right = get(piece)
+                if right is None:
+                    if end - start > 1:
+                        continue
+                    last[end], code[end] = piece, -1
+                    break
+                left = code[start]
+                if left < 0:
+                    fits = self.weight("", piece) == 0.0
+                else:
+                    fits = pairs.get(left << 20 | right)
+                    if fits is None:
+                        fits = self.weight(last[start], piece) == 0.0
+                if fits and (left or not start):
+                    last[end], code[end] = piece, right
+                    break
+        out, at = [], len(text)
+        while at:
+            out.append(last[at])
+            at -= len(last[at])
+        return out[::-1]
+
     def fresh(self, wanted: list[str]) -> dict[str, bytes]:
-        return {w: np.array(self.numbers(self.path(w, (0, CUT))), "<u4").tobytes() for w in wanted}
+        return {w: np.array(self.numbers(self.unit(w)), "<u4").tobytes() for w in wanted}
 
     def spans(self, text: str) -> np.ndarray:
         """For each place between two characters, and both ends, whether a piece may span it."""
@@ -304,7 +378,7 @@ def combined(matrices: Sequence[Matrix]) -> Matrix:
 def _whole(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = lattice(path)
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE):
             texts = pa.array([prepared(t) for t in batch.column("text").to_pylist()], pa.string())
             ids, counts = model.encode_units(texts)
             offsets = np.r_[0, np.cumsum(counts)].astype(np.int32)
@@ -377,20 +451,37 @@ def _traced(path: str):
     return run
 
 
-def encode_pieces(docs: DataFrame, text: str = "text", id_col: str = "doc_id", model: str | None = None, chunk: int = CHUNK) -> DataFrame:
+Batches = Iterator[pa.RecordBatch]
+
+
+def encode_pieces(
+    docs: DataFrame,
+    text: str = "text",
+    id_col: str = "doc_id",
+    model: str | None = None,
+    chunk: int = CHUNK,
+    finish: tuple[Callable[[Batches], Batches], str] | None = None,
+) -> DataFrame:
     """(``id_col``, ``ids``) of every row: the ids that the model gives its whole text.
 
     Null and empty texts have no ids. Repeated and null ids are allowed; other columns are not
     returned, whatever their names. An empty table gives an empty one. Texts of more than
     ``chunk`` characters are cut into chunks, which are spread over tasks: a task holds some
     chunks, one matrix per chunk of a text when borders are fixed, and the ids of a text.
+
+    ``finish``, a function of batches with ``id`` and ``ids`` and the schema it returns, is
+    applied where ids are made, so that they need not travel to another Python worker.
     """
     path = model or default_model()
     context = lattice(path).longest
     id_type = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     size = F.char_length("text")
-    short = rows.where(size < chunk).mapInArrow(_whole(path), f"id {id_type}, ids array<int>")
+    encode, schema = _whole(path), f"id {id_type}, ids array<int>"
+    if finish:
+        last, schema = finish
+        encode = lambda batches, first=encode: last(first(batches))
+    short = rows.where(size < chunk).mapInArrow(encode, schema)
     cut = stored(
         rows.where(size >= chunk).withColumn("row", F.monotonically_increasing_id()).mapInArrow(
             _chunks(chunk, context), f"id {id_type}, row long, chunk int, left string, body string, right string"
@@ -410,32 +501,28 @@ def encode_pieces(docs: DataFrame, text: str = "text", id_col: str = "doc_id", m
         F.first("id").alias("id"), F.sort_array(F.collect_list(F.struct("chunk", "ids"))).alias("parts")
     )
     whole = long_.select("id", F.flatten(F.transform("parts", lambda p: p["ids"])).alias("ids"))
+    if finish:
+        return short.unionByName(whole.mapInArrow(*finish))
     return short.unionByName(whole).withColumnRenamed("id", id_col)
 
 
-def _decoded(path: str, name: str):
+def decoded_batches(path: str, name: str = "text"):
+    """Batches with a list column ``ids`` to the same with their texts as a further column.
+
+    Steps after it in one function share its Python worker.
+    """
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = lattice(path)
-        lengths = np.fromiter(map(len, model.data), np.int64, len(model.data))
-        arena = np.frombuffer(b"".join(model.data), np.uint8)
-        first = np.cumsum(lengths) - lengths
+        model = kept(PieceBytes, path)
         for batch in batches:
-            if not batch.num_rows:
-                continue
             lists = batch.column("ids")
             offsets = lists.offsets.to_numpy().astype(np.int64)
-            offsets, ids = offsets - offsets[0], lists.values.to_numpy(zero_copy_only=False)[offsets[0] : offsets[-1]]
-            texts: list[str | None] = []
+            ids = lists.values.to_numpy(zero_copy_only=False)
             for at in range(0, batch.num_rows, 256):
-                low, high = offsets[at], offsets[min(at + 256, batch.num_rows)]
-                some = ids[low:high]
-                size = lengths[some]
-                before = np.cumsum(size) - size
-                data = arena[np.repeat(first[some] - before, size) + np.arange(int(size.sum()))].tobytes()
-                edges = np.r_[0, np.cumsum(size)][offsets[at : at + 257] - low].tolist()
-                # the leading blank is the model's own
-                texts += [data[a + 1 : b].decode("utf-8", "replace") if b > a else "" for a, b in zip(edges, edges[1:], strict=False)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, name])
+                some = offsets[at : at + 257]
+                texts = model.texts(ids[some[0] : some[-1]], some - some[0])
+                part = batch.slice(at, len(some) - 1)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], [*batch.schema.names, name])
 
     return run
 
@@ -448,4 +535,4 @@ def decode_pieces(encoded: DataFrame, model: str | None = None) -> DataFrame:
     name = free_name(encoded.columns, "text")
     path = model or default_model()
     rows = encoded.withColumn("ids", F.coalesce("ids", F.array().cast("array<int>")))
-    return rows.mapInArrow(_decoded(path, name), encoded.schema.add(name, "string"))
+    return rows.mapInArrow(decoded_batches(path, name), encoded.schema.add(name, "string"))
