@@ -17,10 +17,11 @@ from envlake.llm.shingles import mix
 END = 0  # the id that closes a document
 MOST_REMEMBERED = 400_000  # pieces; the rare ones are forgotten when there are more
 SOME = 1 << 17  # pieces looked up at once
-SLICE = 1 << 17  # bytes of text encoded at once
+SLICE = 1 << 18  # bytes of text encoded at once
 SLOT_BITS = 19
 SLOTS = 1 << SLOT_BITS
 #: The first n bytes of a little-endian whole number.
+MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64)
 MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
 # Byte-level BPE first cuts a text into pre-tokens and encodes each alone. Over the letters
@@ -93,8 +94,9 @@ class PieceMemo:
         self.start, self.length = np.empty(1 << 14, np.int64), np.empty(1 << 14, np.int64)
         self.uses = np.zeros(1 << 14, np.int32)
         # the last piece met of each slot: its bytes as whole numbers, its length, its number
-        self.slot_bytes = np.zeros((4, SLOTS), np.uint64)
-        self.slot_number = np.full(SLOTS, -1, np.int64)
+        self.slot_bytes = np.zeros((3, SLOTS), np.uint64)
+        self.slot_size = np.full(SLOTS, -1, np.int32)
+        self.slot_number = np.zeros(SLOTS, np.int32)
 
     def forget_rare(self) -> None:
         """Forget pieces met once only since the last time, and all if that frees too little."""
@@ -142,16 +144,20 @@ class PieceMemo:
         sizes = ends - starts
         padded = np.concatenate([raw, np.zeros(24, np.uint8)])
         words = np.ndarray((len(raw) + 17,), "<u8", padded, 0, (1,))  # eight bytes from each place on
-        key = np.empty((4, len(starts)), np.uint64)
-        key[3] = sizes
-        for k in range(3):
-            left = np.clip(sizes - 8 * k, 0, 8)
-            key[k] = words[np.minimum(starts + 8 * k, len(raw))] & MASKS[left]
-        slot = (mix(key[0] ^ (key[1] * np.uint64(0x9E3779B97F4A7C15)) ^ (key[2] * np.uint64(0xC2B2AE3D27D4EB4F))) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+        # bytes 0 to 7, 8 to 15 and 16 to 23 as whole numbers; few pieces have the latter two
+        key = words[starts] & MASKS[np.minimum(sizes, 8)]
+        mixed = key ^ sizes.astype(np.uint64)
+        longer = []
+        for k in (1, 2):
+            some = np.flatnonzero(sizes > 8 * k)
+            part = words[starts[some] + 8 * k] & MASKS[np.minimum(sizes[some] - 8 * k, 8)]
+            mixed[some] ^= part * MULTIPLIERS[k - 1]
+            longer.append((some, part))
+        slot = (mix(mixed) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
         number = self.slot_number[slot]
-        hit = (number >= 0) & (sizes <= 24)
-        for held, wanted in zip(self.slot_bytes, key, strict=True):
-            hit &= held[slot] == wanted
+        hit = (self.slot_size[slot] == sizes) & (self.slot_bytes[0][slot] == key)
+        for held, (some, part) in zip(self.slot_bytes[1:], longer, strict=True):
+            hit[some] &= held[slot[some]] == part
         missed = np.flatnonzero(~hit)
         if len(missed):
             view = memoryview(raw)
@@ -162,9 +168,12 @@ class PieceMemo:
             if before != self.generation:  # all was forgotten: numbers from the slots are void
                 return self._some_ids(raw, starts, ends)
             number[missed] = found
-            short = missed[sizes[missed] <= 24]
-            self.slot_bytes[:, slot[short]] = key[:, short]
-            self.slot_number[slot[short]] = number[short]
+            self.slot_size[slot[missed]] = np.where(sizes[missed] <= 24, sizes[missed], -1)
+            self.slot_bytes[0][slot[missed]] = key[missed]
+            for held, (some, part) in zip(self.slot_bytes[1:], longer, strict=True):
+                new = ~hit[some]
+                held[slot[some[new]]] = part[new]
+            self.slot_number[slot[missed]] = number[missed]
         self.uses[: self.pieces] += np.bincount(number, minlength=self.pieces)
         at, length = self.start[number], self.length[number]
         first = np.cumsum(length) - length
@@ -251,12 +260,12 @@ class Encoder(PieceMemo):
 
 
 def kept(kind: type, path: str):
-    """``kind(path)`` of this Python worker, kept from task to task, one at a time."""
-    store = sys.modules.setdefault("_envlake_kept", types.ModuleType("_envlake_kept"))
-    key = (kind.__name__, path)
-    if getattr(store, "key", None) != key:
-        store.key, store.value = key, kind(path)
-    return store.value
+    """``kind(path)`` of this Python worker, kept from task to task."""
+    store = vars(sys.modules.setdefault("_envlake_kept", types.ModuleType("_envlake_kept")))
+    key = f"{kind.__name__} {path}"
+    if key not in store:
+        store[key] = kind(path)
+    return store[key]
 
 
 def encoder(path: str) -> Encoder:
