@@ -141,8 +141,13 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
-    """The batches cut so that ``column`` holds about ``most`` bytes in each; a row is never cut."""
+def slices(
+    batches: Iterator[pa.RecordBatch], column: str, most: int = 1 << 20, rows: int = 512
+) -> Iterator[pa.RecordBatch]:
+    """The batches cut so that ``column`` holds about ``most`` bytes, in at most ``rows`` rows.
+
+    A row is never cut, so a longer text is a slice of its own.
+    """
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -150,7 +155,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 1 << 20)
         at = 0
         while at < batch.num_rows:
             to = int(np.searchsorted(offsets, offsets[at] + most, side="right")) - 1
-            to = max(at + 1, min(to, batch.num_rows))
+            to = max(at + 1, min(to, at + rows, batch.num_rows))
             yield batch.slice(at, to - at)
             at = to
 
