@@ -7,7 +7,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from envlake.llm import registered
+from envlake.llm import jaccard_join, registered
 from envlake.llm.common import components, maybe_in
 from envlake.llm.exact_dedup import QuotientFilter, exact_dedup, repeated_fingerprints
 from envlake.llm.jaccard_join import _Dense, _exact, drop_near_duplicates, jaccard_classes, least_matches, linked_pairs
@@ -65,6 +65,9 @@ def test_repeated_fingerprints(spark):
     frame = spark.createDataFrame([(v,) for v in values], "f long").repartition(3)
     got = {tuple(r) for r in repeated_fingerprints(frame, "f").collect()}
     assert got == {(1, 2), (3, 3), (4 << 50, 2)}
+    many = spark.range(4000).selectExpr("xxhash64(id % 3000) & 1152921504606846975 AS f").repartition(5)
+    got = repeated_fingerprints(many, "f", rows_per_segment=100)
+    assert got.count() == 1000 and {r["n"] for r in got.collect()} == {2}
 
 
 def plain_groups(rows):
@@ -164,6 +167,13 @@ def test_classes_match_brute_force(spark):
     assert got == plain_classes(list(enumerate(texts)))
 
 
+def test_large_components_are_cut_into_blocks(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "BLOCK_TEXTS", 8)
+    texts = near_copies(6, 120, 2) + ["a b c d e f"] * 50
+    got = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in jaccard_classes(docs(spark, texts)).collect()}
+    assert got == plain_classes(list(enumerate(texts)))
+
+
 def test_jaccard_query_matches_brute_force(spark):
     got = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in registered()["op1_jaccard_join"](spark, SF_DIR).collect()}
     assert got == plain_classes(list(documents().items()))
