@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from envlake.llm.common import components, free_name, maybe_in, slices, stored
+from envlake.llm.common import components, free_name, give_back, maybe_in, slices, stored
 from envlake.llm.shingles import mix, shingles, signatures
 
 SHINGLE = 5  # words
@@ -55,6 +55,7 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             "shingles": pa.array(per_text.astype(np.int64)),
             "bands": pa.ListArray.from_arrays(pa.array(offsets), pa.array(bands[some].reshape(-1).view(np.int64))),
         })
+    give_back()
 
 
 def _local_roots(n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -263,6 +264,7 @@ def jaccard_classes(
     parts = members.groupBy("root").agg(
         F.ceil(F.greatest(F.sum("shingles") / BLOCK_WORDS, F.count("*") / BLOCK_TEXTS)).cast("int").alias("parts")
     )
+    parts = stored(parts, "parts")  # written, so that the join with a hot root can be split
     wanted = members.join(parts, "root").withColumn("block", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
     there, flag = maybe_in(keyed, "key1", members)
     texts = (
@@ -296,7 +298,7 @@ def jaccard_classes(
     )
     rows = stored(rows.select("id", "row", "root", "n_links"), "placed")
     order = F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("row"))
-    first = rows.groupBy("root").agg(F.min(order).alias("first"))
+    first = stored(rows.groupBy("root").agg(F.min(order).alias("first")), "first")  # as parts
     done = rows.join(first, "root").select(
         F.col("row"), F.col("id"), F.col("first.id").alias("class_id"), "n_links",
         (F.col("first.row") == F.col("row")).alias("first_of_class"),
