@@ -212,11 +212,11 @@ def layout(histogram: np.ndarray, capacity: int = CAPACITY, bins: int = BINS, de
 
 def _pieces(path: str, capacity: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path).encode
+        memo = encoder(path)
         part = TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
         for batch in slices(batches, "text", SLICE):
-            ids, offsets = encode(batch.column("text"))
+            ids, offsets = memo.encode(batch.column("text"))
             total = np.diff(offsets)
             pieces = -(-total // capacity)
             owner = np.repeat(np.arange(len(total)), pieces)
@@ -242,6 +242,7 @@ def _pieces(path: str, capacity: int, with_ids: bool):
             if with_ids:
                 columns["ids"] = pa.ListArray.from_arrays(pa.array(offsets_of(length)), pa.array(flat.astype(np.int32)))
             yield pa.record_batch(columns)
+        memo.rest()
 
     return run
 

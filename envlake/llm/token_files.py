@@ -33,14 +33,15 @@ FILE_OPTIONS = {
 
 def _encoded(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path).encode
+        memo = encoder(path)
         for batch in slices(batches, "text", SLICE):
-            ids, offsets = encode(batch.column("text"))
+            ids, offsets = memo.encode(batch.column("text"))
             yield pa.record_batch({
                 "doc_id": batch.column("doc_id"),
                 "n_tokens": pa.array(np.diff(offsets)),
                 "ids": pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids.astype(np.int32))),
             })
+        memo.rest()
 
     return run
 

@@ -11,11 +11,12 @@ from collections.abc import Sequence
 import numpy as np
 import pyarrow as pa
 
-from envlake.llm.common import text_bytes
+from envlake.llm.common import give_back, text_bytes
 from envlake.llm.shingles import mix
 
 END = 0  # the id that closes a document
 MOST_REMEMBERED = 400_000  # pieces; the rare ones are forgotten when there are more
+FREQUENT = 20  # uses of a piece that is kept from task to task
 SOME = 1 << 17  # pieces looked up at once
 SLICE = 1 << 18  # bytes of text encoded at once
 SLOT_BITS = 19
@@ -98,10 +99,15 @@ class PieceMemo:
         self.slot_size = np.full(SLOTS, -1, np.int32)
         self.slot_number = np.zeros(SLOTS, np.int32)
 
-    def forget_rare(self) -> None:
-        """Forget pieces met once only since the last time, and all if that frees too little."""
+    def rest(self) -> None:
+        """Forget all but frequent pieces: workers that wait for their next task hold little."""
+        self.forget_rare(FREQUENT)
+        give_back()
+
+    def forget_rare(self, least: int = 2) -> None:
+        """Forget pieces met less often since the last time, and all if that frees too little."""
         names, uses = list(self.known), self.uses[: self.pieces]
-        keep = np.flatnonzero(uses > 1)
+        keep = np.flatnonzero(uses >= least)
         if len(keep) > self.most // 2:
             keep = keep[:0]
         length = self.length[keep]

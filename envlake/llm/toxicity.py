@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from envlake.llm.common import free_name, slices, stored
+from envlake.llm.common import free_name, give_back, slices, stored
 
 ORDERS = (3, 4, 5)  # characters in an n-gram
 HASH_BITS = 22
@@ -96,11 +96,13 @@ def _count_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         label = batch.column("label").to_numpy(zero_copy_only=False)
         owner, bucket = present(batch.column("text"))
         for c in (0, 1):
-            counts[c] += np.bincount(bucket[label[owner] == c], minlength=1 << HASH_BITS).astype(np.int32)
-    used = np.flatnonzero(counts.any(axis=0))
+            np.add.at(counts[c], bucket[label[owner] == c], 1)
+    used = np.flatnonzero(counts[0] | counts[1])
     for at in range(0, len(used), 1 << 16):
         b = used[at : at + (1 << 16)]
         yield pa.record_batch({"bucket": pa.array(b.astype(np.int32)), "n0": pa.array(counts[0, b].astype(np.int64)), "n1": pa.array(counts[1, b].astype(np.int64))})
+    del counts
+    give_back()
 
 
 def _kept_features(model: ToxicityModel):
@@ -212,6 +214,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, text: str = "text") ->
             z = np.bincount(owner, weights=model.weights[feature], minlength=batch.num_rows) + model.bias
             score = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score)], [*batch.schema.names, name])
+        give_back()
 
     return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, DoubleType())]))
 
