@@ -41,7 +41,6 @@ def _encoded(path: str):
                 "n_tokens": pa.array(np.diff(offsets)),
                 "ids": pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids.astype(np.int32))),
             })
-        memo.rest()
 
     return run
 
