@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from bisect import bisect_left
 from collections import Counter
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -48,29 +48,36 @@ def patience(pairs: Sequence[tuple[int, int]]) -> list[tuple[int, int]]:
     return sorted(matched.items())
 
 
+def blocks(matched: Sequence[tuple[int, int]], words: Mapping[int, int] | Sequence[int], min_words: int = MIN_BLOCK_WORDS) -> list[int]:
+    """Places here in blocks of at least ``min_words`` words.
+
+    ``matched`` are the aligned places (here, there) of two documents, ascending; a block is a
+    passage that goes on in both, and ``words`` has the words of each place here.
+    """
+    out: list[int] = []
+    start = 0
+    for i in range(1, len(matched) + 1):
+        if i == len(matched) or matched[i] != (matched[i - 1][0] + 1, matched[i - 1][1] + 1):
+            block = [a for a, _ in matched[start:i]]
+            if sum(words[a] for a in block) >= min_words:
+                out += block
+            start = i
+    return out
+
+
 def removed_lines(lines: Sequence[tuple[int, int, int, int]], min_words: int = MIN_BLOCK_WORDS) -> list[int]:
     """Places of the lines to delete from one document.
 
     ``lines`` are its lines that an earlier document had first: (place, words, that document,
-    place there). Lines are aligned with each such document; neighbours that are aligned form
-    a block, which goes if it has at least ``min_words`` words.
+    place there). Lines are aligned with each such document, and those in :func:`blocks` that
+    it shares with one of them go.
     """
     by_owner: dict[int, list[tuple[int, int]]] = {}
     words = {}
     for place, n, owner, there in sorted(lines):
         by_owner.setdefault(owner, []).append((place, there))
         words[place] = n
-    aligned = sorted({a for pairs in by_owner.values() for a, _ in patience(pairs)})
-    out: list[int] = []
-    block: list[int] = []
-    for a in [*aligned, None]:
-        if block and (a is None or a != block[-1] + 1):
-            if sum(words[b] for b in block) >= min_words:
-                out += block
-            block = []
-        if a is not None:
-            block.append(a)
-    return out
+    return sorted({a for pairs in by_owner.values() for a in blocks(patience(pairs), words, min_words)})
 
 
 def without_lines(text: str, places: Sequence[int]) -> str:
@@ -119,7 +126,7 @@ def line_dedup(docs: DataFrame, text: str = "text", id_col: str = "doc_id", min_
     is empty for texts left as they are. Documents are ordered by id, null ids last, then by
     row. A line's owner is the first document that has it. Every other document is aligned,
     by patience diff, with the owners of its lines, and blocks of at least ``min_words`` words
-    that are aligned go from it. The owner's copy always stays, so no line is lost. Lines are
+    that it shares with one of them go from it. The owner's copy always stays, so no line is lost. Lines are
     equal if their characters are; null and empty texts have none, and lines repeated inside
     one document stay. Repeated rows are documents of their own: the later one loses its
     lines. An empty table gives an empty one. Columns named ``removed`` stay and the new one

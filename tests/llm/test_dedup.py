@@ -258,3 +258,11 @@ def test_no_line_is_lost(spark):
     for r in line_dedup(docs(spark, list(documents().values()))).collect():
         kept |= {x for x in (r["text"] or "").split("\n") if words(x)}
     assert kept == {x for t in documents().values() for x in (t or "").split("\n") if words(x)}
+
+
+def test_block_is_shared_with_one_document(spark):
+    x, y, z = (" ".join(f"{c}{i}" for i in range(12)) for c in "xyz")
+    # lines of two documents, or apart in one, are no common passage of 20 words
+    texts = [f"{x}\n{z}", y, f"{x}\n{y}", f"{y}\n{z}\n{x}", f"{x}\n{z}\nend"]
+    removed = {r["doc_id"]: r["removed"] for r in line_dedup(docs(spark, texts)).collect()}
+    assert removed == {0: [], 1: [], 2: [], 3: [], 4: [0, 1]}
