@@ -5,6 +5,7 @@ from __future__ import annotations
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator, Mapping, Sequence
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from envlake.llm.common import BLANK, free_name, maybe_in, slices, stored
 
 MIN_BLOCK_WORDS = 20
+MAX_BITS = 1 << 27  # of one table of longest_common()
 
 
 def patience(pairs: Sequence[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -48,6 +50,87 @@ def patience(pairs: Sequence[tuple[int, int]]) -> list[tuple[int, int]]:
     return sorted(matched.items())
 
 
+def longest_common(here: Sequence[int], there: Sequence[int]) -> list[tuple[int, int]]:
+    """A longest common subsequence as (place here, place there), by rows of bits.
+
+    Takes len(here) * len(there) / 64 steps; the table of bits stays below ``MAX_BITS``, as
+    larger ones are halved where the best subsequences of both halves meet.
+    """
+    if not here or not there:
+        return []
+    if len(here) > 1 and len(here) * len(there) > MAX_BITS:
+        half = len(here) // 2
+        low = _lengths(_bit_rows(here[:half], there)[1], len(there))
+        high = _lengths(_bit_rows(here[half:][::-1], there[::-1])[1], len(there))
+        cut = max(range(len(there) + 1), key=lambda j: low[j] + high[len(there) - j])
+        rest = longest_common(here[half:], there[cut:])
+        return longest_common(here[:half], there[:cut]) + [(a + half, b + cut) for a, b in rest]
+    rows, _ = _bit_rows(here, there, keep=True)
+    out = []
+    i, j = len(here), len(there)
+    while i and j:
+        if rows[i - 1] >> (j - 1) & 1:
+            j -= 1
+        else:
+            i -= 1
+            if not i or rows[i - 1] >> (j - 1) & 1:
+                j -= 1
+                out.append((i, j))
+    return out[::-1]
+
+
+def _bit_rows(here: Sequence[int], there: Sequence[int], keep: bool = False) -> tuple[list[int], int]:
+    """A row of bits per place here (if kept) and the last: a 0 at j if the subsequence grows there."""
+    places: dict[int, int] = {}
+    for j, line in enumerate(there):
+        places[line] = places.get(line, 0) | 1 << j
+    full = row = (1 << len(there)) - 1
+    rows = []
+    for line in here:
+        hit = row & places.get(line, 0)
+        row = (row + hit | row - hit) & full
+        if keep:
+            rows.append(row)
+    return rows, row
+
+
+def _lengths(row: int, n: int) -> list[int]:
+    """Length of the longest common subsequence with each of the n + 1 beginnings."""
+    return [0, *accumulate(1 - (row >> j & 1) for j in range(n))]
+
+
+def aligned(here: Sequence[int], there: Sequence[int]) -> list[tuple[int, int]]:
+    """Patience diff of two whole documents: aligned places (here, there), ascending.
+
+    Equal lines at both ends are aligned, then the anchors of :func:`patience` between them, and
+    so on between the anchors. Where no line is unique, a longest common subsequence is.
+    """
+    out: list[tuple[int, int]] = []
+    open_ = [(0, len(here), 0, len(there))]
+    while open_:
+        a, a_end, b, b_end = open_.pop()
+        while a < a_end and b < b_end and here[a] == there[b]:
+            out.append((a, b))
+            a, b = a + 1, b + 1
+        while a < a_end and b < b_end and here[a_end - 1] == there[b_end - 1]:
+            a_end, b_end = a_end - 1, b_end - 1
+            out.append((a_end, b_end))
+        if a == a_end or b == b_end:
+            continue
+        often, often_there = Counter(here[a:a_end]), Counter(there[b:b_end])
+        if not often.keys() & often_there.keys():
+            continue
+        at = {x: j for j, x in enumerate(there[b:b_end], b) if often_there[x] == 1}
+        anchors = patience([(i, at[x]) for i, x in enumerate(here[a:a_end], a) if often[x] == 1 and x in at])
+        if anchors:
+            out += anchors
+            edges = [(a - 1, b - 1), *anchors, (a_end, b_end)]
+            open_ += [(p + 1, q, r + 1, t) for (p, r), (q, t) in zip(edges, edges[1:], strict=False)]
+        else:
+            out += [(a + i, b + j) for i, j in longest_common(here[a:a_end], there[b:b_end])]
+    return sorted(out)
+
+
 def blocks(matched: Sequence[tuple[int, int]], words: Mapping[int, int] | Sequence[int], min_words: int = MIN_BLOCK_WORDS) -> list[int]:
     """Places here in blocks of at least ``min_words`` words.
 
@@ -97,8 +180,9 @@ def _aligned(min_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = []
-            for lines in batch.column("lines").to_pylist():
-                found.append(removed_lines([(x["place"], x["words"], x["owner"], x["there"]) for x in lines], min_words))
+            for i in range(batch.num_rows):
+                here, words, there = (batch.column(c)[i].as_py() for c in ("here", "words", "there"))
+                found.append(blocks(aligned(here, there), words, min_words))
             rows = [r for r, f in zip(batch.column("row").to_pylist(), found, strict=True) if f]
             yield pa.record_batch({
                 "row": pa.array(rows, pa.int64()),
@@ -125,7 +209,7 @@ def line_dedup(docs: DataFrame, text: str = "text", id_col: str = "doc_id", min_
     ``removed`` lists the places of the deleted lines, counting lines with a word from 0; it
     is empty for texts left as they are. Documents are ordered by id, null ids last, then by
     row. A line's owner is the first document that has it. Every other document is aligned,
-    by patience diff, with the owners of its lines, and blocks of at least ``min_words`` words
+    by patience diff over all lines of both, with the owners of its lines, and blocks of at least ``min_words`` words
     that it shares with one of them go from it. The owner's copy always stays, so no line is lost. Lines are
     equal if their characters are; null and empty texts have none, and lines repeated inside
     one document stay. Repeated rows are documents of their own: the later one loses its
@@ -140,27 +224,33 @@ def line_dedup(docs: DataFrame, text: str = "text", id_col: str = "doc_id", min_
     row, removed = free_name(names, "row"), free_name(names, "removed")
     numbered = stored(docs.withColumn(row, F.monotonically_increasing_id()), "line-rows")
     worded = F.filter(F.split(F.coalesce(F.col(text), F.lit("")), "\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]"))
-    lines = numbered.select(F.col(id_col).alias("id"), F.col(row).alias("row"), F.posexplode(worded).alias("place", "line")).select(
-        "id", "row", "place",
-        F.xxhash64("line").alias("h1"), F.hash("line", F.char_length("line")).alias("h2"),
-        F.size(F.filter(F.split("line", BLANK + "+"), lambda w: w != "")).alias("words"),
-    )
-    lines = stored(lines, "lines")
-    first = F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("row"), F.col("place"))).alias("first")
+    line = F.transform(worded, lambda x: F.struct(
+        F.xxhash64(x).alias("h1"), F.hash(x, F.char_length(x)).alias("h2"),
+        F.size(F.filter(F.split(x, BLANK + "+"), lambda w: w != "")).alias("words"),
+    ))
+    listed = numbered.select(F.col(id_col).alias("id"), F.col(row).alias("row"), line.alias("lines"))
+    listed = stored(listed.where(F.size("lines") > 0), "lines")
+    lines = listed.select("id", "row", F.inline("lines"))
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("row"))).alias("first")
     owners = (
         lines.groupBy("h1", "h2")
         .agg(first, F.min("row").alias("low"), F.max("row").alias("high"))
         .where("low != high")
-        .select("h1", "h2", F.col("first.row").alias("owner"), F.col("first.place").alias("there"))
+        .select("h1", "h2", F.col("first.row").alias("owner"))
     )
     owners = stored(owners, "owners")
-    shared = (
+    pairs = (
         lines.join(owners.hint("merge"), ["h1", "h2"])  # either side grows with the input
         .where("row != owner")
-        .groupBy("row")
-        .agg(F.collect_list(F.struct("place", "words", "owner", "there")).alias("lines"))
+        .select("row", "owner")
+        .distinct()
     )
-    gone = stored(shared.mapInArrow(_aligned(min_words), "row long, removed array<int>"), "removed")
+    here = listed.select("row", F.col("lines.h1").alias("here"), F.col("lines.words").alias("words"))
+    there = listed.select(F.col("row").alias("owner"), F.col("lines.h1").alias("there"))
+    pairs = pairs.join(there.hint("merge"), "owner").join(here.hint("merge"), "row")
+    found = pairs.mapInArrow(_aligned(min_words), "row long, removed array<int>")
+    gone = found.groupBy("row").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("removed")))).alias("removed"))
+    gone = stored(gone, "removed")
 
     gone = gone.select(F.col("row").alias(row), F.col("removed").alias(removed))
     marked, maybe = maybe_in(numbered, row, gone)

@@ -1,6 +1,7 @@
 """Exact dedup, the Jaccard join and line dedup against plain answers."""
 
 import random
+from difflib import SequenceMatcher
 from math import comb
 
 import numpy as np
@@ -11,7 +12,7 @@ from envlake.llm import jaccard_join, registered
 from envlake.llm.common import components, maybe_in
 from envlake.llm.exact_dedup import QuotientFilter, exact_dedup, repeated_fingerprints
 from envlake.llm.jaccard_join import _Dense, _exact, drop_near_duplicates, jaccard_classes, least_matches, linked_pairs
-from envlake.llm.line_dedup import line_dedup, patience, removed_lines, without_lines
+from envlake.llm.line_dedup import aligned, line_dedup, longest_common, patience, removed_lines, without_lines
 from envlake.llm.shingles import shingles, signatures
 from tests.llm.helpers import ODD, SF_DIR, docs, documents, words
 
@@ -266,3 +267,25 @@ def test_block_is_shared_with_one_document(spark):
     texts = [f"{x}\n{z}", y, f"{x}\n{y}", f"{y}\n{z}\n{x}", f"{x}\n{z}\nend"]
     removed = {r["doc_id"]: r["removed"] for r in line_dedup(docs(spark, texts)).collect()}
     assert removed == {0: [], 1: [], 2: [], 3: [], 4: [0, 1]}
+
+
+def test_alignment_of_repeated_lines():
+    rng = random.Random(5)
+    for _ in range(500):
+        a, b = ([rng.randrange(size) for _ in range(rng.randrange(16))] for size in (rng.choice([2, 4, 40]),) * 2)
+        pairs = aligned(a, b)
+        assert all(a[i] == b[j] for i, j in pairs)
+        assert all(p < q and r < s for (p, r), (q, s) in zip(pairs, pairs[1:], strict=False))
+        length = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, j in np.ndindex(len(a), len(b)):
+            length[i + 1][j + 1] = length[i][j] + 1 if a[i] == b[j] else max(length[i][j + 1], length[i + 1][j])
+        assert len(longest_common(a, b)) == length[-1][-1] >= len(pairs)
+        same = SequenceMatcher(None, a, a, autojunk=False).get_matching_blocks()[0]
+        assert aligned(a, a) == [(same.a + k, same.b + k) for k in range(same.size)]
+
+
+def test_copies_with_repeated_lines_lose_every_line(spark):
+    x, y = (" ".join(f"{c}{i}" for i in range(12)) for c in "xy")
+    texts = ["\n".join(t) for t in ([x, y, x, y], [x, y, x, y], ["start", x, x, x, "end"], ["start", x, x, x, "end"])]
+    removed = {r["doc_id"]: r["removed"] for r in line_dedup(docs(spark, texts)).collect()}
+    assert removed[1] == [0, 1, 2, 3] and removed[3] == [0, 1, 2, 3, 4]
