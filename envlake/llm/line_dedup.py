@@ -1,4 +1,4 @@
-"""Line dedup: documents are aligned with those that had their lines first."""
+"""Line dedup: documents are aligned with those that had their passages first."""
 
 from __future__ import annotations
 
@@ -7,14 +7,19 @@ from collections import Counter
 from collections.abc import Iterator, Mapping, Sequence
 from itertools import accumulate
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
-from envlake.llm.common import BLANK, free_name, maybe_in, slices, stored
+from envlake.llm.common import BLANK, free_name, give_back, maybe_in, slices, stored
 
 MIN_BLOCK_WORDS = 20
 MAX_BITS = 1 << 27  # of one table of longest_common()
+FACTORS = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93  # odd
+WHOLE = np.uint64(0xA0761D6478BD642F)
 
 
 def patience(pairs: Sequence[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -176,6 +181,60 @@ def without_lines(text: str, places: Sequence[int]) -> str:
     return "\n".join(kept)
 
 
+def run_bounds(words: np.ndarray, offsets: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First lines, ends and documents of the runs by which documents are paired.
+
+    ``words`` has the words of all lines of the documents in a row. From each line on, and up to
+    each line, the shortest run of at least ``min_words`` words is taken, so every passage of as
+    many words that two documents have in a row is covered by runs of both. Each two neighbours
+    of so many words are a run too.
+    """
+    n = len(words)
+    total = np.r_[0, np.cumsum(words, dtype=np.int64)]
+    doc = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    at = np.arange(n)
+    ends = np.maximum(np.searchsorted(total, total[:-1] + min_words), at + 1)
+    starts = np.minimum(np.searchsorted(total, total[1:] - min_words, side="right") - 1, at)
+    two = np.flatnonzero((ends == at + 1) & (at + 2 <= offsets[1:][doc]))
+    low, high, of = np.r_[at, starts, two], np.r_[ends, at + 1, two + 2], np.r_[doc, doc, doc[two]]
+    good = (low >= offsets[of]) & (high <= offsets[of + 1])
+    _, one = np.unique(low[good] * (n + 1) + high[good], return_index=True)
+    return low[good][one], high[good][one], of[good][one]
+
+
+def run_keys(hashes: np.ndarray, low: np.ndarray, high: np.ndarray, factor: int) -> np.ndarray:
+    """A 64-bit hash of each run of lines from theirs: a polynomial of an odd factor."""
+    n = len(hashes)
+    with np.errstate(over="ignore"):
+        power = np.cumprod(np.r_[np.uint64(1), np.full(n, factor, np.uint64)])
+        back = np.cumprod(np.r_[np.uint64(1), np.full(n, pow(factor, -1, 1 << 64), np.uint64)])
+        total = np.r_[np.uint64(0), np.cumsum(hashes * power[:n])]
+        keys = (total[high] - total[low]) * back[low]
+        return (keys ^ (keys >> np.uint64(29))) * np.uint64(FACTORS[0]) + (high - low).astype(np.uint64)
+
+
+def _runs(min_words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lines = batch.column("lines")
+            values = lines.flatten()
+            offsets = np.r_[0, np.cumsum(pc.list_value_length(lines).to_numpy(zero_copy_only=False))].astype(np.int64)
+            h1, h2, words = (values.field(c).to_numpy(zero_copy_only=False) for c in ("h1", "h2", "words"))
+            low, high, doc = run_bounds(words, offsets, min_words)
+            # whole documents, told apart from runs, so that a copy meets the first of its kind
+            whole = np.flatnonzero(np.add.reduceat(words, offsets[:-1]) >= min_words) if len(offsets) > 1 else np.empty(0, np.int64)
+            low, high, doc = np.r_[low, offsets[whole]], np.r_[high, offsets[whole + 1]], np.r_[doc, whole]
+            k1 = run_keys(h1.astype(np.int64).view(np.uint64), low, high, FACTORS[0])
+            k2 = run_keys(h2.astype(np.int64).view(np.uint64), low, high, FACTORS[1])
+            k1[len(low) - len(whole) :] ^= WHOLE
+            columns = [batch.column(c).take(pa.array(doc)) for c in ("id", "row")]
+            columns += [pa.array(k1.view(np.int64)), pa.array((k2 >> np.uint64(32)).astype(np.uint32).view(np.int32))]
+            yield pa.record_batch(columns, ["id", "row", "k1", "k2"])
+        give_back()
+
+    return run
+
+
 def _aligned(min_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -208,16 +267,19 @@ def line_dedup(docs: DataFrame, text: str = "text", id_col: str = "doc_id", min_
 
     ``removed`` lists the places of the deleted lines, counting lines with a word from 0; it
     is empty for texts left as they are. Documents are ordered by id, null ids last, then by
-    row. A line's owner is the first document that has it. Every other document is aligned,
-    by patience diff over all lines of both, with the owners of its lines, and blocks of at least ``min_words`` words
-    that it shares with one of them go from it. The owner's copy always stays, so no line is lost. Lines are
-    equal if their characters are; null and empty texts have none, and lines repeated inside
-    one document stay. Repeated rows are documents of their own: the later one loses its
-    lines. An empty table gives an empty one. Columns named ``removed`` stay and the new one
+    row. A run of lines is owned by the first document that has it in a row. Every other
+    document is aligned, by patience diff over all lines of both, with the owners of its runs of
+    at least ``min_words`` words (:func:`run_bounds`), of any line and however common, and with
+    the first document of the same lines. Blocks of at least ``min_words`` words that go on in
+    both go from the later document. The first copy of a line always stays, so no line is lost.
+    Lines are equal if their characters are; null and empty texts have none, and lines repeated
+    inside one document stay. Of passages that stand in crossing order in two documents only
+    those go that the diff aligns. Repeated rows are documents of their own: the later one loses
+    its lines. An empty table gives an empty one. Columns named ``removed`` stay and the new one
     gets a leading underscore.
 
-    A line that very many documents share costs one row for each, joined with its single
-    owner: rows grow with the lines, never with pairs of documents, however common a line is.
+    A run that very many documents share costs one row for each, joined with its single owner:
+    rows grow with the lines, never with pairs of documents, however common a run is.
     Only documents that lose lines are shuffled with their text.
     """
     names = docs.columns
@@ -230,17 +292,18 @@ def line_dedup(docs: DataFrame, text: str = "text", id_col: str = "doc_id", min_
     ))
     listed = numbered.select(F.col(id_col).alias("id"), F.col(row).alias("row"), line.alias("lines"))
     listed = stored(listed.where(F.size("lines") > 0), "lines")
-    lines = listed.select("id", "row", F.inline("lines"))
+    keys = StructType([*listed.select("id", "row").schema, StructField("k1", LongType()), StructField("k2", IntegerType())])
+    runs = stored(listed.mapInArrow(_runs(min_words), keys), "line-runs")
     first = F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("row"))).alias("first")
     owners = (
-        lines.groupBy("h1", "h2")
+        runs.groupBy("k1", "k2")
         .agg(first, F.min("row").alias("low"), F.max("row").alias("high"))
         .where("low != high")
-        .select("h1", "h2", F.col("first.row").alias("owner"))
+        .select("k1", "k2", F.col("first.row").alias("owner"))
     )
     owners = stored(owners, "owners")
     pairs = (
-        lines.join(owners.hint("merge"), ["h1", "h2"])  # either side grows with the input
+        runs.join(owners.hint("merge"), ["k1", "k2"])  # either side grows with the input
         .where("row != owner")
         .select("row", "owner")
         .distinct()

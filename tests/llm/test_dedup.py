@@ -289,3 +289,44 @@ def test_copies_with_repeated_lines_lose_every_line(spark):
     texts = ["\n".join(t) for t in ([x, y, x, y], [x, y, x, y], ["start", x, x, x, "end"], ["start", x, x, x, "end"])]
     removed = {r["doc_id"]: r["removed"] for r in line_dedup(docs(spark, texts)).collect()}
     assert removed[1] == [0, 1, 2, 3] and removed[3] == [0, 1, 2, 3, 4]
+
+
+def shared_places(rows, min_words=20):
+    """Places in passages of so many words that an earlier document has in a row, by comparing all documents."""
+    lines = [[x for x in (t or "").split("\n") if words(x)] for _, t in sorted(rows)]
+    out = []
+    for n, here in enumerate(lines):
+        found = set()
+        for there in lines[:n]:
+            run = {}  # words of the common run up to a place there, and its first line here
+            for i, x in enumerate(here):
+                now = {}
+                for j in (j for j, y in enumerate(there) if x == y):
+                    size, start = run.get(j - 1, (0, i))
+                    now[j] = size + len(words(x)), start
+                    if now[j][0] >= min_words:
+                        found |= set(range(start, i + 1))
+                run = now
+        out.append(sorted(found))
+    return out
+
+
+def test_line_query_removes_all_shared_passages(spark):
+    got = {r["doc_id"]: r["removed"] for r in registered()["op4_line_dedup"](spark, SF_DIR).collect()}
+    want = dict(zip(sorted(documents()), shared_places(documents().items()), strict=True))
+    assert any(want.values()) and got == {i: ",".join(map(str, gone)) for i, gone in want.items()}
+
+
+def test_lines_scattered_over_earlier_documents(spark):
+    rng = random.Random(8)
+    some = [" ".join(f"{c}{i}" for i in range(n)) for c, n in zip("abcdefgh", (11, 10, 3, 25, 30, 6, 12, 8), strict=True)]
+    a, b, _, long, longer, *_ = some
+    texts = ["\n".join(t) for t in ([a], [b], [a, b, a], [a, b, a], [longer, long], [long, longer], [long, longer])]
+    texts += ["\n".join(rng.choice(some) for _ in range(rng.randrange(1, 7))) for _ in range(60)]
+    texts += texts[-60:]
+    removed = [r["removed"] for r in line_dedup(docs(spark, texts)).orderBy("doc_id").collect()]
+    assert removed[2] == [] and removed[3] == [0, 1, 2] and removed[6] == [0, 1]
+    for n, (gone, shared) in enumerate(zip(removed, shared_places(list(enumerate(texts))), strict=True)):
+        assert set(gone) <= set(shared)
+        if n >= len(texts) - 60:
+            assert gone == shared
