@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import posixpath
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -158,8 +158,15 @@ def run(
 
 
 def written_previews(
-    spark: SparkSession, status: DataFrame, rows: int = 5
+    spark: SparkSession,
+    status: DataFrame,
+    rows: int = 5,
+    order: Mapping[str, Sequence[str]] | None = None,
 ) -> dict[str, DataFrame]:
-    """The first rows of each table that :func:`run` reports as written, by job."""
+    """The first rows of each table that :func:`run` reports as written, by job.
+
+    ``order`` names the columns that a job's rows are ordered by, others come as written.
+    """
+    order = order or {}
     done = status.where("status = 'ok'").select("pipeline", "detail").collect()
-    return {r.pipeline: preview(spark.read.parquet(r.detail), rows=rows) for r in done}
+    return {r.pipeline: preview(spark.read.parquet(r.detail), *order.get(r.pipeline, ()), rows=rows) for r in done}

@@ -141,12 +141,13 @@ def failed_rerun_keeps_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def job_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first rows of what a job wrote; here it wrote only five."""
+    """The first rows by key of what a job wrote from all orders."""
     root = scratch_dir(spark, "preview")
     job, catalog = _own_job(spark, root)
-    first = table(spark, sf_dir, "orders").orderBy("o_orderkey").limit(5)
-    write_delimited(first.select("o_orderkey", "o_totalprice"), f"{root}/crudo/orders.csv", ";")
-    return written_previews(spark, run(spark, root, jobs=(job,), catalog=catalog))["pedidos"]
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    write_delimited(orders, f"{root}/crudo/orders.csv", ";")
+    status = run(spark, root, jobs=(job,), catalog=catalog)
+    return written_previews(spark, status, order={job.name: ["o_orderkey"]})[job.name]
 
 
 def _collect(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

@@ -8,6 +8,7 @@ from dataclasses import replace
 import pytest
 
 from envlake import run
+from envlake.queries import jobs as job_queries
 from envlake.plans import JOBS, JobSpec, collect_observations
 from envlake.plans.collector import _of_period
 from envlake.schemas import HOURS, STATIONS
@@ -184,3 +185,13 @@ def test_a_failed_job_keeps_its_output_and_copy(spark, root):
     assert spark.read.parquet(f"{root}/{JOBS[1].output}").count() == 1
     assert spark.read.parquet(staged_path(f"{root}/{CATALOG['dim_variable_aire_csv'].path}")).count() == 1
     assert not glob.glob(f"{root}/**/_*.new", recursive=True) and not glob.glob(f"{root}/**/_*.old", recursive=True)
+
+
+def test_preview_is_of_a_job_over_all_rows(spark, monkeypatch):
+    written = []
+    plain = job_queries.written_previews
+    monkeypatch.setattr(job_queries, "written_previews", lambda *a, **b: written.append(a[1].first().detail) or plain(*a, **b))
+    sf_dir = "/root/testdata/sf0.001"
+    got = [r.o_orderkey for r in job_queries.job_preview(spark, sf_dir).collect()]
+    keys = sorted(r.o_orderkey for r in spark.read.parquet(f"{sf_dir}/orders.parquet").collect())
+    assert got == keys[:5] and spark.read.parquet(written[0]).count() == len(keys) > 5
