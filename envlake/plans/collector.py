@@ -52,13 +52,23 @@ def _of_period(records: DataFrame, start: date | str, end: date | str) -> DataFr
 
 
 def _with_rest(clean: DataFrame) -> DataFrame:
-    """The keys outside the list as columns of their own; their names are few."""
+    """The keys outside the list as columns of their own; their names are few.
+
+    A key that is a name of theirs or of the library's, whatever its case, gets leading underscores.
+    """
     if REST not in clean.columns:
         return clean
     keys = clean.select(F.explode(F.map_keys(REST)).alias("k")).distinct().orderBy("k").collect()
-    taken = {c.lower() for c in clean.columns}
-    extra = {r.k: F.col(REST).getItem(r.k) for r in keys if r.k.lower() not in taken}
-    return clean.withColumns(extra).drop(REST)
+    columns = [c for c in clean.columns if c != REST]
+    taken = {c.lower() for c in [*columns, "documento", *DOCUMENT_COLUMNS]}
+    extra = []
+    for key in sorted((r.k for r in keys), key=lambda k: k.lower() in taken):  # those that clash last
+        name = key
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        extra.append(F.col(REST).getItem(key).alias(name))
+    return clean.select(*columns, *extra)
 
 
 def collect_observations(

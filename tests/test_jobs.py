@@ -160,6 +160,17 @@ def test_nothing_collected_leaves_the_csv(spark, tmp_path):
     assert again["observations"].count() == 0 and before and sorted(glob.glob(f"{csv}/*")) == before
 
 
+def test_keys_that_clash_with_columns_are_kept(spark, tmp_path):
+    keys = {"FECHA": "a", "documento": "b", "ventana": "c", "otros": "d", "_fecha": "e", "Nota": "f", "nota": "g"}
+    put(tmp_path, "raw/3129_2022_07.json", json.dumps([{"fecha": "2022-08-01", "indicativo": "3129", **keys}]))
+    records = read_raw_documents(spark, str(tmp_path / "raw"), ["fecha", "indicativo"], rest=True)
+    got = collect_observations(spark, records, f"{tmp_path}/o.csv", work=str(tmp_path / "a"))["observations"].first().asDict()
+    assert (str(got["fecha"]), got["indicativo"]) == ("2022-08-01", "3129")
+    assert {k: v for k, v in got.items() if k not in ("fecha", "indicativo")} == {
+        "__FECHA": "a", "_documento": "b", "_ventana": "c", "otros": "d", "_fecha": "e", "Nota": "f", "_nota": "g",
+    }
+
+
 def test_period_prunes_landed_folders(spark, tmp_path):
     rows = [("2021-02-01", "3129"), ("2022-02-01", "3129"), ("2022-08-01", "3129")]
     land_records(spark.createDataFrame(rows, "fecha string, indicativo string"), str(tmp_path / "l"))
