@@ -194,7 +194,7 @@ class Encoder(PieceMemo):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are text
+        self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         super().__init__()
         self.opens = np.zeros(self.tokenizer.get_vocab_size(), bool)  # tokens that begin with a blank
         for token, number in self.tokenizer.get_vocab().items():
@@ -218,6 +218,18 @@ class Encoder(PieceMemo):
         found = self.tokenizer.encode_batch_fast(CUT.split(text), add_special_tokens=False)
         return b"".join(np.array(e.ids, "<u4").tobytes() for e in found)
 
+    def _with_added(self, raw: np.ndarray, offsets: np.ndarray) -> set[int]:
+        """The texts that hold the string of an added token, which the library makes one id."""
+        data, found = raw.tobytes(), set()
+        for token in self.added:
+            at = data.find(token)
+            while at >= 0:
+                i = int(np.searchsorted(offsets, at, side="right")) - 1
+                if at + len(token) <= offsets[i + 1]:
+                    found.add(i)
+                at = data.find(token, at + 1)
+        return found
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, each closed by ``END``, and the n + 1 offsets; null is empty."""
         raw, offsets = text_bytes(texts)
@@ -227,6 +239,8 @@ class Encoder(PieceMemo):
         signs = np.flatnonzero((raw == 0x97) | (raw == 0xB7))  # the signs among the letters
         bad[signs[(signs > 0) & (raw[signs - 1] == 0xC3)]] = True
         odd = np.diff(np.searchsorted(np.flatnonzero(bad), offsets)) > 0
+        whole = self._with_added(raw, offsets)
+        odd[list(whole)] = True
 
         starts, ends, owner = self._pre_tokens(raw, offsets, kind)
         good = ~odd[owner]
@@ -237,7 +251,11 @@ class Encoder(PieceMemo):
             edges = np.r_[0, np.cumsum(per_text)]
             parts = [ids[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
             for i in np.flatnonzero(odd):
-                parts[i] = np.frombuffer(self._by_cuts(texts[int(i)].as_py()), "<u4")
+                text = texts[int(i)].as_py()
+                if i in whole:
+                    parts[i] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+                else:
+                    parts[i] = np.frombuffer(self._by_cuts(text), "<u4")
             per_text = np.fromiter(map(len, parts), np.int64, n_texts)
             ids = np.concatenate(parts)
         ends_ = np.cumsum(per_text)

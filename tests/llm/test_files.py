@@ -299,3 +299,13 @@ def test_sentencepiece_query(spark):
     for r in rows:
         raw, ids = (texts[r["doc_id"]] or "").encode(), PIECES.encode(texts[r["doc_id"]] or "")
         assert (r["n_pieces"], r["ids_crc32"], r["decoded_bytes"], r["decoded_crc32"]) == (len(ids), crc(ids), len(raw), zlib.crc32(raw))
+
+
+def test_strings_of_special_tokens_as_the_library_encodes_them():
+    plain = Tokenizer.from_file(default_tokenizer())
+    texts = ["see <|endoftext|> here", "<|endoft", "ext|>", "", None, "a  <|endoftext|>  b\n<|endoftext|><|endoftext|>", "été 日本 <|endoftext|>", "plain words <|endoftext"]
+    ids, offsets = Encoder(default_tokenizer()).encode(pa.array(texts))
+    for n, text in enumerate(texts):
+        want = [*plain.encode(text or "", add_special_tokens=False).ids, 0]
+        assert ids[offsets[n] : offsets[n + 1]].tolist() == want
+    assert 50256 in ids[: offsets[1]]
