@@ -9,12 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 import envlake
 
-from envlake.llm import queries_dedup, queries_files, queries_filters, queries_pieces
+from envlake.llm import queries_dedup, queries_files, queries_filters, queries_pieces, queries_search
 
 # functions travel to executors by value, so that the library need not be installed there
 cloudpickle.register_pickle_by_value(envlake)
 
-_MODULES = (queries_filters, queries_files, queries_dedup, queries_pieces)
+_MODULES = (queries_filters, queries_files, queries_dedup, queries_pieces, queries_search)
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

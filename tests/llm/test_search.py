@@ -1,0 +1,160 @@
+"""Searches over vectors against brute force over all pairs."""
+
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from envlake.llm import hard_negatives as hard
+from envlake.llm import vectors
+from envlake.llm.hard_negatives import SuffixIndex, hard_negatives
+from envlake.llm.maxscore import search_block, split_terms, top_k
+from envlake.llm.vectors import Best, matrices, quantised
+
+ROWS = "vec_id long, embedding array<double>, label int, score string, key int, QUERY int"
+NAN, INF = math.nan, math.inf
+
+
+def usable(v):
+    return v is not None and all(x is not None and math.isfinite(x) for x in v)
+
+
+def product(a, b):
+    return sum(int(x) * int(y) for x, y in zip(a, b))  # noqa: B905  a shorter one ends in zeros
+
+
+def late(i):
+    return (i is None, i if i is not None else 0)
+
+
+def brute_top(rows, asks, k):
+    rows = [(n, r[0], r[1]) for n, r in enumerate(rows) if usable(r[1])]
+    out = []
+    for n, i, v in rows:
+        if asks(i):
+            scored = sorted((-product(v, w), late(j), j) for m, j, w in rows if m != n)
+            out += [(i, rank, j, -s) for rank, (s, _, j) in enumerate(scored[:k], 1)]
+    return sorted(out, key=repr)
+
+
+def brute_negatives(rows, asks, positives=5, negatives=3):
+    rows = [(n, r[0], r[1], r[2]) for n, r in enumerate(rows) if usable(r[1]) and r[2] is not None]
+    out = []
+    for n, i, v, label in rows:
+        if not asks(i):
+            continue
+        scored = sorted((-product(v, w), late(j), j, other) for m, j, w, other in rows if m != n)
+        for s, _, j, _ in [x for x in scored if x[3] == label][:positives]:
+            far = [x for x in scored if x[3] != label and 50 * -s <= 100 * -x[0] <= 95 * -s]
+            out += [(i, j, rank, x[2], -s, -x[0]) for rank, x in enumerate(far[:negatives], 1)]
+    return sorted(out, key=repr)
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(*r, "x", 1, 2) for r in rows], ROWS)
+
+
+def odd_rows():
+    """Ties, repeated ids and rows, ragged, empty and huge vectors, and rows that take no part."""
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.integers(-40, 60, 12).astype(float).tolist(), int(rng.integers(0, 3))) for i in range(160)]
+    rows += [(i, [7.0, 3.0, 0.0, -2.0], 1) for i in range(160, 260)]  # one hot vector
+    rows += [(0, [1.0, 2.0], 0), (0, [1.0, 2.0], 0), (10, rows[10][1], 2), (None, [30.0] * 12, 0), (-10, [9.0] * 20, 1)]
+    rows += [(300, [], 0), (301, None, 1), (302, [1.0, None], 1), (303, [NAN], 1), (304, [INF, 1.0], 2), (305, [5.0, 5.0], None)]
+    rows += [(310, [2.0**24, -(2.0**24), 3.0], 2), (320, [2.0**24, 2.0**24, 1.0], 0)]
+    return rows
+
+
+def asked(i):
+    return i is not None and i % 10 == 0
+
+
+def test_top_k_matches_brute_force(spark):
+    rows = odd_rows()
+    got = top_k(frame(spark, rows), "vec_id", "embedding", F.col("vec_id") % 10 == 0, 5)
+    assert got.columns == ["query_id", "rank", "candidate_id", "score"]
+    assert sorted(map(tuple, got.collect()), key=repr) == brute_top(rows, asked, 5)
+
+
+def test_negatives_match_brute_force(spark):
+    rows = odd_rows()
+    got = hard_negatives(frame(spark, rows), "vec_id", "embedding", "label", F.col("vec_id") % 10 == 0)
+    assert got.columns == ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"]
+    assert sorted(map(tuple, got.collect()), key=repr) == brute_negatives(rows, asked)
+
+
+def test_several_waves_and_small_blocks(spark, monkeypatch):
+    """More queries than one broadcast holds, and blocks of a few rows."""
+    monkeypatch.setattr(vectors, "WAVE_VALUES", 150)
+    monkeypatch.setattr(vectors, "BLOCK_VALUES", 200)
+    rows = odd_rows()[:220]
+    every = F.col("vec_id") % 10 == 0
+    got = top_k(frame(spark, rows), "vec_id", "embedding", every, 3)
+    assert sorted(map(tuple, got.collect()), key=repr) == brute_top(rows, asked, 3)
+    got = hard_negatives(frame(spark, rows), "vec_id", "embedding", "label", every)
+    assert sorted(map(tuple, got.collect()), key=repr) == brute_negatives(rows, asked)
+
+
+@pytest.mark.parametrize("rows", [[], [(0, [1.0], 1)], [(1, [1.0], 1), (2, [2.0], 1)], [(0, None, None)]])
+def test_nothing_to_find(spark, rows):
+    every = F.col("vec_id") % 10 == 0
+    assert top_k(frame(spark, rows), "vec_id", "embedding", every).collect() == []
+    assert hard_negatives(frame(spark, rows), "vec_id", "embedding", "label", every).collect() == []
+
+
+def test_ids_of_any_type(spark):
+    rows = [(f"id {i:02d}", [float(i % 4), 1.0]) for i in range(30)]
+    named = spark.createDataFrame(rows, "name string, v array<float>")
+    got = top_k(named, "name", "v", F.col("name") == "id 03", 3)
+    assert [(r.candidate_id, r.score) for r in got.orderBy("rank").collect()] == [("id 07", 10), ("id 11", 10), ("id 15", 10)]
+
+
+def test_scores_beyond_a_long_fail(spark):
+    rows = [(0, [2.0**40], 1), (1, [2.0**40], 1)]
+    with pytest.raises(Exception, match="may not fit"):
+        top_k(frame(spark, rows), "vec_id", "embedding", F.col("vec_id") == 0).collect()
+
+
+def test_terms_below_the_threshold_are_not_essential():
+    order, rest, essential = split_terms(np.array([[5.0, 1.0, 8.0, 2.0]]), np.array([4.0]))
+    assert order.tolist() == [[2, 0, 3, 1]] and rest.tolist() == [[16, 8, 3, 1, 0]] and essential.tolist() == [2]
+    rows = np.array([[0, 0, 1, 1], [1, 0, 1, 1], [1, 1, 1, 1], [0, 0, 1, 0]], float).T
+    found = [(q, r.tolist(), s.tolist()) for q, r, s in search_block(np.array([[5.0, 1, 8, 2]]), np.ascontiguousarray(rows), np.array([11.0]))]
+    assert found == [(0, [1, 2], [15, 16])]
+
+
+def test_index_leaves_out_what_norms_cover():
+    """Rows with small tails index only their first dimensions, and no pair is lost."""
+    rng = np.random.default_rng(1)
+    rows = np.floor(rng.normal(0, 30, (400, 40)) * np.linspace(2, 0.05, 40))
+    asked = np.floor(rng.normal(0, 30, (20, 40)) * np.linspace(2, 0.05, 40))
+    least = np.full(20, 15_000.0)
+    index = SuffixIndex(rows, asked, least)
+    assert 0 < index.first.mean() < 40 / hard.CHUNK
+    q, r, score = index.join(np.ones((20, 400), bool))
+    truth = asked @ rows.T
+    assert set(zip(q.tolist(), r.tolist(), score.tolist(), strict=True)) == {
+        (i, j, truth[i, j]) for i, j in zip(*np.nonzero(truth >= 15_000), strict=True)
+    }
+
+
+def test_best_lists_keep_ties_by_key():
+    best = Best(2, 2)
+    best.add(np.array([0, 0, 0, 1]), np.array([5.0, 7.0, 7.0, 1.0]), np.array([1, 9, 4, 3]))
+    best.add(np.array([0]), np.array([7.0]), np.array([2]))
+    assert [x.tolist() for x in best.found()] == [[0, 0, 1], [7, 7, 1], [2, 4, 3]]
+    assert best.least().tolist() == [7, -np.inf]
+
+
+def test_blocks_hold_all_vectors():
+    vectors_ = [[1.0], [], [2.0, 3.0, 4.0], [5.0] * 500]
+    offsets = np.r_[0, np.cumsum([len(v) for v in vectors_])]
+    parts = list(matrices(offsets, np.array(sum(vectors_, [])), 2))
+    assert [(a, b, m.shape) for a, b, m in parts] == [(0, 2, (2, 1)), (2, 4, (2, 500))]
+    assert parts[1][2][0, :4].tolist() == [2, 3, 4, 0]
+
+
+def test_quantised(spark):
+    row = spark.createDataFrame([([0.5, -0.001, 1e300, 0.0],)], "v array<double>").select(quantised(F.col("v"), 256).alias("v")).first()
+    assert row.v == [128.0, -1.0, 256e300, 0.0]
