@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from envlake.llm.collocations import collocations
+from envlake.llm.common import documents
 from envlake.llm.hard_negatives import hard_negatives
 from envlake.llm.maxscore import top_k
 from envlake.llm.vectors import quantised
@@ -29,6 +31,10 @@ def hard_negatives_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives(rows, "vec_id", "embedding", "label", F.col("vec_id") % 50 == 0)
 
 
+def collocations_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(documents(spark, sf_dir))
+
+
 _VECTORS = f"""
 v AS (
   SELECT vec_id, label, list_transform(embedding, lambda x: floor({SCALE} * x::DOUBLE)) AS e
@@ -66,8 +72,44 @@ SELECT anchor_id, positive_id, CAST(n AS INT) AS rank, negative_id, positive_sco
 FROM h WHERE n <= 3
 """
 
+COLLOCATIONS_SQL = r"""
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[.,;:!?\x0A-\x0D]') AS pieces
+  FROM documents),
+p AS (SELECT row_number() OVER () AS p, lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (SELECT lang, unnest(pieces) AS piece FROM d)),
+g AS (
+  SELECT lang, list_slice(w, i, i + k - 1) AS ws, k
+  FROM p, (SELECT unnest(range(1, 6)) AS k) ks, LATERAL (SELECT unnest(generate_series(1, len(w) - k + 1)) AS i) s),
+c AS (SELECT lang, ws, k, count(*) AS f FROM g GROUP BY ALL HAVING count(*) >= 100),
+n AS (SELECT lang, sum(len(w))::BIGINT AS n FROM p GROUP BY lang),
+cuts AS (
+  SELECT c.lang, c.ws, c.k, c.f AS a, j, list_slice(ws, 1, j) AS lw, list_slice(ws, j + 1, k) AS rw
+  FROM c, LATERAL (SELECT unnest(range(1, c.k)) AS j) WHERE c.k > 1),
+s AS (
+  SELECT t.lang, t.ws, t.k, t.a, t.j, x.f AS l, y.f AS r, n.n,
+         CAST((1000 * t.a::HUGEINT * n.n) // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+  FROM cuts t JOIN c x ON t.lang = x.lang AND t.lw = x.ws JOIN c y ON t.lang = y.lang AND t.rw = y.ws JOIN n ON t.lang = n.lang),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, ws ORDER BY score, j) = 1),
+longer AS (
+  SELECT DISTINCT lang, list_slice(ws, i, i + m - 1) AS ws, f
+  FROM c, (SELECT unnest(range(2, 5)) AS m) ms, LATERAL (SELECT unnest(generate_series(1, c.k - m + 1)) AS i) z
+  WHERE m < c.k),
+kept AS (
+  SELECT b.*, array_to_string(b.ws, ' ') AS phrase
+  FROM b WHERE NOT EXISTS (SELECT 1 FROM longer x WHERE x.lang = b.lang AND x.ws = b.ws AND 100 * x.f >= 100 * b.a)),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM r WHERE rank <= 2000
+"""
+
 QUERIES = {
+    "op11_collocations": collocations_query,
     "op12_maxscore_search": top_k_query,
     "op13_hard_negatives": hard_negatives_query,
 }
-SQL = {"op12_maxscore_search": TOP_K_SQL, "op13_hard_negatives": NEGATIVES_SQL}
+SQL = {
+    "op11_collocations": COLLOCATIONS_SQL,
+    "op12_maxscore_search": TOP_K_SQL,
+    "op13_hard_negatives": NEGATIVES_SQL,
+}
