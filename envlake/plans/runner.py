@@ -17,6 +17,7 @@ from envlake.sources import (
     DatasetSpec,
     inline_table,
     read_dataset,
+    read_table,
     register_views,
     write_fact,
 )
@@ -95,8 +96,8 @@ def _result(spark: SparkSession, job: JobSpec, sources: Mapping[str, DataFrame])
     if callable(job.build):
         return job.build(sources)
     # the caller's own views of these names come back afterwards
-    theirs = {t.name: spark.table(t.name) for t in spark.catalog.listTables() if t.isTemporary}
-    theirs = {n: v for n, v in theirs.items() if n.lower() in {a.lower() for a in sources}}
+    views = [a for a in sources if spark.catalog.tableExists(a) and spark.catalog.getTable(a).isTemporary]
+    theirs = {a: spark.table(a) for a in views}
     register_views(sources)
     try:
         return spark.sql(job.build.strip().rstrip(";"))
@@ -169,4 +170,4 @@ def written_previews(
     """
     order = order or {}
     done = status.where("status = 'ok'").select("pipeline", "detail").collect()
-    return {r.pipeline: preview(spark.read.parquet(r.detail), *order.get(r.pipeline, ()), rows=rows) for r in done}
+    return {r.pipeline: preview(read_table(spark, r.detail), *order.get(r.pipeline, ()), rows=rows) for r in done}

@@ -15,6 +15,7 @@ from envlake.sources import (
     read_dataset,
     read_landed,
     read_raw_documents,
+    read_table,
     refresh,
     register_views,
     scratch_dir,
@@ -24,6 +25,7 @@ from envlake.sources import (
 )
 from envlake.sources.bronze import dataset_status
 from envlake.sources.tables import remove_partition
+from envlake.sources.versions import file_system
 
 _CUSTOMER_TYPES = {
     "c_custkey": "bigint", "c_name": "string", "c_nationkey": "int",
@@ -54,7 +56,7 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def parquet_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{scratch_dir(spark, 'parquet')}/orders.parquet"
     write_fact(table(spark, sf_dir, "orders"), path)
-    register_views({"pedidos_escritos": spark.read.parquet(path)})
+    register_views({"pedidos_escritos": read_table(spark, path)})
     written = spark.sql("SELECT * FROM pedidos_escritos")
     spark.catalog.dropTempView("pedidos_escritos")
     return written
@@ -192,19 +194,40 @@ _BRONZE_CATALOG = {
 }
 
 
+_ODD_NAMES = ("a+b.csv", "50%.csv", "ñ x.csv")
+
+
+def _put_file(frame: DataFrame, folder: str, name: str) -> None:
+    """One CSV file of a given name."""
+    spark = frame.sparkSession
+    made = f"{scratch_dir(spark, 'file')}/f"
+    write_delimited(frame.coalesce(1), made, ";")
+    files, at = file_system(spark, made)
+    (part,) = [f.getPath() for f in files.listStatus(at) if f.getPath().getName().startswith("part-")]
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder, name)
+    files.mkdirs(path.getParent())
+    files.delete(path, False)
+    files.rename(part, path)
+
+
 def _bronze_root(spark: SparkSession, sf_dir: str) -> str:
-    """One staged dataset, one rewritten since, one never staged, one as Parquet, and one
-    with a part that changed and another that went."""
+    """One staged dataset, one rewritten since, one never staged, one as Parquet, and one of many
+    files: since it was staged, one of them changed, one was cut to its header and some went."""
     root = scratch_dir(spark, "bronze")
     write_delimited(table(spark, sf_dir, "customer"), f"{root}/crudo/customer.csv", ";")
     write_delimited(table(spark, sf_dir, "supplier"), f"{root}/crudo/supplier.csv", ",")
     write_fact(table(spark, sf_dir, "part"), f"{root}/crudo/part.parquet")
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_quantity", "l_linenumber")
     folder = f"{root}/crudo/lineitem.csv"
-    lines.write.partitionBy("l_linenumber").csv(folder, sep=";", header=True)
+    lines.where("l_linenumber not in (2, 3)").write.partitionBy("l_linenumber").csv(folder, sep=";", header=True)
+    two, three = (lines.where(F.col("l_linenumber") == n).drop("l_linenumber") for n in (2, 3))
+    for i, name in enumerate(_ODD_NAMES):
+        _put_file(two.where(F.col("l_orderkey") % len(_ODD_NAMES) == i), f"{folder}/l_linenumber=2", name)
+    _put_file(three, f"{folder}/l_linenumber=3", "parte.csv")
     refresh(spark, root, _BRONZE_CATALOG, ["clientes", "proveedores", "lineas"])
     changed = lines.where("l_linenumber = 1").select("l_orderkey", F.lit(0.5).alias("l_quantity"))
     write_delimited(changed, f"{folder}/l_linenumber=1", ";")
+    _put_file(three.limit(0), f"{folder}/l_linenumber=3", "parte.csv")
     remove_partition(spark, folder, "l_linenumber", "2")
     write_delimited(table(spark, sf_dir, "supplier"), f"{root}/crudo/supplier.csv", ",")
     write_delimited(table(spark, sf_dir, "orders"), f"{root}/crudo/orders.csv", ";")
@@ -245,7 +268,7 @@ def bronze_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def parts_are_restaged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows of a dataset of many files, one of which changed and one went."""
+    """The rows of a dataset of many files, after one changed, one was emptied and some went."""
     root = _bronze_root(spark, sf_dir)
     refresh(spark, root, _BRONZE_CATALOG, ["lineas"])
     rows = read_dataset(spark, root, _BRONZE_CATALOG["lineas"])
@@ -307,13 +330,13 @@ SELECT * FROM (VALUES ('clientes', 'fresh'), ('proveedores', 'stale'), ('pedidos
     "partial_copy_is_restaged": "SELECT * FROM customer",
     "parts_are_restaged": """
 SELECT l_orderkey, CASE l_linenumber WHEN 1 THEN 0.5 ELSE l_quantity END AS l_quantity, l_linenumber
-FROM lineitem WHERE l_linenumber <> 2
+FROM lineitem WHERE l_linenumber NOT IN (2, 3)
 """,
     "bronze_refresh": """
 SELECT 'clientes' AS dataset, false AS convertido, count(*) AS n FROM customer
 UNION ALL SELECT 'proveedores', true, count(*) FROM supplier
 UNION ALL SELECT 'pedidos', true, count(*) FROM orders
 UNION ALL SELECT 'piezas', false, count(*) FROM part
-UNION ALL SELECT 'lineas', true, count(*) FROM lineitem WHERE l_linenumber <> 2
+UNION ALL SELECT 'lineas', true, count(*) FROM lineitem WHERE l_linenumber NOT IN (2, 3)
 """,
 }

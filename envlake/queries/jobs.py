@@ -27,7 +27,7 @@ from envlake.queries.inputs import (
     weather_units,
 )
 from envlake.schemas import AIR_TYPES, MEASURES, RAW_FIELDS
-from envlake.sources import CATALOG, DatasetSpec, parse_documents, scratch_dir, write_delimited
+from envlake.sources import CATALOG, DatasetSpec, parse_documents, read_table, scratch_dir, write_delimited
 
 _AIR_KEYS = [k for k in CATALOG if k.startswith("aire")]
 # The air files are folders of one partitioned write.
@@ -61,7 +61,7 @@ def write_weather_files(spark: SparkSession, sf_dir: str, root: str) -> None:
 
 
 def _output(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/{next(j for j in JOBS if j.name == name).output}")
+    return read_table(spark, f"{root}/{next(j for j in JOBS if j.name == name).output}")
 
 
 def _run_and_read(spark: SparkSession, root: str, name: str, catalog: dict) -> DataFrame:
@@ -116,7 +116,7 @@ def sql_defined_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     status = run(spark, root, jobs=(job,), catalog=catalog).first()
     if status.status != "ok":
         raise RuntimeError(f"{status.status}: {status.detail}")
-    return spark.read.parquet(status.detail)
+    return read_table(spark, status.detail)
 
 
 def _own_job(spark: SparkSession, root: str) -> tuple[JobSpec, dict]:
@@ -137,7 +137,7 @@ def failed_rerun_keeps_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     states.append(run(spark, root, jobs=(job,), catalog=catalog).first().status)
     if states != ["ok", "failed"]:
         raise RuntimeError(f"unexpected states {states}")
-    return spark.read.parquet(f"{root}/{job.output}")
+    return read_table(spark, f"{root}/{job.output}")
 
 
 def job_preview(spark: SparkSession, sf_dir: str) -> DataFrame:

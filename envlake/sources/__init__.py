@@ -17,7 +17,7 @@ from envlake.sources.raw_json import (
     read_raw_documents,
 )
 from envlake.sources.scratch import scratch_dir
-from envlake.sources.tables import inline_table, register_views, write_fact
+from envlake.sources.tables import inline_table, read_table, register_views, write_fact
 
 __all__ = [
     "CATALOG",
@@ -30,6 +30,7 @@ __all__ = [
     "read_documents",
     "read_landed",
     "read_raw_documents",
+    "read_table",
     "refresh",
     "register_views",
     "scratch_dir",

@@ -1,13 +1,16 @@
 """Staged Parquet copies of the delimited sources, kept up to date.
 
-A source is staged beside itself, ``dir/name.csv`` -> ``dir/parquet_files/name.parquet``,
-one folder for each of its files, with a list of the files, their times and sizes. Files
-that were added, changed or removed since are staged again, the others stay. Files count,
-not settings: a changed separator alone does not make a copy stale.
+A source is staged beside itself, ``dir/name.csv`` -> ``dir/parquet_files/name.parquet``, as a
+table of parts, one for each of its files. A part is named by a digest of the file's name, time and
+size, and a manifest lists all files with their parts and rows. Files that were added or changed
+are staged in parts of their own, and one step puts a new manifest in the place of the old one:
+readers see either all of the old files or all of the new ones, and a file without rows is an entry
+with 0 rows. Files count, not settings: a changed separator alone does not make a copy stale.
 """
 
 from __future__ import annotations
 
+import json
 import posixpath
 from collections.abc import Callable, Iterable, Mapping
 from functools import reduce
@@ -20,12 +23,11 @@ from pyspark.sql.types import StructType
 
 from envlake.sources.catalog import CATALOG, DatasetSpec, as_spec
 from envlake.sources.delimited import read_delimited
-from envlake.sources.tables import committed, inline_table, remove_partition, replace_folder
+from envlake.sources.tables import inline_table
+from envlake.sources.versions import PART, current, literal, manifest, read_version, replace_parts
 
-ORIGIN = "__origen"  # the file that a staged row comes from
-_NOTE = "_origen"  # the list of files, in the copy's folder; Spark passes over its name
-_NOTE_FIELDS = "file string, modificationTime timestamp, length bigint"
-_LISTING = f"dataset string, {_NOTE_FIELDS}"
+_FILE_FIELDS = "file string, modificationTime timestamp, length bigint"
+_LISTING = f"dataset string, {_FILE_FIELDS}"
 
 
 def staged_path(path: str) -> str:
@@ -51,8 +53,10 @@ def _side_by_side(spark: SparkSession, work: Callable, items: list, concurrent:
 
 def _files(spark: SparkSession, dataset: str, path: str) -> DataFrame | None:
     """A dataset's files, their times and sizes, without opening them; None if absent."""
+    entry = current(spark, path)  # a table with versions, as it is now
+    roots = [posixpath.join(path, f) for f in entry["folders"]] if entry else literal(path)
     try:
-        listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+        listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(roots)
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
             return None
@@ -72,10 +76,20 @@ def _relative(file: Column, path: str) -> Column:
 
 def _noted(spark: SparkSession, dataset: str, copy: str) -> DataFrame | None:
     """The files that a copy was made from; None if there is no whole copy."""
-    if not committed(spark, f"{copy}/{_NOTE}"):
+    listed = manifest(spark, copy)
+    if listed is None:
         return None
-    note = spark.read.schema(_NOTE_FIELDS).parquet(f"{copy}/{_NOTE}")
-    return note.select(F.lit(dataset).alias("dataset"), "*")
+    return listed.select(F.lit(dataset).alias("dataset"), "file", "modificationTime", "length")
+
+
+def part_name(file: Column, time: Column, length: Column) -> Column:
+    """The part of a file as it is at some time."""
+    return F.sha1(F.concat_ws("|", file, F.unix_micros(time).cast("string"), length.cast("string")))
+
+
+def _decoded(path: Column) -> Column:
+    """A file's path without percent signs for other characters; a plus sign stands for itself."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
 
 
 def _all(spark: SparkSession, find: Callable, paths: Mapping[str, str]) -> DataFrame:
@@ -144,9 +158,9 @@ def stale_datasets(
 def stage(spark: SparkSession, root: str, entry: DatasetSpec | str) -> str:
     """Bring the staged copy of one dataset up to date and return its path.
 
-    Only files that are new or changed are read, in one job, and only their folders are
-    written; those of removed files go. A failed job leaves the copy and its note as they
-    were. Without a whole copy, or with one of other columns, all files are staged.
+    Only files that are new or changed are read, in one job. Parts of other files stay as
+    they are, those of removed or changed files leave the manifest. A job that fails or ends anywhere leaves the
+    copy as it was. Without a whole copy, or with one of other columns, all files are staged.
     """
     spec, source = as_spec(entry), _located(root, entry)
     target = staged_path(source)
@@ -154,44 +168,34 @@ def stage(spark: SparkSession, root: str, entry: DatasetSpec | str) -> str:
     if files is None:
         raise FileNotFoundError(source)
     listed = inline_table(
-        spark, [tuple(r) for r in files.drop("dataset").collect()], _NOTE_FIELDS
+        spark, [tuple(r) for r in files.drop("dataset").collect()], _FILE_FIELDS
     )  # Spark itself keeps the list of a read's files on the driver
-    noted = _noted(spark, "", target)
+    listed = listed.withColumn("part", part_name(F.col("file"), F.col("modificationTime"), F.col("length")))
+    now = current(spark, target)
+    noted = manifest(spark, target, now) if now else None
 
-    def read(some: list[str] | None) -> DataFrame:
-        paths = source if some is None else [posixpath.join(source, f) for f in some]
-        if some == [posixpath.basename(source)]:
-            paths = source
+    def read(some: list[str]) -> DataFrame:
+        alone = some == [posixpath.basename(source.rstrip("/"))]
+        paths = literal(source) if alone else [literal(posixpath.join(source, f)) for f in some]
         frame = read_delimited(
             spark, paths, spec.sep, spec.types, spec.infer_rest, spec.latin9, spec.multi_line,
-            base=None if paths is source else source,
+            base=None if alone else source,
         )
-        return frame.withColumn(ORIGIN, _relative(F.url_decode("_metadata.file_path"), source))
-
-    def note(path: str) -> None:
-        listed.write.parquet(path)
+        file = _relative(_decoded(F.col("_metadata.file_path")), source)
+        part = part_name(file, F.col("_metadata.file_modification_time"), F.col("_metadata.file_size"))
+        return frame.withColumn(PART, part)
 
+    known = noted.select("part") if noted is not None else None
+    added = listed.join(known, "part", "left_anti") if known is not None else listed
+    changed = sorted(r.file for r in added.select("file").collect())
     if noted is not None:
-        changes = _changes(listed.select(F.lit("").alias("dataset"), "*"), noted).where(~F.col("same")).collect()
-        changed = [r.file for r in changes if r.there]
         frame = read(changed) if changed else None
-        staged = spark.read.parquet(target).drop(ORIGIN).schema
-        if frame is None or _kinds(frame.drop(ORIGIN).schema) == _kinds(staged):
-            if frame is not None:
-                frame.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-                    ORIGIN
-                ).parquet(target)
-            for r in changes:
-                if not r.there:
-                    remove_partition(spark, target, ORIGIN, r.file)
-            replace_folder(spark, f"{target}/{_NOTE}", note)
+        staged = StructType.fromJson(json.loads(now["schema"]))
+        if frame is None or _kinds(frame.drop(PART).schema) == _kinds(staged):
+            kept = noted.join(listed.select("part"), "part", "left_semi")
+            replace_parts(frame, target, kept, added, schema=staged)
             return target
-
-    def whole(path: str) -> None:
-        read(None).write.option("compression", "snappy").partitionBy(ORIGIN).parquet(path)
-        note(f"{path}/{_NOTE}")
-
-    replace_folder(spark, target, whole)
+    replace_parts(read(sorted(r.file for r in listed.select("file").collect())), target, None, listed)
     return target
 
 
@@ -224,4 +228,4 @@ def stage_all(
 
 def read_dataset(spark: SparkSession, root: str, entry: DatasetSpec | str) -> DataFrame:
     """The staged copy of a dataset (or the dataset itself if it is no CSV)."""
-    return spark.read.parquet(staged_path(_located(root, entry))).drop(ORIGIN)
+    return read_version(spark, staged_path(_located(root, entry)))

@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from envlake.sources.versions import file_system, read_version, replace_table
+
 
 def inline_table(spark: SparkSession, rows: Sequence[tuple], ddl: str) -> DataFrame:
     """A few literal rows as a local relation: Spark knows its size and needs no task."""
@@ -24,29 +26,18 @@ def register_views(sources: Mapping[str, DataFrame]) -> None:
         frame.createOrReplaceTempView(alias)
 
 
-def _file_system(spark: SparkSession, path: str):
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
-
-
-def committed(spark: SparkSession, path: str) -> bool:
-    """Whether a table folder is there and its job ended."""
-    files, at = _file_system(spark, posixpath.join(path, "_SUCCESS"))
-    return files.exists(at)
-
-
 def replace_folder(spark: SparkSession, path: str, write: Callable[[str], None]) -> None:
     """Let ``write`` fill a new folder beside ``path`` and put it in the place of ``path``.
 
     What is at ``path`` stays until the new folder is complete: a failed job changes
     nothing. The exchange is two renames, cheap on a file system; between them the
-    old folder lies beside ``path`` under a name that Spark passes over. Stores that
-    rename by copying want a pointer to versioned folders instead.
+    old folder lies beside ``path`` under a name that Spark passes over. It is for folders that others
+    read by their path, such as CSV; tables have versions (:func:`write_fact`).
     """
     folder, name = posixpath.split(path.rstrip("/"))
     mark = uuid.uuid4().hex
     fresh, old = (posixpath.join(folder, f"_{name}.{mark}.{kind}") for kind in ("new", "old"))
-    files, fresh_at = _file_system(spark, fresh)
+    files, fresh_at = file_system(spark, fresh)
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path
     try:
         write(fresh)
@@ -67,20 +58,24 @@ def replace_folder(spark: SparkSession, path: str, write: Callable[[str], None])
 def remove_partition(spark: SparkSession, path: str, column: str, value: str) -> None:
     """Delete one partition folder of a table."""
     escaped = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(value)
-    files, at = _file_system(spark, posixpath.join(path, f"{column}={escaped}"))
+    files, at = file_system(spark, posixpath.join(path, f"{column}={escaped}"))
     files.delete(at, True)
 
 
 def write_fact(frame: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Replace the Parquet table at ``path`` once the new one is complete.
+    """Make ``frame`` the current version of the Parquet table at ``path``.
 
+    Readers get the version before until the new one is complete, and :func:`read_table` finds the
+    current one; nothing is renamed or overwritten (see :mod:`envlake.sources.versions`).
     Rows are written where they are, without a shuffle. With ``partition_by`` they
     are first rebalanced on those columns, which keeps the number of files per
     folder low and still splits a folder that holds most of the rows.
     """
     if partition_by:
         frame = frame.hint("rebalance", *partition_by)
-    writer = frame.write.option("compression", "snappy")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    replace_folder(frame.sparkSession, path, writer.parquet)
+    replace_table(frame, path, partition_by)
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The current version of a table, or the plain Parquet table at ``path``."""
+    return read_version(spark, path)

@@ -12,7 +12,7 @@ from envlake.queries import jobs as job_queries
 from envlake.plans import JOBS, JobSpec, collect_observations
 from envlake.plans.collector import _of_period
 from envlake.schemas import HOURS, STATIONS
-from envlake.sources import CATALOG, DatasetSpec, land_records, read_landed, read_raw_documents, staged_path
+from envlake.sources import CATALOG, DatasetSpec, land_records, read_dataset, read_landed, read_raw_documents, read_table
 from tests.test_sources import put
 
 AIR_HEADER = ";".join(["provincia", "municipio", "estacion", "magnitud", "punto muestreo", "anno", "mes", "dia", *HOURS])
@@ -46,18 +46,18 @@ def statuses(frame):
 
 def test_all_jobs(spark, root):
     assert statuses(run(spark, str(root))) == {j.name: "ok" for j in JOBS}
-    air = spark.read.parquet(f"{root}/{JOBS[0].output}")
+    air = read_table(spark, f"{root}/{JOBS[0].output}")
     assert air.columns == ["provincia", "municipio", "estacion", "magnitud", "punto_muestreo", "fecha", "uom", "uom_value"]
     assert air.schema["fecha"].dataType.simpleString() == "timestamp_ntz"
     assert air.count() == 26
     assert {(r.magnitud, r.uom) for r in air.collect()} == {(1, "ug"), (2, None)}
     assert {r.fecha for r in air.where("magnitud = 1 and uom_value = 0.5 and year(fecha) = 2020").collect()} == {dt.datetime(2020, 1, 2, 23)}
-    weather = spark.read.parquet(f"{root}/{JOBS[2].output}")
+    weather = read_table(spark, f"{root}/{JOBS[2].output}")
     assert {(r.variable_meteo, r.uom, r.valor) for r in weather.collect()} == {
         ("temp_media", "C", 12.5), ("precipitacion", None, 0.0), ("viento_direccion", None, 99.0)
     }
     assert weather.columns == ["estacion_id", "estacion_nombre", "provincia", "altitud", "fecha", "variable_meteo", "uom", "valor"]
-    seed = spark.read.parquet(f"{root}/{JOBS[1].output}")
+    seed = read_table(spark, f"{root}/{JOBS[1].output}")
     assert [tuple(r) for r in seed.collect()] == [(1, "SO2", "ug")] and seed.columns == ["MAGNITUD", "VARIABLE", "UNIDAD"]
 
 
@@ -98,17 +98,17 @@ def test_jobs_given_as_sql(spark, root):
     assert statuses(run(spark, str(root), jobs=jobs, catalog=catalog)) == {
         "own": "ok", "bad": "failed", "undeclared": "undeclared dataset"
     }
-    assert [tuple(r) for r in spark.read.parquet(f"{root}/out/own.parquet").collect()] == [(1, "ug")]
+    assert [tuple(r) for r in read_table(spark, f"{root}/out/own.parquet").collect()] == [(1, "ug")]
     assert not spark.catalog.tableExists("mine")
 
 
 def test_output_in_folders(spark, root):
     run(spark, str(root), "aire_normalizado")
-    whole = spark.read.parquet(f"{root}/{JOBS[0].output}")
+    whole = read_table(spark, f"{root}/{JOBS[0].output}")
     job = replace(JOBS[0], output="out/air.parquet", partition_by=("magnitud",))
     assert statuses(run(spark, str(root), jobs=(job,))) == {job.name: "ok"}
-    split = spark.read.parquet(f"{root}/out/air.parquet")
-    assert {p.rsplit("/", 1)[1] for p in glob.glob(f"{root}/out/air.parquet/m*")} == {"magnitud=1", "magnitud=2"}
+    split = read_table(spark, f"{root}/out/air.parquet")
+    assert {p.rsplit("/", 1)[1] for p in glob.glob(f"{root}/out/air.parquet/_v.*/m*")} == {"magnitud=1", "magnitud=2"}
     assert sorted(map(str, split.select(whole.columns).collect())) == sorted(map(str, whole.collect()))
 
 
@@ -117,7 +117,7 @@ def test_a_rewritten_source_reaches_the_output(spark, root):
     run(spark, str(root), name)
     put(root, CATALOG["dim_variable_meteo_csv"].path, "variable_meteo,uom\na,b\nc,d\n", mtime=4_000_000_000)
     run(spark, str(root), name)
-    assert spark.read.parquet(f"{root}/{JOBS[3].output}").count() == 2
+    assert read_table(spark, f"{root}/{JOBS[3].output}").count() == 2
 
 
 def test_collector(spark, tmp_path):
@@ -193,8 +193,8 @@ def test_a_failed_job_keeps_its_output_and_copy(spark, root):
     run(spark, str(root), name)
     put(root, CATALOG["dim_variable_aire_csv"].path, "MAGNITUD,VARIABLE,UNIDAD\nx,SO2,ug\n", mtime=4_000_000_000)
     assert statuses(run(spark, str(root), name)) == {name: "failed"}
-    assert spark.read.parquet(f"{root}/{JOBS[1].output}").count() == 1
-    assert spark.read.parquet(staged_path(f"{root}/{CATALOG['dim_variable_aire_csv'].path}")).count() == 1
+    assert read_table(spark, f"{root}/{JOBS[1].output}").count() == 1
+    assert read_dataset(spark, root, CATALOG["dim_variable_aire_csv"]).count() == 1
     assert not glob.glob(f"{root}/**/_*.new", recursive=True) and not glob.glob(f"{root}/**/_*.old", recursive=True)
 
 
@@ -205,4 +205,4 @@ def test_preview_is_of_a_job_over_all_rows(spark, monkeypatch):
     sf_dir = "/root/testdata/sf0.001"
     got = [r.o_orderkey for r in job_queries.job_preview(spark, sf_dir).collect()]
     keys = sorted(r.o_orderkey for r in spark.read.parquet(f"{sf_dir}/orders.parquet").collect())
-    assert got == keys[:5] and spark.read.parquet(written[0]).count() == len(keys) > 5
+    assert got == keys[:5] and read_table(spark, written[0]).count() == len(keys) > 5

@@ -17,6 +17,7 @@ from envlake.sources import (
     read_delimited,
     read_landed,
     read_raw_documents,
+    read_table,
     refresh,
     scratch_dir,
     stage,
@@ -24,7 +25,9 @@ from envlake.sources import (
     write_delimited,
     write_fact,
 )
+from envlake.sources import versions
 from envlake.sources.bronze import dataset_status
+from envlake.sources.versions import current, manifest
 
 
 def rows(frame):
@@ -119,16 +122,16 @@ def test_fact_sink_replaces_and_compresses(spark, tmp_path):
     out = str(tmp_path / "deep" / "er" / "t.parquet")
     write_fact(spark.range(10), out)
     write_fact(spark.range(3), out)
-    assert spark.read.parquet(out).count() == 3
-    assert all(".snappy." in p for p in glob.glob(f"{out}/*.parquet"))
+    assert read_table(spark, out).count() == 3
+    assert all(".snappy." in p for p in glob.glob(f"{out}/_v.*/*.parquet"))
 
 
 def test_fact_sink_partitioned_keeps_all_rows(spark, tmp_path):
     out = str(tmp_path / "t.parquet")
     frame = spark.range(1000, numPartitions=8).withColumn("y", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 7))
     write_fact(frame, out, ["y"])
-    assert rows(spark.read.parquet(out).select("id", "y")) == rows(frame)
-    assert len(glob.glob(f"{out}/y=0/*.parquet")) == 1
+    assert rows(read_table(spark, out).select("id", "y")) == rows(frame)
+    assert len(glob.glob(f"{out}/_v.*/y=0/*.parquet")) == 1
 
 
 def test_a_hot_folder_is_written_by_several_tasks(spark, tmp_path):
@@ -142,8 +145,8 @@ def test_a_hot_folder_is_written_by_several_tasks(spark, tmp_path):
         write_fact(frame, out, ["y"])
     finally:
         spark.conf.set(setting, before)
-    assert len(glob.glob(f"{out}/y=0/*.parquet")) > 1
-    assert spark.read.parquet(out).count() == 60000
+    assert len(glob.glob(f"{out}/_v.*/y=0/*.parquet")) > 1
+    assert read_table(spark, out).count() == 60000
 
 
 # --- staging ---------------------------------------------------------------------
@@ -288,7 +291,9 @@ def test_only_changed_files_are_staged_again(spark, tmp_path):
         return dataset_status(spark, str(tmp_path), catalog).first().state
 
     def copies(name):
-        return {p: os.stat(p).st_mtime_ns for p in glob.glob(f"{tmp_path}/parquet_files/d.parquet/__origen={name}/*.parquet")}
+        copy = f"{tmp_path}/parquet_files/d.parquet"
+        folders = [r.folder for r in manifest(spark, copy).where(F.col("file") == name).collect()]
+        return {p: os.stat(p).st_mtime_ns for f in folders for p in glob.glob(f"{copy}/{f}/*.parquet")}
 
     assert state() == "unstaged" and refresh(spark, str(tmp_path), catalog) == ["d"]
     assert state() == "fresh" and refresh(spark, str(tmp_path), catalog) == []
@@ -301,8 +306,160 @@ def test_only_changed_files_are_staged_again(spark, tmp_path):
     assert state() == "fresh" and rows.columns == ["k", "t"]
     assert sorted(map(tuple, rows.collect())) == [(1, "x"), (3, "y"), (4, "y")]
     assert before and copies("a.csv") == before and not copies("e f.csv")
+    assert {r.file: r.rows for r in manifest(spark, f"{tmp_path}/parquet_files/d.parquet").collect()} == {"a.csv": 1, "b.csv": 2, "c.csv": 0}
     put(tmp_path, "d.csv/b.csv", "k;t;u\n3;y;1\n", mtime=1_100_000_000)  # other columns: all over again
     for name in "ac":
         put(tmp_path, f"d.csv/{name}.csv", "k;t;u\n1;x;2\n", mtime=1_100_000_000)
     refresh(spark, str(tmp_path), catalog)
     assert read_dataset(spark, str(tmp_path), spec).columns == ["k", "t", "u"]
+
+
+@pytest.mark.parametrize("folder", [True, False])
+def test_a_source_cut_to_its_header_has_no_rows(spark, tmp_path, folder):
+    """One part of several, or the only file: its old rows go."""
+    spec = DatasetSpec("d.csv", ";", {"k": "int"})
+    name = "d.csv/a.csv" if folder else "d.csv"
+    if folder:
+        put(tmp_path, "d.csv/b.csv", "k;t\n9;z\n", mtime=1_000_000_000)
+    put(tmp_path, name, "k;t\n1;x\n2;y\n", mtime=1_000_000_000)
+    refresh(spark, str(tmp_path), {"d": spec})
+    assert read_dataset(spark, str(tmp_path), spec).count() == 2 + folder
+    put(tmp_path, name, "k;t\n", mtime=1_100_000_000)
+    assert refresh(spark, str(tmp_path), {"d": spec}) == ["d"] and refresh(spark, str(tmp_path), {"d": spec}) == []
+    left = read_dataset(spark, str(tmp_path), spec)
+    assert left.columns == ["k", "t"] and [tuple(r) for r in left.collect()] == [(9, "z")] * folder
+    put(tmp_path, name, "k;t\n4;w\n", mtime=1_200_000_000)
+    refresh(spark, str(tmp_path), {"d": spec})
+    assert sorted(map(tuple, read_dataset(spark, str(tmp_path), spec).collect())) == [(4, "w")] + [(9, "z")] * folder
+
+
+NAMES = ["a+b.csv", "50%.csv", "50%25.csv", "ñ x.csv", "q=1.csv", "a[1].csv", "{b}.csv", "sub dir+/a+b.csv", "a b.csv"]
+
+
+def test_files_of_any_name(spark, tmp_path):
+    """Added, changed, emptied and removed, each file on its own."""
+    spec = DatasetSpec("d.csv", ";", {"k": "int"})
+    kept = {}
+    for i, name in enumerate(NAMES):
+        put(tmp_path, f"d.csv/{name}", f"k\n{i}\n", mtime=1_000_000_000)
+        kept[name] = [i]
+    catalog = {"d": spec}
+
+    def check():
+        refresh(spark, str(tmp_path), catalog)
+        assert dataset_status(spark, str(tmp_path), catalog).first().state == "fresh"
+        assert sorted(r.k for r in read_dataset(spark, str(tmp_path), spec).collect()) == sorted(sum(kept.values(), []))
+        listed = manifest(spark, f"{tmp_path}/parquet_files/d.parquet").collect()
+        assert {r.file: r.rows for r in listed} == {n: len(v) for n, v in kept.items()}
+
+    check()
+    for i, name in enumerate(NAMES):  # a third each way
+        if i % 3 == 0:
+            os.remove(tmp_path / f"d.csv/{name}")
+            del kept[name]
+        else:
+            kept[name] = [100 + i, 200 + i] if i % 3 == 1 else []
+            put(tmp_path, f"d.csv/{name}", "k\n" + "".join(f"{k}\n" for k in kept[name]), mtime=1_100_000_000)
+    check()
+    for name in NAMES:
+        put(tmp_path, f"d.csv/{name}", "k\n7\n", mtime=1_200_000_000)
+        kept[name] = [7]
+    check()
+    put(tmp_path, "[x].csv", "k\n1\n")
+    assert refresh(spark, str(tmp_path), {"x": DatasetSpec("[x].csv")}) == ["x"]
+    assert read_dataset(spark, str(tmp_path), DatasetSpec("[x].csv")).count() == 1
+
+
+class Stopped(BaseException):
+    """The process ends."""
+
+
+@pytest.mark.parametrize("step", ["_publish", "_sweep"])
+def test_a_job_that_stops_leaves_the_table_readable(spark, tmp_path, monkeypatch, step):
+    """Before the log's entry the old version is current, after it the new one."""
+    out = str(tmp_path / "t.parquet")
+    write_fact(spark.range(3), out)
+
+    def stop(*_):
+        raise Stopped
+
+    with monkeypatch.context() as m, pytest.raises(Stopped):
+        m.setattr(versions, step, stop)
+        write_fact(spark.range(10), out)
+    assert read_table(spark, out).count() == (3 if step == "_publish" else 10)
+    log = tmp_path / "t.parquet/_versions"
+    (log / f"{9:012d}.json").write_text('{"folder": "_v.ha')  # an entry whose write did not end
+    assert read_table(spark, out).count() == (3 if step == "_publish" else 10)
+    write_fact(spark.range(5), out)
+    assert read_table(spark, out).count() == 5
+
+
+def test_replaced_versions_go_one_write_later(spark, tmp_path):
+    out = str(tmp_path / "t.parquet")
+    seen = []
+    for n in range(1, 6):
+        write_fact(spark.range(n), out)
+        seen.append(current(spark, out)["folder"])
+        there = {os.path.basename(p) for p in glob.glob(f"{out}/_v.*")}
+        assert there == set(seen[-2:]) and read_table(spark, out).count() == n
+    assert len(glob.glob(f"{out}/_versions/*.json")) == 2
+
+
+def test_a_reader_keeps_its_version(spark, tmp_path):
+    out = str(tmp_path / "t.parquet")
+    write_fact(spark.range(3), out)
+    reader = read_table(spark, out)
+    write_fact(spark.range(7), out)
+    assert reader.count() == 3 and read_table(spark, out).count() == 7
+    write_fact(read_table(spark, out).where("id < 2"), out)  # a table made from itself
+    assert read_table(spark, out).count() == 2
+
+
+def test_two_writers_of_one_version(spark, tmp_path, monkeypatch):
+    """The second one fails and the first one's table stays."""
+    out = str(tmp_path / "t.parquet")
+    write_fact(spark.range(3), out)
+    listed = versions._entries(spark, out)
+    write_fact(spark.range(4), out)
+    monkeypatch.setattr(versions, "_entries", lambda *_: listed)
+    with pytest.raises(Exception, match="xists"):
+        write_fact(spark.range(5), out)
+    monkeypatch.undo()
+    assert read_table(spark, out).count() == 4
+
+
+def test_a_plain_table_becomes_one_with_versions(spark, tmp_path):
+    out = str(tmp_path / "t.parquet")
+    spark.range(3).write.parquet(out)
+    assert read_table(spark, out).count() == 3
+    write_fact(spark.range(4), out)
+    assert read_table(spark, out).count() == 4 and not glob.glob(f"{out}/part-*")
+
+
+def test_a_file_that_changes_while_it_is_read(spark, tmp_path, monkeypatch):
+    """Its rows are of no listed file: nothing is published."""
+    from envlake.sources import bronze
+
+    spec = DatasetSpec("d.csv", ";", {"k": "int"})
+    put(tmp_path, "d.csv", "k\n1\n", mtime=1_000_000_000)
+    refresh(spark, str(tmp_path), {"d": spec})
+    put(tmp_path, "d.csv", "k\n2\n", mtime=1_100_000_000)
+    right = bronze.read_delimited
+
+    def late(*args, **more):
+        put(tmp_path, "d.csv", "k\n3\n4\n", mtime=1_200_000_000)
+        return right(*args, **more)
+
+    with monkeypatch.context() as m, pytest.raises(RuntimeError, match="changed while it was read"):
+        m.setattr(bronze, "read_delimited", late)
+        stage(spark, str(tmp_path), spec)
+    assert [r.k for r in read_dataset(spark, str(tmp_path), spec).collect()] == [1]
+    refresh(spark, str(tmp_path), {"d": spec})
+    assert sorted(r.k for r in read_dataset(spark, str(tmp_path), spec).collect()) == [3, 4]
+
+
+def test_a_written_table_is_a_source(spark, tmp_path):
+    write_fact(spark.range(3), f"{tmp_path}/t.parquet")
+    catalog = {"t": "t.parquet", "u": "u.parquet"}
+    assert {r.dataset: r.state for r in dataset_status(spark, str(tmp_path), catalog).collect()} == {"t": "fresh", "u": "absent"}
+    assert read_dataset(spark, str(tmp_path), "t.parquet").count() == 3
