@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import MapType
 
 from envlake.functions import half_year_start, landing_key
 from envlake.operators import (
@@ -19,6 +20,8 @@ from envlake.schemas import FIRST_DAY, LAST_DAY, STATIONS
 from envlake.sources import inline_table, scratch_dir, write_delimited
 from envlake.sources.raw_json import DOCUMENT_COLUMNS, REST
 
+KEY_COLUMNS = 200  # keys outside the field list that become columns
+
 
 def station_list(spark: SparkSession) -> DataFrame:
     return inline_table(spark, STATIONS, "indicativo string, nombre string")
@@ -51,23 +54,34 @@ def _of_period(records: DataFrame, start: date | str, end: date | str) -> DataFr
     return records.where((F.col("ventana") >= first) & (F.col("ventana") <= last))
 
 
-def _with_rest(clean: DataFrame) -> DataFrame:
-    """The keys outside the list as columns of their own; their names are few.
+def key_counts(frame: DataFrame) -> DataFrame:
+    """How many records have each key of the map ``otros``: (clave, n). Tasks send counts, not records."""
+    return frame.select(F.explode(F.map_keys(REST)).alias("clave")).groupBy("clave").agg(F.count("*").alias("n"))
+
+
+def with_rest(clean: DataFrame, most: int = KEY_COLUMNS) -> DataFrame:
+    """The ``most`` most frequent keys outside the list as columns of their own.
 
-    A key that is a name of theirs or of the library's, whatever its case, gets leading underscores.
+    Rarer ones, if there are any, stay in the map ``otros``, so that the number of columns and what the driver sees are
+    bounded however many keys the records have. A key that is a name of theirs or of the
+    library's, whatever its case, gets leading underscores.
     """
     if REST not in clean.columns:
         return clean
-    keys = clean.select(F.explode(F.map_keys(REST)).alias("k")).distinct().orderBy("k").collect()
+    found = key_counts(clean).orderBy(F.desc("n"), "clave").limit(most + 1).collect()
+    keys = sorted(r.clave for r in found[:most])
     columns = [c for c in clean.columns if c != REST]
-    taken = {c.lower() for c in [*columns, "documento", *DOCUMENT_COLUMNS]}
+    left = [REST] if len(found) > most else []
+    taken = {c.lower() for c in [*columns, *left, "documento", *DOCUMENT_COLUMNS]}
     extra = []
-    for key in sorted((r.k for r in keys), key=lambda k: k.lower() in taken):  # those that clash last
+    for key in sorted(keys, key=lambda k: k.lower() in taken):  # those that clash last
         name = key
         while name.lower() in taken:
             name = f"_{name}"
         taken.add(name.lower())
-        extra.append(F.col(REST).getItem(key).alias(name))
+        extra.append(F.try_element_at(REST, F.lit(key)).alias(name))
+    if left:
+        extra.append(F.map_filter(REST, lambda k, _: ~k.isin(*keys)).alias(REST))
     return clean.select(*columns, *extra)
 
 
@@ -79,14 +93,16 @@ def collect_observations(
     start: date | str = FIRST_DAY,
     end: date | str = LAST_DAY,
     work: str | None = None,
+    key_columns: int = KEY_COLUMNS,
 ) -> dict[str, DataFrame]:
     """Clean and sort raw records into the CSV folder ``csv``, and report on them.
 
     ``records`` come from ``read_raw_documents``, ``parse_documents`` or ``read_landed``;
     those of other stations or windows are left out. They are parsed once, into a
     table below ``work``; the sort (which reads its input twice) and the reports use
-    that table, whose path is the one row of ``work``. Keys that the records keep in a map
-    become columns. Without any record an earlier CSV is left alone. A document counts for its window as soon as it holds one record;
+    that table, whose path is the one row of ``work``. Of the keys that the records keep in a map the
+    ``key_columns`` most frequent become columns; the others, if any, are in the last one, ``otros``, which the CSV has as
+    a JSON object. Without any record an earlier CSV is left alone. A document counts for its window as soon as it holds one record;
     ``coverage`` shows what is short.
     """
     stations = station_list(spark) if stations is None else stations
@@ -96,10 +112,11 @@ def collect_observations(
         records = _of_period(records, start, end)
     requested = records.join(expected.select("documento"), "documento", "left_semi")
     clean_collected(requested).write.mode("overwrite").parquet(clean_path)
-    clean = _with_rest(spark.read.parquet(clean_path))
+    clean = with_rest(spark.read.parquet(clean_path), key_columns)
     observations = clean.drop("documento", *DOCUMENT_COLUMNS)
     if not clean.isEmpty():
-        write_delimited(sorted_observations(observations), csv, bom=True)
+        maps = {f.name: F.to_json(f.name) for f in observations.schema if isinstance(f.dataType, MapType)}
+        write_delimited(sorted_observations(observations.withColumns(maps)), csv, bom=True)
     return {
         "observations": observations,
         "summary": dataset_summary(clean),

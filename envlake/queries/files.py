@@ -21,6 +21,7 @@ from envlake.sources import (
     scratch_dir,
     staged_path,
     write_delimited,
+    write_documents,
     write_fact,
 )
 from envlake.sources.bronze import dataset_status
@@ -78,7 +79,7 @@ def json_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     land_records(records, path, LANDING_START)
     broken = spark.createDataFrame([('{"fecha": "2000-01-0',)], "value string")
     broken.write.mode("append").text(f"{path}/indicativo=1-URGENT/ventana=2000-01-01")
-    return read_landed(spark, path, ["fecha", "indicativo", "nombre", "prec"])
+    return read_landed(spark, path, ["fecha", "indicativo", "nombre", "prec"], rest=False)
 
 
 RECORD_FIELDS = ["fecha", "indicativo", "nombre", "prec", "tmed"]
@@ -87,8 +88,8 @@ RECORD_FIELDS = ["fecha", "indicativo", "nombre", "prec", "tmed"]
 def raw_documents(frame: DataFrame, key: str, name: str, amount: str, nation: str) -> DataFrame:
     """Two documents per row of a table; those of nations 0 to 7 are unusable.
 
-    Each holds three records, which lack the keys whose value is NULL. The third has a
-    key, ``nota``, that no list of fields names.
+    Each holds three records, which lack the keys whose value is NULL and have the date twice, of
+    which the second counts. The third has a key, ``nota``, that no list of fields names.
     """
 
     def record(day: str) -> F.Column:
@@ -103,6 +104,7 @@ def raw_documents(frame: DataFrame, key: str, name: str, amount: str, nation: st
         )
 
     good = F.to_json(F.array(record("01"), record("02"), record("03")))
+    good = F.replace(good, F.lit('{"fecha":'), F.lit('{"fecha":"1999-12-31","fecha":'))
     text = (
         F.when(F.col(nation) == 0, F.expr("left(good, length(good) - 5)"))
         .when(F.col(nation) == 1, "[]")
@@ -144,18 +146,21 @@ CUSTOMER_COLUMNS = ("c_custkey", "c_name", "c_acctbal", "c_nationkey")
 
 
 def json_raw_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One file per document, as documents are landed."""
+    """One file per document, as documents are landed, many in a folder."""
     path = scratch_dir(spark, "documents")
-    documents = raw_documents(table(spark, sf_dir, "supplier"), *SUPPLIER_COLUMNS)
-    documents.write.option("maxRecordsPerFile", 1).partitionBy("documento").text(path)
-    return read_raw_documents(spark, path, RECORD_FIELDS)
+    write_documents(raw_documents(table(spark, sf_dir, "supplier"), *SUPPLIER_COLUMNS), path, folders=16)
+    return _with_note(read_raw_documents(spark, path, RECORD_FIELDS))
+
+
+def _with_note(records: DataFrame) -> DataFrame:
+    """The one key outside the list as a column."""
+    return records.withColumn("nota", F.try_element_at("otros", F.lit("nota"))).drop("otros")
 
 
 def json_documents_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as rows of a table."""
-    return parse_documents(
-        raw_documents(table(spark, sf_dir, "customer"), *CUSTOMER_COLUMNS), RECORD_FIELDS
-    )
+    documents = raw_documents(table(spark, sf_dir, "customer"), *CUSTOMER_COLUMNS)
+    return _with_note(parse_documents(documents, RECORD_FIELDS))
 
 
 def latin9_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -312,10 +317,10 @@ SELECT CASE WHEN o_orderkey % 13 = 0 THEN 'sin fecha'
 FROM d
 """,
     "json_raw_scan": f"""
-SELECT * EXCLUDE (prec_num, nota) FROM ({records_sql('supplier', *SUPPLIER_COLUMNS)})
+SELECT * EXCLUDE (prec_num) FROM ({records_sql('supplier', *SUPPLIER_COLUMNS)})
 """,
     "json_documents_parse": f"""
-SELECT * EXCLUDE (prec_num, nota) FROM ({records_sql('customer', *CUSTOMER_COLUMNS)})
+SELECT * EXCLUDE (prec_num) FROM ({records_sql('customer', *CUSTOMER_COLUMNS)})
 """,
     "latin9_decode": f"""
 SELECT doc_id, translate(regexp_replace(text,

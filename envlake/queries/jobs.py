@@ -160,7 +160,7 @@ def _collect(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     )
     return collect_observations(
         spark,
-        parse_documents(documents, RECORD_FIELDS, rest=True),
+        parse_documents(documents, RECORD_FIELDS),
         f"{scratch_dir(spark, 'collected')}/observations.csv",
         stations,
         "2022-01-01",
@@ -196,6 +196,36 @@ def collected_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _collect(spark, sf_dir)["observations"]
 
 
+KEY_COLUMNS = 5
+
+
+def collected_many_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order line has keys that no other record has; only those of many records become columns.
+
+    One row for each record and key that is no column, with all columns.
+    """
+    lines = table(spark, sf_dir, "lineitem")
+    own = F.concat_ws("_", F.lit("k"), "l_orderkey", "l_linenumber")
+    record = F.create_map(
+        F.lit("fecha"), F.concat(F.lit("2022-03-0"), "l_linenumber"),
+        F.lit("indicativo"), F.col("l_suppkey").cast("string"),
+        F.lit("bandera"), F.col("l_returnflag"), F.lit("FECHA"), F.col("l_linestatus"),
+        own, F.col("l_quantity").cast("int").cast("string"), F.concat(own, F.lit("b")), F.concat(F.lit("o"), "l_orderkey"),
+    )
+    documents = lines.groupBy("l_suppkey").agg(F.to_json(F.collect_list(record)).alias("texto")).select(
+        F.concat("l_suppkey", F.lit("_2022_01")).alias("documento"), "texto"
+    )
+    stations = lines.select(F.col("l_suppkey").cast("string").alias("indicativo")).distinct()
+    got = collect_observations(
+        spark, parse_documents(documents, ["fecha", "indicativo"]), f"{scratch_dir(spark, 'keys')}/o.csv", stations,
+        "2022-01-01", "2022-06-30", key_columns=KEY_COLUMNS,
+    )["observations"]
+    # three of the five columns are of single records: which, is decided by the keys' order
+    single = [c for c in got.columns if c.startswith("k_")]
+    rare = F.map_concat("otros", F.map_filter(F.create_map(*[x for c in single for x in (F.lit(c), F.col(c))]), lambda _, v: v.isNotNull()))
+    return got.select("fecha", "indicativo", "bandera", "_FECHA", F.explode(rare).alias("clave", "valor"))
+
+
 def collected_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _collect(spark, sf_dir)["coverage"].select("indicativo", "n_dias", "dias_esperados", "pct")
 
@@ -215,6 +245,7 @@ QUERIES = {
     "raw_weather_fact": raw_weather_fact,
     "collected_observations": collected_observations,
     "collected_coverage": collected_coverage,
+    "collected_many_keys": collected_many_keys,
     "collected_missing_windows": collected_missing_windows,
 }
 
@@ -265,6 +296,13 @@ FROM ({records_sql('customer', *CUSTOMER_COLUMNS)})
     "collected_observations": f"""
 SELECT CAST(fecha AS DATE) AS fecha, indicativo, nombre, prec_num AS prec, NULL::DOUBLE AS tmed, nota
 FROM ({records_sql('customer', *CUSTOMER_COLUMNS)})
+""",
+    "collected_many_keys": """
+SELECT make_date(2022, 3, l_linenumber) AS fecha, CAST(l_suppkey AS VARCHAR) AS indicativo,
+       l_returnflag AS bandera, l_linestatus AS _FECHA,
+       'k_' || l_orderkey || '_' || l_linenumber || b AS clave,
+       CASE WHEN b = '' THEN CAST(CAST(l_quantity AS INT) AS VARCHAR) ELSE 'o' || l_orderkey END AS valor
+FROM lineitem, (VALUES (''), ('b')) v(b)
 """,
     "collected_coverage": f"""
 WITH n AS (SELECT indicativo, count(*) AS n FROM ({records_sql('customer', *CUSTOMER_COLUMNS)}) GROUP BY indicativo)

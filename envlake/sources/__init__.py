@@ -15,6 +15,7 @@ from envlake.sources.raw_json import (
     read_documents,
     read_landed,
     read_raw_documents,
+    write_documents,
 )
 from envlake.sources.scratch import scratch_dir
 from envlake.sources.tables import inline_table, read_table, register_views, write_fact
@@ -38,5 +39,6 @@ __all__ = [
     "staged_path",
     "stale_datasets",
     "write_delimited",
+    "write_documents",
     "write_fact",
 ]

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+import pyarrow as pa
+import pyarrow.fs as pafs
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import MapType, StringType, StructField, StructType
 
 from envlake.functions import (
     from_latin9,
@@ -45,24 +47,30 @@ def read_documents(spark: SparkSession, path: str, latin9: bool = False) -> Data
 
 
 def parse_documents(
-    documents: DataFrame, fields: Sequence[str] = RAW_FIELDS, rest: bool = False
+    documents: DataFrame, fields: Sequence[str] = RAW_FIELDS, rest: bool = True
 ) -> DataFrame:
     """The records of each document (``documento``, ``texto``), one row per record.
 
     A document counts only as a whole: one that is not one complete JSON array and
-    nothing else, or is empty, contributes nothing. Keys absent from a record are NULL.
-    ``rest`` keeps the keys outside ``fields`` in a map, ``otros``.
+    nothing else, or is empty, contributes nothing. Keys absent from a record are NULL, and
+    of a key that a record repeats the last value counts. Keys outside ``fields`` are kept in a
+    map, ``otros``, unless ``rest`` is False.
     """
     trimmed = F.btrim("texto", F.lit(" \t\r\n"))
     # inside one more pair of brackets a second array or text after the first shows up
-    kind = "map<string,string>" if rest else _text_fields(fields).simpleString()
     wrapped = F.concat(F.lit("["), "texto", F.lit("]"))
-    arrays = F.from_json(wrapped, f"array<array<{kind}>>", {"allowSingleQuotes": "false"})
+    arrays = F.from_json(wrapped, "array<array<map<string,string>>>", {"allowSingleQuotes": "false"})
     records = F.when(F.size(arrays) == 1, F.get(arrays, F.lit(0)))
     station, month = landing_key_parts(F.col("documento"))
-    values = [F.col("r").getItem(n).alias(n) for n in fields]
+
+    def value(key: Column | str) -> Column:
+        """The last value of a key: the first, read backwards."""
+        return F.get("valores", F.array_position("claves", key) - 1)
+
+    values = [value(n).alias(n) for n in fields]
     if rest:
-        values.append(F.map_filter("r", lambda k, _: ~k.isin(*fields)).alias(REST))
+        others = F.filter(F.array_distinct("claves"), lambda k: ~k.isin(*fields))
+        values.append(F.map_from_arrays(others, F.transform(others, value)).alias(REST))
     return (
         documents.where(F.startswith(trimmed, F.lit("[")) & F.endswith(trimmed, F.lit("]")))
         .select(
@@ -72,6 +80,7 @@ def parse_documents(
             F.explode(records).alias("r"),
         )
         .where(F.col("r").isNotNull())
+        .withColumns({"claves": F.reverse(F.map_keys("r")), "valores": F.reverse(F.map_values("r"))})
         .select(
             "documento",
             "documento_estacion",
@@ -81,14 +90,44 @@ def parse_documents(
     )
 
 
+def write_documents(documents: DataFrame, path: str, folders: int = 1) -> None:
+    """Land each document (``documento``, ``texto``) as a file of its own, ``<documento>.json``.
+
+    Many documents share a folder: there are ``folders`` of them, by a hash of the key. Tasks write
+    through the file system of ``path`` (a local or shared folder, or a store that Arrow opens); a task
+    that runs again writes the same files again. A document without key or text is left out, and a
+    key with a slash in it fails.
+    """
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, base = (pafs.LocalFileSystem(), path) if path.startswith("/") else pafs.FileSystem.from_uri(path)
+        made = set()
+        for batch in batches:
+            for folder, key, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if "/" in key:
+                    raise ValueError(f"no file name: {key}")
+                if folder not in made:
+                    store.create_dir(f"{base}/{folder}", recursive=True)
+                    made.add(folder)
+                with store.open_output_stream(f"{base}/{folder}/{key}.json") as out:
+                    out.write(text.encode())
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], ["n"])
+
+    named = documents.where("documento is not null and texto is not null")
+    folder = F.lpad(F.hex(F.pmod(F.xxhash64("documento"), F.lit(folders))), 6, "0")
+    # one task for each core and not only as many as the table has files
+    spread = named.select(folder, "documento", "texto").repartition(documents.sparkSession.sparkContext.defaultParallelism)
+    spread.mapInArrow(write, "n long").agg(F.sum("n")).collect()
+
+
 def read_raw_documents(
     spark: SparkSession,
     path: str,
     fields: Sequence[str] = RAW_FIELDS,
     latin9: bool = False,
-    rest: bool = False,
+    rest: bool = True,
 ) -> DataFrame:
-    """The records of all document files below ``path``."""
+    """The records of all document files below ``path``, which are listed once and dealt to tasks by size."""
     return parse_documents(read_documents(spark, path, latin9), fields, rest)
 
 
@@ -115,16 +154,17 @@ def land_records(records: DataFrame, path: str, start: date | str | None = None)
 
 
 def read_landed(
-    spark: SparkSession, path: str, fields: Sequence[str] = RAW_FIELDS, rest: bool = False
+    spark: SparkSession, path: str, fields: Sequence[str] = RAW_FIELDS, rest: bool = True
 ) -> DataFrame:
     """Records landed by :func:`land_records`, with the window's first day and key.
 
-    A line that is no record is left out.
+    A line that is no record is left out. Keys outside ``fields`` that were landed in the map ``otros`` stay
+    there, unless ``rest`` is False.
     """
     names = [n for n in fields if n != "indicativo"]
     schema = _text_fields([*names, "indicativo", "ventana"])
     if rest:
-        schema = schema.add(REST, "map<string,string>")
+        schema = schema.add(REST, MapType(StringType(), StringType()))
     landed = spark.read.schema(schema)
     landed = landed.option("mode", "DROPMALFORMED").json(path)
     key = landing_key(F.col("indicativo"), F.col("ventana").try_cast("date"))

@@ -152,10 +152,10 @@ def test_collector_on_landed_records(spark, tmp_path):
 def test_nothing_collected_leaves_the_csv(spark, tmp_path):
     csv = f"{tmp_path}/o.csv"
     put(tmp_path, "raw/3129_2022_07.json", json.dumps([{"fecha": "2022-08-01", "indicativo": "3129", "nuevo": "x"}]))
-    got = collect_observations(spark, read_raw_documents(spark, str(tmp_path / "raw"), rest=True), csv, work=str(tmp_path / "a"))
+    got = collect_observations(spark, read_raw_documents(spark, str(tmp_path / "raw")), csv, work=str(tmp_path / "a"))
     assert got["observations"].first()["nuevo"] == "x" and got["work"].first()["path"] == f"{tmp_path}/a/clean"
     before = sorted(glob.glob(f"{csv}/*"))
-    none = read_raw_documents(spark, str(tmp_path / "raw"), rest=True).limit(0)
+    none = read_raw_documents(spark, str(tmp_path / "raw")).limit(0)
     again = collect_observations(spark, none, csv, work=str(tmp_path / "b"))
     assert again["observations"].count() == 0 and before and sorted(glob.glob(f"{csv}/*")) == before
 
@@ -163,7 +163,7 @@ def test_nothing_collected_leaves_the_csv(spark, tmp_path):
 def test_keys_that_clash_with_columns_are_kept(spark, tmp_path):
     keys = {"FECHA": "a", "documento": "b", "ventana": "c", "otros": "d", "_fecha": "e", "Nota": "f", "nota": "g"}
     put(tmp_path, "raw/3129_2022_07.json", json.dumps([{"fecha": "2022-08-01", "indicativo": "3129", **keys}]))
-    records = read_raw_documents(spark, str(tmp_path / "raw"), ["fecha", "indicativo"], rest=True)
+    records = read_raw_documents(spark, str(tmp_path / "raw"), ["fecha", "indicativo"])
     got = collect_observations(spark, records, f"{tmp_path}/o.csv", work=str(tmp_path / "a"))["observations"].first().asDict()
     assert (str(got["fecha"]), got["indicativo"]) == ("2022-08-01", "3129")
     assert {k: v for k, v in got.items() if k not in ("fecha", "indicativo")} == {
@@ -171,6 +171,20 @@ def test_keys_that_clash_with_columns_are_kept(spark, tmp_path):
     }
 
 
+def test_rare_keys_stay_in_one_column(spark, tmp_path):
+    """The driver sees a bounded list of keys, and no value is lost, in the CSV neither."""
+    days = [{"fecha": f"2022-08-{d:02d}", "indicativo": "3129", f"k{d}": str(d), "nuevo": "x", "otros": "y"} for d in range(1, 29)]
+    put(tmp_path, "raw/3129_2022_07.json", json.dumps(days))
+    records = read_raw_documents(spark, str(tmp_path / "raw"), ["fecha", "indicativo"])
+    got = collect_observations(spark, records, f"{tmp_path}/o.csv", work=str(tmp_path / "a"), key_columns=2)["observations"]
+    assert got.columns == ["fecha", "indicativo", "nuevo", "_otros", "otros"]
+    assert {(r.fecha.day, r.nuevo, r["_otros"], tuple(r.otros.items())) for r in got.collect()} == {
+        (d, "x", "y", ((f"k{d}", str(d)),)) for d in range(1, 29)
+    }
+    back = spark.read.csv(f"{tmp_path}/o.csv", header=True, quote='"', escape='"')
+    assert {r.otros for r in back.collect()} == {json.dumps({f"k{d}": str(d)}, separators=(",", ":")) for d in range(1, 29)}
+
+
 def test_period_prunes_landed_folders(spark, tmp_path):
     rows = [("2021-02-01", "3129"), ("2022-02-01", "3129"), ("2022-08-01", "3129")]
     land_records(spark.createDataFrame(rows, "fecha string, indicativo string"), str(tmp_path / "l"))

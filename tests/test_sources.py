@@ -23,6 +23,7 @@ from envlake.sources import (
     stage,
     staged_path,
     write_delimited,
+    write_documents,
     write_fact,
 )
 from envlake.sources import versions
@@ -215,7 +216,7 @@ def test_only_whole_arrays_count(spark, tmp_path):
     put(tmp_path, "3195_2020_01.json", "")
     put(tmp_path, "3196_2020_01.json", "[null, " + json.dumps(record("2020-01-01")) + "]")
     (tmp_path / "3129_2020_01.json").write_bytes(b'[{"fecha": "\xff"}]')
-    frame = read_raw_documents(spark, str(tmp_path), FIELDS).drop("documento_estacion")
+    frame = read_raw_documents(spark, str(tmp_path), FIELDS, rest=False).drop("documento_estacion")
     assert rows(frame) == {
         ("5210X_2022_07", dt.date(2022, 7, 1), "2022-07-01", "5210X", "0,1", None): 1,
         ("5210X_2022_07", dt.date(2022, 7, 1), "2022-07-02", "5210X", None, "04:40"): 1,
@@ -223,6 +224,27 @@ def test_only_whole_arrays_count(spark, tmp_path):
     }
 
 
+def test_other_keys_are_kept_and_the_last_of_a_repeated_one_counts(spark, tmp_path):
+    put(tmp_path, "A_2022_01.json", '[{"fecha":"1","x":"a","fecha":"2","x":"b","y":{"z":1},"n":null},{"prec":"3"}]')
+    first, second = read_raw_documents(spark, str(tmp_path), ["fecha", "prec"]).orderBy("prec").collect()
+    assert (first.fecha, first.prec, first.otros) == ("2", None, {"x": "b", "y": '{"z":1}', "n": None})
+    assert (second.fecha, second.prec, second.otros) == (None, "3", {})
+    plain = read_raw_documents(spark, str(tmp_path), ["fecha", "prec"], rest=False)
+    assert "otros" not in plain.columns and {r.fecha for r in plain.collect()} == {"2", None}
+
+
+def test_documents_are_written_many_to_a_folder(spark, tmp_path):
+    texts = [(f"s{i}_2022_07", json.dumps([{"fecha": f"2022-07-{1 + i % 28:02d}", "ñ": str(i)}], ensure_ascii=False)) for i in range(300)]
+    frame = spark.createDataFrame([*texts, (None, "[]"), ("x_2022_01", None)], "documento string, texto string")
+    for _ in range(2):  # again: the same files
+        write_documents(frame, str(tmp_path / "d"), folders=4)
+    assert len(glob.glob(f"{tmp_path}/d/*")) == 4 and len(glob.glob(f"{tmp_path}/d/*/*.json")) == 300
+    got = read_raw_documents(spark, f"file://{tmp_path}/d", ["fecha"]).collect()
+    assert {(r.documento, r.otros["ñ"]) for r in got} == {(k, json.loads(t)[0]["ñ"]) for k, t in texts}
+    with pytest.raises(Exception, match="no file name"):
+        write_documents(spark.createDataFrame([("a/b", "[]")], "documento string, texto string"), str(tmp_path / "e"))
+
+
 def test_latin9_documents(spark, tmp_path):
     put(tmp_path, "x_2020_01.json", json.dumps([{"fecha": "ŠÑ€"}], ensure_ascii=False), "iso-8859-15")
     assert read_raw_documents(spark, str(tmp_path), ["fecha"], latin9=True).first().fecha == "ŠÑ€"
@@ -234,7 +256,7 @@ def test_landing_again_replaces_only_its_windows(spark, tmp_path):
     first = [("2022-01-05", "5210X", "1"), ("2022-06-30", "5210X", "2"), ("2022-07-01", "5210X", "3"), ("2022-01-01", "3195", "4"), (None, "3195", "5")]
     land_records(spark.createDataFrame(first, ddl), out)
     land_records(spark.createDataFrame([("2022-02-02", "5210X", "6")], ddl), out)
-    got = rows(read_landed(spark, out, ["fecha", "indicativo", "prec"]))
+    got = rows(read_landed(spark, out, ["fecha", "indicativo", "prec"], rest=False))
     assert got == {
         ("5210X_2022_01", "2022-01-01", "2022-02-02", "5210X", "6"): 1,
         ("5210X_2022_07", "2022-07-01", "2022-07-01", "5210X", "3"): 1,
@@ -272,6 +294,14 @@ def test_line_breaks_need_to_be_allowed(spark, tmp_path):
     assert sorted(map(tuple, back.collect())) == [(" x ", 1), ("a\nb", 2)]
 
 
+def test_other_keys_are_landed_too(spark, tmp_path):
+    put(tmp_path, "d/A_2022_01.json", '[{"fecha":"2022-01-05","indicativo":"A","nuevo":"x"},{"fecha":"2022-01-06","indicativo":"A"}]')
+    records = read_raw_documents(spark, str(tmp_path / "d"), ["fecha", "indicativo"]).drop("documento", "documento_estacion", "documento_mes")
+    land_records(records, str(tmp_path / "l"))
+    got = read_landed(spark, str(tmp_path / "l"), ["fecha", "indicativo"]).collect()
+    assert {r.fecha: r.otros for r in got} == {"2022-01-05": {"nuevo": "x"}, "2022-01-06": {}}
+
+
 def test_landing_with_start_and_corrupt_lines(spark, tmp_path):
     rows = [(None, "A"), ("xx", "A"), ("1999-05-05", "A"), ("2022-03-14", "A"), ("2022-03-15", "A"), ("2022-08-01", "A")]
     path = str(tmp_path / "l")
