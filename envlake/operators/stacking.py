@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
+from itertools import zip_longest
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -23,6 +24,25 @@ def stack_by_position(frames: Sequence[DataFrame], cast_to_first: bool = False)
     return reduce(DataFrame.union, rest, first)
 
 
+def header_drift(frames: Mapping[str, DataFrame]) -> list[tuple[str, int, str | None, str | None, bool]]:
+    """Where the columns of files to stack by position differ from the first one's: (file, position
+    from 1, expected name, found name, whether the expected one stands elsewhere in the file).
+
+    Names are compared without regard to case and blanks around. A name that merely is spelt otherwise
+    lines up; one that stands elsewhere means that stacking by position would mix up columns.
+    Only names are looked at, no row is read.
+    """
+    plain = {name: [c.strip().lower() for c in frame.columns] for name, frame in frames.items()}
+    first = next(iter(plain.values()))
+    found = []
+    for name, columns in plain.items():
+        for i, (want, got) in enumerate(zip_longest(first, columns)):
+            if want != got:
+                shown = [x[i] if i < len(x) else None for x in (next(iter(frames.values())).columns, frames[name].columns)]
+                found.append((name, i + 1, *shown, want in columns))
+    return found
+
+
 def _retype(frame: DataFrame, like: DataFrame) -> DataFrame:
     if [f.dataType for f in frame.schema] == [f.dataType for f in like.schema]:
         return frame

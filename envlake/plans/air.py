@@ -12,20 +12,23 @@ from envlake.schemas import HOURS
 
 
 def hourly_fact(
-    wide: DataFrame, units: DataFrame, strict_dates: bool = True, decimal_comma: bool = False
+    wide: DataFrame, units: DataFrame, strict_dates: bool = True, decimal_comma: bool = False,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Melt the 24 hours, build the hour's timestamp and attach the unit.
 
+    The columns ``keep`` of the wide rows come last in the fact.
+
     The unit depends on the wide row alone, so it is looked up before the melt:
     24 times fewer rows meet the join, whichever join it is. The timestamp is
     built after it, so a row without any value cannot fail on its date.
     """
     ids = ["provincia", "municipio", "estacion", "magnitud", "punto muestreo", "anno", "mes", "dia"]
     slim = _with_hours_as(
-        wide.select(*[f"`{c}`" for c in (*ids, *HOURS)]), "string" if decimal_comma else "double"
+        wide.select(*[f"`{c}`" for c in (*ids, *keep, *HOURS)]), "string" if decimal_comma else "double"
     )
     with_unit = left_lookup(slim, units, "magnitud", "MAGNITUD", uom="UNIDAD")
-    long = unpivot_hours(with_unit, [*ids, "uom"], label=False)
+    long = unpivot_hours(with_unit, [*ids, *keep, "uom"], label=False)
     if decimal_comma:
         long = parse_cells(long)
     return long.select(
@@ -39,6 +42,7 @@ def hourly_fact(
         ).alias("fecha"),
         "uom",
         F.col("valor").alias("uom_value"),
+        *keep,
     )
 
 
@@ -54,10 +58,11 @@ def air_fact(
     units: DataFrame,
     strict_dates: bool = True,
     decimal_comma: bool = False,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Stack the yearly files, then the per-pollutant files, and melt them.
 
-    The first yearly file names the columns of all.
+    The first yearly file names the columns of all. The columns ``keep`` stay with their rows.
     """
     wide = stack_by_position([*years, *pollutants], cast_to_first=True)
-    return hourly_fact(wide, units, strict_dates, decimal_comma)
+    return hourly_fact(wide, units, strict_dates, decimal_comma, keep)

@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from envlake.operators import header_drift
 from envlake.plans import (
     JOBS,
     JobSpec,
@@ -27,7 +28,18 @@ from envlake.queries.inputs import (
     weather_units,
 )
 from envlake.schemas import AIR_TYPES, MEASURES, RAW_FIELDS
-from envlake.sources import CATALOG, DatasetSpec, parse_documents, read_table, scratch_dir, write_delimited
+from envlake.sources import (
+    CATALOG,
+    DatasetSpec,
+    inline_table,
+    parse_documents,
+    read_dataset,
+    read_table,
+    refresh,
+    scratch_dir,
+    write_delimited,
+)
+from envlake.sources.versions import manifest
 
 _AIR_KEYS = [k for k in CATALOG if k.startswith("aire")]
 # The air files are folders of one partitioned write.
@@ -77,6 +89,49 @@ def air_history_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run_and_read(spark, root, "aire_normalizado", AIR_CATALOG)
 
 
+_FIRST = _AIR_KEYS[0]  # the file of January, but for orders with status F
+
+
+def air_history_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact after one of 13 files lost its rows after the tenth of the month and the job ran again.
+
+    Only that file's rows are computed again: the others' parts keep their files.
+    """
+    root = scratch_dir(spark, "air")
+    write_air_files(spark, sf_dir, root)
+    _run_and_read(spark, root, "aire_normalizado", AIR_CATALOG)
+    job = next(j for j in JOBS if j.name == "aire_normalizado")
+    path, aliases = f"{root}/{job.output}", [a for a, k in job.sources.items() if k == _FIRST]
+
+    def others() -> set:
+        return {(p["part"], p["folder"]) for p in manifest(spark, path) if p["fuente"] != aliases[0]}
+
+    before = others()
+    folder = f"{root}/{AIR_CATALOG[_FIRST].path}"
+    write_delimited(read_dataset(spark, root, AIR_CATALOG[_FIRST]).where("dia <= 10"), folder, ";")
+    fact = _run_and_read(spark, root, "aire_normalizado", AIR_CATALOG)
+    if others() != before:
+        raise RuntimeError("parts of unchanged files were written again")
+    return fact
+
+
+def header_drift_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of the orders of each status: one names a column otherwise, one has two exchanged and one more."""
+    root = scratch_dir(spark, "headers")
+    orders = table(spark, sf_dir, "orders")
+    columns = {
+        "F": [F.col("o_orderkey"), F.col("o_custkey"), F.col("o_totalprice")],
+        "O": [F.col("o_orderkey"), F.col("o_custkey").alias("cliente"), F.col("o_totalprice").alias(" O_TOTALPRICE")],
+        "P": [F.col("o_orderkey"), F.col("o_totalprice"), F.col("o_custkey"), F.lit("x").alias("nota")],
+    }
+    catalog = {s: DatasetSpec(f"crudo/{s}.csv") for s in columns}
+    for s, chosen in columns.items():
+        write_delimited(orders.where(F.col("o_orderstatus") == s).select(*chosen), f"{root}/{catalog[s].path}", ";")
+    refresh(spark, root, catalog)
+    drift = header_drift({s: read_dataset(spark, root, spec) for s, spec in catalog.items()})
+    return inline_table(spark, drift, "fichero string, posicion int, esperado string, encontrado string, movida boolean")
+
+
 def weather_daily_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "weather")
     write_weather_files(spark, sf_dir, root)
@@ -236,6 +291,8 @@ def collected_missing_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "air_history_job": air_history_job,
+    "air_history_incremental": air_history_incremental,
+    "header_drift": header_drift_query,
     "weather_daily_job": weather_daily_job,
     "job_status": job_status,
     "sql_defined_job": sql_defined_job,
@@ -269,6 +326,17 @@ WHERE l.valor IS NOT NULL
 
 SQL = {
     "air_history_job": HOURLY_ORDERS_FACT_SQL,
+    "air_history_incremental": f"""
+SELECT * FROM ({HOURLY_ORDERS_FACT_SQL})
+WHERE NOT (month(fecha) = 1 AND day(fecha) > 10 AND punto_muestreo NOT LIKE '%$_F' ESCAPE '$')
+""",
+    "header_drift": """
+SELECT o_orderstatus AS fichero, posicion, esperado, encontrado, movida
+FROM (SELECT DISTINCT o_orderstatus FROM orders), (VALUES
+  ('O', 2, 'o_custkey', 'cliente', false), ('P', 2, 'o_custkey', 'o_totalprice', true), ('P', 3, 'o_totalprice', 'o_custkey', true),
+  ('P', 4, NULL, 'nota', false)) d(s, posicion, esperado, encontrado, movida)
+WHERE s = o_orderstatus
+""",
     "weather_daily_job": _WEATHER,
     "job_status": f"""
 SELECT 'aire_normalizado' AS pipeline, 'missing input' AS status, NULL::BIGINT AS n

@@ -7,12 +7,17 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from envlake.functions import half_year_start, half_year_windows, landing_key, window_bound_text
 from envlake.operators import (
     coverage,
+    coverage_of_parts,
     dataset_summary,
     expected_windows,
     missing_window_count,
     missing_windows,
+    missing_windows_by_bits,
+    summary_of_parts,
 )
 from envlake.queries.inputs import table
+from envlake.sources import DatasetSpec, refresh, refresh_summaries, scratch_dir
+from envlake.sources.tables import remove_partition
 
 # The requested period, clipped at both ends.
 START, END = "1995-03-15", "2001-10-10"
@@ -61,6 +66,15 @@ def missing_windows_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def missing_windows_bits_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by bits; the stations of the first nations are in the list twice."""
+    stations = _stations(spark, sf_dir)
+    twice = table(spark, sf_dir, "customer").where("c_nationkey < 5").select(
+        F.col("c_custkey").alias("indicativo"), F.col("c_name").alias("nombre")
+    )
+    return missing_windows_by_bits(stations.union(twice), _observations(spark, sf_dir), START, END)
+
+
 def missing_window_count_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return missing_window_count(missing_windows_query(spark, sf_dir))
 
@@ -87,6 +101,29 @@ def dataset_summary_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dataset_summary(_observations(spark, sf_dir))
 
 
+_DAYS = DatasetSpec("crudo/dias.csv", ";", {"indicativo": "bigint", "fecha": "date"})
+
+
+def _summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of observations in 12 files, after one of them went and only the others' summaries were there."""
+    root = scratch_dir(spark, "summaries")
+    days = _observations(spark, sf_dir).withColumn("mes", F.month("fecha"))
+    days.write.partitionBy("mes").csv(f"{root}/{_DAYS.path}", sep=";", header=True)
+    for _ in range(2):
+        refresh(spark, root, {"dias": _DAYS})
+        found = refresh_summaries(spark, root, _DAYS)
+        remove_partition(spark, f"{root}/{_DAYS.path}", "mes", "2")
+    return found
+
+
+def coverage_by_part(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return coverage_of_parts(_stations(spark, sf_dir), _summaries(spark, sf_dir), START, END)
+
+
+def summary_by_part(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return summary_of_parts(_summaries(spark, sf_dir))
+
+
 QUERIES = {
     "half_year_windows": half_year_windows_query,
     "missing_windows": missing_windows_query,
@@ -95,6 +132,9 @@ QUERIES = {
     "coverage_empty_period": coverage_empty_period,
     "coverage_ties": coverage_ties,
     "dataset_summary": dataset_summary_query,
+    "missing_windows_bits": missing_windows_bits_query,
+    "coverage_by_part": coverage_by_part,
+    "summary_by_part": summary_by_part,
 }
 
 _HALF = """make_date(year({d}), CASE WHEN month({d}) <= 6 THEN 1 ELSE 7 END, 1)"""
@@ -117,10 +157,10 @@ missing AS (
 """
 
 
-def _coverage_sql(days: str) -> str:
+def _coverage_sql(days: str, of: str = "orders") -> str:
     pct = f"CASE WHEN {days} <> 0 THEN 100.0::DOUBLE * coalesce(n, 0) / nullif({days}, 0) ELSE 0.0::DOUBLE END"
     return f"""
-WITH n AS (SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey)
+WITH n AS (SELECT o_custkey, count(*) AS n FROM {of} GROUP BY o_custkey)
 SELECT c_custkey AS indicativo, c_name AS nombre, coalesce(n, 0) AS n_dias,
        CAST({days} AS INT) AS dias_esperados, {pct} AS pct, format('{{:.1f}}', {pct}) AS pct_texto
 FROM customer LEFT JOIN n ON c_custkey = o_custkey
@@ -147,6 +187,16 @@ SELECT indicativo, inicio, fin, strftime(inicio, '%Y-%m-%dT00:00:00UTC') AS ini_
 FROM windows
 """,
     "missing_windows": f"WITH {_MISSING} SELECT * FROM missing",
+    "missing_windows_bits": f"""
+WITH {_MISSING} SELECT m.* FROM missing m JOIN customer c ON indicativo = c_custkey, range(CASE WHEN c_nationkey < 5 THEN 2 ELSE 1 END)
+""",
+    "coverage_by_part": _coverage_sql(
+        f"(date_diff('day', DATE '{START}', DATE '{END}') + 1)", "(SELECT * FROM orders WHERE month(o_orderdate) <> 2)"
+    ),
+    "summary_by_part": """
+SELECT count(*) AS n_registros, CAST(min(o_orderdate) AS DATE) AS fecha_min, CAST(max(o_orderdate) AS DATE) AS fecha_max
+FROM orders WHERE month(o_orderdate) <> 2
+""",
     "missing_window_count": f"WITH {_MISSING} SELECT count(*) AS n_ventanas FROM missing",
     "coverage": _coverage_sql(f"(date_diff('day', DATE '{START}', DATE '{END}') + 1)"),
     "coverage_empty_period": _coverage_sql(

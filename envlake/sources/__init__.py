@@ -18,6 +18,7 @@ from envlake.sources.raw_json import (
     write_documents,
 )
 from envlake.sources.scratch import scratch_dir
+from envlake.sources.summaries import refresh_summaries
 from envlake.sources.tables import inline_table, read_table, register_views, write_fact
 
 __all__ = [
@@ -33,6 +34,7 @@ __all__ = [
     "read_raw_documents",
     "read_table",
     "refresh",
+    "refresh_summaries",
     "register_views",
     "scratch_dir",
     "stage",

@@ -10,6 +10,7 @@ with 0 rows. Files count, not settings: a changed separator alone does not make
 
 from __future__ import annotations
 
+import hashlib
 import json
 import posixpath
 from collections.abc import Callable, Iterable, Mapping
@@ -24,10 +25,8 @@ from pyspark.sql.types import StructType
 from envlake.sources.catalog import CATALOG, DatasetSpec, as_spec
 from envlake.sources.delimited import read_delimited
 from envlake.sources.tables import inline_table
-from envlake.sources.versions import PART, current, literal, manifest, read_version, replace_parts
+from envlake.sources.versions import PART, current, literal, manifest, read_parts, read_version, replace_parts
 
-_FILE_FIELDS = "file string, modificationTime timestamp, length bigint"
-_LISTING = f"dataset string, {_FILE_FIELDS}"
 
 
 def staged_path(path: str) -> str:
@@ -39,7 +38,7 @@ def staged_path(path: str) -> str:
     return posixpath.join(folder, "parquet_files", f"{stem}.parquet")
 
 
-def _located(root: str, entry: DatasetSpec | str) -> str:
+def located(root: str, entry: DatasetSpec | str) -> str:
     path = as_spec(entry).path
     return path if path.startswith("/") or "://" in path else posixpath.join(root, path)
 
@@ -74,14 +73,6 @@ def _relative(file: Column, path: str) -> Column:
     return F.when(F.contains(file, F.lit(f"/{name}/")), below).otherwise(F.lit(name))
 
 
-def _noted(spark: SparkSession, dataset: str, copy: str) -> DataFrame | None:
-    """The files that a copy was made from; None if there is no whole copy."""
-    listed = manifest(spark, copy)
-    if listed is None:
-        return None
-    return listed.select(F.lit(dataset).alias("dataset"), "file", "modificationTime", "length")
-
-
 def part_name(file: Column, time: Column, length: Column) -> Column:
     """The part of a file as it is at some time."""
     return F.sha1(F.concat_ws("|", file, F.unix_micros(time).cast("string"), length.cast("string")))
@@ -92,23 +83,17 @@ def _decoded(path: Column) -> Column:
     return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
 
 
-def _all(spark: SparkSession, find: Callable, paths: Mapping[str, str]) -> DataFrame:
-    found = _side_by_side(spark, lambda item: find(spark, *item), list(paths.items()), 8)
-    found = [f for f in found if f is not None]
-    return reduce(DataFrame.union, found) if found else spark.createDataFrame([], _LISTING)
-
-
-def _changes(files: DataFrame, noted: DataFrame) -> DataFrame:
-    """Per dataset and file, whether it is there, and whether it is as noted."""
-    key = ["dataset", "file"]
-    now = files.select(*key, F.struct("modificationTime", "length").alias("now"))
-    then = noted.select(*key, F.struct("modificationTime", "length").alias("then"))
-    return now.join(then, key, "full_outer").select(
-        *key,
-        F.col("now").isNotNull().alias("there"),
-        F.col("then").isNotNull().alias("noted"),
-        F.col("now").eqNullSafe(F.col("then")).alias("same"),
-    )
+def _listed(spark: SparkSession, paths: Mapping[str, str]) -> dict[str, list[dict] | None]:
+    """Files of each dataset with the name of each one's part, listed in one job; None if it is absent."""
+    found = _side_by_side(spark, lambda item: _files(spark, *item), list(paths.items()), 8)
+    there = [f for f in found if f is not None]
+    out = {key: None if f is None else [] for key, f in zip(paths, found, strict=True)}
+    if there:
+        files = reduce(DataFrame.union, there)
+        files = files.withColumn("part", part_name(F.col("file"), F.col("modificationTime"), F.col("length")))
+        for r in files.collect():  # Spark itself keeps the list of a read's files on the driver
+            out[r.dataset].append({"part": r.part, "file": r.file, "bytes": r.length})
+    return out
 
 
 def dataset_status(
@@ -122,25 +107,21 @@ def dataset_status(
     A copy whose write did not end counts as none. Sources that need no staging are always fresh.
     """
     keys = list(catalog if keys is None else keys)
-    sources = {k: _located(root, catalog[k]) for k in keys}
-    copies = {k: staged_path(p) for k, p in sources.items()}
-    as_is = [k for k in keys if copies[k] == sources[k]]
-    wanted = inline_table(spark, [(k, k in as_is) for k in keys], "dataset string, as_is boolean")
-    copied = {k: p for k, p in copies.items() if k not in as_is}
-    found = (
-        _changes(_all(spark, _files, sources), _all(spark, _noted, copied))
-        .groupBy("dataset")
-        .agg(F.bool_or("there").alias("there"), F.bool_or("noted").alias("noted"), F.bool_and("same").alias("same"))
-    )
-    return wanted.join(found, "dataset", "left").select(
-        "dataset",
-        F.when(~F.coalesce("there", F.lit(False)), "absent")
-        .when(F.col("as_is"), "fresh")
-        .when(~F.col("noted"), "unstaged")
-        .when(F.col("same"), "fresh")
-        .otherwise("stale")
-        .alias("state"),
-    )
+    sources = {k: located(root, catalog[k]) for k in keys}
+    files = _listed(spark, sources)
+
+    def state(key: str) -> str:
+        copy = staged_path(sources[key])
+        if not files[key]:
+            return "absent"
+        if copy == sources[key]:
+            return "fresh"
+        noted = manifest(spark, copy)
+        if noted is None:
+            return "unstaged"
+        return "fresh" if {f["part"] for f in files[key]} == {p["part"] for p in noted} else "stale"
+
+    return inline_table(spark, [(k, state(k)) for k in keys], "dataset string, state string")
 
 
 def stale_datasets(
@@ -162,15 +143,11 @@ def stage(spark: SparkSession, root: str, entry: DatasetSpec | str) -> str:
     they are, those of removed or changed files leave the manifest. A job that fails or ends anywhere leaves the
     copy as it was. Without a whole copy, or with one of other columns, all files are staged.
     """
-    spec, source = as_spec(entry), _located(root, entry)
+    spec, source = as_spec(entry), located(root, entry)
     target = staged_path(source)
-    files = _files(spark, "", source)
+    files = _listed(spark, {"": source})[""]
     if files is None:
         raise FileNotFoundError(source)
-    listed = inline_table(
-        spark, [tuple(r) for r in files.drop("dataset").collect()], _FILE_FIELDS
-    )  # Spark itself keeps the list of a read's files on the driver
-    listed = listed.withColumn("part", part_name(F.col("file"), F.col("modificationTime"), F.col("length")))
     now = current(spark, target)
     noted = manifest(spark, target, now) if now else None
 
@@ -185,17 +162,16 @@ def stage(spark: SparkSession, root: str, entry: DatasetSpec | str) -> str:
         part = part_name(file, F.col("_metadata.file_modification_time"), F.col("_metadata.file_size"))
         return frame.withColumn(PART, part)
 
-    known = noted.select("part") if noted is not None else None
-    added = listed.join(known, "part", "left_anti") if known is not None else listed
-    changed = sorted(r.file for r in added.select("file").collect())
     if noted is not None:
-        frame = read(changed) if changed else None
+        known, there = {p["part"] for p in noted}, {f["part"] for f in files}
+        added = [f for f in files if f["part"] not in known]
+        frame = read(sorted(f["file"] for f in added)) if added else None
         staged = StructType.fromJson(json.loads(now["schema"]))
         if frame is None or _kinds(frame.drop(PART).schema) == _kinds(staged):
-            kept = noted.join(listed.select("part"), "part", "left_semi")
-            replace_parts(frame, target, kept, added, schema=staged)
+            replace_parts(spark, target, frame, [p for p in noted if p["part"] in there], added, staged)
             return target
-    replace_parts(read(sorted(r.file for r in listed.select("file").collect())), target, None, listed)
+    frame = read(sorted(f["file"] for f in files))
+    replace_parts(spark, target, frame, [], files, frame.drop(PART).schema)
     return target
 
 
@@ -228,4 +204,21 @@ def stage_all(
 
 def read_dataset(spark: SparkSession, root: str, entry: DatasetSpec | str) -> DataFrame:
     """The staged copy of a dataset (or the dataset itself if it is no CSV)."""
-    return read_version(spark, staged_path(_located(root, entry)))
+    return read_version(spark, staged_path(located(root, entry)))
+
+
+def staged_parts(spark: SparkSession, root: str, entry: DatasetSpec | str) -> list[dict]:
+    """The parts of a staged dataset: part, folder, rows, file, bytes."""
+    return manifest(spark, staged_path(located(root, entry)))
+
+
+def read_staged_parts(spark: SparkSession, root: str, entry: DatasetSpec | str, parts: list[dict]) -> DataFrame:
+    """The rows of some parts of a staged dataset, with their part's name in the column ``PART``."""
+    return read_parts(spark, staged_path(located(root, entry)), parts)
+
+
+def files_digest(spark: SparkSession, root: str, entries: Mapping[str, DatasetSpec | str]) -> str:
+    """A digest of some datasets' files, their times and sizes."""
+    files = _listed(spark, {k: located(root, e) for k, e in entries.items()})
+    names = sorted((key, f["part"]) for key, listed in files.items() for f in listed or [])
+    return hashlib.sha1(json.dumps(names).encode()).hexdigest()

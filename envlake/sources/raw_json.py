@@ -69,8 +69,10 @@ def parse_documents(
 
     values = [value(n).alias(n) for n in fields]
     if rest:
-        others = F.filter(F.array_distinct("claves"), lambda k: ~k.isin(*fields))
-        values.append(F.map_from_arrays(others, F.transform(others, value)).alias(REST))
+        others = F.array_except("claves", F.array(*[F.lit(n) for n in fields]).cast("array<string>"))
+        some = F.map_from_arrays(others, F.transform(others, value))
+        none = F.create_map().cast("map<string,string>")
+        values.append(F.when(F.size(others) > 0, some).otherwise(none).alias(REST))
     return (
         documents.where(F.startswith(trimmed, F.lit("[")) & F.endswith(trimmed, F.lit("]")))
         .select(

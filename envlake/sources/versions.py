@@ -6,8 +6,9 @@ renamed or overwritten, so a job that stops anywhere leaves the version before a
 stores that rename by copying. What a version replaces is kept for those who still read it and removed
 when the next one is added.
 
-An entry names either one folder, or a manifest: a Parquet list of parts with their rows, of which
-some may stem from earlier writes.
+An entry names either one folder, or a manifest: a list of parts with their rows, of which some may
+stem from earlier writes. There is a part for each file of a source, so the driver holds the list
+as it holds the files that a read lists.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ import re
 import time
 import uuid
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,14 +58,28 @@ def _entries(spark: SparkSession, path: str) -> list[tuple[int, str]]:
     return sorted(found, reverse=True)
 
 
-def _whole(spark: SparkSession, path: str, name: str) -> dict | None:
-    """A log entry; None if its write did not end."""
-    files, at = file_system(spark, posixpath.join(path, LOG, name))
+def _read_text(spark: SparkSession, path: str) -> str:
+    files, at = file_system(spark, path)
     stream = files.open(at)
     try:
-        text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
     finally:
         stream.close()
+
+
+def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a new file; one that is there already fails."""
+    files, at = file_system(spark, path)
+    out = files.create(at, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def _whole(spark: SparkSession, path: str, name: str) -> dict | None:
+    """A log entry; None if its write did not end."""
+    text = _read_text(spark, posixpath.join(path, LOG, name))
     return json.loads(text) if text.endswith("\n") else None
 
 
@@ -77,14 +93,9 @@ def current(spark: SparkSession, path: str) -> dict | None:
 
 
 def _publish(spark: SparkSession, path: str, entry: dict) -> None:
-    """Add an entry to the log: from here on its version is the table."""
+    """Add an entry to the log: from here on its version is the table. Of two writers of one version one fails."""
     number = next((n for n, _ in _entries(spark, path)), 0) + 1
-    files, at = file_system(spark, posixpath.join(path, LOG, f"{number:012d}.json"))
-    out = files.create(at, False)  # another writer of the same version fails here
-    try:
-        out.write(bytearray(json.dumps(entry).encode() + b"\n"))
-    finally:
-        out.close()
+    _write_text(spark, posixpath.join(path, LOG, f"{number:012d}.json"), json.dumps(entry) + "\n")
 
 
 def _sweep(spark: SparkSession, path: str) -> None:
@@ -139,64 +150,64 @@ def replace_table(frame: DataFrame, path: str, partition_by: Sequence[str] = ())
     add_version(spark, path, write)
 
 
-def manifest(spark: SparkSession, path: str, entry: dict | None = None) -> DataFrame | None:
-    """The list of the current version's parts; None if the table has none."""
+def manifest(spark: SparkSession, path: str, entry: dict | None = None) -> list[dict] | None:
+    """The current version's parts (part, folder, rows and more); None if the table has none."""
     entry = entry or current(spark, path)
     if entry is None or "manifest" not in entry:
         return None
-    listed = StructType.fromJson(json.loads(entry["listed"]))
-    return spark.read.schema(listed).parquet(literal(posixpath.join(path, entry["manifest"])))
+    return json.loads(_read_text(spark, posixpath.join(path, entry["manifest"])))
 
 
 def replace_parts(
-    frame: DataFrame | None, path: str, kept: DataFrame | None, written: DataFrame, info: dict | None = None,
-    schema: StructType | None = None,
+    spark: SparkSession, path: str, frame: DataFrame | None, kept: list[dict], written: list[dict], schema: StructType
 ) -> None:
-    """Make a version of the parts ``kept`` (rows of the manifest) and of those in ``frame``.
+    """Make a version of the parts ``kept``, from the manifest, and of those in ``frame``.
 
-    ``frame`` has its rows' part in the column ``PART``; ``written`` lists the parts it may hold in
-    a column ``part``, with whatever else the manifest has to say of them. A part without rows is an
-    entry with 0 rows. A row of a part that is not listed fails the write. ``schema`` is that of the
-    rows, where there is no frame.
+    ``frame`` has the columns of ``schema`` and each row's part in the column ``PART``; ``written`` lists the parts it may hold,
+    with whatever else the manifest has to say of them. A part without rows is an entry with 0
+    rows. A row of a part that is not listed fails the write.
     """
-    spark = written.sparkSession
     before = current(spark, path)
-    schema = schema or StructType([f for f in frame.schema if f.name != PART])
 
     def write(folder: str) -> dict:
-        here = posixpath.join(path, folder)
-        counts = None
+        here, counts = posixpath.join(path, folder), {}
         if frame is not None:
             frame.write.option("compression", "snappy").partitionBy(PART).parquet(here)
             of_part = spark.read.schema(StructType([*schema.fields]).add(PART, StringType())).parquet(literal(here))
-            counts = of_part.groupBy(F.col(PART).alias("part")).agg(F.count("*").alias("rows"))
-            stray = counts.join(written, "part", "left_anti").first()
-            if stray is not None:
-                raise RuntimeError(f"a file changed while it was read: {path} ({stray.rows} rows)")
-        listed = written.drop("folder", "rows")
-        listed = listed.join(counts, "part", "left") if counts is not None else listed.withColumn("rows", F.lit(None).cast("bigint"))
-        rows = listed.select(
-            "part", F.concat(F.lit(f"{folder}/{PART}="), "part").alias("folder"), F.coalesce("rows", F.lit(0)).alias("rows"),
-            *[c for c in listed.columns if c not in ("part", "rows")],
-        )
-        if kept is not None:
-            rows = rows.unionByName(kept)
-        name = f"{folder}/_manifest"
-        rows.coalesce(1).write.parquet(posixpath.join(path, name))
-        entry = {"manifest": name, "listed": rows.schema.json(), "schema": schema.json(), **(info or {})}
-        used = {r.folder for r in rows.select("folder").collect()}
+            counts = {r[PART]: r["count"] for r in of_part.groupBy(PART).count().collect()}
+        stray = counts.keys() - {w["part"] for w in written}
+        if stray:
+            raise RuntimeError(f"a file changed while it was read: {path} has rows of {len(stray)} unknown parts")
+        made = [w | {"folder": f"{folder}/{PART}={w['part']}", "rows": counts.get(w["part"], 0)} for w in written]
+        parts = sorted([*kept, *made], key=lambda p: p["part"])
+        name = f"{folder}/_manifest.json"
+        _write_text(spark, posixpath.join(path, name), json.dumps(parts))
+        used = {p["folder"] for p in parts}
         runs = {f.split("/")[0] for f in used} | {folder}
-        entry["folders"] = sorted(runs)
+        entry = {"manifest": name, "schema": schema.json(), "folders": sorted(runs)}
         if before is not None:
-            old = manifest(spark, path, before)
-            gone = {r.folder for r in old.select("folder").collect()} - used if old is not None else set()
             unused = set(before["folders"]) - runs
+            gone = {p["folder"] for p in manifest(spark, path, before) or []} - used
             entry["dropped"] = sorted({f for f in gone if f.split("/")[0] not in unused} | unused)
         return entry
 
     add_version(spark, path, write)
 
 
+def read_parts(spark: SparkSession, path: str, parts: list[dict]) -> DataFrame:
+    """The rows of some parts of the manifest, with the part's name in the column ``PART``."""
+    schema = StructType.fromJson(json.loads(current(spark, path)["schema"])).add(PART, StringType())
+    runs: dict[str, list[str]] = {}
+    for p in parts:
+        if p["rows"]:
+            runs.setdefault(p["folder"].split("/")[0], []).append(literal(posixpath.join(path, p["folder"])))
+    found = [
+        spark.read.schema(schema).option("basePath", posixpath.join(path, run)).parquet(*folders)
+        for run, folders in sorted(runs.items())
+    ]
+    return reduce(DataFrame.union, found) if found else spark.createDataFrame([], schema)
+
+
 def read_version(spark: SparkSession, path: str) -> DataFrame:
     """The rows of a table's current version, or of a plain Parquet table where there are no versions."""
     entry = current(spark, path)
@@ -206,7 +217,7 @@ def read_version(spark: SparkSession, path: str) -> DataFrame:
     if "folder" in entry:
         return spark.read.schema(schema).parquet(literal(posixpath.join(path, entry["folder"])))
     # one path for each part, as Spark's reader keeps one for each file
-    parts = [r.folder for r in manifest(spark, path, entry).where("rows > 0").select("folder").collect()]
+    parts = [p["folder"] for p in manifest(spark, path, entry) if p["rows"]]
     if not parts:
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(*[literal(posixpath.join(path, p)) for p in parts])

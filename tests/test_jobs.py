@@ -3,6 +3,7 @@
 import datetime as dt
 import glob
 import json
+import os
 from dataclasses import replace
 
 import pytest
@@ -12,7 +13,10 @@ from envlake.queries import jobs as job_queries
 from envlake.plans import JOBS, JobSpec, collect_observations
 from envlake.plans.collector import _of_period
 from envlake.schemas import HOURS, STATIONS
-from envlake.sources import CATALOG, DatasetSpec, land_records, read_dataset, read_landed, read_raw_documents, read_table
+from envlake.operators import coverage, coverage_of_parts, dataset_summary, summary_of_parts
+from envlake.sources import CATALOG, DatasetSpec, land_records, read_dataset, read_landed, read_raw_documents, read_table, refresh, refresh_summaries
+from envlake.sources.summaries import summaries_path
+from envlake.sources.versions import current, manifest
 from tests.test_sources import put
 
 AIR_HEADER = ";".join(["provincia", "municipio", "estacion", "magnitud", "punto muestreo", "anno", "mes", "dia", *HOURS])
@@ -220,3 +224,72 @@ def test_preview_is_of_a_job_over_all_rows(spark, monkeypatch):
     got = [r.o_orderkey for r in job_queries.job_preview(spark, sf_dir).collect()]
     keys = sorted(r.o_orderkey for r in spark.read.parquet(f"{sf_dir}/orders.parquet").collect())
     assert got == keys[:5] and read_table(spark, written[0]).count() == len(keys) > 5
+
+
+def parts_of(spark, path):
+    return {(p["fuente"], p["file"]): p["folder"] for p in manifest(spark, path)}
+
+
+def test_only_changed_files_are_computed_again(spark, root):
+    name, out = JOBS[0].name, f"{root}/{JOBS[0].output}"
+    whole = lambda: sorted(map(str, read_table(spark, out).collect()))
+    assert statuses(run(spark, str(root), name)) == {name: "ok"}
+    first, folders = whole(), parts_of(spark, out)
+    assert len(folders) == 13 and read_table(spark, out).columns[-1] == "uom_value"
+    number = current(spark, out)["number"]
+    run(spark, str(root), name)  # nothing changed: no new version
+    assert current(spark, out)["number"] == number
+
+    path = CATALOG["aire21"].path
+    put(root, path, f"{AIR_HEADER}\n{air_line(1, 2021, h05=7)}\n", mtime=4_000_000_000)
+    run(spark, str(root), name)
+    now = parts_of(spark, out)
+    assert {k for k in now if now[k] != folders[k]} == {("aire21", path.rsplit("/", 1)[1])}
+    changed = whole()
+    assert len(set(changed) - set(first)) == 1 and len(set(first) - set(changed)) == 2
+    run(spark, str(root), name, rebuild=True)
+    assert whole() == changed and not set(parts_of(spark, out).values()) & set(now.values())
+
+    put(root, path, f"{AIR_HEADER}\n", mtime=4_100_000_000)  # without rows
+    run(spark, str(root), name)
+    assert len(whole()) == len(first) - 2 and len(parts_of(spark, out)) == 13
+    put(root, CATALOG["dim_variable_aire_csv"].path, "MAGNITUD,VARIABLE,UNIDAD\n1,SO2,mg\n", mtime=4_000_000_000)
+    run(spark, str(root), name)  # another unit: every part again
+    assert {r.uom for r in read_table(spark, out).collect()} == {"mg", None}
+
+
+def test_a_failed_run_keeps_parts(spark, root):
+    name, out = JOBS[0].name, f"{root}/{JOBS[0].output}"
+    run(spark, str(root), name)
+    before = parts_of(spark, out)
+    put(root, CATALOG["aire22"].path, f"{AIR_HEADER}\n{air_line(1, 2022, h05='x')}\n", mtime=4_000_000_000)
+    assert statuses(run(spark, str(root), name)) == {name: "failed"}
+    assert parts_of(spark, out) == before and read_table(spark, out).count() == 26
+
+
+def test_summaries_of_parts_give_the_same_reports(spark, tmp_path):
+    spec = DatasetSpec("d.csv", ",", {"fecha": "date"})
+    for i in range(4):
+        lines = "".join(f"2022-0{1 + (i + j) % 6}-{10 + j},S{j % 3}\n" for j in range(5 * i))
+        put(tmp_path, f"d.csv/{i}.csv", f"fecha,indicativo\n{lines}", mtime=1_000_000_000)
+    stations = spark.createDataFrame([(f"S{i}",) for i in range(4)], "indicativo string")
+
+    def check():
+        refresh(spark, str(tmp_path), {"d": spec})
+        found, rows = refresh_summaries(spark, str(tmp_path), spec), read_dataset(spark, str(tmp_path), spec)
+        assert coverage_of_parts(stations, found, "2022-01-01", "2022-12-31").orderBy("indicativo").collect() == (
+            coverage(stations, rows, "2022-01-01", "2022-12-31").orderBy("indicativo").collect()
+        )
+        assert summary_of_parts(found).collect() == dataset_summary(rows).collect()
+        report = coverage_of_parts(stations, found, "2022-01-01", "2022-12-31")
+        read = [f for f in report.inputFiles()]
+        assert all("resumen.parquet" in f for f in read)
+        return {p["file"]: p["folder"] for p in manifest(spark, summaries_path(str(tmp_path), spec))}
+
+    before = check()
+    put(tmp_path, "d.csv/2.csv", "fecha,indicativo\n2021-01-01,S3\n", mtime=1_100_000_000)
+    put(tmp_path, "d.csv/1.csv", "fecha,indicativo\n", mtime=1_100_000_000)
+    os.remove(tmp_path / "d.csv/3.csv")
+    after = check()
+    assert after["0.csv"] == before["0.csv"] and after.keys() == {"0.csv", "1.csv", "2.csv"}
+    assert check() == after

@@ -12,8 +12,10 @@ from envlake.operators import (
     coverage,
     duplicate_keys,
     expected_windows,
+    header_drift,
     left_lookup,
     missing_windows,
+    missing_windows_by_bits,
     preview,
     sorted_observations,
     stack_by_name,
@@ -21,6 +23,7 @@ from envlake.operators import (
     unpivot_hours,
     unpivot_measures,
 )
+from envlake.functions import half_year_start
 from envlake.plans.air import air_fact, hourly_fact
 from envlake.plans.weather import weather_fact
 from envlake.schemas import AIR_TYPES, HOURS, MEASURES
@@ -152,10 +155,10 @@ def test_trace_rain_is_null_for_the_collector_and_zero_for_the_fact(spark):
 
 
 def test_clean_collected_leaves_other_columns(spark):
-    records = spark.createDataFrame([("x", "2022-13-01", "1,5", "11:30")], "nombre string, fecha string, racha string, horaracha string")
+    records = spark.createDataFrame([("x", "2022-13-01", "1,5", "16:05")], "nombre string, fecha string, racha string, horaracha string")
     cleaned = clean_collected(records)
     assert cleaned.columns == records.columns
-    assert tuple(cleaned.first()) == ("x", None, 1.5, "11:30")
+    assert tuple(cleaned.first()) == ("x", None, 1.5, "16:05")
     assert tuple(clean_collected(records.select("nombre")).first()) == ("x",)
 
 
@@ -180,9 +183,9 @@ def test_duplicate_keys(spark, units):
 
 
 def test_sorted_observations(spark):
-    data = [("3195", "2022-01-01"), ("3194U", "2022-01-02"), ("3129", None), ("3129", "2022-05-01"), (None, "2022-01-01"), ("3194U", "2022-01-01")]
+    data = [("3195", "2022-01-01"), ("3190Z", "2022-01-02"), ("3129", None), ("3129", "2022-05-01"), (None, "2022-01-01"), ("3190Z", "2022-01-01")]
     frame = spark.createDataFrame(data, "indicativo string, fecha string").repartition(5)
-    want = [("3129", "2022-05-01"), ("3129", None), ("3194U", "2022-01-01"), ("3194U", "2022-01-02"), ("3195", "2022-01-01"), (None, "2022-01-01")]
+    want = [("3129", "2022-05-01"), ("3129", None), ("3190Z", "2022-01-01"), ("3190Z", "2022-01-02"), ("3195", "2022-01-01"), (None, "2022-01-01")]
     assert [tuple(r) for r in sorted_observations(frame).collect()] == want
 
 
@@ -283,3 +286,28 @@ def test_lookup_beyond_the_broadcast_limit_splits_the_hot_key(spark):
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     assert sum(want.values()) == 60000
+
+
+def test_missing_windows_by_bits(spark):
+    """The same rows as by pairs, over more half-years than one number holds, with odd stations and days."""
+    stations = spark.createDataFrame([("A", 1), ("B", 2), ("B", 2), ("C", None), (None, 3)], "indicativo string, n int")
+    days = [("A", "1980-05-05"), ("A", "1980-05-06"), ("A", "2019-12-31"), ("B", "1985-06-30"), ("B", "1985-07-01"), ("B", None), ("X", "1990-01-01"), ("C", "1950-01-01"), ("C", "2030-01-01"), (None, "1990-01-01")]
+    seen = spark.createDataFrame(days, "indicativo string, fecha string").withColumn("fecha", F.col("fecha").cast("date"))
+    for start, end in (("1980-03-01", "2019-12-31"), ("1980-03-01", "1980-03-01"), ("2000-01-01", "1999-01-01")):
+        inside = seen.where(F.col("fecha").between(start, end))
+        key = F.greatest(half_year_start(F.col("fecha")), F.lit(start).cast("date"))
+        plain = missing_windows(expected_windows(stations, start, end), inside.select("indicativo", key.alias("inicio")), ["indicativo", "inicio"])
+        bits = missing_windows_by_bits(stations, seen, start, end)
+        assert bits.columns == ["indicativo", "n", "inicio", "fin"]
+        assert rows(bits) == rows(plain.select("indicativo", "n", "inicio", "fin"))
+    text = plan(missing_windows_by_bits(stations, seen, "1980-03-01", "2019-12-31"))
+    assert text.count("Join") == 1 and "inicio" not in text.split("Join")[1].split("]")[0]
+
+
+def test_header_drift(spark):
+    frames = {n: spark.createDataFrame([], ddl) for n, ddl in {
+        "a": "x int, `punto muestreo` int, y int", "b": "X int, punto_muestreo int, ` y` int", "c": "y int, `punto muestreo` int, x int, z int",
+    }.items()}
+    assert header_drift(frames) == [
+        ("b", 2, "punto muestreo", "punto_muestreo", False), ("c", 1, "x", "y", True), ("c", 3, "y", "x", True), ("c", 4, None, "z", False),
+    ]

@@ -24,7 +24,7 @@ def test_every_query_has_sql():
 
 # one row, one per file, or the first five: the only results that a single task may bring together
 SMALL_RESULT = {
-    "bronze_refresh", "dataset_summary", "job_preview", "job_status", "missing_window_count", "preview_top5",
+    "bronze_refresh", "dataset_summary", "job_preview", "job_status", "summary_by_part", "missing_window_count", "preview_top5",
     "sort_breaks",
 }
 

@@ -322,7 +322,7 @@ def test_only_changed_files_are_staged_again(spark, tmp_path):
 
     def copies(name):
         copy = f"{tmp_path}/parquet_files/d.parquet"
-        folders = [r.folder for r in manifest(spark, copy).where(F.col("file") == name).collect()]
+        folders = [p["folder"] for p in manifest(spark, copy) if p["file"] == name]
         return {p: os.stat(p).st_mtime_ns for f in folders for p in glob.glob(f"{copy}/{f}/*.parquet")}
 
     assert state() == "unstaged" and refresh(spark, str(tmp_path), catalog) == ["d"]
@@ -336,7 +336,7 @@ def test_only_changed_files_are_staged_again(spark, tmp_path):
     assert state() == "fresh" and rows.columns == ["k", "t"]
     assert sorted(map(tuple, rows.collect())) == [(1, "x"), (3, "y"), (4, "y")]
     assert before and copies("a.csv") == before and not copies("e f.csv")
-    assert {r.file: r.rows for r in manifest(spark, f"{tmp_path}/parquet_files/d.parquet").collect()} == {"a.csv": 1, "b.csv": 2, "c.csv": 0}
+    assert {p["file"]: p["rows"] for p in manifest(spark, f"{tmp_path}/parquet_files/d.parquet")} == {"a.csv": 1, "b.csv": 2, "c.csv": 0}
     put(tmp_path, "d.csv/b.csv", "k;t;u\n3;y;1\n", mtime=1_100_000_000)  # other columns: all over again
     for name in "ac":
         put(tmp_path, f"d.csv/{name}.csv", "k;t;u\n1;x;2\n", mtime=1_100_000_000)
@@ -379,8 +379,8 @@ def test_files_of_any_name(spark, tmp_path):
         refresh(spark, str(tmp_path), catalog)
         assert dataset_status(spark, str(tmp_path), catalog).first().state == "fresh"
         assert sorted(r.k for r in read_dataset(spark, str(tmp_path), spec).collect()) == sorted(sum(kept.values(), []))
-        listed = manifest(spark, f"{tmp_path}/parquet_files/d.parquet").collect()
-        assert {r.file: r.rows for r in listed} == {n: len(v) for n, v in kept.items()}
+        listed = manifest(spark, f"{tmp_path}/parquet_files/d.parquet")
+        assert {p["file"]: p["rows"] for p in listed} == {n: len(v) for n, v in kept.items()}
 
     check()
     for i, name in enumerate(NAMES):  # a third each way
