@@ -13,7 +13,8 @@ from envlake.llm.common import free_name, let, stored
 
 ROUNDS = 6
 PRIME = 2_147_483_647  # products of two residues fit a long
-CELLS = 4096  # groups in which rows are numbered
+CELL_ROWS = 32_768  # rows that one task numbers, on average
+CELLS_TOGETHER = 1024  # cells whose sizes are added up in one task
 RUN = 8192  # copies of one row that a task numbers at once
 
 
@@ -116,7 +117,8 @@ def feistel_shards(rows: DataFrame, shards: int, seed: int = 0, key: Sequence[st
     """Every row with its ``row_number``, ``shard`` and ``slot`` in a reproducible shuffle.
 
     Rows are numbered from 0 by a hash cell and then by their values, so numbers depend on the
-    rows alone, not on files, partitions or tasks. The number is permuted; the place modulo
+    rows alone, not on files, partitions or tasks. The number of cells follows the number of
+    different rows; their sizes are added up a thousand cells at a time, then over these sums. The number is permuted; the place modulo
     ``shards`` is the shard, the quotient the slot. Counts of shards are at most one apart and
     slots have no gap. ``permuted(row_number, n, seed)`` computes the place of any row.
 
@@ -132,23 +134,24 @@ def feistel_shards(rows: DataFrame, shards: int, seed: int = 0, key: Sequence[st
     key = list(key or names)
     number = free_name(names, "row_number")
     shard, slot = free_name(names, "shard"), free_name(names, "slot")
-    cell, times, first, run = (free_name(names, x) for x in ("cell", "times", "first", "run"))
+    cell, times, first, run, upto_ = (free_name(names, x) for x in ("cell", "times", "first", "run", "upto"))
     rest = [F.first(c).alias(c) for c in names if c not in key]
-    distinct = stored(
-        rows.groupBy(*key)
-        .agg(F.count("*").alias(times), *rest)
-        .withColumn(cell, F.pmod(F.xxhash64(*[F.col(c) for c in key]), F.lit(CELLS))),
-        "sharding",
-    )
-    totals = distinct.groupBy(cell).agg(F.sum(times).alias(times)).collect()  # at most CELLS rows
+    distinct = stored(rows.groupBy(*key).agg(F.count("*").alias(times), *rest), "sharding")
+    cells = -(-distinct.count() // CELL_ROWS)
+    distinct = distinct.withColumn(cell, F.pmod(F.xxhash64(*[F.col(c) for c in key]), F.lit(cells or 1)))
+    sizes = stored(distinct.groupBy(cell).agg(F.sum(times).alias("size")), "cells")
+    together = F.floor(F.col(cell) / CELLS_TOGETHER).cast("long")
     before, n = {}, 0
-    for row in sorted(totals, key=lambda r: r[cell]):
-        before[row[cell]] = n
-        n += row[times]
-    starts = F.array(*[F.lit(before.get(i, 0)).cast("long") for i in range(CELLS)])
+    for r in sizes.groupBy(together.alias("group")).agg(F.sum("size").alias("size")).orderBy("group").collect():
+        before[r.group] = n
+        n += r["size"]
+    starts = F.array(*[F.lit(before.get(i, n)).cast("long") for i in range(-(-cells // CELLS_TOGETHER))] or [F.lit(0).cast("long")])
+    upward = Window.partitionBy(together).orderBy(cell).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    begins = sizes.select(cell, (F.get(starts, together.cast("int")) + F.sum("size").over(upward) - F.col("size")).alias(first))
     order = Window.partitionBy(cell).orderBy(*[F.col(c).asc_nulls_first() for c in key])
     upto = F.sum(times).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    numbered = distinct.withColumn(first, F.get(starts, F.col(cell).cast("int")) + upto - F.col(times))
+    numbered = distinct.withColumn(upto_, upto).join(begins, cell)
+    numbered = numbered.withColumn(first, F.col(first) + F.col(upto_) - F.col(times))
     pieces = numbered.withColumn(
         run, F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(times) - 1) / RUN)))
     )

@@ -2,6 +2,7 @@
 
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +16,7 @@ from envlake.llm.packing import CAPACITY, fitted_counts, layout, pack_documents,
 from envlake.llm.sentencepiece_scan import (
     Chunk, Lattice, border_states, combined, decode_pieces, default_model, encode_pieces, max_plus, prepared,
 )
+from envlake.llm import sharding
 from envlake.llm.sharding import feistel_shards, halves, permuted
 from envlake.llm.token_files import read_lengths, read_tokens, token_index, write_token_files
 from envlake.llm.tokens import Encoder, default_tokenizer
@@ -22,7 +24,6 @@ from envlake.sources.scratch import scratch_dir
 from tests.llm.helpers import ODD, SF_DIR, docs, documents
 
 TOKENIZER = Tokenizer.from_file(default_tokenizer())
-TOKENIZER.encode_special_tokens = True
 PIECES = sentencepiece.SentencePieceProcessor(model_file=default_model())
 
 
@@ -79,6 +80,40 @@ def test_sharding_query(spark):
         assert (r["size"], r["text_crc32"], r["law"], r["grown_shard"]) == (len(raw) + 1, zlib.crc32(raw), "rows", None)
 
 
+def plain_place(number, n, seed=0):
+    """Where the shuffle puts a row: six rounds on a pair of digits, again until the place is one of n."""
+    prime, state, keys = 2**31 - 1, (2 * seed + 1) % (2**31 - 1) or 1, []
+    for _ in range(12):
+        state = (state * 48_271 + 11) % prime
+        keys.append(state or 1)
+    wide = int((n - 1) ** 0.5) + 1
+    narrow = -(-n // wide)
+    while True:
+        pair = [number // narrow, number % narrow]
+        for i in range(6):
+            a, b = keys[2 * i], keys[2 * i + 1]
+            x = pair[1 - i % 2] % prime
+            y = ((x * a + b) % prime) ** 2 + b
+            pair[i % 2] = (pair[i % 2] + ((y % prime * a + x) % prime) ** 2 % prime) % (narrow if i % 2 else wide)
+        number = pair[0] * narrow + pair[1]
+        if number < n:
+            return number
+
+
+@pytest.mark.parametrize("cell_rows", [sharding.CELL_ROWS, 3])
+def test_sharding_query_matches_a_plain_permutation(spark, monkeypatch, cell_rows):
+    """Shard and slot of every row, also where rows are numbered in many cells."""
+    monkeypatch.setattr(sharding, "CELL_ROWS", cell_rows)
+    monkeypatch.setattr(sharding, "CELLS_TOGETHER", 7)
+    rows = registered()["op5_feistel_sharding"](spark, SF_DIR).collect()
+    n = len(rows)
+    assert n == len(documents()) and sorted(r["row_number"] for r in rows) == list(range(n))
+    for r in rows:
+        assert (r["slot"], r["shard"]) == divmod(plain_place(r["row_number"], n), 8)
+    sizes = Counter(r["shard"] for r in rows)
+    assert set(sizes) == set(range(8)) and max(sizes.values()) - min(sizes.values()) <= 1
+
+
 # --- byte-level BPE -----------------------------------------------------------------------
 
 
