@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
@@ -30,7 +30,7 @@ _MULTIPLIERS = np.array(
 
 @dataclass(frozen=True)
 class ToxicityModel:
-    """Buckets of the kept n-grams and their final weights: at most ``MAX_FEATURES`` of each."""
+    """Buckets of the kept n-grams and their final weights: as many of each as were asked for."""
 
     buckets: np.ndarray  # int32, ascending
     weights: np.ndarray  # float64: log-count ratio times learned weight
@@ -146,20 +146,29 @@ def _fit(ratios: np.ndarray):
     return run
 
 
-def train_toxicity(labelled: DataFrame, max_rows: int = MAX_TRAINING_ROWS) -> ToxicityModel:
+def chosen_share(share: float) -> Column:
+    """Whether a row is among this share of all rows, by a 64-bit hash of its id: exact however small the share."""
+    bound = min(int(share * 2**64), 2**64) - 2**63  # hashes are signed
+    return F.lit(True) if bound >= 2**63 else F.xxhash64(F.col("id"), F.lit("training")) < F.lit(bound)
+
+
+def train_toxicity(
+    labelled: DataFrame, max_rows: int = MAX_TRAINING_ROWS, max_features: int = MAX_FEATURES,
+    min_ratio: float = MIN_RATIO, min_documents: int = MIN_DOCUMENTS,
+) -> ToxicityModel:
     """Fit on ``labelled`` (id, text, label 0 or 1).
 
     At most about ``max_rows`` rows are used, chosen by a hash of the id: the bound makes
-    the fit one small task at any size of the corpus. Rows with a null label or text are left
-    out. Without rows of both classes the model has no features and its score is constant:
+    the fit one small task at any size of the corpus. Features are the ``max_features`` hashed
+    n-grams that tell the classes apart best, of those that occur in ``min_documents`` of the rows
+    and whose log-count ratio is ``min_ratio`` or more either way; the README has held-out figures for
+    other values. Rows with a null label or text are left out. Without rows of both classes the model has no features and its score is constant:
     0 without any rows, else near the only class.
     """
     usable = labelled.where("text is not null and label in (0, 1)")
     total = usable.count()
     share = min(1.0, max_rows / max(1, total))
-    million = 1_000_000
-    chosen = F.pmod(F.xxhash64(F.col("id"), F.lit("training")), F.lit(million)) < int(share * million)
-    sample = stored(usable.where(chosen).select("text", F.col("label").cast("int").alias("label")), "toxicity")
+    sample = stored(usable.where(chosen_share(share)).select("text", F.col("label").cast("int").alias("label")), "toxicity")
     sizes = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
     none = np.empty(0, np.int32), np.empty(0)
     if not sizes:
@@ -171,17 +180,17 @@ def train_toxicity(labelled: DataFrame, max_rows: int = MAX_TRAINING_ROWS) -> To
         sample.mapInArrow(_count_documents, "bucket int, n0 long, n1 long")
         .groupBy("bucket")
         .agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-        .where(F.col("n0") + F.col("n1") >= MIN_DOCUMENTS)
+        .where(F.col("n0") + F.col("n1") >= min_documents)
     )
     p1 = (F.col("n1") + SMOOTHING) / (sizes[1] + 2 * SMOOTHING)
     p0 = (F.col("n0") + SMOOTHING) / (sizes[0] + 2 * SMOOTHING)
     ratio = F.log(p1 / p0)
     best = (
         counts.withColumn("ratio", ratio)
-        .where(F.abs("ratio") >= MIN_RATIO)
+        .where(F.abs("ratio") >= min_ratio)
         .withColumn("gain", F.abs(p1 - p0) * F.abs(ratio))
         .orderBy(F.desc("gain"), "bucket")
-        .limit(MAX_FEATURES)
+        .limit(max_features)
         .select("bucket", "ratio")
         .toPandas()
         .sort_values("bucket")

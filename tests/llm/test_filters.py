@@ -8,9 +8,9 @@ import pyarrow as pa
 import pytest
 
 from envlake.llm import expected_sql, registered
-from envlake.llm.language_id import LanguageModel, identify_language, letter_vectors, ngram_vectors, profiles, train_languages
+from envlake.llm.language_id import DIMENSIONS, LanguageModel, identify_language, letter_vectors, ngram_vectors, profiles, train_languages
 from envlake.llm.quality_rules import Rule, quality_rules
-from envlake.llm.toxicity import ToxicityModel, labelled_texts, ngram_buckets, present, score_toxicity, train_toxicity
+from envlake.llm.toxicity import ToxicityModel, chosen_share, labelled_texts, ngram_buckets, present, score_toxicity, train_toxicity
 from tests.compare import differences, duck
 from tests.llm.helpers import ODD, SF_DIR, docs, documents, table, words
 
@@ -141,3 +141,101 @@ def test_toxicity_training_and_odd_texts(spark):
     assert got[0] == got[1] == got[2]
     assert train_toxicity(train.limit(0)).bias == -40.0
     assert train_toxicity(train.where("label = 0")).bias < 0 < train_toxicity(train.where("label = 1")).bias
+
+
+def plain_bundle(text, known):
+    """The sum of a text's trigram vectors, one trigram after the other."""
+    spaced = " " + " ".join("".join(c if c.isalpha() else " " for c in (text or "").lower()).split()) + " "
+    total = np.zeros(DIMENSIONS, np.int64)
+    for gram, n in Counter(spaced[i : i + 3] for i in range(len(spaced) - 2)).items():
+        a, b, c = (known.setdefault(x, letter_vectors(np.array([ord(x)], np.uint32))[0].astype(int)) for x in gram)
+        total += n * np.roll(a, 2) * np.roll(b, 1) * c
+    return total
+
+
+def test_language_query_matches_brute_force(spark):
+    known, sums, docs_ = {}, {}, table("documents")
+    bundles = {r[0]: plain_bundle(r[1], known) for r in docs_}
+    for i, text, lang, *_ in docs_:
+        if crc(i) % 4 != 2 and text is not None and lang is not None:
+            sums[lang] = sums.get(lang, 0) + bundles[i]
+    names = sorted(sums)
+    prototypes = np.array([sums[n] / np.linalg.norm(sums[n]) for n in names])
+    for r in registered()["op8_language_id"](spark, SF_DIR).collect():
+        b = bundles[r["doc_id"]]
+        if not b.any():
+            assert (r["lang_pred"], r["score"]) == ("und", 0)
+            continue
+        cosines = prototypes @ b / np.linalg.norm(b)
+        assert abs(r["score"] - max(cosines.max(), 0)) < 1e-5
+        assert cosines[names.index(r["lang_pred"])] > cosines.max() - 1e-5
+
+
+def plain_buckets(text):
+    """Hash buckets of all character 3- to 5-grams of a text."""
+    factors = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD]
+    points = [32 if c in " \t\n\x0b\x0c\r\xa0" else ord(c) for c in (text or "").lower()]
+    out, mask = set(), 2**64 - 1
+    for n in (3, 4, 5):
+        for i in range(len(points) - n + 1):
+            h = sum(p * f for p, f in zip(points[i : i + n], factors, strict=False)) & mask
+            out.add(((h ^ (h >> 29)) * (0xBF58476D1CE4E5B9 + 2 * n) & mask) >> 42)
+    return out
+
+
+def plain_scores(train, texts, max_features=3_000, min_ratio=2.0, min_documents=4):
+    """Scores of a classifier fitted on a dense table of all features."""
+    sets, label = [plain_buckets(t) for t, _ in train], np.array([y for _, y in train], float)
+    counts = [Counter(b for s, y in zip(sets, label, strict=True) if y == c for b in s) for c in (0, 1)]
+    sizes = [(label == c).sum() for c in (0, 1)]
+    features = []
+    for b in counts[0].keys() | counts[1].keys():
+        if counts[0][b] + counts[1][b] >= min_documents:
+            p0, p1 = ((counts[c][b] + 1) / (sizes[c] + 2) for c in (0, 1))
+            ratio = np.log(p1 / p0)
+            if abs(ratio) >= min_ratio:
+                features.append((-abs(p1 - p0) * abs(ratio), b, ratio))
+    features = sorted(sorted(features)[:max_features], key=lambda f: f[1])
+    ratios = np.array([f[2] for f in features])
+    table_ = lambda some: np.array([[f[1] in s for f in features] for s in some], float) * ratios
+    x = table_(sets)
+    weight = np.r_[np.ones(len(ratios)), -1.0]
+    m, v = np.zeros(len(weight)), np.zeros(len(weight))
+    for step in range(1, 201):
+        error = (1 / (1 + np.exp(-np.clip(x @ weight[:-1] + weight[-1], -40, 40))) - label) / len(label)
+        slope = np.r_[x.T @ error + 1e-4 * weight[:-1], error.sum()]
+        m, v = 0.9 * m + 0.1 * slope, 0.99 * v + 0.01 * slope**2
+        weight = weight - 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-9)
+    z = table_([plain_buckets(t) for t in texts]) @ weight[:-1] + weight[-1]
+    return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
+
+
+def test_toxicity_query_matches_a_plain_fit(spark):
+    toxic, texts = {}, documents()
+    for i, _, y in table("labels"):  # of ids with several labels the greatest
+        if i is not None and y in (0, 1):
+            toxic[i] = max(y, toxic.get(i, 0))
+    train = [(t, toxic[i]) for i, t in texts.items() if i in toxic and t is not None and crc(i) % 5]
+    want = dict(zip(texts, plain_scores(train, texts.values()), strict=True))
+    got = {r["doc_id"]: r["score"] for r in registered()["op9_toxicity"](spark, SF_DIR).collect()}
+    assert got.keys() == want.keys() and max(abs(got[i] - want[i]) for i in want) < 1e-6
+
+
+def test_toxicity_with_ties_and_parameters(spark):
+    """Ids with several labels, repeated rows, and every parameter of the fit."""
+    texts = [f"{'bad mean' if i % 3 else 'good kind'} text {i % 7}" for i in range(60)]
+    frame = docs(spark, texts).union(docs(spark, texts[:5]))
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(60)] + [(0, 1), (3, None)], "doc_id long, toxic int")
+    train = labelled_texts(frame, labels)
+    rows = [(r["text"], r["label"]) for r in train.collect()]
+    for options in ({}, {"max_features": 7}, {"min_ratio": 0.5}, {"min_documents": 30}, {"max_features": 0}):
+        model = train_toxicity(train, **options)
+        got = [r["score"] for r in score_toxicity(docs(spark, [*texts[:6], None]), model).orderBy("doc_id").collect()]
+        assert np.allclose(got, plain_scores(rows, [*texts[:6], None], **options), atol=1e-6)
+
+
+def test_any_share_of_the_labelled_rows(spark):
+    rows = spark.range(20_000_000)
+    assert 1 <= rows.where(chosen_share(5e-7)).count() <= 40  # less than one in a million
+    assert 900 < spark.range(10_000).where(chosen_share(0.1)).count() < 1100
+    assert spark.range(100).where(chosen_share(1.0)).count() == 100 and spark.range(100).where(chosen_share(0.0)).count() == 0
