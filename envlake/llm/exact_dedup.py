@@ -143,7 +143,7 @@ def exact_dedup(docs: DataFrame, text: str = "text", id_col: str = "doc_id", bit
 
     Texts are equal if their bytes are, white space aside. Of equal texts the row with the
     most code points stays, then the one with the least id (a null id after all others); of
-    rows that agree in both, exactly one. Null counts as the empty text. Columns named like
+    rows that agree in both, exactly one. Ids may be of any type that has an order. Null counts as the empty text. Columns named like
     a new one stay and the new one gets a leading underscore. An empty table gives none.
 
     Rows whose fingerprint is counted once are done without a shuffle. The others are written
@@ -170,19 +170,19 @@ def exact_dedup(docs: DataFrame, text: str = "text", id_col: str = "doc_id", bit
     )
     numbered = marked.where(maybe).withColumn(row, F.monotonically_increasing_id())
     shared = stored(numbered.drop(norm, maybe, print_), "shared").withColumn(norm, normalised(F.col(text)))
-    best = F.struct(F.col(chars).alias("c"), F.col(id_col).isNotNull().alias("has"), (-F.col(id_col)).alias("i"), (-F.col(row)).alias("r"))
+    best = F.struct((-F.col(chars)).alias("c"), F.col(id_col).isNull().alias("none"), F.col(id_col).alias("i"), F.col(row).alias("r"))
     groups = shared.groupBy(sha).agg(
-        F.max(best).alias("best"),
+        F.min(best).alias("best"),
         F.count("*").alias(size),
         F.min(norm).alias("least"),
         F.max(norm).alias("greatest"),
     )
     same = F.expr("assert_true(least = greatest, 'different texts with one SHA-256 digest')")
     groups = groups.where(same.isNull()).select(
-        sha, size, (-F.col("best.i")).alias(keep_id), (-F.col("best.r")).alias(first)
+        sha, size, F.col("best.i").alias(keep_id), F.col("best.r").alias(first)
     )
     groups = stored(groups, "groups")  # so that a hot digest can be split in the join
-    judged = shared.join(groups, sha).select(
+    judged = shared.join(groups.hint("merge"), sha).select(
         *names, keep_id, size, (F.col(row) == F.col(first)).alias(kept), sha
     )
     return alone.select(*judged.columns).unionByName(judged)

@@ -6,7 +6,7 @@ import corpus_pipeline
 import pytest
 
 import __spark_entry__ as entry
-from tests.llm.helpers import documents, table, words
+from tests.llm.helpers import ODD, documents, table, words
 from tests.llm.test_dedup import plain_classes, plain_groups
 from tests.llm.test_files import check_packing
 from tests.llm.test_filters import base_counts
@@ -59,3 +59,35 @@ def test_registered():
     assert corpus_pipeline.ORACLE_SQL is None and "pipeline" not in entry.oracle_sql()
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality rules", "toxicity", "exact dedup", "n-gram Jaccard join", "best-fit packing"]
     assert os.path.exists(corpus_pipeline.__file__)
+
+
+def odd_documents(spark):
+    """Null, empty and long texts, ties, repeated rows, null ids, and columns named like the stages' own."""
+    prose = [f"the people of town {i} and the river walk to the old market with bread and wine for {i % 3} days" for i in range(12)]
+    texts = [*ODD, *prose, prose[0], prose[0] + " ", "the " + " ".join(f"long word{i % 5000}" for i in range(60_000)), "<|endoftext|> and the end of the text of the day is here now"]
+    rows = [(i, t, None if i % 4 else "en") for i, t in enumerate(texts)] + [(None, prose[1], None), (None, None, None), (3, texts[3], "en"), (3, texts[3], "en")]
+    clash = ["quality", "kept", "score", "label", "keep_id", "class_id", "n_links", "row", "text_sha256", "maybe", "bucket", "fingerprint", "chars", "features"]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    return frame.selectExpr("*", *[f"'x' AS {c}" for c in clash])
+
+
+@pytest.mark.parametrize("empty", [False, True])
+def test_stages_take_odd_input(spark, tmp_path, empty):
+    at = odd_documents(spark).limit(0) if empty else odd_documents(spark)
+    # the stages on all rows, whatever an earlier one would have kept
+    for _, stage in corpus_pipeline.STAGES:
+        out = stage(spark, at, SF_DIR)
+        path = str(tmp_path / stage.__name__)
+        out.write.parquet(path)
+        rows = spark.read.parquet(path)
+        if stage is not corpus_pipeline.packing:
+            assert rows.columns == at.columns
+        assert rows.isEmpty() == empty
+        if stage in (corpus_pipeline.copies, corpus_pipeline.near_duplicates) and not empty:
+            texts = [r["text"] for r in rows.collect()]
+            key = (lambda t: "".join((t or "").split())) if stage is corpus_pipeline.copies else (lambda t: tuple(words(t)))
+            some = [key(t) for t in texts if words(t)]
+            assert len(some) == len(set(some))
+            assert {key(r["text"]) for r in at.collect() if words(r["text"])} >= set(some)
+        if stage is corpus_pipeline.packing and not empty:
+            assert {r["doc_id"] for r in rows.collect()} == {r["doc_id"] for r in at.collect()}
