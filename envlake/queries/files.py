@@ -18,6 +18,7 @@ from envlake.sources import (
     read_table,
     refresh,
     register_views,
+    rejects,
     scratch_dir,
     staged_path,
     write_delimited,
@@ -280,7 +281,41 @@ def parts_are_restaged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("l_quantity", F.col("l_quantity").cast("double"))
 
 
+_LENIENT = DatasetSpec(
+    "crudo/orders.csv", ";", {"o_orderkey": "bigint", "o_totalprice": "double", "o_orderdate": "date", "o_orderstatus": "string"},
+    max_rejects=1 << 40,
+)
+
+
+def _with_bad_cells(spark: SparkSession, sf_dir: str) -> str:
+    """Orders as a staged file in which some prices and some days do not fit their types."""
+    root = scratch_dir(spark, "rejects")
+    price, day = F.col("o_totalprice").cast("string"), F.date_format("o_orderdate", "yyyy-MM-dd")
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        F.when(F.col("o_orderkey") % 97 == 1, F.replace(price, F.lit("."), F.lit(","))).otherwise(price).alias("o_totalprice"),
+        F.when(F.col("o_orderkey") % 89 == 2, F.lit("31/12")).when(F.col("o_orderkey") % 5 != 0, day).alias("o_orderdate"),
+        "o_orderstatus",
+    )
+    write_delimited(orders, f"{root}/{_LENIENT.path}", ";")
+    refresh(spark, root, {"pedidos": _LENIENT})
+    return root
+
+
+def rejected_cells_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cells that do not fit, with the order that their line begins with."""
+    found = rejects(spark, _with_bad_cells(spark, sf_dir), _LENIENT)
+    return found.select(F.substring_index("linea", ";", 1).cast("bigint").alias("o_orderkey"), "columna", "texto")
+
+
+def rows_without_rejected_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rows of that file; cells that do not fit are NULL."""
+    return read_dataset(spark, _with_bad_cells(spark, sf_dir), _LENIENT)
+
+
 QUERIES = {
+    "rejected_cells": rejected_cells_query,
+    "rows_without_rejected_cells": rows_without_rejected_cells,
     "csv_roundtrip": csv_roundtrip,
     "parquet_sink_roundtrip": parquet_sink_roundtrip,
     "json_landing": json_landing,
@@ -294,6 +329,16 @@ QUERIES = {
 }
 
 SQL = {
+    "rejected_cells": """
+SELECT o_orderkey, 'o_totalprice' AS columna, replace(CAST(o_totalprice AS VARCHAR), '.', ',') AS texto
+FROM orders WHERE o_orderkey % 97 = 1
+UNION ALL SELECT o_orderkey, 'o_orderdate', '31/12' FROM orders WHERE o_orderkey % 89 = 2
+""",
+    "rows_without_rejected_cells": """
+SELECT o_orderkey, CASE WHEN o_orderkey % 97 <> 1 THEN o_totalprice END AS o_totalprice,
+       CASE WHEN o_orderkey % 89 <> 2 AND o_orderkey % 5 <> 0 THEN CAST(o_orderdate AS DATE) END AS o_orderdate, o_orderstatus
+FROM orders
+""",
     "csv_roundtrip": """
 SELECT c_custkey, c_name, c_nationkey, c_acctbal,
        CASE c_mktsegment WHEN 'HOUSEHOLD' THEN 'HOUSE;"HOLD"' WHEN 'MACHINERY' THEN NULL

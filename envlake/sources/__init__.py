@@ -3,6 +3,7 @@
 from envlake.sources.bronze import (
     read_dataset,
     refresh,
+    rejects,
     stage,
     staged_path,
     stale_datasets,
@@ -36,6 +37,7 @@ __all__ = [
     "refresh",
     "refresh_summaries",
     "register_views",
+    "rejects",
     "scratch_dir",
     "stage",
     "staged_path",

@@ -23,11 +23,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from envlake.sources.catalog import CATALOG, DatasetSpec, as_spec
-from envlake.sources.delimited import read_delimited
+from envlake.sources.delimited import read_delimited, rejected_cells
 from envlake.sources.tables import inline_table
 from envlake.sources.versions import PART, current, literal, manifest, read_parts, read_version, replace_parts
 
 
+REJECTED = "__linea"  # the line of a cell that does not fit, in staged copies of datasets that allow some
+
 
 def staged_path(path: str) -> str:
     """Where jobs read ``path`` from: its staged copy, or itself if it is no CSV."""
@@ -156,22 +158,28 @@ def stage(spark: SparkSession, root: str, entry: DatasetSpec | str) -> str:
         paths = literal(source) if alone else [literal(posixpath.join(source, f)) for f in some]
         frame = read_delimited(
             spark, paths, spec.sep, spec.types, spec.infer_rest, spec.latin9, spec.multi_line,
-            base=None if alone else source,
+            base=None if alone else source, rejected=REJECTED if spec.max_rejects else None,
         )
         file = _relative(_decoded(F.col("_metadata.file_path")), source)
         part = part_name(file, F.col("_metadata.file_modification_time"), F.col("_metadata.file_size"))
         return frame.withColumn(PART, part)
 
+    def check(rows: DataFrame) -> None:
+        if REJECTED in rows.columns:
+            found = rejected_cells(rows, REJECTED, spec.sep).count()
+            if found > spec.max_rejects:
+                raise ValueError(f"more than {spec.max_rejects} cells of {source} do not fit their types")
+
     if noted is not None:
         known, there = {p["part"] for p in noted}, {f["part"] for f in files}
         added = [f for f in files if f["part"] not in known]
         frame = read(sorted(f["file"] for f in added)) if added else None
         staged = StructType.fromJson(json.loads(now["schema"]))
         if frame is None or _kinds(frame.drop(PART).schema) == _kinds(staged):
-            replace_parts(spark, target, frame, [p for p in noted if p["part"] in there], added, staged)
+            replace_parts(spark, target, frame, [p for p in noted if p["part"] in there], added, staged, check)
             return target
     frame = read(sorted(f["file"] for f in files))
-    replace_parts(spark, target, frame, [], files, frame.drop(PART).schema)
+    replace_parts(spark, target, frame, [], files, frame.drop(PART).schema, check)
     return target
 
 
@@ -204,7 +212,22 @@ def stage_all(
 
 def read_dataset(spark: SparkSession, root: str, entry: DatasetSpec | str) -> DataFrame:
     """The staged copy of a dataset (or the dataset itself if it is no CSV)."""
-    return read_version(spark, staged_path(located(root, entry)))
+    return read_version(spark, staged_path(located(root, entry))).drop(REJECTED)
+
+
+def rejects(spark: SparkSession, root: str, entry: DatasetSpec | str) -> DataFrame:
+    """The cells of a staged dataset that do not fit their types: fichero, linea, columna, texto.
+
+    They are found in the staged copy, which keeps the lines of such cells; the files are not read again.
+    """
+    path = staged_path(located(root, entry))
+    parts = manifest(spark, path)
+    rows = read_parts(spark, path, parts)
+    if REJECTED not in rows.columns:
+        return spark.createDataFrame([], "fichero string, linea string, columna string, texto string")
+    files = inline_table(spark, [(p["part"], p["file"]) for p in parts], f"{PART} string, fichero string")
+    found = rejected_cells(rows, REJECTED, as_spec(entry).sep)
+    return found.join(files, PART).select("fichero", "linea", "columna", "texto")
 
 
 def staged_parts(spark: SparkSession, root: str, entry: DatasetSpec | str) -> list[dict]:
@@ -214,7 +237,7 @@ def staged_parts(spark: SparkSession, root: str, entry: DatasetSpec | str) -> li
 
 def read_staged_parts(spark: SparkSession, root: str, entry: DatasetSpec | str, parts: list[dict]) -> DataFrame:
     """The rows of some parts of a staged dataset, with their part's name in the column ``PART``."""
-    return read_parts(spark, staged_path(located(root, entry)), parts)
+    return read_parts(spark, staged_path(located(root, entry)), parts).drop(REJECTED)
 
 
 def files_digest(spark: SparkSession, root: str, entries: Mapping[str, DatasetSpec | str]) -> str:

@@ -23,6 +23,10 @@ class DatasetSpec:
     inside quotes. ``types`` declares the columns that jobs rely on. Other columns are read as
     text, or have their type inferred with ``infer_rest``, which costs one more
     pass and is meant for small dimensions.
+
+    A cell that does not fit its declared type fails the staging. ``max_rejects`` allows so many
+    in the files that are staged at once: such a cell is NULL in the copy, and
+    :func:`envlake.sources.rejects` lists it.
     """
 
     path: str
@@ -31,6 +35,7 @@ class DatasetSpec:
     infer_rest: bool = False
     latin9: bool = False
     multi_line: bool = False
+    max_rejects: int = 0
 
 
 def as_spec(entry: DatasetSpec | str) -> DatasetSpec:

@@ -50,6 +50,7 @@ def read_delimited(
     latin9: bool = False,
     multi_line: bool = False,
     base: str | None = None,
+    rejected: str | None = None,
 ) -> DataFrame:
     """Read a header CSV with declared column types.
 
@@ -57,7 +58,8 @@ def read_delimited(
     for the types of undeclared ones. A cell that does not fit its declared type
     fails the read instead of turning into NULL. ``multi_line`` allows line breaks
     inside quotes but then a file is no longer split over tasks. With ``base``, ``path``
-    lists files below that folder.
+    lists files below that folder. With ``rejected``, a cell that does not fit is NULL and a column of
+    that name has the whole line; it is NULL for lines where all cells fit.
     """
     options = {
         "header": True,
@@ -71,14 +73,42 @@ def read_delimited(
     if base:
         options["basePath"] = base
     schema = _header_schema(spark, path, options, types or {}, infer_rest)
-    reader = spark.read.options(**options, mode="FAILFAST", enforceSchema=False)
-    frame = reader.schema(schema).csv(path)
+    if rejected:
+        schema = schema.add(rejected, StringType())
+        options |= {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": rejected}
+    else:
+        options["mode"] = "FAILFAST"
+    frame = spark.read.options(**options, enforceSchema=False).schema(schema).csv(path)
     if not latin9:
         return frame
     texts = [f.name for f in schema if isinstance(f.dataType, StringType)]
     return frame.withColumns({n: from_latin9(F.col(f"`{n}`")) for n in texts})
 
 
+def rejected_cells(frame: DataFrame, rejected: str, sep: str = ";") -> DataFrame:
+    """The cells that did not fit in a frame of :func:`read_delimited`: linea, columna, texto, and the
+    frame's columns beside those of the file.
+
+    A line whose number of cells is wrong and that has no such cell is one row without column. Only
+    rejected lines are parsed again.
+    """
+    names = [c for c in frame.columns if c != rejected]
+    typed = [c for c in names if not c.startswith("__")]
+    ddl = ", ".join(f"`{c.replace('`', '``')}` string" for c in typed)
+    texts = F.from_csv(rejected, ddl, {"sep": sep, "quote": '"', "escape": '"'})
+    bad = F.array(*[
+        F.when(F.col(f"__textos.`{c}`").isNotNull() & F.col(f"`{c}`").isNull(), F.struct(F.lit(c).alias("columna"), F.col(f"__textos.`{c}`").alias("texto")))
+        for c in typed
+    ])
+    others = [f"`{c}`" for c in names if c not in typed]
+    return (
+        frame.where(F.col(rejected).isNotNull())
+        .withColumn("__textos", texts)
+        .select(*others, F.col(rejected).alias("linea"), F.explode_outer(F.array_compact(bad)).alias("c"))
+        .select(*others, "linea", "c.columna", "c.texto")
+    )
+
+
 def write_delimited(
     frame: DataFrame, path: str, sep: str = ",", bom: bool = False, multi_line: bool = False
 ) -> None:

@@ -159,13 +159,15 @@ def manifest(spark: SparkSession, path: str, entry: dict | None = None) -> list[
 
 
 def replace_parts(
-    spark: SparkSession, path: str, frame: DataFrame | None, kept: list[dict], written: list[dict], schema: StructType
+    spark: SparkSession, path: str, frame: DataFrame | None, kept: list[dict], written: list[dict], schema: StructType,
+    check: Callable[[DataFrame], None] | None = None,
 ) -> None:
     """Make a version of the parts ``kept``, from the manifest, and of those in ``frame``.
 
     ``frame`` has the columns of ``schema`` and each row's part in the column ``PART``; ``written`` lists the parts it may hold,
     with whatever else the manifest has to say of them. A part without rows is an entry with 0
-    rows. A row of a part that is not listed fails the write.
+    rows. A row of a part that is not listed fails the write, as does whatever ``check`` raises on the
+    written rows.
     """
     before = current(spark, path)
 
@@ -175,6 +177,8 @@ def replace_parts(
             frame.write.option("compression", "snappy").partitionBy(PART).parquet(here)
             of_part = spark.read.schema(StructType([*schema.fields]).add(PART, StringType())).parquet(literal(here))
             counts = {r[PART]: r["count"] for r in of_part.groupBy(PART).count().collect()}
+            if check:
+                check(of_part)
         stray = counts.keys() - {w["part"] for w in written}
         if stray:
             raise RuntimeError(f"a file changed while it was read: {path} has rows of {len(stray)} unknown parts")

@@ -14,7 +14,7 @@ from envlake.plans import JOBS, JobSpec, collect_observations
 from envlake.plans.collector import _of_period
 from envlake.schemas import HOURS, STATIONS
 from envlake.operators import coverage, coverage_of_parts, dataset_summary, summary_of_parts
-from envlake.sources import CATALOG, DatasetSpec, land_records, read_dataset, read_landed, read_raw_documents, read_table, refresh, refresh_summaries
+from envlake.sources import CATALOG, DatasetSpec, land_records, read_dataset, read_landed, read_raw_documents, read_table, refresh, refresh_summaries, rejects
 from envlake.sources.summaries import summaries_path
 from envlake.sources.versions import current, manifest
 from tests.test_sources import put
@@ -293,3 +293,26 @@ def test_summaries_of_parts_give_the_same_reports(spark, tmp_path):
     after = check()
     assert after["0.csv"] == before["0.csv"] and after.keys() == {"0.csv", "1.csv", "2.csv"}
     assert check() == after
+
+
+def test_cells_that_do_not_fit_are_listed_where_allowed(spark, root):
+    """Three bad cells: the fact of all others, and three rejects; without leave the job fails."""
+    path = CATALOG["aire22"].path
+    bad = [air_line(1, 2022, h01="1,5", h02=3), air_line(2, 2022, h05="x", h06="n/d", h07=2.5)]
+    put(root, path, f"{AIR_HEADER}\n" + "\n".join([air_line(1, 2022, h01=9), *bad]) + "\n")
+    name = JOBS[0].name
+    assert statuses(run(spark, str(root), name)) == {name: "failed"}
+    for most in (2, 3):
+        catalog = {**CATALOG, "aire22": replace(CATALOG["aire22"], max_rejects=most)}
+        assert statuses(run(spark, str(root), name, catalog=catalog)) == {name: "failed" if most == 2 else "ok"}
+    fact = read_table(spark, f"{root}/{JOBS[0].output}")
+    assert "__linea" not in fact.columns
+    assert sorted(r.uom_value for r in fact.where("year(fecha) = 2022").collect()) == [2.5, 3.0, 9.0]
+    listed = rejects(spark, str(root), catalog["aire22"]).collect()
+    assert sorted((r.columna, r.texto, r.fichero, r.linea) for r in listed) == [
+        ("h01", "1,5", path.rsplit("/", 1)[1], bad[0]), ("h05", "x", path.rsplit("/", 1)[1], bad[1]), ("h06", "n/d", path.rsplit("/", 1)[1], bad[1]),
+    ]
+    assert rejects(spark, str(root), CATALOG["aire21"]).count() == 0
+    put(root, path, f"{AIR_HEADER}\n{air_line(1, 2022, h01=9)}\n1;2;3\n", mtime=4_000_000_000)  # a line with too few cells
+    assert statuses(run(spark, str(root), name, catalog=catalog)) == {name: "ok"}
+    assert [(r.columna, r.texto, r.linea) for r in rejects(spark, str(root), catalog["aire22"]).collect()] == [(None, None, "1;2;3")]
