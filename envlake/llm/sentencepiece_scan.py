@@ -347,16 +347,17 @@ def max_plus(a: Matrix, b: Matrix) -> Matrix:
     return a[0], b[1], weights
 
 
-def border_states(matrices: Sequence[Matrix]) -> list[str]:
-    """The state at each of the n + 1 borders on the best path from CUT to CUT.
+def border_states(matrices: Sequence[Matrix], entry: str = CUT, exit_: str = CUT) -> list[str]:
+    """The state at each of the n + 1 borders on the best path from ``entry`` to ``exit_``.
 
-    Products of the chunks before a border are combined with the chunk after it, then borders
+    Products of the matrices before a border are combined with the one after it, then borders
     are fixed from the right.
     """
-    prefixes: list[Matrix] = [matrices[0]]
+    rows, columns, weights = matrices[0]
+    prefixes: list[Matrix] = [([entry], columns, weights[rows.index(entry) :][:1])]
     for m in matrices[1:]:
         prefixes.append(max_plus(prefixes[-1], m))
-    states = [CUT]
+    states = [exit_]
     for k in range(len(matrices) - 1, 0, -1):
         rows, columns, weights = matrices[k]
         into = {n: w for n, w in zip(prefixes[k - 1][1], prefixes[k - 1][2][0], strict=True)}
@@ -365,13 +366,18 @@ def border_states(matrices: Sequence[Matrix]) -> list[str]:
         if into.get(rows[best], -np.inf) + weights[best, column] == -np.inf:
             raise ValueError("no segmentation")
         states.append(rows[best])
-    return [CUT, *states[::-1]]
+    return [entry, *states[::-1]]
 
 
 def combined(matrices: Sequence[Matrix]) -> Matrix:
+    """The matrix of a stretch from those of its parts, in order."""
     return reduce(max_plus, matrices)
 
 
+TOGETHER = 64  # matrices that one task combines
+MATRIX = "row long, chunk int, rows array<string>, columns array<string>, weights array<double>"
+
+
 # --- Spark --------------------------------------------------------------------------------
 
 
@@ -415,28 +421,65 @@ def _matrices(path: str):
         for batch in slices(batches, "body"):
             parts = (batch.column(c).to_pylist() for c in ("left", "body", "right"))
             found = [Chunk(model, *p).matrix() for p in zip(*parts, strict=True)]
-            yield pa.record_batch({
-                "row": batch.column("row"), "chunk": batch.column("chunk"),
-                "rows": pa.array([m[0] for m in found], pa.list_(pa.string())),
-                "columns": pa.array([m[1] for m in found], pa.list_(pa.string())),
-                "weights": pa.array([m[2].ravel().tolist() for m in found], pa.list_(pa.float64())),
-            })
+            yield pa.record_batch({"row": batch.column("row"), "chunk": batch.column("chunk"), **_columns(found)})
 
     return run
 
 
-def _borders(table: pa.Table) -> pa.Table:
+def _columns(matrices: Sequence[Matrix]) -> dict[str, pa.Array]:
+    return {
+        "rows": pa.array([m[0] for m in matrices], pa.list_(pa.string())),
+        "columns": pa.array([m[1] for m in matrices], pa.list_(pa.string())),
+        "weights": pa.array([m[2].ravel().tolist() for m in matrices], pa.list_(pa.float64())),
+    }
+
+
+def _in_order(table: pa.Table) -> tuple[pa.Table, list[Matrix]]:
+    """Parts of one stretch of a text by their place, and their matrices."""
     table = table.sort_by("chunk")
-    matrices = []
-    for rows, columns, weights in zip(*(table.column(c).to_pylist() for c in ("rows", "columns", "weights")), strict=True):
-        matrices.append((rows, columns, np.array(weights).reshape(len(rows), len(columns))))
-    states = border_states(matrices)
+    columns = (table.column(c).to_pylist() for c in ("rows", "columns", "weights"))
+    return table, [(r, c, np.array(w).reshape(len(r), len(c))) for r, c, w in zip(*columns, strict=True)]
+
+
+def _product(table: pa.Table) -> pa.Table:
+    """One matrix for a stretch of chunks, whose place is that of the stretch."""
+    table, matrices = _in_order(table)
+    return pa.table({"row": table.column("row")[:1], "chunk": table.column("stretch")[:1], **_columns([combined(matrices)])})
+
+
+def _borders(table: pa.Table) -> pa.Table:
+    """The states at the borders of a stretch's parts, given those at its own ends."""
+    table, matrices = _in_order(table)
+    states = border_states(matrices, table.column("entry")[0].as_py(), table.column("exit")[0].as_py())
     return pa.table({
         "row": table.column("row"), "chunk": table.column("chunk"),
         "entry": pa.array(states[:-1], pa.string()), "exit": pa.array(states[1:], pa.string()),
     })
 
 
+def scanned(matrices: DataFrame, most: int) -> DataFrame:
+    """(row, chunk, entry, exit) of each of at most ``most`` chunks of every text, from their matrices.
+
+    A parallel scan: products of stretches of ``TOGETHER`` chunks, then of as many stretches, and so
+    on, until a text has few; states at the borders of the longest stretches are fixed first,
+    then inside each, down to the chunks. A task holds ``TOGETHER`` matrices at most.
+    """
+    states = "row long, chunk int, entry string, exit string"
+    levels = [matrices]
+    while most > TOGETHER:
+        levels[-1] = stored(levels[-1], "matrices")
+        stretches = levels[-1].withColumn("stretch", F.floor(F.col("chunk") / TOGETHER).cast("int"))
+        levels.append(stretches.groupBy("row", "stretch").applyInArrow(_product, MATRIX))
+        most = -(-most // TOGETHER)
+    ends = {"entry": F.lit(CUT), "exit": F.lit(CUT)}
+    known = levels[-1].withColumns(ends).groupBy("row").applyInArrow(_borders, states)
+    for parts in levels[-2::-1]:
+        above = known.withColumnRenamed("chunk", "stretch")
+        parts = parts.withColumn("stretch", F.floor(F.col("chunk") / TOGETHER).cast("int")).join(above, ["row", "stretch"])
+        known = parts.groupBy("row", "stretch").applyInArrow(_borders, states)
+    return known
+
+
 def _traced(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = lattice(path)
@@ -467,7 +510,7 @@ def encode_pieces(
     Null and empty texts have no ids. Repeated and null ids are allowed; other columns are not
     returned, whatever their names. An empty table gives an empty one. Texts of more than
     ``chunk`` characters are cut into chunks, which are spread over tasks: a task holds some
-    chunks, one matrix per chunk of a text when borders are fixed, and the ids of a text.
+    chunks, the matrices of some neighbouring stretches (:func:`scanned`), and the ids of a text.
 
     ``finish``, a function of batches with ``id`` and ``ids`` and the schema it returns, is
     applied where ids are made, so that they need not travel to another Python worker.
@@ -489,11 +532,8 @@ def encode_pieces(
         "chunks",
     )
     spread = cut.repartition("row", "chunk")  # chunks of one text go to different tasks
-    borders = (
-        spread.mapInArrow(_matrices(path), "row long, chunk int, rows array<string>, columns array<string>, weights array<double>")
-        .groupBy("row")
-        .applyInArrow(_borders, "row long, chunk int, entry string, exit string")
-    )
+    most = cut.agg(F.max("chunk")).first()[0]
+    borders = scanned(spread.mapInArrow(_matrices(path), MATRIX), 0 if most is None else most + 1)
     traced = spread.join(borders, ["row", "chunk"]).mapInArrow(
         _traced(path), f"id {id_type}, row long, chunk int, ids array<int>"
     )

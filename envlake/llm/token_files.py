@@ -51,7 +51,8 @@ def write_token_files(docs: DataFrame, path: str, text: str = "text", id_col: st
     Files follow each other in id order, rows inside a file too; null ids come first, rows
     with one id in any order. Null texts count as empty; each text ends with id 0. An empty
     table gives a folder without rows. Texts, not ids, are shuffled, as they are shorter.
-    Ranges are split at a row number where one id has very many rows.
+    Ranges are split at a row number where one id has very many rows. Other columns are left out,
+    whatever their names.
     """
     tie = F.monotonically_increasing_id()
     id_type = docs.schema[id_col].dataType.simpleString()

@@ -16,7 +16,7 @@ from envlake.llm.packing import CAPACITY, fitted_counts, layout, pack_documents,
 from envlake.llm.sentencepiece_scan import (
     Chunk, Lattice, border_states, combined, decode_pieces, default_model, encode_pieces, max_plus, prepared,
 )
-from envlake.llm import sharding
+from envlake.llm import sentencepiece_scan, sharding
 from envlake.llm.sharding import feistel_shards, halves, permuted
 from envlake.llm.token_files import read_lengths, read_tokens, token_index, write_token_files
 from envlake.llm.tokens import Encoder, default_tokenizer
@@ -344,3 +344,14 @@ def test_strings_of_special_tokens_as_the_library_encodes_them():
         want = [*plain.encode(text or "", add_special_tokens=False).ids, 0]
         assert ids[offsets[n] : offsets[n + 1]].tolist() == want
     assert 50256 in ids[: offsets[1]]
+
+
+@pytest.mark.parametrize("together", [2, 3])
+def test_border_states_are_combined_in_a_tree(spark, monkeypatch, together):
+    """Texts of very different numbers of chunks, over several levels, equal to the library."""
+    monkeypatch.setattr(sentencepiece_scan, "TOGETHER", together)
+    some = "the quick brown fox, été ñandú and internationalization of 日本語 " * 6
+    texts = [some[:n] for n in (0, 10, 39, 40, 41, 80, 121, 200, 330)] + ["=" * 150, "x" * 90 + " y" * 60, None]
+    got = {r["doc_id"]: r["ids"] for r in encode_pieces(docs(spark, texts), chunk=20).collect()}
+    assert got == {i: PIECES.encode(t or "") for i, t in enumerate(texts)}
+    assert {r["text"] for r in decode_pieces(encode_pieces(docs(spark, texts), chunk=20)).collect()} == {t or "" for t in texts}
