@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
-from envlake.llm.common import BLANK, free_name, give_back, maybe_in, slices, stored
+from envlake.llm.common import BLANK, dropped, free_name, give_back, maybe_in, slices, stored
 
 MIN_BLOCK_WORDS = 20
 MAX_BITS = 1 << 27  # of one table of longest_common()
@@ -25,8 +25,7 @@ WHOLE = np.uint64(0xA0761D6478BD642F)
 def patience(pairs: Sequence[tuple[int, int]]) -> list[tuple[int, int]]:
     """Patience diff over (place here, place there) of common lines, ascending by the first.
 
-    Lines that occur once on either side are anchors; their longest increasing subsequence is
-    kept. Other common lines are matched where they continue a block of matched lines.
+    Lines that occur once on either side are anchors; their longest increasing subsequence is kept.
     """
     here, there = Counter(a for a, _ in pairs), Counter(b for _, b in pairs)
     anchors = [(a, b) for a, b in pairs if here[a] == 1 and there[b] == 1]
@@ -46,12 +45,6 @@ def patience(pairs: Sequence[tuple[int, int]]) -> list[tuple[int, int]]:
     while i >= 0:
         matched[anchors[i][0]] = anchors[i][1]
         i = back[i]
-    open_ = set(pairs)
-    for step in (1, -1):
-        for a, b in sorted(matched.items(), reverse=step < 0):
-            while (a + step, b + step) in open_ and a + step not in matched:
-                a, b = a + step, b + step
-                matched[a] = b
     return sorted(matched.items())
 
 
@@ -153,21 +146,6 @@ def blocks(matched: Sequence[tuple[int, int]], words: Mapping[int, int] | Sequen
     return out
 
 
-def removed_lines(lines: Sequence[tuple[int, int, int, int]], min_words: int = MIN_BLOCK_WORDS) -> list[int]:
-    """Places of the lines to delete from one document.
-
-    ``lines`` are its lines that an earlier document had first: (place, words, that document,
-    place there). Lines are aligned with each such document, and those in :func:`blocks` that
-    it shares with one of them go.
-    """
-    by_owner: dict[int, list[tuple[int, int]]] = {}
-    words = {}
-    for place, n, owner, there in sorted(lines):
-        by_owner.setdefault(owner, []).append((place, there))
-        words[place] = n
-    return sorted({a for pairs in by_owner.values() for a in blocks(patience(pairs), words, min_words)})
-
-
 def without_lines(text: str, places: Sequence[int]) -> str:
     """The text without its lines of these places, which count lines with a word from 0."""
     gone, kept, place = set(places), [], 0
@@ -229,19 +207,42 @@ def _runs(min_words: int):
             k1[len(low) - len(whole) :] ^= WHOLE
             columns = [batch.column(c).take(pa.array(doc)) for c in ("id", "row")]
             columns += [pa.array(k1.view(np.int64)), pa.array((k2 >> np.uint64(32)).astype(np.uint32).view(np.int32))]
-            yield pa.record_batch(columns, ["id", "row", "k1", "k2"])
+            columns += [pa.array((x).astype(np.int32)) for x in (low - offsets[doc], high - low)]
+            yield pa.record_batch(columns, ["id", "row", "k1", "k2", "at", "lines"])
         give_back()
 
     return run
 
 
+def shared_blocks(
+    lines: np.ndarray, words: np.ndarray, here: np.ndarray, there: np.ndarray, size: np.ndarray, min_words: int = MIN_BLOCK_WORDS
+) -> list[int]:
+    """Places of one document's lines in the blocks that it shares with another one.
+
+    ``lines`` and ``words`` are hash and words of each of its lines; the lines from ``here[i]`` on are those
+    from ``there[i]`` on in the other document, ``size[i]`` of them. Only these lines of both are aligned, so the
+    work follows what is shared, however long the documents are.
+    """
+    steps = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+    mine, other = np.repeat(here, size) + steps, np.repeat(there, size) + steps
+    ours, theirs = np.unique(mine), np.unique(other, return_index=True)
+    pairs = aligned(lines[ours].tolist(), lines[mine[theirs[1]]].tolist())
+    return blocks([(int(ours[a]), int(theirs[0][b])) for a, b in pairs], words, min_words)
+
+
 def _aligned(min_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = []
             for i in range(batch.num_rows):
-                here, words, there = (batch.column(c)[i].as_py() for c in ("here", "words", "there"))
-                found.append(blocks(aligned(here, there), words, min_words))
+                lines, words = (batch.column(c)[i].values.to_numpy(zero_copy_only=False) for c in ("here", "words"))
+                runs = batch.column("runs")[i].values
+                owner, at, there, size = (runs.field(c).to_numpy(zero_copy_only=False) for c in ("owner", "at", "there", "lines"))
+                order = np.argsort(owner, kind="stable")
+                gone: set[int] = set()
+                for part in np.split(order, np.flatnonzero(np.diff(owner[order])) + 1):
+                    gone.update(shared_blocks(lines, words, at[part], there[part], size[part], min_words))
+                found.append(sorted(gone))
             rows = [r for r, f in zip(batch.column("row").to_pylist(), found, strict=True) if f]
             yield pa.record_batch({
                 "row": pa.array(rows, pa.int64()),
@@ -268,9 +269,9 @@ def line_dedup(docs: DataFrame, text: str = "text", id_col: str = "doc_id", min_
     ``removed`` lists the places of the deleted lines, counting lines with a word from 0; it
     is empty for texts left as they are. Documents are ordered by id, null ids last, then by
     row. A run of lines is owned by the first document that has it in a row. Every other
-    document is aligned, by patience diff over all lines of both, with the owners of its runs of
-    at least ``min_words`` words (:func:`run_bounds`), of any line and however common, and with
-    the first document of the same lines. Blocks of at least ``min_words`` words that go on in
+    document is aligned, by patience diff, with the owners of its runs of at least ``min_words``
+    words (:func:`run_bounds`), of any line and however common, and with the first document of the
+    same lines. The diff sees the lines of the runs that the two share. Blocks of at least ``min_words`` words that go on in
     both go from the later document. The first copy of a line always stays, so no line is lost.
     Lines are equal if their characters are; null and empty texts have none, and lines repeated
     inside one document stay. Of passages that stand in crossing order in two documents only
@@ -279,7 +280,8 @@ def line_dedup(docs: DataFrame, text: str = "text", id_col: str = "doc_id", min_
     gets a leading underscore.
 
     A run that very many documents share costs one row for each, joined with its single owner:
-    rows grow with the lines, never with pairs of documents, however common a run is.
+    rows grow with the lines, never with pairs of documents, however common a run is. A document's
+    lines travel once, and no other document's lines with them: an owner is known by the places of the runs.
     Only documents that lose lines are shuffled with their text.
     """
     names = docs.columns
@@ -292,28 +294,31 @@ def line_dedup(docs: DataFrame, text: str = "text", id_col: str = "doc_id", min_
     ))
     listed = numbered.select(F.col(id_col).alias("id"), F.col(row).alias("row"), line.alias("lines"))
     listed = stored(listed.where(F.size("lines") > 0), "lines")
-    keys = StructType([*listed.select("id", "row").schema, StructField("k1", LongType()), StructField("k2", IntegerType())])
+    keys = StructType([
+        *listed.select("id", "row").schema, StructField("k1", LongType()),
+        *[StructField(c, IntegerType()) for c in ("k2", "at", "lines")],
+    ])
     runs = stored(listed.mapInArrow(_runs(min_words), keys), "line-runs")
-    first = F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("row"))).alias("first")
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row", "at")).alias("first")
     owners = (
         runs.groupBy("k1", "k2")
         .agg(first, F.min("row").alias("low"), F.max("row").alias("high"))
         .where("low != high")
-        .select("k1", "k2", F.col("first.row").alias("owner"))
+        .select("k1", "k2", F.col("first.row").alias("owner"), F.col("first.at").alias("there"))
     )
     owners = stored(owners, "owners")
-    pairs = (
+    # of each document its runs with their owners: no more than its own lines make up
+    shared = (
         runs.join(owners.hint("merge"), ["k1", "k2"])  # either side grows with the input
         .where("row != owner")
-        .select("row", "owner")
-        .distinct()
+        .groupBy("row")
+        .agg(F.collect_list(F.struct("owner", "at", "there", "lines")).alias("runs"))
     )
-    here = listed.select("row", F.col("lines.h1").alias("here"), F.col("lines.words").alias("words"))
-    there = listed.select(F.col("row").alias("owner"), F.col("lines.h1").alias("there"))
-    pairs = pairs.join(there.hint("merge"), "owner").join(here.hint("merge"), "row")
-    found = pairs.mapInArrow(_aligned(min_words), "row long, removed array<int>")
-    gone = found.groupBy("row").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("removed")))).alias("removed"))
+    own = listed.select("row", F.col("lines.h1").alias("here"), F.col("lines.words").alias("words"))
+    gone = shared.join(own.hint("merge"), "row").mapInArrow(_aligned(min_words), "row long, removed array<int>")
     gone = stored(gone, "removed")
+    for done in (listed, runs, owners):
+        dropped(done)
 
     gone = gone.select(F.col("row").alias(row), F.col("removed").alias(removed))
     marked, maybe = maybe_in(numbered, row, gone)

@@ -1,6 +1,7 @@
 """Exact dedup, the Jaccard join and line dedup against plain answers."""
 
 import random
+from datetime import date
 from difflib import SequenceMatcher
 from math import comb
 
@@ -12,7 +13,7 @@ from envlake.llm import jaccard_join, registered
 from envlake.llm.common import components, maybe_in
 from envlake.llm.exact_dedup import QuotientFilter, exact_dedup, repeated_fingerprints
 from envlake.llm.jaccard_join import _Dense, _exact, drop_near_duplicates, jaccard_classes, least_matches, linked_pairs
-from envlake.llm.line_dedup import aligned, line_dedup, longest_common, patience, removed_lines, without_lines
+from envlake.llm.line_dedup import aligned, line_dedup, longest_common, patience, without_lines
 from envlake.llm.shingles import shingles, signatures
 from tests.llm.helpers import ODD, SF_DIR, docs, documents, words
 
@@ -217,23 +218,7 @@ def test_repeated_rows_and_null_ids(spark):
 def test_patience():
     assert patience([]) == []
     assert patience([(0, 5), (1, 1), (2, 2), (3, 3)]) == [(1, 1), (2, 2), (3, 3)]
-    # a line that occurs twice here is matched next to an anchor only
-    assert patience([(0, 0), (1, 1), (4, 0)]) == [(0, 0), (1, 1)]
-
-
-def plain_lines(rows, min_words=20):
-    rows = sorted(rows, key=lambda r: (r[0] is None, r[0]))
-    lines = [[x for x in (t or "").split("\n") if words(x)] for _, t in rows]
-    first = {}
-    for n, some in enumerate(lines):
-        for p, x in enumerate(some):
-            first.setdefault(x, (n, p))
-    out = {}
-    for n, (i, t) in enumerate(rows):
-        shared = [(p, len(words(x)), *first[x]) for p, x in enumerate(lines[n]) if first[x][0] != n]
-        gone = removed_lines(shared, min_words)
-        out[i] = (gone, without_lines(t, gone) if gone else t)
-    return out
+    assert patience([(0, 0), (1, 1), (4, 0)]) == [(1, 1)]  # a line that occurs twice is no anchor
 
 
 def test_lines_of_odd_texts(spark):
@@ -241,19 +226,15 @@ def test_lines_of_odd_texts(spark):
     texts = [*ODD, "intro\n" + passage + "\nend", passage, "other\n\n" + passage.replace("\n", "\n\n") + "\ntail", "p0w0 p0w1", "short\nline", "short\nline"]
     frame = docs(spark, texts).selectExpr("*", "0 AS removed", "1 AS Row")
     rows = {r["doc_id"]: r for r in line_dedup(frame).collect()}
-    want = plain_lines(list(enumerate(texts)))
-    assert {i: (r["_removed"], r["text"]) for i, r in rows.items()} == want
+    want = dict(enumerate(shared_places(list(enumerate(texts)))))
+    assert {i: (r["_removed"], r["text"]) for i, r in rows.items()} == {
+        i: (gone, without_lines(texts[i], gone) if gone else texts[i]) for i, gone in want.items()
+    }
     n = len(ODD)
     assert rows[n]["text"] == texts[n] and rows[n + 1]["text"] == "" and "p0w0" not in rows[n + 2]["text"]
     assert line_dedup(docs(spark, [])).count() == 0
 
 
-def test_line_query_matches_brute_force(spark):
-    got = {r["doc_id"]: r["removed"] for r in registered()["op4_line_dedup"](spark, SF_DIR).collect()}
-    want = plain_lines(list(documents().items()))
-    assert got == {i: ",".join(map(str, gone)) for i, (gone, _) in want.items()}
-
-
 def test_no_line_is_lost(spark):
     kept = set()
     for r in line_dedup(docs(spark, list(documents().values()))).collect():
@@ -330,3 +311,28 @@ def test_lines_scattered_over_earlier_documents(spark):
         assert set(gone) <= set(shared)
         if n >= len(texts) - 60:
             assert gone == shared
+
+
+@pytest.mark.parametrize(("kind", "ids"), [
+    ("string", ["b", "a", None, "c", "a", "é", ""]), ("long", [7, -(2**63), None, 2**63 - 1, -(2**63), 0, -1]),
+    ("date", [date(2020, 1, 2), date(2019, 1, 1), None, date(2021, 1, 1), date(2019, 1, 1), date(1, 1, 1), date(2020, 1, 1)]),
+])
+def test_exact_dedup_with_ids_of_any_type(spark, kind, ids):
+    texts = ["x y", "xy ", " xy", "x  y", "z", "z", None]
+    frame = spark.createDataFrame(list(zip(ids, texts, strict=True)), f"doc_id {kind}, text string")
+    got = exact_dedup(frame).collect()
+    want = {}
+    for i, t in zip(ids, texts, strict=True):
+        norm = "".join((t or "").split())
+        rank = (-len(t or ""), i is None, i if i is not None else ids[0])
+        want[norm] = min(want.get(norm, (rank, i)), (rank, i), key=lambda x: x[0])
+    assert len(got) == len(ids) and sum(r["kept"] for r in got) == len(want)
+    for r in got:
+        assert r["keep_id"] == want["".join((r["text"] or "").split())][1]
+
+
+def test_a_hub_is_split_over_tasks(spark):
+    """Both sides of the joins of components are written tables, whose hot keys adaptive execution splits."""
+    edges = spark.range(20_000).selectExpr("id + 1 AS u", "0L AS v").union(spark.createDataFrame([(20_001, 20_002), (20_002, 20_003)], "u long, v long"))
+    got = {r["node"]: r["root"] for r in components(edges).collect()}
+    assert got == {i: 0 for i in range(20_001)} | {i: 20_001 for i in (20_001, 20_002, 20_003)}
