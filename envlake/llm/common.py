@@ -17,7 +17,8 @@ from envlake.sources.scratch import scratch_dir
 BLANK = r"[\x20\x09-\x0D]"
 
 BITMAP_BITS = 32768  # what one bitmap of bitmap_construct_agg holds
-BITMAP_BUCKETS = 1024
+LEAST_BITMAPS, MOST_BITMAPS = 1024, 16_384  # 4 MB to 64 MB
+BITS_PER_KEY = 8
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -58,11 +59,13 @@ def dropped(frame: DataFrame) -> None:
 def maybe_in(frame: DataFrame, key: str, wanted: DataFrame) -> tuple[DataFrame, str]:
     """``frame`` with a flag that is true for each row whose ``key`` occurs in ``wanted``.
 
-    The flag may also be true for other keys, never false for a wanted one. The keys are
-    hashed into 1,024 bitmaps of 4 KB, so what is broadcast is 4 MB at any size of the input;
-    with many keys the flag merely excludes fewer rows. Returns the frame and the flag's name.
+    The flag may also be true for other keys, never false for a wanted one. The keys are counted
+    and hashed into bitmaps of 4 KB, eight bits for each key: 4 MB in all at least and 64 MB at most, which hold
+    67 million keys. With more keys the flag merely excludes fewer rows. ``wanted`` should be a
+    written table, as it is read twice. Returns the frame and the flag's name.
     """
-    bits = BITMAP_BITS * BITMAP_BUCKETS
+    needed = -(-wanted.count() * BITS_PER_KEY // BITMAP_BITS)
+    bits = BITMAP_BITS * min(MOST_BITMAPS, max(LEAST_BITMAPS, 1 << max(0, needed - 1).bit_length()))
     flag = free_name(frame.columns, "maybe")
     bucket, bitmap = free_name(frame.columns, "bucket"), free_name(frame.columns, "bitmap")
     position = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(bits))
@@ -93,9 +96,10 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
     """Connected components of ``edges`` (u, v): one row (node, root) per node, root the least.
 
     Alternating stars: each round links every node's larger neighbours to its least neighbour,
-    then its smaller ones. Rounds are logarithmic in the longest path, each shuffles a number
-    of rows linear in the edges, and only one row per node and task is aggregated, so a node
-    with very many neighbours is no hot spot. Each round is written to the scratch folder.
+    then its smaller ones. Rounds are logarithmic in the longest path, and each shuffles a number
+    of rows linear in the edges. Least neighbours are aggregated in the tasks first. They and the
+    edges are written before they are joined: both sides of the join are then plain tables, and
+    adaptive execution can split the rows of a node with very many neighbours over tasks.
     """
 
     def least(pairs: DataFrame) -> DataFrame:
@@ -103,12 +107,15 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
 
     def star(e: DataFrame) -> DataFrame:
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        near = least(both).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(near, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u != v").distinct()
-        near = least(large)
-        small = large.join(near, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        return small.union(near.select("u", F.col("m").alias("v"))).where("u != v").distinct()
+        near = stored(least(both).select("u", F.least("u", "m").alias("m")), f"{label}-near")
+        large = both.where("v > u").join(near.hint("merge"), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = stored(large.where("u != v").distinct(), f"{label}-large")
+        nearest = stored(least(large), f"{label}-nearest")
+        small = large.join(nearest.hint("merge"), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        out = stored(small.union(nearest.select("u", F.col("m").alias("v"))).where("u != v").distinct(), label)
+        for done in (near, large, nearest):
+            dropped(done)
+        return out
 
     def digest(e: DataFrame) -> tuple:
         return tuple(e.agg(F.count("*"), F.expr("bit_xor(xxhash64(u, v))")).first())
@@ -119,7 +126,7 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
     )
     before = digest(now)
     while True:
-        after = stored(star(now), label)
+        after = star(now)
         dropped(now)
         now, seen = after, digest(after)
         if seen == before:

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from envlake.llm.common import components, free_name, give_back, maybe_in, slices, stored
+from envlake.llm.common import components, dropped, free_name, give_back, maybe_in, slices, stored
 from envlake.llm.shingles import mix, shingles, signatures
 
 SHINGLE = 5  # words
@@ -297,6 +297,8 @@ def jaccard_classes(
         .withColumn("n_links", F.when(silent, F.lit(0).cast("long")).otherwise(F.col("n_links")))
     )
     rows = stored(rows.select("id", "row", "root", "n_links"), "placed")
+    for done in (sketch, classes, buckets, members, parts, links):
+        dropped(done)
     order = F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("row"))
     first = stored(rows.groupBy("root").agg(F.min(order).alias("first")), "first")  # as parts
     done = rows.join(first, "root").select(
@@ -310,6 +312,9 @@ def jaccard_classes(
 def drop_near_duplicates(docs: DataFrame, text: str = "text", id_col: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that are first of their class in :func:`jaccard_classes`.
 
+    First is the least id, null ids last, then the first row; of repeated rows one stays. Texts
+    without words, null ones among them, are in no class and all stay. An empty table gives an empty one, and
+    columns may have any names.
     Rows are numbered and written once. Of those that go, only keys are shuffled; the others
     pass without a shuffle, bar the few that share a bit of the prefilter with one that goes.
     """
