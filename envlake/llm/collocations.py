@@ -117,7 +117,7 @@ def bitmap(phrases: DataFrame, size: int) -> Bitmap:
 
     maps = phrases.select("ws").mapInArrow(places, "bucket long, bit long").groupBy("bucket")
     cells = np.zeros(1 << (bits - 3), np.uint8)
-    for row in maps.agg(F.expr("bitmap_construct_agg(bit)").alias("cells")).toLocalIterator():
+    for row in maps.agg(F.expr("bitmap_construct_agg(bit)").alias("cells")).collect():
         part = np.frombuffer(row.cells, np.uint8)
         cells[row.bucket << 12 : (row.bucket + 1) << 12] = part[: len(cells)]
     return Bitmap(bits, cells)
@@ -225,6 +225,18 @@ def _scored(phrases: DataFrame, words: DataFrame, sizes: DataFrame) -> DataFrame
     return best.where("not open").select("ws", "lang", "a", "n", "cut.l", "cut.r", "cut.score")
 
 
+def _first(rows: DataFrame, top: int, *order: Column | str) -> DataFrame:
+    """The first ``top`` rows of each language, with their rank.
+
+    A language's rows are ranked in 16 shares first, so that the task that ranks them all gets
+    16 times ``top`` at most, however many tasks hold some.
+    """
+    share = Window.partitionBy("lang", F.pmod(F.xxhash64(*rows.columns), F.lit(16))).orderBy(*order)
+    some = rows.withColumn("rank", F.row_number().over(share)).where(F.col("rank") <= top)
+    whole = Window.partitionBy("lang").orderBy(*order)
+    return some.withColumn("rank", F.row_number().over(whole).cast("long")).where(F.col("rank") <= top)
+
+
 def collocations(docs: DataFrame, min_count: int = 100, top: int = 2000) -> DataFrame:
     """The first ``top`` phrases of each language of ``docs`` (text, lang), by score.
 
@@ -242,17 +254,13 @@ def collocations(docs: DataFrame, min_count: int = 100, top: int = 2000) -> Data
     """
     docs = docs.select("text", "lang")
     for seed in range(4):
-        counted = docs.mapInArrow(_count_words(seed), "key long, lang string, word string, n long").groupBy("key").agg(
-            F.sum("n").alias("f"),
-            *[f(c).alias(f"{name}_{c}") for c in ("lang", "word") for name, f in (("min", F.min), ("max", F.max))],
-        )
-        every = stored(counted, "words")
-        if every.where("min_lang != max_lang or min_word != max_word").isEmpty():
+        counted = docs.mapInArrow(_count_words(seed), "key long, lang string, word string, n long")
+        every = stored(counted.groupBy("key", "lang", "word").agg(F.sum("n").alias("f")), "words")
+        if every.groupBy("key").count().where("count > 1").isEmpty():
             break
         dropped(every)  # two words share a key: take other keys
     else:
         raise RuntimeError("words share their keys under every seed")
-    every = every.select("key", F.col("min_lang").alias("lang"), F.col("min_word").alias("word"), "f")
     words = stored(every.where(F.col("f") >= min_count), "frequent-words")
     sizes = stored(every.groupBy("lang").agg(F.sum("f").alias("n")), "languages")
     dropped(every)
@@ -286,8 +294,8 @@ def collocations(docs: DataFrame, min_count: int = 100, top: int = 2000) -> Data
                 parts = bitmap(_union(phrases[size]), size)
         before = front
         result = stored(_scored(_union([p for some in phrases.values() for p in some]), words, sizes), "scored")
-        by = Window.partitionBy("lang").orderBy(F.desc("score"))
-        last = result.select("lang", "score", F.row_number().over(by).alias("i")).where(F.col("i") == top).select("lang", F.col("score").alias("last"))
+        last = _first(result.select("lang", "score", "ws"), top, F.desc("score")).where(F.col("rank") == top)
+        last = last.select("lang", F.col("score").alias("last"))
         limits = stored(
             limits.join(last, "lang", "left").select(
                 "lang", "n", "below", "last",
@@ -309,6 +317,5 @@ def collocations(docs: DataFrame, min_count: int = 100, top: int = 2000) -> Data
         .agg(F.array_sort(F.collect_list(F.struct("i", "word"))).alias("spelled"))
         .withColumn("phrase", F.array_join("spelled.word", " "))
     )
-    by = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = spelled.withColumn("rank", F.row_number().over(by).cast("long")).where(F.col("rank") <= top)
+    ranked = _first(spelled, top, F.desc("score"), F.desc("a"), "phrase")
     return ranked.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
