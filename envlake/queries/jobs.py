@@ -267,7 +267,9 @@ def collected_many_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("bandera"), F.col("l_returnflag"), F.lit("FECHA"), F.col("l_linestatus"),
         own, F.col("l_quantity").cast("int").cast("string"), F.concat(own, F.lit("b")), F.concat(F.lit("o"), "l_orderkey"),
     )
-    documents = lines.groupBy("l_suppkey").agg(F.to_json(F.collect_list(record)).alias("texto")).select(
+    # records as text before they are brought together: less to shuffle and to hold than as maps
+    records = F.array_join(F.collect_list(F.to_json(record)), ",")
+    documents = lines.groupBy("l_suppkey").agg(F.concat(F.lit("["), records, F.lit("]")).alias("texto")).select(
         F.concat("l_suppkey", F.lit("_2022_01")).alias("documento"), "texto"
     )
     stations = lines.select(F.col("l_suppkey").cast("string").alias("indicativo")).distinct()
@@ -277,8 +279,9 @@ def collected_many_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     )["observations"]
     # three of the five columns are of single records: which, is decided by the keys' order
     single = [c for c in got.columns if c.startswith("k_")]
-    rare = F.map_concat("otros", F.map_filter(F.create_map(*[x for c in single for x in (F.lit(c), F.col(c))]), lambda _, v: v.isNotNull()))
-    return got.select("fecha", "indicativo", "bandera", "_FECHA", F.explode(rare).alias("clave", "valor"))
+    own_column = [F.struct(F.lit(c).alias("key"), F.col(c).alias("value")) for c in single]
+    rare = F.concat(F.map_entries("otros"), F.filter(F.array(*own_column), lambda e: e["value"].isNotNull())) if single else F.map_entries("otros")
+    return got.select("fecha", "indicativo", "bandera", "_FECHA", F.inline(rare).alias("clave", "valor"))
 
 
 def collected_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -60,7 +60,7 @@ def parse_documents(
     # inside one more pair of brackets a second array or text after the first shows up
     wrapped = F.concat(F.lit("["), "texto", F.lit("]"))
     arrays = F.from_json(wrapped, "array<array<map<string,string>>>", {"allowSingleQuotes": "false"})
-    records = F.when(F.size(arrays) == 1, F.get(arrays, F.lit(0)))
+    bracketed = F.startswith(trimmed, F.lit("[")) & F.endswith(trimmed, F.lit("]"))
     station, month = landing_key_parts(F.col("documento"))
 
     def value(key: Column | str) -> Column:
@@ -73,14 +73,17 @@ def parse_documents(
         some = F.map_from_arrays(others, F.transform(others, value))
         none = F.create_map().cast("map<string,string>")
         values.append(F.when(F.size(others) > 0, some).otherwise(none).alias(REST))
+    # First the document's columns, then its records: so a text is parsed once and not once for each use of the result,
+    # and the key is taken apart once for a document. An inner explode or a filter on the text would undo that.
+    whole = documents.select(
+        "documento",
+        station.alias("documento_estacion"),
+        month.alias("documento_mes"),
+        F.when(bracketed, arrays).alias("listas"),
+    )
+    records = F.when(F.size("listas") == 1, F.get("listas", F.lit(0)))
     return (
-        documents.where(F.startswith(trimmed, F.lit("[")) & F.endswith(trimmed, F.lit("]")))
-        .select(
-            "documento",
-            station.alias("documento_estacion"),
-            month.alias("documento_mes"),
-            F.explode(records).alias("r"),
-        )
+        whole.select("documento", "documento_estacion", "documento_mes", F.explode_outer(records).alias("r"))
         .where(F.col("r").isNotNull())
         .withColumns({"claves": F.reverse(F.map_keys("r")), "valores": F.reverse(F.map_values("r"))})
         .select(

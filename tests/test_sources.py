@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from envlake.sources import (
     DatasetSpec,
     land_records,
+    parse_documents,
     read_dataset,
     read_delimited,
     read_landed,
@@ -493,3 +494,16 @@ def test_a_written_table_is_a_source(spark, tmp_path):
     catalog = {"t": "t.parquet", "u": "u.parquet"}
     assert {r.dataset: r.state for r in dataset_status(spark, str(tmp_path), catalog).collect()} == {"t": "fresh", "u": "absent"}
     assert read_dataset(spark, str(tmp_path), "t.parquet").count() == 3
+
+
+def test_a_documents_text_is_parsed_once(spark):
+    """Neither the check of its one array nor the records parse it again, and its key is taken apart once for all records."""
+    text = '[{"fecha":"2022-01-01","fecha":"2022-01-02","x":"1"}, null, {"indicativo":"3129"}]'
+    documents = spark.createDataFrame([("3129_2022_01", text), ("a_2022_01", text + text), ("b_2022_01", None)], "documento string, texto string")
+    records = parse_documents(documents, ["fecha", "indicativo"])
+    assert [tuple(r) for r in records.drop("documento_estacion", "documento_mes").collect()] == [
+        ("3129_2022_01", "2022-01-02", None, {"x": "1"}), ("3129_2022_01", None, "3129", {}),
+    ]
+    plan = records._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json(") == 1
+    assert "regexp_extract" not in plan[: plan.index("Generate")]
