@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from envlake.functions import from_latin9, to_latin9
-from envlake.queries.inputs import table
+from envlake.queries.inputs import spread, table
 from envlake.sources import (
     DatasetSpec,
     land_records,
@@ -118,7 +118,8 @@ def raw_documents(frame: DataFrame, key: str, name: str, amount: str, nation: st
         .otherwise(F.col("good"))
     )
     return (
-        frame.withColumn("mes", F.explode(F.array(F.lit("2022-01"), F.lit("2022-07"))))
+        spread(frame.select(key, name, amount, nation), key)
+        .withColumn("mes", F.explode(F.array(F.lit("2022-01"), F.lit("2022-07"))))
         .withColumn("good", good)
         .select(
             F.concat_ws("_", key, F.replace("mes", F.lit("-"), F.lit("_"))).alias("documento"),

@@ -227,12 +227,15 @@ def collected_weather_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From landed documents over the sorted CSV to the weather fact."""
     root = scratch_dir(spark, "chain")
     customers = table(spark, sf_dir, "customer")
-    records = parse_documents(raw_documents(customers, *CUSTOMER_COLUMNS), RAW_FIELDS)
+    stations = customers.select(F.col("c_custkey").cast("string").alias("indicativo"))
+    documents = requested_documents(
+        raw_documents(customers, *CUSTOMER_COLUMNS), stations, "2022-01-01", "2022-12-31"
+    )
     collect_observations(
         spark,
-        records.withColumn("altitud", F.lit("664")),
+        parse_documents(documents, RAW_FIELDS).withColumn("altitud", F.lit("664")),
         f"{root}/{CATALOG['aemet_climatologia_diaria'].path}",
-        customers.select(F.col("c_custkey").cast("string").alias("indicativo")),
+        stations,
         "2022-01-01",
         "2022-12-31",
     )

@@ -7,6 +7,7 @@ import os
 from dataclasses import replace
 
 import pytest
+from pyspark.sql import functions as F
 
 from envlake import run
 from envlake.queries import jobs as job_queries
@@ -14,7 +15,7 @@ from envlake.plans import JOBS, JobSpec, collect_observations
 from envlake.plans.collector import _of_period
 from envlake.schemas import HOURS, STATIONS
 from envlake.operators import coverage, coverage_of_parts, dataset_summary, summary_of_parts
-from envlake.sources import CATALOG, DatasetSpec, land_records, read_dataset, read_landed, read_raw_documents, read_table, refresh, refresh_summaries, rejects
+from envlake.sources import CATALOG, DatasetSpec, land_records, parse_documents, read_dataset, read_landed, read_raw_documents, read_table, refresh, refresh_summaries, rejects
 from envlake.sources.summaries import summaries_path
 from envlake.sources.versions import current, manifest
 from tests.test_sources import put
@@ -316,3 +317,19 @@ def test_cells_that_do_not_fit_are_listed_where_allowed(spark, root):
     put(root, path, f"{AIR_HEADER}\n{air_line(1, 2022, h01=9)}\n1;2;3\n", mtime=4_000_000_000)  # a line with too few cells
     assert statuses(run(spark, str(root), name, catalog=catalog)) == {name: "ok"}
     assert [(r.columna, r.texto, r.linea) for r in rejects(spark, str(root), catalog["aire22"]).collect()] == [(None, None, "1;2;3")]
+
+
+@pytest.mark.parametrize("name", ["collected_weather_fact", "collected_missing_windows", "collected_coverage", "collected_observations"])
+def test_documents_of_one_file_are_parsed_in_many_tasks(spark, tmp_path, monkeypatch, name):
+    customers = spark.range(8, 400).selectExpr("id AS c_custkey", "concat('n', id) AS c_name", "CAST(8 AS INT) AS c_nationkey", "1.5D AS c_acctbal")
+    customers.coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    spark.range(25).selectExpr("CAST(id AS INT) AS n_nationkey", "'u' AS n_name").write.parquet(f"{tmp_path}/nation.parquet")
+    seen = []
+
+    def parsed(documents, *fields):
+        seen.append(documents.select(F.spark_partition_id()).distinct().count())
+        return parse_documents(documents, *fields)
+
+    monkeypatch.setattr(job_queries, "parse_documents", parsed)
+    job_queries.QUERIES[name](spark, str(tmp_path))
+    assert seen[0] > 1
