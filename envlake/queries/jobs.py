@@ -23,6 +23,7 @@ from envlake.queries.inputs import (
     daily_orders,
     daily_value_sql,
     hourly_orders,
+    spread,
     table,
     unit_dimension,
     weather_units,
@@ -205,11 +206,14 @@ def job_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     return written_previews(spark, status, order={job.name: ["o_orderkey"]})[job.name]
 
 
+def _stations(customers: DataFrame, *others: F.Column) -> DataFrame:
+    """Every customer as a station, dealt by key: its windows and the keys of their documents are not one task's work."""
+    return spread(customers.select(F.col("c_custkey").cast("string").alias("indicativo"), *others), "indicativo")
+
+
 def _collect(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     customers = table(spark, sf_dir, "customer")
-    stations = customers.select(
-        F.col("c_custkey").cast("string").alias("indicativo"), F.col("c_name").alias("nombre")
-    )
+    stations = _stations(customers, F.col("c_name").alias("nombre"))
     documents = requested_documents(
         raw_documents(customers, *CUSTOMER_COLUMNS), stations, "2022-01-01", "2022-12-31"
     )
@@ -227,7 +231,7 @@ def collected_weather_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From landed documents over the sorted CSV to the weather fact."""
     root = scratch_dir(spark, "chain")
     customers = table(spark, sf_dir, "customer")
-    stations = customers.select(F.col("c_custkey").cast("string").alias("indicativo"))
+    stations = _stations(customers)
     documents = requested_documents(
         raw_documents(customers, *CUSTOMER_COLUMNS), stations, "2022-01-01", "2022-12-31"
     )

@@ -333,3 +333,19 @@ def test_documents_of_one_file_are_parsed_in_many_tasks(spark, tmp_path, monkeyp
     monkeypatch.setattr(job_queries, "parse_documents", parsed)
     job_queries.QUERIES[name](spark, str(tmp_path))
     assert seen[0] > 1
+
+
+@pytest.mark.parametrize("name", ["collected_weather_fact", "collected_missing_windows"])
+def test_windows_of_stations_of_one_file_are_made_in_many_tasks(spark, tmp_path, monkeypatch, name):
+    customers = spark.range(8, 400).selectExpr("id AS c_custkey", "concat('n', id) AS c_name", "CAST(8 AS INT) AS c_nationkey", "1.5D AS c_acctbal")
+    customers.coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    spark.range(25).selectExpr("CAST(id AS INT) AS n_nationkey", "'u' AS n_name").write.parquet(f"{tmp_path}/nation.parquet")
+    seen = []
+
+    def collected(spark_, records, csv, stations, *period):
+        seen.append(stations.select(F.spark_partition_id()).distinct().count())
+        return collect_observations(spark_, records, csv, stations, *period)
+
+    monkeypatch.setattr(job_queries, "collect_observations", collected)
+    job_queries.QUERIES[name](spark, str(tmp_path))
+    assert seen[0] > 1
