@@ -20,6 +20,8 @@ from envlake.llm.packing import pack_documents
 from envlake.llm.quality_rules import quality_rules
 from envlake.llm.toxicity import labelled_texts, score_toxicity, train_toxicity
 
+REMEMBERED = 1 << 17  # pieces of text: executors that ran the stages before have less memory left
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep; null and empty texts have no words and go, repeated rows fare alike."""
@@ -52,7 +54,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents and their places in token sequences; null counts as empty, repeated rows are packed each."""
-    return pack_documents(docs, with_ids=False)
+    return pack_documents(docs, with_ids=False, remembered=REMEMBERED)
 
 
 STAGES = [

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from envlake.llm.common import slices, stored
-from envlake.llm.tokens import SLICE, default_tokenizer, encoder
+from envlake.llm.tokens import MOST_REMEMBERED, SLICE, default_tokenizer, encoder
 
 CAPACITY = 2048
 BINS = 512  # classes of lengths that patterns are made of
@@ -210,9 +210,9 @@ def layout(histogram: np.ndarray, capacity: int = CAPACITY, bins: int = BINS, de
     return out
 
 
-def _pieces(path: str, capacity: int, with_ids: bool):
+def _pieces(path: str, capacity: int, with_ids: bool, remembered: int = MOST_REMEMBERED):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = encoder(path)
+        memo = encoder(path, remembered)
         part = TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
         for batch in slices(batches, "text", SLICE):
@@ -289,6 +289,7 @@ def pack_documents(
     tokenizer: str | None = None,
     capacity: int = CAPACITY,
     with_ids: bool = True,
+    remembered: int = MOST_REMEMBERED,
 ) -> DataFrame:
     """Pieces of all texts in token sequences of at most ``capacity``, as few as possible.
 
@@ -302,7 +303,8 @@ def pack_documents(
     Texts are encoded in place and written once, with the rank of each piece among those of
     its length in the partition. Only counts by partition and length are shuffled and added
     up; the driver sees the histogram, one number for each length. The layout made from it
-    has some thousand slots whatever the number of documents.
+    has some thousand slots whatever the number of documents. A task keeps the ids of at most ``remembered``
+    pieces of text (131,072 at least): fewer take less memory and more time, and change no row.
     """
     spark = docs.sparkSession
     body = F.coalesce(F.col(text), F.lit(""))
@@ -310,7 +312,7 @@ def pack_documents(
     schema = f"id {id_type}, piece int, start long, length long, ids_crc32 long, part int, place long"
     pieces = stored(
         docs.select(F.col(id_col).alias("id"), body.alias("text")).mapInArrow(
-            _pieces(tokenizer or default_tokenizer(), capacity, with_ids), schema + (", ids array<int>" if with_ids else "")
+            _pieces(tokenizer or default_tokenizer(), capacity, with_ids, remembered), schema + (", ids array<int>" if with_ids else "")
         ),
         "pieces",
     )

@@ -292,5 +292,8 @@ def kept(kind: type, path: str):
     return store[key]
 
 
-def encoder(path: str) -> Encoder:
-    return kept(Encoder, path)
+def encoder(path: str, most: int = MOST_REMEMBERED) -> Encoder:
+    """This worker's encoder, which from now on remembers ``most`` pieces, but at least those looked up at once."""
+    memo = kept(Encoder, path)
+    memo.most = max(most, SOME)
+    return memo

@@ -20,7 +20,8 @@ MAX_FEATURES = 3_000
 MIN_DOCUMENTS = 4  # training documents that a feature must occur in
 MIN_RATIO = 2.0  # least size of a feature's log-count ratio: long texts gather weak evidence by chance
 SMOOTHING = 1.0
-SLICE = 1 << 18  # bytes of text at once: their n-grams stay in the processor's cache
+SLICE = 1 << 17  # bytes of text at once: their n-grams stay in the processor's cache
+MOST_COUNTED = 65_535  # documents of one set of counts, which are 16-bit
 RIDGE = 1e-4
 STEPS = 200
 _MULTIPLIERS = np.array(
@@ -90,17 +91,26 @@ def present(texts: pa.Array, table: np.ndarray | None = None) -> tuple[np.ndarra
 
 
 def _count_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents per bucket and class of one partition."""
-    counts = np.zeros((2, 1 << HASH_BITS), np.int32)
+    """Documents per bucket and class of one partition; several counts of a bucket if there are many documents."""
+    counts = np.zeros((2, 1 << HASH_BITS), np.uint16)
+
+    def counted() -> Iterator[pa.RecordBatch]:
+        for low in range(0, 1 << HASH_BITS, 1 << 18):
+            part = counts[:, low : low + (1 << 18)]
+            b = np.flatnonzero(part[0] | part[1])
+            yield pa.record_batch({"bucket": pa.array((b + low).astype(np.int32)), "n0": pa.array(part[0, b].astype(np.int64)), "n1": pa.array(part[1, b].astype(np.int64))})
+
+    rows = 0
     for batch in slices(batches, "text", SLICE):
+        if rows + batch.num_rows > MOST_COUNTED:
+            yield from counted()
+            counts[:], rows = 0, 0
+        rows += batch.num_rows
         label = batch.column("label").to_numpy(zero_copy_only=False)
         owner, bucket = present(batch.column("text"))
         for c in (0, 1):
             np.add.at(counts[c], bucket[label[owner] == c], 1)
-    used = np.flatnonzero(counts[0] | counts[1])
-    for at in range(0, len(used), 1 << 16):
-        b = used[at : at + (1 << 16)]
-        yield pa.record_batch({"bucket": pa.array(b.astype(np.int32)), "n0": pa.array(counts[0, b].astype(np.int64)), "n1": pa.array(counts[1, b].astype(np.int64))})
+    yield from counted()
     del counts
     give_back()
 

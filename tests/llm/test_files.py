@@ -16,10 +16,10 @@ from envlake.llm.packing import CAPACITY, fitted_counts, layout, pack_documents,
 from envlake.llm.sentencepiece_scan import (
     Chunk, Lattice, border_states, combined, decode_pieces, default_model, encode_pieces, max_plus, prepared,
 )
-from envlake.llm import sentencepiece_scan, sharding
+from envlake.llm import sentencepiece_scan, sharding, tokens
 from envlake.llm.sharding import feistel_shards, halves, permuted
 from envlake.llm.token_files import read_lengths, read_tokens, token_index, write_token_files
-from envlake.llm.tokens import Encoder, default_tokenizer
+from envlake.llm.tokens import MOST_REMEMBERED, Encoder, default_tokenizer, encoder
 from envlake.sources.scratch import scratch_dir
 from tests.llm.helpers import ODD, SF_DIR, docs, documents
 
@@ -223,6 +223,20 @@ def test_packing_query(spark):
     check_packing(registered()["op2_best_fit_packing"](spark, SF_DIR).collect(), documents())
 
 
+def test_packing_that_remembers_little(spark, monkeypatch):
+    texts = docs(spark, [f"one word {n} {n % 7} of some {'x' * (n % 11)}" for n in range(300)]).coalesce(1)
+    rows = [sorted(r[:5] for r in pack_documents(texts, remembered=most).collect()) for most in (4, MOST_REMEMBERED)]
+    assert rows[0] == rows[1] and len(rows[0]) == 300
+    path = default_tokenizer()
+    monkeypatch.setattr(tokens, "SOME", 8)
+    memo, plain = encoder(path, 4), Encoder(path)
+    for n in range(50):
+        some = pa.array([f"word{n} other {n} words{n} and more and others than are remembered, {n * n} of them"])
+        assert memo.encode(some)[0].tolist() == plain.encode(some)[0].tolist()
+        assert len(memo.known) <= 8
+    assert encoder(path).most == MOST_REMEMBERED
+
+
 def test_packing_of_odd_texts(spark):
     texts = dict(enumerate([*ODD, "word " * 2047, "word " * 2048]))
     rows = pack_documents(docs(spark, list(texts.values())).selectExpr("*", "1 AS length", "2 AS id").repartition(3)).collect()

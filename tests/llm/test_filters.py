@@ -1,5 +1,6 @@
 """Quality rules, language identification and toxicity."""
 
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -7,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from envlake.llm import expected_sql, registered
+from envlake.llm import expected_sql, registered, toxicity
 from envlake.llm.language_id import DIMENSIONS, LanguageModel, identify_language, letter_vectors, ngram_vectors, profiles, train_languages
 from envlake.llm.quality_rules import Rule, quality_rules
 from envlake.llm.toxicity import ToxicityModel, chosen_share, labelled_texts, ngram_buckets, present, score_toxicity, train_toxicity
@@ -118,6 +119,26 @@ def test_ngram_buckets_stay_inside_texts():
     assert all((a == b).all() for (a, _), (b, _) in zip(ngram_buckets(points), ngram_buckets(same), strict=True))
 
 
+def test_toxicity_counts_hold_little_at_once(monkeypatch):
+    """A task's counts of all buckets are 16 MB; they start again before they might overflow."""
+    texts = [f"some words {n} of document {n % 5}" for n in range(40)]
+    batch = pa.record_batch({"text": pa.array(texts), "label": pa.array([n % 3 == 0 for n in range(40)], pa.bool_()).cast(pa.int32())})
+    expected = Counter()
+    for n, text in enumerate(texts):
+        expected.update((b, n % 3 == 0) for b in present(pa.array([text]))[1].tolist())
+    for most in (toxicity.MOST_COUNTED, 7):
+        monkeypatch.setattr(toxicity, "MOST_COUNTED", most)
+        got = Counter()
+        tracemalloc.start()
+        for out in toxicity._count_documents(iter([batch.slice(n, 5) for n in range(0, 40, 5)])):
+            for b, n0, n1 in zip(*(c.to_pylist() for c in out.columns), strict=True):
+                got.update({(b, False): n0, (b, True): n1})
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert +got == expected
+        assert peak < 24e6
+
+
 def test_toxicity_query_separates_held_out_rows(spark):
     sf = "/root/testdata/sf0.01"
     toxic = {r[0]: r[2] for r in table("labels", sf)}
